@@ -6,7 +6,7 @@ pair of segments a fingerprint gives the codeword indices that Golay decoding fi
 any one bit flipped: two words at most two bits apart have a word between them at most one bit from either, so they share
 a key. Candidates that share a key are verified on all 64 bits.
 
-Only distinct fingerprints are joined; copies hang on them by value. Keys held once are dropped by a count. A key held by
+Only distinct fingerprints are joined; copies hang on them by value. Keys are dealt to tasks and met there. A key held by
 very many fingerprints is split into blocks, and each pair of blocks is verified on its own. Within a task links that
 close a cycle are not emitted, so the links never outnumber the fingerprints in it, however large a group of copies is.
 
@@ -142,9 +142,9 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     """(a, b): links between the distinct fingerprints of ``fps`` (fp) that connect all those within RADIUS bits."""
     keys = fps.select("fp").mapInArrow(_keys, "key int, fp long")
-    held = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    n = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    rows = keys.join(held, "key").select("key", "fp", n.alias("blocks"), F.pmod(F.xxhash64("fp"), n).cast("int").alias("own"))
+    hot = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    n = F.coalesce(F.ceil(F.col("n") / F.lit(block)), F.lit(1)).cast("int")
+    rows = keys.join(hot, "key", "left").select("key", "fp", n.alias("blocks"), F.pmod(F.xxhash64("fp"), n).cast("int").alias("own"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.select("key", "fp", "own", other)
     grp = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
