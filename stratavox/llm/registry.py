@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name -> function of (spark, sf_dir)) and, where SQL can express one, ORACLES (name -> SQL).
-MODULES = ("suffix_dedup", "simhash_dedup", "line_dedup", "mixing", "quality_rules", "warc", "language_id")
+MODULES = ("suffix_dedup", "simhash_dedup", "line_dedup", "mixing", "quality_rules", "warc", "language_id", "decontam")
 
 
 def _all(kind: str) -> dict:
