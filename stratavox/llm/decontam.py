@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from stratavox.llm import common
 
 #: Edits allowed for each character of an item, shortest item searched, characters of a block of items.
-ERROR_RATE, MIN_ITEM, BLOCK_CHARS = 0.05, 20, 1 << 20
+ERROR_RATE, MIN_ITEM, BLOCK_CHARS = 0.07, 20, 1 << 20
 
 
 def normal(text: str | None) -> str:
