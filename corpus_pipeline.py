@@ -1,13 +1,70 @@
-"""Corpus pipeline (stages are added as their operators are written)."""
+"""Corpus pipeline: language ID, line dedup, near-dedup, benchmark decontamination and mixing, one stage after the other.
+
+Each stage takes all documents that the one before kept and its decisions take effect: documents go, or lose lines, or get
+a number of copies. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratavox.llm import common, decontam, language_id, line_dedup, mixing, simhash_dedup
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A document whose language is less sure than this goes, as do those without letters.
+LEAST_SCORE = 0.1
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters (``und``) or without any likely language."""
+    model = language_id.fit(docs, ~language_id.held_out())
+    named = language_id.identify(docs.select(COLUMNS), model, keep_text=True)
+    return named.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(COLUMNS)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes lines out of documents that stand in an earlier document; n_chars follows the text."""
+    out = line_dedup.drop_lines(docs.select(COLUMNS))
+    return out.withColumn("n_chars", F.length("text").cast("bigint")).select(COLUMNS)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each near-duplicate component; documents with a null id stay."""
+    docs = docs.select(COLUMNS)
+    groups = simhash_dedup.near_duplicates(docs)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a benchmark item stands."""
+    return decontam.clean(docs.select(COLUMNS), common.table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of each document: doc_id, source, size, source_size, target, taken."""
+    return mixing.mix(mixing.sized_documents(docs))
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("near_dedup", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+]
+
+#: SQL has neither the language model, nor the fingerprints, nor the edit matching: tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            path = common.shared_dir(spark, f"stage-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
