@@ -1,4 +1,10 @@
 """All queries over the driver's tables and the SQL that each is compared with."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from stratavox.plans import planning
+
+_MODULES = (planning,)
+
+QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+ORACLES: dict = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
