@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stratavox.plans import planning
+from stratavox.plans import planning, temporal
 
-_MODULES = (planning,)
+_MODULES = (planning, temporal)
 
 QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES: dict = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
