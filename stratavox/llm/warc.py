@@ -86,13 +86,11 @@ def _write(folder: str, level: int):
     return run
 
 
-def write(pages: DataFrame, folder: str, level: int = 6, archives: int | None = None) -> DataFrame:
+def write(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
     """Writes (page_id, url, html) as archives below ``folder``; returns (name, size) of each, already written."""
-    spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     who = roles(rows).withColumnRenamed("page_id", "__id")
-    rows = rows.join(who, F.col("page_id") == F.col("__id"), "left").drop("__id")
-    rows = rows.repartition(archives or common.partitions(spark), F.xxhash64("page_id", "url"))
+    rows = rows.join(who, F.col("page_id") == F.col("__id"), "left").drop("__id")  # one archive a partition of the join
     return common.checkpointed(rows.mapInArrow(_write(folder, level), "name string, size long"))
 
 
