@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stratavox.plans import masks, planning, temporal
+from stratavox.plans import geometry, masks, planning, temporal
 
-_MODULES = (planning, temporal, masks)
+_MODULES = (planning, temporal, masks, geometry)
 
 QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES: dict = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
