@@ -51,3 +51,17 @@ def id_out(column: str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns that an operator is about to add."""
+    lost = {n.lower() for n in names}
+    return df.select(*(f"`{c}`" for c in df.columns if c.lower() not in lost))

@@ -147,8 +147,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those in which an item stands."""
-    found = matches(docs, items, id_col, **options).select(common.id_key("doc_id").alias("__found")).distinct()
-    return docs.withColumn("__key", common.id_key(id_col)).join(found, F.col("__key") == F.col("__found"), "left_anti").drop("__key")
+    key, found = common.fresh(docs, "__key"), common.fresh(docs, "__found")
+    hits = matches(docs, items, id_col, **options).select(common.id_key("doc_id").alias(found)).distinct()
+    return docs.withColumn(key, common.id_key(id_col)).join(hits, F.col(key) == F.col(found), "left_anti").drop(key)
+
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:

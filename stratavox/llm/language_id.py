@@ -252,6 +252,7 @@ def _label(model, text_col: str):
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and the labelled spans; the text itself is carried on only if asked for."""
+    docs = common.without(docs, "lang_pred", "score", "spans")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size a language
     out = docs.mapInArrow(_label(shared, text_col), ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), _OUT]))
     return out if keep_text else out.drop(text_col)

@@ -149,9 +149,11 @@ def _apply(text_col: str):
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_key: int = MIN_KEY) -> DataFrame:
-    """``docs`` with repeated lines taken out of its text column, and columns __n_lines and __n_dropped."""
-    maps = keep_bitmaps(docs, id_col, text_col, min_key).where("n_dropped > 0").select(F.col("id").alias("__id"), F.col("keep").alias("__keep"))
-    joined = docs.withColumn("__key", common.id_key(id_col)).join(maps, F.col("__key") == F.col("__id"), "left").drop("__key", "__id")
+    """``docs`` with repeated lines taken out of its text column, and columns __n_lines and __n_dropped (in place of any so named)."""
+    docs = common.without(docs, "__n_lines", "__n_dropped", "__keep")
+    key, own = common.fresh(docs, "__key"), common.fresh(docs, "__id")
+    maps = keep_bitmaps(docs, id_col, text_col, min_key).where("n_dropped > 0").select(F.col("id").alias(own), F.col("keep").alias("__keep"))
+    joined = docs.withColumn(key, common.id_key(id_col)).join(maps, F.col(key) == F.col(own), "left").drop(key, own)
     joined = joined.withColumn(text_col, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     schema = joined.drop("__keep").withColumns({"__n_lines": F.lit(0).cast("long"), "__n_dropped": F.lit(0).cast("long")}).schema
     return joined.mapInArrow(_apply(text_col), schema)

@@ -138,6 +138,7 @@ def _score(shared, text_col: str):
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with the score (0 to 1) in place of the text."""
+    docs = common.without(docs, "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number for each row of the table
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col), "score double"])
     return docs.mapInArrow(_score(shared, text_col), schema)

@@ -156,6 +156,7 @@ def _score(shared, text_col: str):
 
 def score(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     """``docs`` with a probability for each category in place of the text."""
+    docs = common.without(docs, *(f"p_{c}" for c in CATEGORIES))
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # FEATURES weights a category at most
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col), *(f"p_{c} double" for c in CATEGORIES)])
     return docs.mapInArrow(_score(shared, text_col), schema)
