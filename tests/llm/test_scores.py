@@ -105,7 +105,7 @@ def brute_features(t):
 
 def test_quality_rules(spark):
     docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text", "lang", "source")
-    extra = awkward(spark).select((F.col("doc_id") + 1_000_000).alias("doc_id"), "text", "lang", "source").unionByName(spark.createDataFrame([(950, " ".join(f"a{i % 300} b{i % 7}" for i in range(3000)), None, None)], "doc_id long, text string, lang string, source string"))
+    extra = awkward(spark).select((F.col("doc_id") + 1_000_000).alias("doc_id"), "text", "lang", "source").unionByName(spark.createDataFrame([(2_000_000, " ".join(f"a{i % 300} b{i % 7}" for i in range(3000)), None, None)], "doc_id long, text string, lang string, source string"))
     rows = docs.unionByName(extra)
     got = quality_rules.judge(rows).collect()
     text = {r.doc_id: r.text for r in rows.collect()}
