@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def seconds_of(column: str, since: str = "1970-01-01"):
+    """Whole seconds of a timestamp without zone since a day, whatever the session's zone."""
+    return F.expr(f"timestampdiff(SECOND, timestamp_ntz'{since} 00:00:00', cast({column} AS timestamp_ntz))")
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dataset candidates: documents with the annotation state and class of their label."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("__id"), "quality")
@@ -37,11 +42,10 @@ def voxels(spark: SparkSession, sf_dir: str, threshold: float = 0.0) -> DataFram
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations (lineage, frame, forward, prob, event_id): one a row of events, frames of ten minutes."""
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - 1704067200
     return table(spark, sf_dir, "events").select(
         "event_id",
         F.col("user_id").alias("lineage"),
-        F.floor(seconds / 600).alias("frame"),
+        F.floor(seconds_of("ts", "2024-01-01") / 600).alias("frame"),
         F.col("event_type").isin("view", "click").alias("forward"),
         (F.floor(F.col("value") * 100) % 100).cast("bigint").alias("score"),
     )
