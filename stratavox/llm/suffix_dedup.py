@@ -10,7 +10,7 @@ their least gram: equal windows have equal grams, so they meet, and windows in a
    merged by interleave refinement (``bwt``). These are the edges of copied passages and look-alike texts.
 4. By document: what is not first, and what the merge found, is covered and cut out.
 
-Texts move twice, by an even hash of the document; no task needs more than its share of rows, and a content held by very
+Texts move once, by an even hash of the document, and both later steps read that exchange; no task needs more than its share of rows, and a content held by very
 many documents is reduced to its earliest place within each batch before it moves.
 
 Nulls: a null text is empty, a null doc_id orders before all others. Rows that repeat a doc_id with its text each get the
@@ -303,7 +303,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     blobs = rows.mapInArrow(_scan(n), _BLOBS)
     firsts = common.checkpointed(blobs.repartition(common.partitions(spark), "part").mapInArrow(_firsts(n), _BLOBS))
     fetched = home.groupBy("part").cogroup(firsts.groupBy("part")).applyInArrow(_fetch, _BLOBS)
-    merged = common.checkpointed(fetched.repartition(common.partitions(spark), "part").mapInArrow(_compare(n, shard_bytes), _BLOBS))
+    merged = fetched.repartition(common.partitions(spark), "part").mapInArrow(_compare(n, shard_bytes), _BLOBS)
     out = home.groupBy("part").cogroup(firsts.unionByName(merged).groupBy("part")).applyInArrow(_cut, _RESULT)
     return out.select(common.id_out("id").alias("doc_id"), "n_bytes", "spans", "kept")
 
