@@ -227,8 +227,14 @@ def fit(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
     """A model of the languages in ``docs`` where the condition ``learn`` holds, from ``sample`` texts a language at most."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("h"), F.col(id_col).alias("i"))
+    # languages are counted first, so that only about twice the sample of each is ranked, however many texts there are
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
+    if not sizes:
+        return None
+    share = F.create_map(*(F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, 2.0 * sample / n if n > 4 * sample else 1.0))))
+    unit = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / float(1 << 32)
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "i", "text"))
-    picked = rows.withColumn("nth", nth).where(F.col("nth") <= sample).select("lang", "text")
+    picked = rows.where(unit <= share[F.col("lang")]).withColumn("nth", nth).where(F.col("nth") <= sample).select("lang", "text")
     got = picked.coalesce(8).mapInArrow(_counts, "lang string, three binary, two binary, scripts binary").limit(8 * LANGUAGES).collect()
     if not got:
         return None
