@@ -2,43 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: What stands for a null id inside the operators; outputs show null again.
-NULL_ID = -(1 << 63)
-
-WS = r"\x20\x09-\x0D"
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the checkpoint folder that driver and executors share."""
-    base = checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from stratavox.session import checkpoint_dir, checkpointed
+from stratavox.session import shared_path as shared_dir
+from stratavox.session import shuffle_partitions as partitions
 
+__all__ = ["NULL_ID", "checkpoint_dir", "checkpointed", "fresh", "id_key", "id_out", "partitions", "shared_dir", "table", "without"]
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; one of our own only where none is set, as in tests."""
-    jsc = spark.sparkContext._jsc.sc()
-    base = spark.conf.get("spark.checkpoint.dir", None) or (jsc.getCheckpointDir().get() if jsc.getCheckpointDir().isDefined() else None)
-    if not base:
-        base = "/tmp/stratavox-checkpoints"
-    if not jsc.getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(base)
-    return base
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: What stands for a null id inside the operators; outputs show null again.
+NULL_ID = -(1 << 63)
 
 
 def id_key(column: str = "doc_id") -> Column:
@@ -50,7 +24,7 @@ def id_out(column: str) -> Column:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def fresh(df: DataFrame, name: str) -> str:

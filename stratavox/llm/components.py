@@ -1,43 +1,5 @@
-"""Connected components of an edge table by alternating star contraction, all in Spark."""
+"""Connected components, as the core library has them."""
 
-from __future__ import annotations
+from stratavox.operators.graph import components, label
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from stratavox.llm import common
-
-
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
-    """Large star: neighbours above a node move to its least neighbour; small star: the node and those below it do."""
-    if large:
-        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    moved = both.join(least, "a")
-    if large:
-        out = moved.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        out = moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return out.where(F.col("a") != F.col("b")).distinct()
-
-
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b): root is the least node it can reach; nodes without edges are not listed.
-
-    Each round writes its edges to the shared checkpoint folder, so lost executors cost one round at most. The rounds end
-    when the edges no longer change; their number grows with the logarithm of the largest component.
-    """
-    now = common.checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct())
-    digest = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    seen = digest(now)
-    if not seen[0]:
-        return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    for _ in range(most_rounds):
-        now = common.checkpointed(_stars(_stars(now, True), False))
-        new = digest(now)
-        if new == seen:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        seen = new
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+__all__ = ["components", "label"]
