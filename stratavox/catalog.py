@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stratavox.plans import geometry, kernels, masks, planning, temporal
+from stratavox.plans import geometry, kernels, masks, planning, temporal, tracks
 
-_MODULES = (planning, temporal, masks, geometry, kernels)
+_MODULES = (planning, temporal, masks, geometry, kernels, tracks)
 
 QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES: dict = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
