@@ -32,7 +32,8 @@ def tile_grid(canvases: DataFrame, size: int = 1008, stride: int = 756) -> DataF
     """Row-major tiles (tile, row, col, left, top) of every canvas (canvas, width, height)."""
     rows = canvases.select("canvas", "width", F.posexplode(axis_starts(F.col("height"), size, stride)).alias("row", "top"))
     cols = rows.select("canvas", "row", "top", F.size(axis_starts(F.col("width"), size, stride)).alias("n"), F.posexplode(axis_starts(F.col("width"), size, stride)).alias("col", "left"))
-    return cols.select("canvas", (F.col("row") * F.col("n") + F.col("col")).alias("tile"), "row", "col", "left", "top")
+    tile = (F.col("row") * F.col("n") + F.col("col")).cast("bigint")
+    return cols.select("canvas", tile.alias("tile"), F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), "left", "top")
 
 
 def tile_neighbours(tiles: DataFrame, size: int = 1008) -> DataFrame:

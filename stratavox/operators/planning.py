@@ -108,4 +108,4 @@ def annotation_states(candidates: DataFrame) -> DataFrame:
 def canonical_order(candidates: DataFrame) -> DataFrame:
     """Adds the position of each candidate in its volume: by view, then frame."""
     order = Window.partitionBy("volume_name").orderBy("physical_view_id", "frame_idx", "source_order")
-    return candidates.withColumn("order", F.row_number().over(order) - 1)
+    return candidates.withColumn("order", (F.row_number().over(order) - 1).cast("bigint"))

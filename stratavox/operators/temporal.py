@@ -153,7 +153,7 @@ def monotonic_cut(rows: DataFrame, prior: float = 1.0) -> DataFrame:
         {
             "prefix": F.sum("left").over(order.rowsBetween(Window.unboundedPreceding, 0)),
             "suffix": F.coalesce(F.sum("right").over(order.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)),
-            "k": F.row_number().over(order),
+            "k": F.row_number().over(order).cast("bigint"),
             "n": F.count("*").over(whole),
             "lo": F.min("frame").over(whole),
             "hi": F.max("frame").over(whole),
@@ -162,7 +162,7 @@ def monotonic_cut(rows: DataFrame, prior: float = 1.0) -> DataFrame:
         }
     )
     after = rows.select("lineage", F.col("k"), "n", "lo", "hi", (F.col("prefix") + F.col("suffix")).alias("value"), F.coalesce((F.col("frame") + F.col("next")) / 2, F.col("frame") + 0.5).alias("cut"))
-    none = rows.where("k = 1").select("lineage", F.lit(0).alias("k"), "n", "lo", "hi", F.col("total_right").alias("value"), (F.col("lo") - 0.5).alias("cut"))
+    none = rows.where("k = 1").select("lineage", F.lit(0).cast("bigint").alias("k"), "n", "lo", "hi", F.col("total_right").alias("value"), (F.col("lo") - 0.5).alias("cut"))
     cuts = after.unionByName(none)
     off = F.abs(F.col("cut") - (F.col("lo") + F.col("hi")) / 2)
     cuts = cuts.withColumn("off", off).withColumn("objective", F.col("value") - prior * off / F.greatest(F.lit(1), F.col("hi") - F.col("lo") + 1))
