@@ -113,3 +113,12 @@ def test_bridge_between_equal_slices(spark):
     m = [(0, y, x) for y in (2, 3) for x in (2, 3)] + [(3, y, x) for y in (2, 3) for x in (2, 3)]
     got = kernels.bridge(spark.createDataFrame(m, "t long, y long, x long"), 8, 3).toPandas()
     assert isinstance(got, pd.DataFrame) and sorted(set(zip(got.t, got.y, got.x))) == [(t, y, x) for t in (1, 2) for y in (2, 3) for x in (2, 3)]
+
+
+def test_clip_against_pixels():
+    from stratavox.operators import polygons
+
+    square = [{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 10.0, "y": 10.0}, {"x": 0.0, "y": 10.0}]
+    assert sorted(polygons.clip(square, 2, 3, 20, 5)) == [(2, 3), (2, 5), (10.0, 3), (10.0, 5)]
+    assert polygons.clip(square, 11, 0, 12, 1) == []
+    assert polygons.clip(square, -1, -1, 11, 11) == [(p["x"], p["y"]) for p in square]
