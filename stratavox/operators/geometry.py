@@ -134,25 +134,32 @@ def cube_face(x: Column, y: Column, z: Column) -> Column:
     return F.array_position(F.array(*dots), F.greatest(*dots)) - 1
 
 
-def cube_uv(x: Column, y: Column, z: Column, face: Column) -> tuple[Column, Column]:
-    """Equal-area coordinates in [-1, 1] of a direction on its face of the quadrilateralised cube."""
-    norm = F.sqrt(x * x + y * y + z * z)
-    pick = lambda axis: F.element_at(F.array(*((f[axis][0] * x + f[axis][1] * y + f[axis][2] * z) / norm for f in FACES)), (face + 1).cast("int"))
-    normal, right, up = pick(0), pick(1), pick(2)
-    flat = F.abs(right) >= F.abs(up)
-    area = F.when(flat, F.when(right >= 0, 0).otherwise(2)).otherwise(F.when(up >= 0, 1).otherwise(3))
-    major, minor = F.greatest(F.abs(right), F.abs(up)), F.when(area == 0, up).when(area == 1, -right).when(area == 2, -up).otherwise(right)
-    theta = F.atan2(minor, major)
+def cube_uv(rows: DataFrame, x: str, y: str, z: str, face: str) -> DataFrame:
+    """Adds u and v, the equal-area coordinates in [-1, 1] of a direction on its face of the quadrilateralised cube.
+
+    Every step is a column of its own, so that no expression is repeated inside another.
+    """
+    norm = F.sqrt(F.col(x) ** 2 + F.col(y) ** 2 + F.col(z) ** 2)
+    along = lambda axis: F.element_at(F.array(*(f[axis][0] * F.col(x) + f[axis][1] * F.col(y) + f[axis][2] * F.col(z) for f in FACES)), (F.col(face) + 1).cast("int")) / norm
+    right, up, major, minor, theta, p = (F.col(f"__{c}") for c in ("right", "up", "major", "minor", "theta", "p"))
+    area = F.when(F.abs(right) >= F.abs(up), F.when(right >= 0, 0).otherwise(2)).otherwise(F.when(up >= 0, 1).otherwise(3))
+    turn = lambda *by: F.when(F.col("__area") == 0, by[0]).when(F.col("__area") == 1, by[1]).when(F.col("__area") == 2, by[2]).otherwise(by[3])
     ratio = (12 / math.pi) * (theta - F.asin(F.sin(theta) * (1 / math.sqrt(2))))
-    ratio = F.when(F.abs(minor) == major, F.signum(minor)).otherwise(ratio)
     cosine = F.cos(theta)
-    d = 1 - cosine / F.sqrt(1 + cosine * cosine)
-    p = F.when(major == normal, F.lit(1.0)).otherwise(F.hypot(right, up) / F.sqrt((1 + normal) * d))
-    small = p * ratio
-    u = F.when(area == 0, p).when(area == 1, -small).when(area == 2, -p).otherwise(small)
-    v = F.when(area == 0, small).when(area == 1, p).when(area == 2, -small).otherwise(-p)
+    steps = [
+        {"__normal": along(0), "__right": along(1), "__up": along(2)},
+        {"__area": area, "__major": F.greatest(F.abs(right), F.abs(up))},
+        {"__minor": turn(up, -right, -up, right)},
+        {"__theta": F.atan2(minor, major)},
+        {"__p": F.when(major == F.col("__normal"), F.lit(1.0)).otherwise(F.hypot(right, up) / F.sqrt((1 + F.col("__normal")) * (1 - cosine / F.sqrt(1 + cosine * cosine)))), "__ratio": F.when(F.abs(minor) == major, F.signum(minor)).otherwise(ratio)},
+        {"__small": p * F.col("__ratio")},
+    ]
+    for step in steps:
+        rows = rows.withColumns(step)
     clip = lambda c: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))
-    return clip(u), clip(v)
+    small = F.col("__small")
+    rows = rows.withColumns({"u": clip(turn(p, -small, -p, small)), "v": clip(turn(small, p, -small, -p))})
+    return rows.drop("__normal", "__right", "__up", "__area", "__major", "__minor", "__theta", "__p", "__ratio", "__small")
 
 
 def gaussian_taps(sigma: float, truncate: float = 4.0) -> list[float]:

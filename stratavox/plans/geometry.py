@@ -61,8 +61,8 @@ def _directions(spark, sf):
 
 def qsc_forward(spark, sf):
     rows = _directions(spark, sf).withColumn("face", ops.cube_face(F.col("a"), F.col("b"), F.col("c")))
-    u, v = ops.cube_uv(F.col("a"), F.col("b"), F.col("c"), F.col("face"))
-    return rows.select("c_custkey", "face", F.floor((u + 1) * 512 + 1e-6).cast("bigint").alias("ku"), F.floor((v + 1) * 512 + 1e-6).cast("bigint").alias("kv"))
+    rows = ops.cube_uv(rows, "a", "b", "c", "face")
+    return rows.select("c_custkey", "face", F.floor((F.col("u") + 1) * 512 + 1e-6).cast("bigint").alias("ku"), F.floor((F.col("v") + 1) * 512 + 1e-6).cast("bigint").alias("kv"))
 
 
 def gaussian_binary(spark, sf):
