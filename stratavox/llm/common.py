@@ -9,7 +9,7 @@ from stratavox.session import checkpoint_dir, checkpointed
 from stratavox.session import shared_path as shared_dir
 from stratavox.session import shuffle_partitions as partitions
 
-__all__ = ["NULL_ID", "checkpoint_dir", "checkpointed", "fresh", "id_key", "id_out", "partitions", "shared_dir", "table", "without"]
+__all__ = ["NULL_ID", "checkpoint_dir", "checkpointed", "fresh", "id_key", "id_out", "partitions", "shared_dir", "table", "text_key", "without"]
 
 #: What stands for a null id inside the operators; outputs show null again.
 NULL_ID = -(1 << 63)
@@ -19,6 +19,11 @@ def id_key(column: str = "doc_id") -> Column:
     return F.coalesce(F.col(column).cast("bigint"), F.lit(NULL_ID))
 
 
+def text_key(column: str = "text") -> Column:
+    """64-bit hash of a text, which tells texts that share an id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit("")))
+
+
 def id_out(column: str) -> Column:
     return F.when(F.col(column) != NULL_ID, F.col(column))
 
@@ -36,6 +41,6 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` without columns that an operator is about to add."""
+    """``df`` without columns that an operator is about to add: its own replace a user's of the same name."""
     lost = {n.lower() for n in names}
     return df.select(*(f"`{c}`" for c in df.columns if c.lower() not in lost))
