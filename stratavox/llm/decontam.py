@@ -6,10 +6,14 @@ hit gives the place where the whole item should stand, and Myers' bit-parallel e
 are compared in lower case with blanks as single spaces.
 
 The items are the query set: they are taken in blocks of bounded size, each sent to all tasks, and each block sees all
-texts. Nothing is dropped: every hit of every piece is verified.
-
-Nulls: a null text is empty; a null item or one of fewer than ``MIN_ITEM`` characters is not searched. A null doc_id is
-returned as null. Repeated rows each get their matches; repeated items are items of their own.
+texts. With several blocks, each is done, stored and let go before the next is sent, so one block is held at a time.
+Nothing is dropped: every hit of every piece is verified, however short the item. An item whose budget is 0 (under 15
+characters at the usual rate) is one piece and matches where it stands unchanged.
+
+Nulls: a null text is empty; a null item, or one of blanks only, says nothing and stands nowhere. A null doc_id is returned
+as null. Repeated rows each get their matches; repeated items are items of their own. Ties: of equally near places of an
+item the first counts. Without documents or items there are no matches. Texts of any length are searched whole. ``clean``
+decides on each row by its own text, never by its id, and keeps all columns.
 """
 
 from __future__ import annotations
@@ -23,8 +27,10 @@ from pyspark.sql import functions as F
 
 from stratavox.llm import common
 
-#: Edits allowed for each character of an item, shortest item searched, characters of a block of items.
-ERROR_RATE, MIN_ITEM, BLOCK_CHARS = 0.07, 20, 1 << 20
+#: Edits allowed for each character of an item, and characters of a block of items.
+ERROR_RATE, BLOCK_CHARS = 0.07, 1 << 20
+#: Places and windows of a text remembered as already verified; beyond that they are forgotten and verified again.
+MEMO = 1 << 14
 
 
 def normal(text: str | None) -> str:
@@ -90,6 +96,8 @@ class Matcher:
                 start = last + 1 - size - offset
                 if (n, start) in tried:
                     continue
+                if len(tried) >= MEMO:
+                    tried.clear()
                 tried.add((n, start))
                 a = max(0, start - budget)
                 window = text[a : max(0, start + len(item) + budget)]
@@ -97,6 +105,8 @@ class Matcher:
                     continue
                 if (n, window) not in seen:
                     found = window.find(item)
+                    if len(seen) >= MEMO:
+                        seen.clear()
                     seen[n, window] = (0, found + len(item)) if found >= 0 else myers(item, window)
                 distance, end = seen[n, window]
                 if distance <= budget:
@@ -120,11 +130,11 @@ def _match(shared):
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str, chars: int) -> Iterator[list[tuple[int, str]]]:
-    """The searchable items in lists of at most ``chars`` characters (or one item); only one list is held at a time."""
+    """The items that say something, in lists of at most ``chars`` characters (or one item)."""
     block, size = [], 0
     for r in items.select(F.col(id_col).cast("bigint").alias("i"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
         text = normal(r.t)
-        if len(text) < MIN_ITEM:
+        if not text:
             continue
         if block and size + len(text) > chars:
             yield block
@@ -135,22 +145,37 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, chars: int) -> Ite
         yield block
 
 
+def _each_block(start: DataFrame, items: DataFrame, id_col: str, text_col: str, rate: float, chars: int, step) -> DataFrame:
+    """``step(frame, shared block)`` for one block after the other; all but the last are stored and their block let go."""
+    out, shared = start, None
+    for block in item_blocks(items, id_col, text_col, chars):
+        if shared is not None:
+            out = common.checkpointed(out)
+            shared.unpersist()
+        shared = start.sparkSession.sparkContext.broadcast((block, rate))  # BLOCK_CHARS characters, or one item
+        out = step(out, shared)
+    return out
+
+
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id, distance, budget, end): each item that stands in a text within its budget of edits."""
-    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = spark.createDataFrame([], _SCHEMA)
-    for block in item_blocks(items, item_id_col, item_text_col, block_chars):
-        out = out.unionByName(rows.mapInArrow(_match(spark.sparkContext.broadcast((block, rate))), _SCHEMA))
-    return out
+    none = docs.sparkSession.createDataFrame([], _SCHEMA)
+    return _each_block(none, items, item_id_col, item_text_col, rate, block_chars, lambda out, shared: out.unionByName(rows.mapInArrow(_match(shared), _SCHEMA)))
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without those in which an item stands."""
-    key, found = common.fresh(docs, "__key"), common.fresh(docs, "__found")
-    hits = matches(docs, items, id_col, **options).select(common.id_key("doc_id").alias(found)).distinct()
-    return docs.withColumn(key, common.id_key(id_col)).join(hits, F.col(key) == F.col(found), "left_anti").drop(key)
+def _without(shared, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(*shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array([not matcher.matches(t) for t in batch.column(text_col).to_pylist()], pa.bool_()))
+
+    return run
+
 
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs``, all columns, without the rows in whose text an item stands."""
+    return _each_block(docs, items, item_id_col, item_text_col, rate, block_chars, lambda out, shared: out.mapInArrow(_without(shared, text_col), docs.schema))
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
