@@ -1,18 +1,25 @@
-"""Quality rules whose thresholds come from the data: KLL quantile sketches per language and source, then a joined filter.
+"""Quality rules whose thresholds come from the data: mergeable quantile sketches per language and source, then a joined filter.
 
 DataFrame operations only. Word statistics are computed over whole texts. Documents that fail the two fixed base rules
-are out. The other documents' ratios are summarised in mergeable KLL sketches per (lang, source); a group that is too
-small is replaced by the merged sketches of its language, and that by those of all. A ratio is an outlier beyond a fence:
-the upper quartile (or the 90th percentile, if further) plus a multiple of the spread, at least a slack. Thresholds are
-rounded and stored before they are joined, so that all rows, and all retries, see the same ones.
+are out. The other documents' ratios, as whole numbers of a fixed unit, are summarised per (lang, source) in a sketch: a
+histogram of logarithmic buckets, each split into equal parts, with a relative error of 1 / ``PARTS``. Sketches are merged
+by adding counts, so they are the same in any order of rows and in any rerun, and those of a language and of all documents
+come from those of the groups. A ratio is an outlier beyond a fence: the median plus a multiple of the spread (between
+quartiles, or from the median to the 90th percentile if wider), at least a least spread. A group's fence is shrunk towards
+that of its language, and that towards the one of all, each as if ``PRIOR`` more documents had said so: small groups hardly
+move it, large ones hardly notice, and there is no size at which the rule changes.
 
 Nulls: a null text has no words and fails the base rules; null languages and sources are groups of their own. Repeated
-rows are judged each. A document's score never depends on its id.
+rows are judged each; ties are equal ratios with equal verdicts. A verdict never depends on an id. An empty table gives no
+rows, texts may be of any length, and columns of other names are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+import operator
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavox.llm import common
@@ -21,10 +28,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Base rules: fewest words, and most words in repeated windows, of a hundred.
 MIN_WORDS, MOST_REPEATED = 50, 50
-#: Size of the sketches (rank error about 1.7 / k), documents that a group needs for thresholds of its own, and the fence.
-SKETCH_K, MIN_GROUP, SPREADS = 400, 200, 8.0
-#: Ratios judged, with the slack that an upper fence keeps at least from the median; word length has a lower fence too.
-SLACK = {"symbol_ratio": 0.02, "dup_line_ratio": 0.5, "repeat_ratio": 0.3, "word_length": 1.5}
+#: Parts of a doubling in a sketch, documents that a prior weighs, and spreads up to the fence.
+PARTS, PRIOR, SPREADS = 64, 200, 8
+#: Ratios judged: (count, of, units of one, least spread in units). Word length has a lower fence too.
+RATIOS = {
+    "symbol_ratio": ("n_symbols", "word_chars", 10_000, 200),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 10_000, 5_000),
+    "repeat_ratio": ("n_repeat_words", "n_words", 10_000, 3_000),
+    "word_length": ("word_chars", "n_words", 100, 150),
+}
+QUANTILES = (10, 25, 50, 75, 90)
 #: Repeated windows of a text beyond which they are found by sorting instead of by lookup.
 LOOKUP = 64
 
@@ -68,55 +81,116 @@ def base_failed() -> Column:
 
 
 def with_ratios(rows: DataFrame) -> DataFrame:
-    per = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    return rows.withColumns({"symbol_ratio": per("n_symbols", "word_chars"), "dup_line_ratio": per("n_dup_lines", "n_lines"), "repeat_ratio": per("n_repeat_words", "n_words"), "word_length": per("word_chars", "n_words")})
-
-
-def thresholds(rows: DataFrame, groups: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """Fences of every (lang, source) in ``rows``: hi_<ratio> for each ratio and lo_word_length, from merged sketches."""
-    lang, source = groups
-    sketch = lambda c: F.kll_sketch_agg_double(F.col(c), F.lit(SKETCH_K)).alias(c)
-    merged = lambda c: F.kll_merge_agg_double(F.col(c)).alias(c)
-    own = rows.groupBy(lang, source).agg(F.count("*").alias("n"), *map(sketch, SLACK))
-    of_lang = own.groupBy(lang).agg(F.sum("n").alias("n"), *map(merged, SLACK))
-    of_all = of_lang.agg(F.sum("n").alias("n"), *map(merged, SLACK))
-
-    def fences(df: DataFrame) -> list[Column]:
-        out = []
-        for c, slack in SLACK.items():
-            q = {p: F.kll_sketch_get_quantile_double(F.col(c), F.lit(p)) for p in (0.1, 0.25, 0.5, 0.75, 0.9)}
-            far = q[0.5] + F.greatest(F.lit(slack), SPREADS * F.greatest(q[0.75] - q[0.25], q[0.9] - q[0.5]))
-            out.append(F.round(far, 2).alias(f"hi_{c}"))
-            if c == "word_length":
-                out.append(F.round(q[0.5] - F.greatest(F.lit(slack), SPREADS * F.greatest(q[0.75] - q[0.25], q[0.5] - q[0.1])), 2).alias(f"lo_{c}"))
-        return out
-
-    names = [f"hi_{c}" for c in SLACK] + ["lo_word_length"]
-    tag = lambda df, t: df.select(*[c for c in (lang, source) if c in df.columns], F.col("n").alias(f"n_{t}"), *[F.struct(*fences(df)).alias(t)])
-    o, la, al = tag(own, "own"), tag(of_lang, "of_lang").withColumnRenamed(lang, "__lang"), tag(of_all, "of_all")
-    joined = o.join(la, F.col(lang).eqNullSafe(F.col("__lang"))).join(F.broadcast(al))  # al has one row
-    pick = F.when(F.col("n_own") >= MIN_GROUP, F.col("own")).when(F.col("n_of_lang") >= MIN_GROUP, F.col("of_lang")).otherwise(F.col("of_all"))
-    return common.checkpointed(joined.select(F.col(lang).alias("__lang"), F.col(source).alias("__source"), pick.alias("f")).select("__lang", "__source", *[F.col(f"f.{c}") for c in names]))
+    """Adds each ratio in whole units, rounded down."""
+    return rows.withColumns({name: F.expr(f"({count} * {unit}) div greatest({of}, 1)") for name, (count, of, unit, _) in RATIOS.items()})
+
+
+def bucket(value: str) -> Column:
+    """Lower edge of a value's bucket: values below 2 * PARTS stand for themselves, above a doubling has PARTS buckets."""
+    shift = f"length(bin({value})) - {(2 * PARTS).bit_length() - 1}"
+    return F.expr(f"CASE WHEN {value} < {2 * PARTS} THEN {value} ELSE shiftleft(shiftright({value}, {shift}), {shift}) END")
+
+
+def sketches(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """(lang, source, ratio, edge, n): one sketch for each group and ratio."""
+    values = F.explode(F.array(*(F.struct(F.lit(name).alias("ratio"), F.col(name).alias("value")) for name in RATIOS))).alias("v")
+    one = rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), values).select("lang", "source", "v.ratio", bucket("v.value").alias("edge"))
+    return one.groupBy("lang", "source", "ratio", "edge").agg(F.count("*").alias("n"))
+
+
+def fences(sketch: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, ratio, n, low, high) of sketches merged to ``keys``."""
+    merged = sketch.groupBy(*keys, "ratio", "edge").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy(*keys, "ratio")
+    merged = merged.withColumn("upto", F.sum("n").over(whole.orderBy("edge"))).withColumn("all", F.sum("n").over(whole))
+    at = [F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("edge"))).alias(f"q{p}") for p in QUANTILES]
+    out = merged.groupBy(*keys, "ratio").agg(F.sum("n").alias("n"), *at)
+    least = F.create_map(*(F.lit(x) for name, (_, _, _, slack) in RATIOS.items() for x in (name, slack)))[F.col("ratio")]
+    wide = lambda tail: F.greatest(least, SPREADS * F.greatest(F.col("q75") - F.col("q25"), tail))
+    high, low = F.col("q50") + wide(F.col("q90") - F.col("q50")), F.col("q50") - wide(F.col("q50") - F.col("q10"))
+    low = F.when(F.col("ratio") == "word_length", low).otherwise(F.lit(-1))
+    return out.select(*keys, "ratio", "n", low.cast("double").alias("low"), high.cast("double").alias("high"))
+
+
+def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """(lang, source, lo_<ratio>, hi_<ratio>) for every group in ``rows``, shrunk towards its language and all."""
+    own = sketches(rows, lang, source)
+    named = lambda df, tag: df.select(*(F.col(c).alias(f"{tag}_{c}") for c in df.columns))
+    of_lang, of_all = named(fences(own, "lang"), "l"), named(fences(own), "a")
+    joined = fences(own, "lang", "source").join(of_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("ratio") == F.col("l_ratio"))).join(F.broadcast(of_all), F.col("ratio") == F.col("a_ratio"))  # a row a ratio
+    shrunk = lambda n, x, prior: (n * x + PRIOR * prior) / (n + PRIOR)
+    fence = lambda c: shrunk(F.col("n").cast("double"), F.col(c), shrunk(F.col("l_n").cast("double"), F.col(f"l_{c}"), F.col(f"a_{c}")))
+    found = joined.select("lang", "source", "ratio", fence("low").alias("low"), fence("high").alias("high"))
+    pick = lambda name, c: F.max(F.when(F.col("ratio") == name, F.col(c)))
+    return found.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*(pick(r, c).alias(f"{t}_{r}") for r in RATIOS for c, t in (("low", "lo"), ("high", "hi"))))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """Per row: doc_id, n_words, the four counts, base_failed, kept and the ratios; features are stored once in between."""
+    """Per row: doc_id, n_words, the four counts, base_failed, kept, the ratios in units and the fences they met.
+
+    Features are stored once in between.
+    """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"))
-    rows = common.checkpointed(with_features(rows)).withColumn("base_failed", base_failed())
-    rows = with_ratios(rows)
-    fences = thresholds(rows.where(~F.col("base_failed")))
-    joined = rows.join(fences, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
-    inside = [F.col(c) <= F.col(f"hi_{c}") for c in SLACK] + [F.col("word_length") >= F.col("lo_word_length")]
-    ok = inside[0]
-    for more in inside[1:]:
-        ok = ok & more
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(ok, F.lit(False))).drop("__lang", "__source")
+    rows = with_ratios(common.checkpointed(with_features(rows)).withColumn("base_failed", base_failed()))
+    found = thresholds(rows.where(~F.col("base_failed")))
+    joined = rows.join(found, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
+    inside = functools.reduce(operator.and_, (F.col(r).between(F.col(f"lo_{r}"), F.col(f"hi_{r}")) for r in RATIOS))
+    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("__lang", "__source")
 
 
 def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Word statistics of all ``documents`` and the verdict of the adaptive rules."""
     out = judge(common.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *SLACK)
-
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _fences_sql(name: str, keys: str) -> str:
+    over, comma = (f"PARTITION BY {keys}, ratio", f"{keys}, ") if keys else ("PARTITION BY ratio", "")
+    least = " ".join(f"WHEN '{r}' THEN {slack}" for r, (_, _, _, slack) in RATIOS.items())
+    quantiles = ", ".join(f"min(edge) FILTER (WHERE upto * 100 >= total * {p}) AS q{p}" for p in QUANTILES)
+    return f"""{name} AS (
+  SELECT {comma}ratio, n::DOUBLE AS n, (q50 + greatest(least, {SPREADS} * greatest(q75 - q25, q90 - q50)))::DOUBLE AS high,
+         CASE WHEN ratio = 'word_length' THEN q50 - greatest(least, {SPREADS} * greatest(q75 - q25, q50 - q10)) ELSE -1 END::DOUBLE AS low
+  FROM (SELECT {comma}ratio, sum(n)::BIGINT AS n, CASE ratio {least} END AS least, {quantiles}
+        FROM (SELECT {comma}ratio, edge, n, sum(n) OVER ({over} ORDER BY edge) AS upto, sum(n) OVER ({over}) AS total
+              FROM (SELECT {comma}ratio, edge, count(*) AS n FROM sketch GROUP BY {comma}ratio, edge)) GROUP BY {comma}ratio))"""
+
+
+OP8_SQL = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT *, regexp_extract_all(text, '{WORD}') AS words, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS lines FROM base
+), words AS (
+  SELECT r, i, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3
+  FROM (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM split) WINDOW o AS (PARTITION BY r ORDER BY i)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w, w2, w3) AS n FROM words WHERE w3 IS NOT NULL) WHERE n > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r
+), chars AS (
+  SELECT r, sum(length(w))::BIGINT AS n FROM words GROUP BY r
+), counted AS (
+  SELECT s.doc_id, s.lang, s.source, len(s.words)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS word_chars, length(regexp_replace(s.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         len(s.lines)::BIGINT AS n_lines, (len(s.lines) - len(list_distinct(s.lines)))::BIGINT AS n_dup_lines, coalesce(v.n, 0)::BIGINT AS n_repeat_words
+  FROM split s LEFT JOIN chars c ON s.r = c.r LEFT JOIN covered v ON s.r = v.r
+), judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
+         {", ".join(f"({c} * {u}) // greatest({of}, 1) AS {r}" for r, (c, of, u, _) in RATIOS.items())}
+  FROM counted
+), sketch AS (
+  SELECT lang, source, ratio, CASE WHEN v < {2 * PARTS} THEN v ELSE (v >> (length(bin(v)) - {(2 * PARTS).bit_length() - 1})) << (length(bin(v)) - {(2 * PARTS).bit_length() - 1}) END AS edge
+  FROM (SELECT lang, source, unnest([{", ".join(f"'{r}'" for r in RATIOS)}]) AS ratio, unnest([{", ".join(RATIOS)}]) AS v FROM judged WHERE NOT base_failed)
+), {_fences_sql("own", "lang, source")}, {_fences_sql("of_lang", "lang")}, {_fences_sql("of_all", "")}, shrunk AS (
+  SELECT o.lang, o.source, o.ratio, {", ".join(f"(o.n * o.{c} + {PRIOR}::DOUBLE * ((l.n * l.{c} + {PRIOR}::DOUBLE * a.{c}) / (l.n + {PRIOR}::DOUBLE))) / (o.n + {PRIOR}::DOUBLE) AS {c}" for c in ("low", "high"))}
+  FROM own o JOIN of_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio JOIN of_all a ON o.ratio = a.ratio
+), wide AS (
+  SELECT lang, source, {", ".join(f"max(low) FILTER (WHERE ratio = '{r}') AS lo_{r}, max(high) FILTER (WHERE ratio = '{r}') AS hi_{r}" for r in RATIOS)} FROM shrunk GROUP BY lang, source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce({" AND ".join(f"{r}::DOUBLE BETWEEN lo_{r} AND hi_{r}" for r in RATIOS)}, false) AS kept
+FROM judged j LEFT JOIN wide w ON j.lang IS NOT DISTINCT FROM w.lang AND j.source IS NOT DISTINCT FROM w.source
+"""
 
 QUERIES = {"op8_quality_rules": op8_quality_rules}
+ORACLES = {"op8_quality_rules": OP8_SQL}
