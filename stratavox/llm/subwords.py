@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 from stratavox.llm import blocks
@@ -14,6 +17,9 @@ BLANK = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 LETTER = (np.arange(256) >= 128) | ((LOWER >= 97) & (LOWER <= 122))
 
 
+_EDGE = re.compile(r"[\x20\x09-\x0D]")
+
+
 class Text:
     """Lower-cased bytes of some texts, one after the other with a blank after each, and their words."""
 
@@ -51,3 +57,46 @@ class Text:
             h = (h ^ b[k : k + n]) * np.uint32(16777619)
             h ^= h >> np.uint32(13)
         return h * np.uint32(0x9E3779B1)
+
+
+def pieces(text: str, most: int, back: int) -> list[tuple[str, int]]:
+    """(piece, characters of it that the piece before has already) of a long text, cut at blanks.
+
+    Each piece begins with the last ``back`` words of what is before it, so that what a word owes to words close before it
+    is the same as in the whole. A word longer than ``most`` is not cut.
+    """
+    out, at = [], 0
+    while at < len(text):
+        stop = at + most
+        if stop < len(text):
+            found = _EDGE.search(text, stop)
+            stop = found.start() if found else len(text)
+        reach, before = 0, ""
+        while at and back and reach < at:
+            reach = min(at, max(1 << 12, reach * 2))
+            before = text[at - reach : at]
+            if len(before.split()) > back:  # the first of these may be cut
+                break
+        out.append((before + text[at:stop], len(before)))
+        at = max(stop, at + 1)
+    return out or [("", 0)]
+
+
+def grouped(texts: list[str | None], most: int, back: int = 0) -> Iterator[tuple[int, list[str], list[int]]]:
+    """(index of the first text, texts, characters to skip) in groups of ``most`` characters; long texts piece by piece."""
+    held, first, size = [], 0, 0
+    for i, t in enumerate(texts):
+        t = t or ""
+        if held and (size + len(t) > most):
+            yield first, held, [0] * len(held)
+            held, size = [], 0
+        if len(t) > most:
+            for piece, skip in pieces(t, most, back):
+                yield i, [piece], [skip]
+            continue
+        if not held:
+            first = i
+        held.append(t)
+        size += len(t) + 1
+    if held:
+        yield first, held, [0] * len(held)
