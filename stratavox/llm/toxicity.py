@@ -2,14 +2,19 @@
 
 The categories are predicted in a fixed order. The model of a category sees the text's features and the probabilities of
 the categories before it; for training those probabilities come from models that have not seen the text (out-of-fold), so
-that a later model learns how far an earlier one can be trusted. Features are the words of a text and the beginnings of its
-words, present or not; those kept are found in the sample by how much more often toxic texts have them.
-
-Labels give one category, ``toxic``. Two more are derived from it and the kept features, by how many different ones a
-toxic text has: ``repeated`` (2 or more) and ``severe`` (5 or more).
-
-Nulls: a null or empty text has no features. Rows without a label are not learned from; with one class only the
-probabilities are its share. Several labels of one doc_id are several examples. Scores depend on the text only.
+that a later model learns how far an earlier one can be trusted. A fold's models choose their features from the other
+folds' texts alone, so held-out labels do not leak into them. Features are the words of a text and the beginnings of its
+words, present or not; of those a category keeps the ones whose shares of texts differ most between its two classes, in
+units of the chance difference.
+
+Each category has a label column of its own. The tables here label two: whether a text is unfit (``quality`` 0) and
+whether it is toxic, so the chain is unfit, then toxic. A document is called toxic by the last.
+
+Nulls: a null or empty text has no features. A row without a label of a category is not learned from in that category;
+with one class only the probabilities are its share, without any label one half. Different labels of one doc_id are
+several examples; of several texts under one doc_id that with the least hash is learned from. Ties: equal texts have equal
+scores, which depend on the text only; of features that differ as much the smaller hash is kept. Very long texts are taken
+piece by piece, with the same result as in one. Empty tables give no rows. Columns besides the text are handed on.
 """
 
 from __future__ import annotations
@@ -22,16 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratavox.llm import blocks, common
-from stratavox.llm.subwords import Text
-
-#: Labelled texts learned from at most, of each class; longest text in the sample in bytes; features kept at most.
-SAMPLE, SAMPLE_BYTES, FEATURES = 3000, 40_000, 2000
-#: Bytes of a word's beginning; texts that need a feature, and how many times more often toxic ones must have it.
-HEADS, MIN_TEXTS, LIFT = (4, 5, 6), 4, 20.0
-FOLDS, RIDGE, ROUNDS = 5, 0.1, 800
-CATEGORIES = ("toxic", "repeated", "severe")
+from stratavox.llm.subwords import Text, grouped
+
+#: Labelled rows learned from at most, of each class of the last category; features that a category keeps at most.
+SAMPLE, FEATURES = 3000, 4000
+#: Bytes of a word's beginning; texts of the sample that need a feature.
+HEADS, MIN_TEXTS = (4, 5, 6), 4
+FOLDS, RIDGE, ROUNDS = 5, 0.1, 150
+#: (category, its label column, the label that means it), in the order of the chain.
+CATEGORIES = (("unfit", "quality", 0), ("toxic", "toxic", 1))
 CUT = 0.5
-GROUP = 4 << 20
+#: Characters taken together, and of a piece of a long text.
+GROUP = 2 << 20
 
 
 def features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -42,7 +49,7 @@ def features(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 class Design:
-    """Present features as (text, feature) pairs, and dense columns beside them."""
+    """Present features as (text, feature) pairs, and dense columns beside them, the last of ones."""
 
     def __init__(self, doc: np.ndarray, feature: np.ndarray, n: int, k: int, dense: np.ndarray):
         self.doc, self.feature, self.n, self.k, self.dense = doc, feature, n, k, dense
@@ -59,10 +66,6 @@ class Design:
         ok = rows[self.doc]
         return Design(new[self.doc[ok]], self.feature[ok], int(rows.sum()), self.k, self.dense[rows])
 
-    def wider(self, column: np.ndarray) -> "Design":
-        """With one more dense column, before the intercept."""
-        return Design(self.doc, self.feature, self.n, self.k, np.hstack([self.dense[:, :-1], column[:, None], self.dense[:, -1:]]))
-
 
 def logistic(x: Design, y: np.ndarray) -> np.ndarray:
     """Ridge logistic regression by accelerated gradient steps; the last weight is the intercept, which is not shrunk."""
@@ -86,103 +89,143 @@ def logistic(x: Design, y: np.ndarray) -> np.ndarray:
     return w
 
 
-class Chain:
-    """Kept features and one weight vector for each category."""
+def choose(doc: np.ndarray, name: np.ndarray, n_names: int, y: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The features kept, from those of ``rows`` with label ``y`` only."""
+    ok = rows[doc]
+    d, f = doc[ok], name[ok]
+    bad = np.bincount(f, weights=y[d], minlength=n_names)
+    all_ = np.bincount(f, minlength=n_names)
+    n_bad = y[rows].sum()
+    n_good = rows.sum() - n_bad
+    share = all_ / max(1.0, n_bad + n_good)
+    noise = share * (1 - share) * (1 / max(1.0, n_bad) + 1 / max(1.0, n_good))
+    gap = np.abs(bad / max(1.0, n_bad) - (all_ - bad) / max(1.0, n_good)) / np.sqrt(np.maximum(noise, 1e-12))
+    able = np.flatnonzero(all_ >= MIN_TEXTS)
+    return np.sort(able[np.lexsort((able, -gap[able]))][:FEATURES])
+
+
+def design(doc: np.ndarray, name: np.ndarray, n_names: int, kept: np.ndarray, dense: np.ndarray) -> Design:
+    place = np.full(n_names, -1)
+    place[kept] = np.arange(len(kept))
+    ok = place[name] >= 0
+    return Design(doc[ok], place[name[ok]], len(dense), len(kept), dense)
+
+
+class Link:
+    """One category's kept hashes and weights: of these, of the probabilities before it, and the intercept."""
 
-    def __init__(self, kept: np.ndarray, weights: list[np.ndarray]):
+    def __init__(self, kept: np.ndarray, weights: np.ndarray):
         self.kept, self.weights = kept, weights
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[kept >> np.uint64(44)] = True
 
-    def design(self, hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(text, feature) pairs of the kept features, each once."""
+    def found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``hashes``, kept feature) of the hashes that are kept."""
+        if not len(self.kept):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         ok = np.flatnonzero(self.maybe[hashes >> np.uint64(44)])
-        at = np.searchsorted(self.kept, hashes[ok])
-        hit = self.kept[np.minimum(at, len(self.kept) - 1)] == hashes[ok] if len(self.kept) else np.zeros(0, bool)
-        code = np.unique(doc[ok][hit] * np.int64(max(1, len(self.kept))) + at[hit]) if len(self.kept) else np.zeros(0, np.int64)
-        return code // max(1, len(self.kept)), code % max(1, len(self.kept))
+        at = np.minimum(np.searchsorted(self.kept, hashes[ok]), len(self.kept) - 1)
+        hit = self.kept[at] == hashes[ok]
+        return ok[hit], at[hit]
 
-    def predict(self, doc: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
+
+class Chain:
+    def __init__(self, links: list[Link]):
+        self.links = links
+
+    def predict(self, texts: list[str | None], most: int = GROUP) -> np.ndarray:
         """(texts, categories)."""
-        out = np.zeros((n, len(self.weights)))
-        for k, w in enumerate(self.weights):
-            z = np.bincount(doc, weights=w[: len(self.kept)][feature], minlength=n) if len(doc) else np.zeros(n)
-            out[:, k] = 1 / (1 + np.exp(-(z + out[:, :k] @ w[len(self.kept) : len(self.kept) + k] + w[-1])))
+        codes: list[list[np.ndarray]] = [[] for _ in self.links]
+        for base, some, _ in grouped(texts, most):
+            hashes, doc = features(*blocks.column_bytes(pa.array(some, pa.string())))
+            for k, link in enumerate(self.links):
+                i, f = link.found(hashes)
+                codes[k].append(np.unique((base + doc[i]) * np.int64(max(1, len(link.kept))) + f))
+        out = np.zeros((len(texts), len(self.links)))
+        for k, link in enumerate(self.links):
+            m = len(link.kept)
+            code = np.unique(np.concatenate(codes[k])) if codes[k] else np.zeros(0, np.int64)
+            z = np.bincount(code // max(1, m), weights=link.weights[:m][code % max(1, m)], minlength=len(texts)) if m and len(code) else np.zeros(len(texts))
+            out[:, k] = 1 / (1 + np.exp(-(z + out[:, :k] @ link.weights[m : m + k] + link.weights[-1])))
         return np.round(out, 6)
 
 
-def train(examples: list[tuple[np.ndarray, int, str]]) -> Chain:
-    """From (distinct hashes, label, digest of the id) of each text."""
-    y = np.array([e[1] for e in examples], np.float64)
-    size = np.array([len(e[0]) for e in examples], np.int64)
-    doc = np.repeat(np.arange(len(examples)), size)
-    hashes = np.concatenate([e[0] for e in examples]) if examples else np.zeros(0, np.uint64)
-    names, at = np.unique(hashes, return_inverse=True)
-    bad = np.bincount(at, weights=y[doc], minlength=len(names)) if len(doc) else np.zeros(0)
-    good = (np.bincount(at, minlength=len(names)) - bad) if len(doc) else np.zeros(0)
-    n_bad, n_good = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
-    lift = (bad / n_bad) / ((good + 0.5) / n_good)
-    able = np.flatnonzero((bad >= MIN_TEXTS) & (lift >= LIFT))
-    kept = np.sort(names[able[np.lexsort((names[able], -bad[able]))][:FEATURES]])
-    chain = Chain(kept, [])
-    d, f = chain.design(hashes, doc, len(y))
-    terms = np.bincount(d, minlength=len(y))
-    goals = {"toxic": y, "repeated": y * (terms >= 2), "severe": y * (terms >= 5)}
+def out_of_fold(doc: np.ndarray, name: np.ndarray, n_names: int, y: np.ndarray, known: np.ndarray, fold: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """Probabilities of each text from a model, features included, that has seen the other folds only."""
+    out = np.zeros(len(y))
+    for k in range(FOLDS):
+        inside, outside = (fold != k) & known, fold == k
+        if outside.any():
+            x = design(doc, name, n_names, choose(doc, name, n_names, y, inside), dense)
+            out[outside] = 1 / (1 + np.exp(-x.of(outside).times(logistic(x.of(inside), y[inside]))))
+    return out
+
+
+def train(examples: list[tuple[np.ndarray, tuple[int | None, ...], str]], categories: int = len(CATEGORIES)) -> Chain:
+    """From (distinct hashes, a label or None for each category, digest of the id) of each text."""
+    n = len(examples)
+    doc = np.repeat(np.arange(n), [len(e[0]) for e in examples]) if n else np.zeros(0, np.int64)
+    names, name = np.unique(np.concatenate([e[0] for e in examples]) if n else np.zeros(0, np.uint64), return_inverse=True)
     fold = np.array([int(e[2][:4], 16) % FOLDS for e in examples], np.int64)
-    x = Design(d, f, len(y), len(kept), np.ones((len(y), 1)))
-    for name in CATEGORIES:
-        goal = goals[name]
-        chain.weights.append(logistic(x, goal))
-        out = np.zeros(len(y))
-        for k in range(FOLDS):
-            outside = fold == k
-            if outside.any():
-                out[outside] = 1 / (1 + np.exp(-x.of(outside).times(logistic(x.of(~outside), goal[~outside]))))
-        x = x.wider(out)
-    return chain
+    dense, links = np.ones((n, 1)), []
+    for c in range(categories):
+        known = np.array([e[1][c] is not None for e in examples], bool)
+        y = np.array([float(e[1][c] or 0) for e in examples])
+        kept = choose(doc, name, len(names), y, known)
+        links.append(Link(names[kept], logistic(design(doc, name, len(names), kept, dense).of(known), y[known])))
+        if c + 1 < categories:
+            dense = np.hstack([dense[:, :-1], out_of_fold(doc, name, len(names), y, known, fold, dense)[:, None], dense[:, -1:]])
+    return Chain(links)
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        offsets, data = blocks.column_bytes(batch.column("text"))
-        found = [np.unique(features(offsets[i : i + 2] - offsets[i], data[offsets[i] : offsets[i + 1]])[0]).tobytes() for i in range(batch.num_rows)]
+        found = []
+        for text in batch.column("text").to_pylist():
+            parts = [np.unique(features(*blocks.column_bytes(pa.array(some, pa.string())))[0]) for _, some, _ in grouped([text], GROUP)]
+            found.append(np.unique(np.concatenate(parts)).tobytes() if parts else b"")
         yield pa.record_batch([batch.column("h"), batch.column("y"), pa.array(found, pa.binary())], ["h", "y", "found"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Chain:
-    """Learned from ``sample`` texts of each class at most, for which the condition ``learn`` on the id holds."""
-    y = labels.where(learn & F.col(label_col).isNotNull()).select(F.col(id_col).alias("__id"), (F.col(label_col) > 0).cast("int").alias("y"))
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = sorted(((r["h"], [-1 if v is None else v for v in r["y"]], r["found"]) for batch in batches for r in batch.to_pylist()))
+    chain = train([(np.frombuffer(found, np.uint64), tuple(None if v < 0 else v for v in y), h) for h, y, found in rows], len(rows[0][1]) if rows else len(CATEGORIES))
+    yield pa.record_batch([pa.array([x.kept.tobytes() for x in chain.links], pa.binary()), pa.array([x.weights.tobytes() for x in chain.links], pa.binary()), pa.array(range(len(chain.links)), pa.int32())], ["kept", "weights", "k"])
+
+
+def fit(docs: DataFrame, labels: DataFrame, learn, categories: tuple = CATEGORIES, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Chain:
+    """Learned from ``sample`` labelled rows at most of each class of the last category, for which ``learn`` on the id holds."""
+    y = F.array(*((F.col(c) == v).cast("int") for _, c, v in categories))
+    y = labels.where(learn & F.col(categories[-1][1]).isNotNull()).select(F.col(id_col).alias("__id"), y.alias("y"))
     y = y.withColumn("h", F.md5(F.coalesce(F.col("__id").cast("string"), F.lit("")).cast("binary")))
-    picked = [y.where(F.col("y") == k).orderBy("h").limit(sample) for k in (0, 1)]  # ids and labels only, ``sample`` rows each
-    rows = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("text"))
+    picked = [y.where(F.element_at("y", -1) == k).orderBy("h", "y").limit(sample) for k in (0, 1)]  # ids and labels only, ``sample`` rows each
+    rows = docs.select(F.col(id_col).alias("__doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.join(F.broadcast(picked[0].unionByName(picked[1])), F.col("__doc") == F.col("__id"))
-    rows = rows.where(F.octet_length("text") <= SAMPLE_BYTES).select("h", "y", "text")
-    got = sorted(rows.coalesce(8).mapInArrow(_examples, "h string, y int, found binary").collect(), key=lambda r: (r.h, r.y, r.found))
-    return train([(np.frombuffer(r.found, np.uint64), int(r.y), r.h) for r in got])
+    rows = rows.groupBy("__id", "h", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("h", "y", "text")
+    found = rows.mapInArrow(_examples, "h string, y array<int>, found binary")
+    got = found.repartition(1).mapInArrow(_learn, "kept binary, weights binary, k int").collect()  # FEATURES a category
+    links = [Link(np.frombuffer(r.kept, np.uint64), np.frombuffer(r.weights)) for r in sorted(got, key=lambda r: r.k)]
+    return Chain(links) if links else train([], len(categories))
 
 
-def _score(shared, text_col: str):
+def _score(shared, text_col: str, names: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
         for batch in batches:
-            offsets, data = blocks.column_bytes(batch.column(text_col))
-            out = [np.zeros((0, len(CATEGORIES)))]
-            for i, j in blocks.doc_groups(offsets, GROUP):
-                hashes, doc = features(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]])
-                out.append(chain.predict(*chain.design(hashes, doc, j - i), j - i))
-            scores = np.concatenate(out)
-            names = [n for n in batch.schema.names if n != text_col]
-            yield pa.record_batch([*(batch.column(n) for n in names), *(pa.array(scores[:, k]) for k in range(len(CATEGORIES)))], [*names, *(f"p_{c}" for c in CATEGORIES)])
+            scores = chain.predict(batch.column(text_col).to_pylist())
+            kept = [n for n in batch.schema.names if n != text_col]
+            yield pa.record_batch([*(batch.column(n) for n in kept), *(pa.array(scores[:, k]) for k in range(len(names)))], [*kept, *names])
 
     return run
 
 
-def score(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, chain: Chain, text_col: str = "text", categories: tuple = CATEGORIES) -> DataFrame:
     """``docs`` with a probability for each category in place of the text."""
-    docs = common.without(docs, *(f"p_{c}" for c in CATEGORIES))
+    names = tuple(f"p_{c}" for c, _, _ in categories)
+    docs = common.without(docs, *names)
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # FEATURES weights a category at most
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col), *(f"p_{c} double" for c in CATEGORIES)])
-    return docs.mapInArrow(_score(shared, text_col), schema)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col), *(f"{n} double" for n in names)])
+    return docs.mapInArrow(_score(shared, text_col, names), schema)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -194,7 +237,7 @@ def op4_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     chain = fit(docs, common.table(spark, sf_dir, "labels"), ~held_out())
     out = score(docs, chain)
-    return out.select("doc_id", held_out().alias("held_out"), F.col("p_toxic").alias("score"), (F.col("p_toxic") >= CUT).cast("int").alias("predicted"), "p_repeated", "p_severe")
+    return out.select("doc_id", held_out().alias("held_out"), F.col("p_toxic").alias("score"), (F.col("p_toxic") >= CUT).cast("int").alias("predicted"), "p_unfit")
 
 
 QUERIES = {"op4_toxicity": op4_toxicity}
