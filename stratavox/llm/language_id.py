@@ -5,8 +5,13 @@ learned from a bounded sample of labelled texts. A word's script, looked up by c
 that are written in it in the sample. A Viterbi pass over the words, where changing the language costs a fixed penalty,
 gives the best labelling; runs of equal labels are the spans. The pass runs over all texts of a batch at once, word by word.
 
+A text's language is the one with most letters. Its score is the product of three shares: of the letters that have this
+language; of the probability, among all languages, that the words so labelled have it; and of the trigrams at the text's words that
+the sample of their language has too. Text in no known language has few of these.
+
 Nulls: a null or letterless text is ``und`` with score 0 and no spans; rows with a null language are not learned from.
-Ties go to the language that sorts first. Without any labelled text everything is ``und``. Repeated rows each get a row.
+Ties go to the language that sorts first. Without any labelled text everything is ``und``. Repeated rows each get a row,
+and count once in the sample. There may be any number of languages. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,9 +26,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavox.llm import blocks, common
+from stratavox.llm.subwords import pieces
 
-#: Texts learned from for each language at most, those with the least digest of their id; and languages at most.
-SAMPLE, LANGUAGES = 400, 256
+#: Distinct texts learned from for each language at most: those with the least hash of id and text.
+SAMPLE = 400
+#: Parts in which each language's hashes are ranked before they are ranked together.
+SALTS = 64
 #: log2 of the hashed gram tables, smoothing, cost of a change of language, score of a language not admitted by the script.
 TABLE_BITS, SMOOTHING, SWITCH, OUTSIDE = 16, 0.1, 8.0, -60.0
 #: Share of a language's words in a script from which the script admits it.
@@ -116,16 +124,54 @@ class Words:
 
 
 class Model:
-    """Log-likelihood tables of hashed grams by language, and which languages each script admits."""
-
-    def __init__(self, langs: list[str], three: np.ndarray, two: np.ndarray, scripts: np.ndarray):
-        self.langs = langs
-        logs = lambda n: np.log((n + SMOOTHING) / (n.sum(axis=1, keepdims=True) + SMOOTHING * n.shape[1])).T.astype(np.float32).copy()
-        self.three, self.two = logs(three.astype(np.float64)), logs(two.astype(np.float64))
-        share = scripts / np.maximum(1, scripts.sum(axis=1, keepdims=True))
+    """Log-likelihood tables of hashed grams by language, and which languages each script admits.
+
+    Counts are held sparse, (places, counts) for each language; the tables are made where they are first needed.
+    """
+
+    def __init__(self, langs: list[str], three: list, two: list, scripts: np.ndarray):
+        self.langs, self.counts, self.scripts, self.ready = langs, (three, two), scripts, False
+
+    def __getstate__(self):
+        return {"langs": self.langs, "counts": self.counts, "scripts": self.scripts, "ready": False}
+
+    def tables(self) -> None:
+        if self.ready:
+            return
+        size = 1 << TABLE_BITS
+
+        def logs(counts):
+            out = np.empty((size, len(counts)), np.float32)
+            for k, (at, n) in enumerate(counts):
+                total = float(n.sum()) + SMOOTHING * size
+                out[:, k] = np.log(SMOOTHING / total)
+                out[at, k] = np.log((n + SMOOTHING) / total)
+            return out
+
+        self.three, self.two = (logs(c) for c in self.counts)
+        self.seen = np.zeros((size, len(self.langs)), bool)
+        for k, (at, _) in enumerate(self.counts[0]):
+            self.seen[at, k] = True
+        share = self.scripts / np.maximum(1, self.scripts.sum(axis=1, keepdims=True))
         admitted = (share >= ADMIT).T
         admitted[~admitted.any(axis=1)] = True
         self.outside = np.where(admitted, 0.0, OUTSIDE).astype(np.float32)
+        self.ready = True
+
+    def known(self, w: Words, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(trigrams of each word that its language ``tag`` has, all its trigrams)."""
+        out = np.zeros(len(w.start))
+        i, step = 0, 1 << 20
+        while i < len(w.start):
+            a = int(w.start[i])
+            j = max(i + 1, int(np.searchsorted(w.stop, a + step, "right")))
+            b = int(w.stop[j - 1])
+            three, _ = w.grams(a, b)
+            word = np.repeat(np.arange(i, j), w.stop[i:j] - w.start[i:j])
+            at = np.arange(len(word)) + np.repeat(w.start[i:j] - a - np.concatenate([[0], np.cumsum(w.stop[i:j] - w.start[i:j])[:-1]]), w.stop[i:j] - w.start[i:j])
+            out[i:j] = np.bincount(word - i, weights=self.seen[three[at], tag[word]], minlength=j - i)
+            i = j
+        return out, w.stop - w.start
 
     def scores(self, w: Words) -> np.ndarray:
         """(words, languages)."""
@@ -152,18 +198,19 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float = SW
     count, first = count[order], first[order]
     active = len(count) - np.searchsorted(count[::-1], np.arange(int(count[0]) if len(count) else 0), "right")
     n_lang = scores.shape[1]
-    from_ = np.empty(scores.shape, np.uint8)
-    own = np.arange(n_lang, dtype=np.uint8)
+    kind = np.uint8 if n_lang <= 256 else np.uint32
+    from_ = np.empty(scores.shape, kind)
+    own = np.arange(n_lang, dtype=kind)
     best = np.zeros((len(count), n_lang), np.float32)
     for t, k in enumerate(active):
         at = first[:k] + t
         prev = best[:k]
         top = prev.max(axis=1, keepdims=True) - np.float32(switch)
         stay = prev >= top
-        from_[at] = np.where(stay, own, prev.argmax(axis=1).astype(np.uint8)[:, None])
+        from_[at] = np.where(stay, own, prev.argmax(axis=1).astype(kind)[:, None])
         best[:k] = np.maximum(prev, top) + scores[at]
-    label = np.empty(len(scores), np.uint8)
-    now = best.argmax(axis=1).astype(np.uint8)
+    label = np.empty(len(scores), kind)
+    now = best.argmax(axis=1).astype(kind)
     for t in range(len(active) - 1, -1, -1):
         at = first[: active[t]] + t
         label[at] = now[: active[t]]
@@ -180,18 +227,20 @@ def label(texts: list[str | None], model: Model | None) -> tuple[list[str], np.n
     n = len(texts)
     if model is None:
         return ["und"] * n, np.zeros(n), pa.array([[]] * n, _SPAN)
+    model.tables()
     w = Words(texts)
     scores = model.scores(w)
-    tag = viterbi(scores, w.doc, n)
+    tag = viterbi(scores, w.doc, n).astype(np.int64)
     n_lang = len(model.langs)
     letters = np.bincount(w.doc * n_lang + tag, weights=w.letters, minlength=n * n_lang).reshape(n, n_lang)
     pred, total = letters.argmax(axis=1), letters.sum(axis=1)
     share = letters.max(axis=1) / np.maximum(1, total)
     bounds = np.searchsorted(w.doc, np.arange(n + 1))
-    sums = blocks.segment_sum(scores, bounds)
+    sums = blocks.segment_sum(np.where((tag == pred[w.doc])[:, None], scores, 0), bounds)
     post = np.exp(sums - sums.max(axis=1, keepdims=True))
-    post /= post.sum(axis=1, keepdims=True)
-    sure = post[np.arange(n), pred] / np.maximum(post.max(axis=1), 1e-300)
+    sure = post[np.arange(n), pred] / post.sum(axis=1)
+    has, of = model.known(w, tag)
+    fit = np.bincount(w.doc, weights=has, minlength=n) / np.maximum(1, np.bincount(w.doc, weights=of, minlength=n))
     names = np.array(model.langs, object)
     langs = np.where(total > 0, names[pred], "und").tolist()
     new = np.concatenate([[True], (tag[1:] != tag[:-1]) | (w.doc[1:] != w.doc[:-1])])[: len(tag)]
@@ -202,45 +251,61 @@ def label(texts: list[str | None], model: Model | None) -> tuple[list[str], np.n
         pa.array(np.searchsorted(w.doc[begin], np.arange(n + 1)), pa.int32()),
         pa.StructArray.from_arrays([pa.array(w.start[begin] - base, pa.int32()), pa.array(w.stop[end] - base, pa.int32()), pa.array(names[tag[begin]].tolist(), pa.string())], ["start", "stop", "lang"]),
     )
-    return langs, np.where(total > 0, share * np.maximum(sure, 0.5), 0.0), spans
+    return langs, np.where(total > 0, share * sure * fit, 0.0), spans
+
+
+def _least(sample: int):
+    """The ``sample`` least distinct hashes of each language in a task's rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        for batch in batches:
+            code = batch.column("lang").dictionary_encode()
+            which, h = code.indices.to_numpy(), batch.column("h").to_numpy()
+            for k, lang in enumerate(code.dictionary.to_pylist()):
+                kept[lang] = np.unique(np.concatenate([kept.get(lang, h[:0]), h[which == k]]))[:sample]
+        if kept:
+            yield pa.record_batch([pa.array(np.repeat(np.array(list(kept), object), [len(v) for v in kept.values()]).tolist(), pa.string()), pa.array(np.concatenate(list(kept.values())))], ["lang", "h"])
+
+    return run
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, list[np.ndarray]] = {}
     for batch in batches:
-        langs, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
-        for lang in sorted(set(langs)):
-            own = [t for t, x in zip(texts, langs) if x == lang]
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             have = total.setdefault(lang, [np.zeros(1 << TABLE_BITS, np.int64), np.zeros(1 << TABLE_BITS, np.int64), np.zeros(len(SCRIPTS), np.int64)])
-            for i in range(0, len(own), 50):
-                w = Words(own[i : i + 50])
-                three, two = w.grams(0, len(w.c))
+            for piece, _ in pieces(text, GROUP, 0):
+                w = Words([piece])
                 inside = w.c > 0
-                have[0] += np.bincount(three[inside], minlength=1 << TABLE_BITS)
-                have[1] += np.bincount(two[inside], minlength=1 << TABLE_BITS)
+                for table, places in zip(have, w.grams(0, len(w.c))):
+                    at, n = np.unique(places[inside], return_counts=True)
+                    table[at] += n
                 have[2] += np.bincount(w.script, minlength=len(SCRIPTS))
-    if total:
-        yield pa.record_batch([pa.array(list(total)), *(pa.array([v[k].astype(np.uint32).tobytes() for v in total.values()], pa.binary()) for k in range(3))], ["lang", "three", "two", "scripts"])
+    for lang, have in total.items():
+        at = [np.flatnonzero(x) for x in have[:2]]
+        blobs = [at[0].astype(np.uint32), have[0][at[0]], at[1].astype(np.uint32), have[1][at[1]], have[2]]
+        yield pa.record_batch([pa.array([lang]), *(pa.array([x.tobytes()], pa.binary()) for x in blobs)], ["lang", "at3", "n3", "at2", "n2", "scripts"])
 
 
 def fit(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model | None:
-    """A model of the languages in ``docs`` where the condition ``learn`` holds, from ``sample`` texts a language at most."""
+    """A model of the languages in ``docs`` where the condition ``learn`` holds, from ``sample`` distinct texts a language at most."""
     rows = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("h"), F.col(id_col).alias("i"))
-    # languages are counted first, so that only about twice the sample of each is ranked, however many texts there are
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
-    if not sizes:
-        return None
-    share = F.create_map(*(F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, 2.0 * sample / n if n > 4 * sample else 1.0))))
-    unit = F.conv(F.substring("h", 1, 8), 16, 10).cast("double") / float(1 << 32)
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "i", "text"))
-    picked = rows.where(unit <= share[F.col("lang")]).withColumn("nth", nth).where(F.col("nth") <= sample).select("lang", "text")
-    got = picked.coalesce(8).mapInArrow(_counts, "lang string, three binary, two binary, scripts binary").limit(8 * LANGUAGES).collect()
+    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("lang", "text"))
+    # each task sends the least hashes of each language, these are ranked, and texts come after: they never move to be ranked
+    least = rows.select("lang", "h").mapInArrow(_least(sample), "lang string, h long").distinct()
+    nth = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy("h"))
+    least = least.withColumn("salt", F.pmod(F.hash("h"), F.lit(SALTS))).withColumn("nth", nth("salt")).where(F.col("nth") <= sample)
+    least = least.withColumn("nth", nth()).where(F.col("nth") <= sample)
+    limit = least.groupBy("lang").agg(F.max("h").alias("limit")).select(F.col("lang").alias("__lang"), "limit")  # a row a language
+    picked = rows.join(F.broadcast(limit), (F.col("lang") == F.col("__lang")) & (F.col("h") <= F.col("limit")))
+    picked = picked.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+    got = picked.repartition(common.partitions(docs.sparkSession), "lang").mapInArrow(_counts, "lang string, at3 binary, n3 binary, at2 binary, n2 binary, scripts binary")
+    got = sorted(got.collect(), key=lambda r: r.lang)  # sparse counts, a row a language
     if not got:
         return None
-    langs = sorted({r.lang for r in got})
-    add = lambda key, n: np.stack([sum((np.frombuffer(r[key], np.uint32).astype(np.int64) for r in got if r.lang == x), np.zeros(n, np.int64)) for x in langs])
-    return Model(langs, add("three", 1 << TABLE_BITS), add("two", 1 << TABLE_BITS), add("scripts", len(SCRIPTS)))
+    pair = lambda r, k: (np.frombuffer(r[f"at{k}"], np.uint32), np.frombuffer(r[f"n{k}"], np.int64))
+    return Model([r.lang for r in got], [pair(r, 3) for r in got], [pair(r, 2) for r in got], np.stack([np.frombuffer(r.scripts, np.int64) for r in got]))
 
 
 def _label(model, text_col: str):
@@ -248,7 +313,7 @@ def _label(model, text_col: str):
         m = model.value
         for batch in batches:
             offsets, _ = blocks.column_bytes(batch.column(text_col))
-            for i, j in blocks.doc_groups(offsets, GROUP):
+            for i, j in blocks.doc_groups(offsets, max(1 << 16, GROUP // max(1, len(m.langs) // 8 if m else 1))):
                 part = batch.slice(i, j - i)
                 langs, score, spans = label(part.column(text_col).to_pylist(), m)
                 yield pa.record_batch([*part.columns, pa.array(langs), pa.array(score), spans], [*part.schema.names, "lang_pred", "score", "spans"])
@@ -259,7 +324,7 @@ def _label(model, text_col: str):
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and the labelled spans; the text itself is carried on only if asked for."""
     docs = common.without(docs, "lang_pred", "score", "spans")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size a language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # sparse counts of a bounded sample for each language
     out = docs.mapInArrow(_label(shared, text_col), ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), _OUT]))
     return out if keep_text else out.drop(text_col)
 
