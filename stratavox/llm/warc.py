@@ -5,17 +5,24 @@ place for a member if decoding it from there gives a WARC header. It owns the re
 reads past the end of it to finish the last one; after a member the next is known without searching. So ranges need no
 index, and any cut of the archives gives each record to exactly one task.
 
-Archives are written to the folder that driver and executors share, each under a name of its own attempt first and then
-moved, so that a task that is tried again replaces its own file only.
+Archives are written to the folder that driver and executors share, each attempt of a task under a name of its own; the
+list of archives that ``write`` returns names those of the attempts that counted, and only these are read. Nothing is
+renamed, so any store will do.
+
+Archives of other writers can be read too: digests in hexadecimal or base32 are checked if they are SHA-1, other digests and
+missing ones are not; record ids that aren't page numbers give a null page_id, and ``record_id`` has them as they stand.
 
 Nulls: null html is an empty payload, a null url or id is written without that header and read back as null. Rows that
 repeat a page_id are records of their own. Only rows of a known id can be referred to; rows with a null id stay responses.
+Ties: of equal payloads the largest page_id is the response, with each of its rows. Payloads may be of any length (a record
+is decoded as a whole). An empty table gives no archives. Columns besides page_id, url and html are not written.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +38,8 @@ MAGIC = b"\x1f\x8b\x08"
 #: Smallest payload that a revisit may stand for, bytes of a reader's range, of a read, and of the header that must decode.
 MIN_REVISIT, SPLIT, READ = 1000, 4 << 20, 1 << 18
 VERSION = b"WARC/1.1\r\n"
+#: Parts into which the pages of one payload are dealt.
+SALTS = 16
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _URN = "urn:page:"
 _B32 = {"enc": lambda h: base64.b32encode(bytes.fromhex(h)).decode(), "dec": lambda b: base64.b32decode(b).hex()}
@@ -44,7 +53,9 @@ def roles(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html",
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary")
     keys = pages.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("page_id"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size")).where(F.col("size") >= least)
     kept = keys.groupBy("digest", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    return keys.join(kept, ["digest", "size"]).where("page_id < refers_to").select("page_id", "refers_to").distinct()
+    kept = kept.drop("n").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    keys = keys.withColumn("salt", F.pmod(F.hash("page_id"), F.lit(SALTS)))
+    return keys.join(kept, ["digest", "size", "salt"]).where("page_id < refers_to").select("page_id", "refers_to").distinct()
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, level: int = 6) -> bytes:
@@ -67,21 +78,19 @@ def _write(folder: str, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         task = TaskContext.get()
-        final = f"{root}/part-{task.partitionId():06d}.warc.gz"
-        draft = f"{root}/.draft-{task.partitionId():06d}-{task.taskAttemptId()}"
+        name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz"
         out, size = None, 0
         for batch in batches:
             for page_id, url, html, refers in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html", "refers_to"))):
                 if out is None:
                     fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(draft)
+                    out = fs.open_output_stream(f"{root}/{name}", compression=None)  # the name would have it compressed twice
                 member = record(page_id, url, (html or "").encode("utf-8", "surrogatepass"), refers, level)
                 out.write(member)
                 size += len(member)
         if out is not None:
             out.close()
-            fs.move(draft, final)
-            yield pa.record_batch([pa.array([final.rsplit("/", 1)[1]]), pa.array([size], pa.int64())], ["name", "size"])
+            yield pa.record_batch([pa.array([name]), pa.array([size], pa.int64())], ["name", "size"])
 
     return run
 
@@ -103,7 +112,8 @@ def parse(raw: bytes) -> dict | None:
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
         k, _, v = line.partition(":")
         fields[k.strip().lower()] = v.strip()
-    n = int(fields.get("content-length", 0))
+    n = fields.get("content-length", "0")
+    n = int(n) if n.isdigit() else 0
     return {"fields": fields, "block": rest[:n]} if len(rest) >= n else None
 
 
@@ -168,39 +178,53 @@ def read_range(source, size: int, start: int, stop: int) -> Iterator[tuple[int,
 
 
 def _number(urn: str | None) -> int | None:
-    return int(urn.strip("<>")[len(_URN) :]) if urn else None
+    """The page number of a record id of this writer, else None."""
+    found = re.fullmatch(rf"<?{_URN}(-?[0-9]{{1,19}})>?", urn or "")
+    return int(found[1]) if found else None
+
+
+def sha1_of(header: str | None) -> str | None:
+    """Lower-case hexadecimal of a SHA-1 digest header in hexadecimal or base32; None for any other."""
+    kind, _, value = (header or "").partition(":")
+    if kind.strip().lower() not in ("sha1", "sha-1"):
+        return None
+    value = value.strip()
+    if re.fullmatch("[0-9a-fA-F]{40}", value):
+        return value.lower()
+    return _B32["dec"](value.upper()) if re.fullmatch("[A-Za-z2-7]{32}", value) else None
 
 
-_READ = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+_READ = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, record_id string"
 
 
 def _read(folder: str, with_payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
-        cols: list[list] = [[] for _ in range(7)]
+        cols: list[list] = [[] for _ in range(8)]
         held = 0
 
         def batch_of():
-            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()))], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
+            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()))], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload", "record_id"])
 
         for batch in batches:
             for name, size, start, stop in zip(*(batch.column(c).to_pylist() for c in ("name", "size", "start", "stop"))):
                 with fs.open_input_file(f"{root}/{name}") as source:
                     for _, rec in read_range(source, size, start, stop):
                         f, block = rec["fields"], rec["block"]
-                        http, _, payload = block.partition(b"\r\n\r\n")
+                        http, _, payload = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
                         revisit = f.get("warc-type") == "revisit"
-                        length = next((int(x.split(b":", 1)[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(payload))
-                        digest = _B32["dec"](f["warc-payload-digest"].partition(":")[2]) if revisit else hashlib.sha1(payload).hexdigest()
-                        if not revisit and digest != _B32["dec"](f["warc-payload-digest"].partition(":")[2]):
+                        length = next((int(v) for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.strip().lower() == b"content-length" and v.strip().isdigit()), len(payload))
+                        said = sha1_of(f.get("warc-payload-digest"))
+                        digest = said if revisit else hashlib.sha1(payload).hexdigest()
+                        if not revisit and f.get("warc-type") == "response" and b"transfer-encoding" not in http.lower() and said not in (None, digest):
                             raise ValueError(f"{name}: payload of {f.get('warc-record-id')} does not match its digest")
-                        row = (_number(f.get("warc-record-id")), f.get("warc-target-uri"), f.get("warc-type"), _number(f.get("warc-refers-to")), length if revisit else len(payload), digest, payload if with_payload and not revisit else None)
+                        row = (_number(f.get("warc-record-id")), f.get("warc-target-uri"), f.get("warc-type"), _number(f.get("warc-refers-to")), length if revisit else len(payload), digest, payload if with_payload and not revisit else None, (f.get("warc-record-id") or "").strip("<>") or None)
                         for c, v in zip(cols, row):
                             c.append(v)
                         held += len(payload) if with_payload else 100
                         if held > 8 << 20 or len(cols[0]) >= 10_000:
                             yield batch_of()
-                            cols[:] = [[] for _ in range(7)]
+                            cols[:] = [[] for _ in range(8)]
                             held = 0
         if cols[0]:
             yield batch_of()
