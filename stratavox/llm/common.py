@@ -9,7 +9,7 @@ from stratavox.session import checkpoint_dir, checkpointed
 from stratavox.session import shared_path as shared_dir
 from stratavox.session import shuffle_partitions as partitions
 
-__all__ = ["NULL_ID", "checkpoint_dir", "checkpointed", "fresh", "id_key", "id_out", "partitions", "shared_dir", "table", "text_key", "without"]
+__all__ = ["NULL_ID", "checkpoint_dir", "checkpointed", "fresh", "id_key", "id_out", "partitions", "remove", "shared_dir", "table", "text_key", "without"]
 
 #: What stands for a null id inside the operators; outputs show null again.
 NULL_ID = -(1 << 63)
@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name like ``name`` that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

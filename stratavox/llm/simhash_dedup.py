@@ -12,7 +12,8 @@ close a cycle are not emitted, so the links never outnumber the fingerprints in
 
 Nulls: a null text has no words, thus fingerprint zero, which links like any other; a null doc_id counts as larger than
 all others when the smallest of a component is taken (a component of null ids only gets null). Repeated rows each get a
-row.
+row, and rows that share an id each the fingerprint and component of their own text. Ties: equal fingerprints are one node.
+Texts of any length are taken whole. An empty table gives no rows; columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratavox.llm import blocks, common, components, golay
+from stratavox.llm import blocks, common, golay
+from stratavox.operators.graph import components
 
 #: Words of a shingle, seed of the hash, and the largest difference that links.
 SHINGLE, SEED, RADIUS = 4, 42, 4
@@ -33,6 +35,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Fingerprints of one key that are verified together.
 BLOCK = 2048
+#: A group is large if it has this many rows and a ten-thousandth of all: so there are at most ten thousand of these.
+LARGE = 1000
 
 
 def fingerprint(text: bytes) -> int:
@@ -59,7 +63,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         offsets, data = blocks.column_bytes(batch.column("text"))
         fp = [fingerprint(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-        yield pa.record_batch([batch.column("id"), pa.array(np.array(fp, np.uint64).view(np.int64))], ["id", "fp"])
+        yield pa.record_batch([batch.column("id"), batch.column("row"), pa.array(np.array(fp, np.uint64).view(np.int64))], ["id", "row", "fp"])
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,17 +157,64 @@ def links(fps: DataFrame, block: int = BLOCK) -> DataFrame:
     return rows.repartition(common.partitions(fps.sparkSession), "grp").sortWithinPartitions("grp", "fp").mapInArrow(_links, "a long, b long")
 
 
+def prints_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, row, fp) of every row, stored: its id, the hash of its text and its fingerprint."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), common.text_key(text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+    return common.checkpointed(rows.mapInArrow(_fingerprints, "id long, row long, fp long"))
+
+
+def _spread_join(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined with the one row of ``groups`` for their key; those of large groups stay where they are.
+
+    ``size`` counts a group's rows, so at most ten thousand groups are large, and these are sent to all tasks.
+    """
+    groups = common.checkpointed(groups)
+    total = groups.agg(F.sum(size)).first()[0] or 0
+    large = F.col(size) > max(LARGE, total // 10_000)
+    hot = F.broadcast(groups.where(large))  # ten thousand rows at most
+    own = [c for c in groups.columns if c != key and c in rows.columns]
+    hot, cold = hot.drop(*own), groups.where(~large).drop(*own)
+    return rows.join(hot, key).unionByName(rows.join(F.broadcast(groups.where(large).select(key)), key, "left_anti").join(cold, key))
+
+
+def _named(prints: DataFrame) -> DataFrame:
+    """(fp, copies, root, component_id) of every fingerprint: how many rows have it, and its component."""
+    reps = common.checkpointed(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies")))
+    linked = components(links(reps.select("fp")))
+    roots = reps.join(linked, reps["fp"] == linked["node"], "left").select("fp", "least", "copies", F.coalesce("root", "fp").alias("root"))
+    roots = common.checkpointed(roots)
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    return _spread_join(roots.select("fp", "copies", "root"), least, "root", "n").select("fp", "copies", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id it can reach."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    prints = common.checkpointed(rows.mapInArrow(_fingerprints, "id long, fp long"))
-    reps = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    linked = components.components(links(reps))
-    roots = reps.join(linked, reps["fp"] == linked["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.select("fp", "root").join(least, "root").select("fp", "component_id")
+    prints = prints_of(docs, id_col, text_col)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return prints.join(named, "fp").select(F.col("id").alias("doc_id"), hexed.alias("fingerprint"), "component_id")
+    return _spread_join(prints, _named(prints), "fp", "copies").select(F.col("id").alias("doc_id"), hexed.alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each component: of the smallest id (null ids last), then of the least text hash.
+
+    Rows are told apart by (id, text hash), so texts that share an id are decided on each; of equal rows one stays.
+    """
+    prints = prints_of(docs, id_col, text_col)
+    rows = prints.groupBy("id", "row", "fp").agg(F.count("*").alias("n"))
+    rows = common.checkpointed(_spread_join(rows, _named(prints).select("fp", "copies", "root"), "fp", "copies").select("id", "row", "n", "root"))
+    least = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first"), F.count("*").alias("of"))
+    rows = _spread_join(rows, least, "root", "of")
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("row") == F.col("first.row"))
+    marks = rows.select(common.id_key("id").alias("__id"), F.col("row").alias("__hash"), F.when(~stays, "goes").when(F.col("n") > 1, "repeats").alias("__mark"))
+    marks = common.checkpointed(marks.where("__mark IS NOT NULL"))
+    key, row, mark, own, own_row = (common.fresh(docs, n) for n in ("__key", "__row", "__mark", "__id", "__hash"))
+    marks = marks.select(F.col("__id").alias(own), F.col("__hash").alias(own_row), F.col("__mark").alias(mark))
+    keyed = docs.withColumn(key, common.id_key(id_col)).withColumn(row, common.text_key(text_col))
+    marked = keyed.join(marks, (F.col(key) == F.col(own)) & (F.col(row) == F.col(own_row)), "left")
+    out = marked.where(F.col(mark).isNull())
+    if not marks.where(F.col(mark) == "repeats").isEmpty():
+        out = out.unionByName(marked.where(F.col(mark) == "repeats").dropDuplicates([key, row]))
+    return out.drop(key, row, mark, own, own_row)
 
 
 def op10_simhash_dedup(spark, sf_dir: str) -> DataFrame:
