@@ -94,12 +94,12 @@ def doc_groups(offsets: np.ndarray, most: int):
         i = min(j, n)
 
 
-def spark_hash_long(x: np.ndarray, seed: int = 42) -> np.ndarray:
+def spark_hash_long(x: np.ndarray, seed: int | np.ndarray = 42) -> np.ndarray:
     """What ``xxhash64(bigint)`` gives in Spark SQL, as signed 64-bit."""
     p1, p2, p3, p4, p5 = (U64(v) for v in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
     rot = lambda v, r: (v << U64(r)) | (v >> U64(64 - r))
     with np.errstate(over="ignore"):
-        h = np.full(len(x), U64(seed) + p5 + U64(8), U64)
+        h = np.full(len(x), p5 + U64(8), U64) + (seed.view(U64) if isinstance(seed, np.ndarray) else U64(seed))
         h ^= rot(np.asarray(x, np.int64).view(U64) * p2, 31) * p1
         h = rot(h, 27) * p1 + p4
         h = (h ^ (h >> U64(33))) * p2
@@ -108,9 +108,9 @@ def spark_hash_long(x: np.ndarray, seed: int = 42) -> np.ndarray:
     return h.view(np.int64)
 
 
-def parts_of(doc_id: np.ndarray, n: int) -> np.ndarray:
-    """``pmod(xxhash64(doc_id), n)``."""
-    return np.mod(spark_hash_long(doc_id), n).astype(np.int32)
+def parts_of(doc_id: np.ndarray, n: int, row: np.ndarray) -> np.ndarray:
+    """``pmod(xxhash64(doc_id, row), n)``."""
+    return np.mod(spark_hash_long(row, spark_hash_long(doc_id)), n).astype(np.int32)
 
 
 def segment_sum(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -18,12 +18,11 @@ STEP, DEPTH = 20, 5
 
 
 def _stable_order(keys: np.ndarray) -> np.ndarray:
-    """Stable argsort of small non-negative integers: (key, row) packed into one word, then one sort."""
-    n = len(keys)
-    shift = np.uint64(max(1, int(n).bit_length()))
-    packed = (keys.astype(np.uint64) << shift) | np.arange(n, dtype=np.uint64)
-    packed.sort()
-    return (packed & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+    """Stable distribution of rows by a 32-bit key: counting by its lower, then its upper half."""
+    keys = keys.astype(np.uint32)
+    order = np.argsort((keys & np.uint32(0xFFFF)).astype(np.uint16), kind="stable")
+    high = (keys >> np.uint32(16)).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
 
 
 def _dense(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -75,8 +74,8 @@ def build_shard(rows: Rows, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     return order + a, before
 
 
-def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(merged suffix array, class of each row at DEPTH symbols, common prefix in symbols with the row before)."""
+def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(merged suffix array, common prefix in symbols, DEPTH at most, with the row before)."""
     sizes = [len(sa) for sa, _ in shards]
     n = sum(sizes)
     small = np.uint16 if len(shards) < 65536 else np.uint32
@@ -96,7 +95,7 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
         cls = np.cumsum(new) - 1
     sa = np.empty(n, np.int64)
     sa[np.argsort(z, kind="stable")] = np.concatenate([s for s, _ in shards])
-    return sa, cls, common
+    return sa, common
 
 
 def repeated_windows(data: np.ndarray, lengths: np.ndarray, order_key: np.ndarray, shard_bytes: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,9 +114,10 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, order_key: np.ndarra
             size = 0
     if cuts[-1] != len(lengths):
         cuts.append(len(lengths))
-    sa, cls, _ = merge([build_shard(rows, a, b) for a, b in zip(cuts, cuts[1:])])
+    sa, common = merge([build_shard(rows, a, b) for a, b in zip(cuts, cuts[1:])])
+    interval = np.cumsum(common < DEPTH)  # rows that share all DEPTH symbols with the row before repeat its window
     whole = rows.left[sa] >= width
-    sa, cls = sa[whole], cls[whole]
+    sa, cls = sa[whole], interval[whole]
     if not len(sa):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     key = order_key[rows.string[sa]] + rows.pos[sa]

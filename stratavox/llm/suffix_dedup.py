@@ -2,19 +2,22 @@
 
 A window of ``width`` bytes goes if the same bytes start earlier, by (doc_id, position). Windows are dealt to tasks by
 their least gram: equal windows have equal grams, so they meet, and windows in a row that share it travel as one segment.
-
-1. Scan: each text is cut into segments; a segment is sent as two hashes (least gram, content) with its place, without text.
-2. By gram: of segments with equal content the earliest stays first, the others repeat as a whole. A gram with one
-   content only, standing once in it, is settled. Interiors of copies and unique text end here.
-3. First segments whose gram has several contents, or that may repeat within themselves, fetch their text; their windows are compared through shard transforms
-   merged by interleave refinement (``bwt``). These are the edges of copied passages and look-alike texts.
-4. By document: what is not first, and what the merge found, is covered and cut out.
-
-Texts move once, by an even hash of the document, and both later steps read that exchange; no task needs more than its share of rows, and a content held by very
-many documents is reduced to its earliest place within each batch before it moves.
-
-Nulls: a null text is empty, a null doc_id orders before all others. Rows that repeat a doc_id with its text each get the
-result of one such row; rows that share a doc_id but not the text are cut by all marks of that doc_id. Texts shorter than ``width`` are never touched.
+Hashes only deal windows to tasks; whether two are equal is decided by the transforms and then byte by byte.
+
+1. Scan: each text is cut into segments; a segment is sent as the hash of its least gram with its place, without text. Of
+   segments whose bytes are equal within a batch (their bytes are compared) the earliest is sent, the others repeat.
+2. By gram: a gram that one segment has, and has once, is settled: nothing equal exists. That ends unique text here.
+3. All other segments fetch their text; their windows are compared through shard transforms merged by interleave
+   refinement (``bwt``). A gram in very many segments is dealt again, window by window, by a second gram.
+4. By document: what a batch or the merge found to repeat is covered and cut out.
+
+Texts move once, by an even hash of document and text, and both later steps read that exchange. A passage held by very many
+documents is one segment a batch before it moves; its neighbourhoods are told apart by the second gram.
+
+Nulls: a null text is empty, a null doc_id orders before all others. Rows that share a doc_id but not the text are ordered
+by a hash of the text, and each is cut by its own marks; rows equal in both each get the result of one such row. Ties do not
+arise: places differ. Texts shorter than ``width`` are never touched, texts of any length are taken whole. An empty table
+gives no rows; columns besides id and text are not read.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ GRAM = 32
 RUN = 256
 #: Mark on a segment's window count: equal windows may stand within the segment.
 INNER = 1 << 15
+#: Segments of one gram beyond which they are dealt by a second gram, of this many bytes.
+HOT, SECOND = 4096, 20
 #: Bytes hashed together, and of a shard transform.
 CHUNK, SHARD = 1 << 20, 1 << 19
 
@@ -50,7 +55,7 @@ def _window_min(h: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(m[: len(m) - (span - have)], m[span - have :]) if span > have else m
 
 
-def cut_segments(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
+def cut_segments(offsets: np.ndarray, data: np.ndarray, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """(text, first window, windows, gram hash, content hash) of all segments, in order of text and place.
 
     Texts over CHUNK are cut at fixed multiples of it, so a text always has the same segments.
@@ -67,8 +72,8 @@ def cut_segments(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...
         buf = np.concatenate([data[x:y] for x, y in zip(a, b)]) if k - first > 1 else data[a[0] : b[0]]
         start = np.concatenate([[0], np.cumsum(b - a)])
         prefix = blocks.prefix_hash(buf)
-        grams = blocks.gram_hash(prefix, GRAM)
-        low = _window_min(grams, WIDTH - GRAM + 1)
+        grams = blocks.gram_hash(prefix, gram)
+        low = _window_min(grams, WIDTH - gram + 1)
         n = len(low)
         new = np.empty(n + 1, bool)
         new[0] = True
@@ -89,7 +94,7 @@ def cut_segments(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...
             s2 = s[which] + nth * RUN
             s, e, owner = s2, np.minimum(e[which], s2 + RUN), owner[which]
         # two equal windows of one segment need its gram at the start of a window before the last, or at the end of one after the first
-        heads, tails = (np.concatenate([[0], np.cumsum(x)]) for x in (grams[:n] == low, grams[WIDTH - GRAM :] == low))
+        heads, tails = (np.concatenate([[0], np.cumsum(x)]) for x in (grams[:n] == low, grams[WIDTH - gram :] == low))
         inner = (heads[e - 1] > heads[s]) | (tails[e] > tails[s + 1])
         windows = (e - s).astype(np.uint16) | np.where(inner, INNER, 0).astype(np.uint16)
         out.append((text[owner], s - start[owner] + base[owner], windows, low[s], blocks.span_hash(prefix, s, e + WIDTH - 1)))
@@ -149,77 +154,126 @@ def _batches(rows: Iterator[tuple[int, bytes]], most: int = 8 << 20) -> Iterator
         yield pa.record_batch([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], schema=_ARROW)
 
 
+def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether data[a : a + length] and data[b : b + length] hold the same bytes, for each triple."""
+    same = np.ones(len(a), bool)
+    i = 0
+    while i < len(a):
+        upto = np.cumsum(length[i : i + (1 << 14)])
+        j = i + max(1, int(np.searchsorted(upto, 1 << 21, "right")))
+        n = length[i:j]
+        begin = np.cumsum(n) - n
+        step = np.arange(int(n.sum())) - np.repeat(begin, n)
+        same[i:j] = np.logical_and.reduceat(data[np.repeat(a[i:j], n) + step] == data[np.repeat(b[i:j], n) + step], begin)
+        i = j
+    return same
+
+
 def _scan(n_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            ids, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "row"))
             offsets, data = blocks.column_bytes(batch.column("text"))
             for i, j in blocks.doc_groups(offsets, 24 << 20):
-                text, place, windows, gram, content = cut_segments(offsets[i : j + 1] - offsets[i], data[offsets[i] : offsets[j]])
-                doc = ids[i:j][text]
-                order = np.lexsort((place, doc))
-                # of equal segments within the batch only the earliest moves on
+                own = data[offsets[i] : offsets[j]]
+                text, place, windows, gram, content = cut_segments(offsets[i : j + 1] - offsets[i], own)
+                if not len(text):
+                    continue
+                doc, row = ids[i:j][text], rows[i:j][text]
+                order = np.lexsort((place, row, doc))
+                # segments of equal hashes are compared with the earliest of them; those that are equal stay behind
                 key = (content ^ (gram * np.uint64(0x9E3779B97F4A7C15)))[order]
-                _, first = np.unique(key, return_index=True)
-                order = order[np.sort(first)]
-                gram, content, doc, place, windows = (x[order] for x in (gram, content, doc, place, windows))
+                _, first, which = np.unique(key, return_index=True, return_inverse=True)
+                lead = order[first[which]]
+                length = (windows & np.uint16(INNER - 1)).astype(np.int64) + WIDTH - 1
+                at = offsets[i:j][text] - offsets[i] + place
+                again = np.flatnonzero((lead != order) & (length[lead] == length[order]))
+                twin = order[again]
+                keep = np.ones(len(order), bool)
+                keep[again[equal_spans(own, at[twin], at[lead[again]], length[twin])]] = False
+                order = order[keep]
+                gram, doc, row, place, windows = (x[order] for x in (gram, doc, row, place, windows))
                 part = ((gram >> np.uint64(32)) % np.uint64(n_parts)).astype(np.int32)
-                yield from _batches(_by_part(part, [doc, place, gram.astype(np.uint32), content, windows], 2))
+                yield from _batches(_by_part(part, [doc, row, place, gram.astype(np.uint32), windows], 3))
 
     return run
 
 
-def _firsts(n_parts: int):
-    """First segment of each content, to its document's part, marked if its gram has other contents."""
+#: Where a segment's text goes: nowhere, or to the part of its gram (0 and up), or to that of its second gram.
+SETTLED, AGAIN = -1, -3
+
+
+def _settle(n_parts: int):
+    """Segments, to their document's part, with the part where their text is compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), _ARROW)
-        doc, place, gram, content, windows = _unpack_all(table.column("blob").to_pylist(), 2, "qqIQH")
-        home = np.repeat(table.column("part").to_numpy(), [struct.unpack_from("<I", b.as_buffer())[0] for b in table.column("blob")]) if table.num_rows else np.zeros(0, np.int32)
+        doc, row, place, gram, windows = _unpack_all(table.column("blob").to_pylist(), 3, "qqqIH")
         if not len(doc):
             return
-        order = np.lexsort((place, doc, content, gram, home))
-        doc, place, gram, content, windows, home = (x[order] for x in (doc, place, gram, content, windows, home))
-        same = (gram[1:] == gram[:-1]) & (home[1:] == home[:-1])
-        first = np.concatenate([[True], ~(same & (content[1:] == content[:-1]))])
-        group = np.cumsum(np.concatenate([[True], ~same])) - 1
-        several = (np.bincount(group, weights=first)[group] > 1) | (windows >= INNER)
+        home = np.repeat(table.column("part").to_numpy(), [struct.unpack_from("<I", b.as_buffer())[0] for b in table.column("blob")])
+        # rows that repeat a doc_id and its text are one: their places are the same
+        order = np.lexsort((place, row, doc, gram, home))
+        doc, row, place, gram, windows, home = (x[order] for x in (doc, row, place, gram, windows, home))
+        new = np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1]) | (doc[1:] != doc[:-1]) | (gram[1:] != gram[:-1]) | (home[1:] != home[:-1])])
+        doc, row, place, gram, windows, home = (x[new] for x in (doc, row, place, gram, windows, home))
+        _, which, count = np.unique((home.astype(np.uint64) << np.uint64(32)) | gram, return_inverse=True, return_counts=True)
+        several = (count[which] > 1) | (windows >= INNER)
+        home = np.where(several, np.where(count[which] > HOT, AGAIN, home), SETTLED).astype(np.int32)
         windows = windows & np.uint16(INNER - 1)
-        doc, place, windows, several, home = (x[first] for x in (doc, place, windows, several, home))
-        order = np.lexsort((place, doc))
-        cols = [x[order] for x in (doc, place, windows, np.where(several, home, -1).astype(np.int32))]
-        yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts), cols, 2))
+        order = np.lexsort((place, row, doc))
+        cols = [x[order] for x in (doc, row, place, windows, home)]
+        yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), cols, 3))
 
     return run
 
 
-def _ranges(ids: np.ndarray, offsets: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """Row of each doc; ids must be sorted."""
-    return np.searchsorted(ids, doc)
-
+class _Docs:
+    """The texts of a part by (id, row)."""
 
-def _sorted_docs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ids = table.column("id").to_numpy()
-    order = np.argsort(ids, kind="stable")
-    offsets, data = blocks.column_bytes(table.column("text").take(pa.array(order)))
-    return ids[order], offsets, data
+    def __init__(self, table: pa.Table):
+        keys = list(zip(table.column("id").to_pylist(), table.column("row").to_pylist()))
+        self.index = {}
+        for i, k in enumerate(keys):
+            self.index.setdefault(k, i)
+        self.keys = keys
+        self.offsets, self.data = blocks.column_bytes(table.column("text"))
 
+    def of(self, doc: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Index of the text of each (id, row); pairs that follow each other are looked up once."""
+        if not len(doc):
+            return np.zeros(0, np.int64)
+        begin = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (row[1:] != row[:-1])]))
+        found = [self.index[k] for k in zip(doc[begin].tolist(), row[begin].tolist())]
+        return np.repeat(np.array(found, np.int64), np.diff(np.append(begin, len(doc))))
+
+
+def _fetch(n_parts: int):
+    def run(docs: pa.Table, segments: pa.Table) -> pa.Table:
+        """The texts of the segments that are compared, to the part of their gram."""
+        texts = _Docs(docs)
+        doc, row, place, windows, home = _unpack_all(segments.column("blob").to_pylist(), 3, "qqqHi")
+        begin = texts.offsets[texts.of(doc, row)] + place if len(doc) else doc
+        windows = windows.astype(np.int64)
+        hot = np.flatnonzero(home == AGAIN)
+        if len(hot):
+            data = np.concatenate([texts.data[s : s + n + WIDTH - 1] for s, n in zip(begin[hot], windows[hot])])
+            which, inside, count, gram, _ = cut_segments(np.concatenate([[0], np.cumsum(windows[hot] + WIDTH - 1)]), data, SECOND)
+            from_ = hot[which]
+            parts = ((gram >> np.uint64(32)) % np.uint64(n_parts)).astype(np.int32)
+            more = (doc[from_], row[from_], place[from_] + inside, (count & np.uint16(INNER - 1)).astype(np.int64), parts, begin[from_] + inside)
+            doc, row, place, windows, home, begin = (np.concatenate(x) for x in zip((doc, row, place, windows, home, begin), more))
+        rows = []
+        order = np.lexsort((place, row, doc, home))
+        order = order[home[order] >= 0]
+        cuts = np.flatnonzero(np.concatenate([[True], home[order][1:] != home[order][:-1], [True]])) if len(order) else []
+        for a, b in zip(cuts, cuts[1:]):
+            o = order[a:b]
+            text = b"".join(texts.data[s : s + n + WIDTH - 1].tobytes() for s, n in zip(begin[o], windows[o]))
+            rows.append((int(home[o[0]]), _pack(np.frombuffer(text, np.uint8), doc[o], row[o], place[o], windows[o].astype(np.uint16), delta=1)))
+        return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=_ARROW)
 
-def _fetch(docs: pa.Table, firsts: pa.Table) -> pa.Table:
-    """The texts of the marked segments, to the part of their gram."""
-    ids, offsets, data = _sorted_docs(docs)
-    doc, place, windows, home = _unpack_all(firsts.column("blob").to_pylist(), 2, "qqHi")
-    keep = home >= 0
-    doc, place, windows, home = (x[keep] for x in (doc, place, windows, home))
-    begin = offsets[np.searchsorted(ids, doc)] + place if len(doc) else doc
-    rows = []
-    order = np.lexsort((place, doc, home))
-    cuts = np.flatnonzero(np.concatenate([[True], home[order][1:] != home[order][:-1], [True]])) if len(order) else []
-    for a, b in zip(cuts, cuts[1:]):
-        o = order[a:b]
-        text = b"".join(data[s : s + n + WIDTH - 1].tobytes() for s, n in zip(begin[o], windows[o].astype(np.int64)))
-        rows.append((int(home[o[0]]), _pack(doc[o], place[o], windows[o], np.frombuffer(text, np.uint8), delta=2)))
-    return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=_ARROW)
+    return run
 
 
 def _compare(n_parts: int, shard_bytes: int):
@@ -229,10 +283,10 @@ def _compare(n_parts: int, shard_bytes: int):
         table = pa.Table.from_batches(list(batches), _ARROW)
         homes = table.column("part").to_numpy()
         for home in np.unique(homes):  # each part on its own: memory is bounded by a part
-            doc, place, windows, data = _unpack_all([table.column("blob")[int(i)].as_py() for i in np.flatnonzero(homes == home)], 2, "qqHB")
+            data, doc, row, place, windows = _unpack_all([table.column("blob")[int(i)].as_py() for i in np.flatnonzero(homes == home)], 1, "BqqqH")
             length = windows.astype(np.int64) + WIDTH - 1
             at = np.concatenate([[0], np.cumsum(length)])
-            order = np.lexsort((place, doc))
+            order = np.lexsort((place, row, doc))
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             string, pos = bwt.repeated_windows(data[: at[-1]], length, rank * (RUN + 1), shard_bytes)
@@ -244,9 +298,9 @@ def _compare(n_parts: int, shard_bytes: int):
             begin = np.flatnonzero(new)
             count = np.diff(np.append(begin, len(string)))
             s = string[begin]
-            out = np.lexsort((place[s] + pos[begin], doc[s]))
-            cols = [doc[s][out], (place[s] + pos[begin])[out], count[out].astype(np.uint16), np.full(len(out), -2, np.int32)]
-            yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts), cols, 2))
+            out = np.lexsort((place[s] + pos[begin], row[s], doc[s]))
+            cols = [doc[s][out], row[s][out], (place[s] + pos[begin])[out], count[out].astype(np.uint16), np.full(len(out), -2, np.int32)]
+            yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), cols, 3))
 
     return run
 
@@ -259,13 +313,18 @@ def _cut(docs: pa.Table, marks: pa.Table) -> pa.Table:
     """Covers each text by its repeated windows and cuts the cover out."""
     if not docs.num_rows:
         return _RESULT_ARROW.empty_table()
-    ids, offsets, data = _sorted_docs(docs)
-    doc, place, windows, kind = _unpack_all(marks.column("blob").to_pylist(), 2, "qqHi")
-    order = np.lexsort((place, doc))
-    doc, place, windows, kind = (x[order] for x in (doc, place, windows.astype(np.int64), kind))
-    lo, hi = np.searchsorted(doc, ids, "left"), np.searchsorted(doc, ids, "right")
+    texts = _Docs(docs)
+    offsets, data = texts.offsets, texts.data
+    doc, row, place, windows, kind = _unpack_all(marks.column("blob").to_pylist(), 3, "qqqHi")
+    order = np.lexsort((place, row, doc))
+    doc, row, place, windows, kind = (x[order] for x in (doc, row, place, windows.astype(np.int64), kind))
+    of = texts.of(doc, row)
+    order = np.argsort(of, kind="stable")
+    of, place, windows, kind = (x[order] for x in (of, place, windows, kind))
+    own = np.array([texts.index[k] for k in texts.keys], np.int64)
+    lo, hi = np.searchsorted(of, own, "left"), np.searchsorted(of, own, "right")
     n_spans, flat, kept = [], [], []
-    for i in range(len(ids)):
+    for i in range(len(own)):
         a, n = int(offsets[i]), int(offsets[i + 1] - offsets[i])
         count = n - WIDTH + 1
         if count <= 0:
@@ -276,7 +335,7 @@ def _cut(docs: pa.Table, marks: pa.Table) -> pa.Table:
         q = np.minimum(p + windows[lo[i] : hi[i]], n)
         edge = np.bincount(p[k], minlength=n + 1) - np.bincount(q[k], minlength=n + 1)
         edge += np.bincount(q[~k], minlength=n + 1) - np.bincount(p[~k], minlength=n + 1)
-        edge[0] += 1  # a window repeats unless its segment is first, or if the merge says so
+        edge[0] += 1  # a window repeats if its segment stayed behind in its batch, or if the merge says so
         window = np.cumsum(edge[:count]) > 0
         run = np.flatnonzero(np.diff(np.concatenate([[0], window.view(np.int8), [0]])))
         s, e = run[::2], run[1::2] + WIDTH - 1
@@ -291,20 +350,20 @@ def _cut(docs: pa.Table, marks: pa.Table) -> pa.Table:
         kept.append(b"".join(text[bounds[j] : bounds[j + 1]] for j in range(0, len(bounds), 2)))
     pairs = np.concatenate(flat) if flat else np.zeros((0, 2), np.int64)
     spans = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n_spans)]), pa.int32()), pa.StructArray.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["start", "stop"]))
-    return pa.table([pa.array(ids), pa.array(np.diff(offsets)), spans, pa.array(kept, pa.binary())], schema=_RESULT_ARROW)
+    return pa.table([docs.column("id"), pa.array(np.diff(offsets)), spans, pa.array(kept, pa.binary())], schema=_RESULT_ARROW)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, the removed spans (maximal, as [start, stop) in UTF-8 bytes) and the kept bytes."""
     spark = docs.sparkSession
     n = 4 * common.partitions(spark)
-    rows = docs.select(common.id_key(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    home = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
+    rows = docs.select(common.id_key(id_col).alias("id"), common.text_key(text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+    home = rows.withColumn("part", F.pmod(F.xxhash64("id", "row"), F.lit(n)).cast("int"))
     blobs = rows.mapInArrow(_scan(n), _BLOBS)
-    firsts = common.checkpointed(blobs.repartition(common.partitions(spark), "part").mapInArrow(_firsts(n), _BLOBS))
-    fetched = home.groupBy("part").cogroup(firsts.groupBy("part")).applyInArrow(_fetch, _BLOBS)
+    segments = common.checkpointed(blobs.repartition(common.partitions(spark), "part").mapInArrow(_settle(n), _BLOBS))
+    fetched = home.groupBy("part").cogroup(segments.groupBy("part")).applyInArrow(_fetch(n), _BLOBS)
     merged = fetched.repartition(common.partitions(spark), "part").mapInArrow(_compare(n, shard_bytes), _BLOBS)
-    out = home.groupBy("part").cogroup(firsts.unionByName(merged).groupBy("part")).applyInArrow(_cut, _RESULT)
+    out = home.groupBy("part").cogroup(segments.unionByName(merged).groupBy("part")).applyInArrow(_cut, _RESULT)
     return out.select(common.id_out("id").alias("doc_id"), "n_bytes", "spans", "kept")
 
 

@@ -9,7 +9,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from stratavox.llm import blocks, bwt, components, golay, line_dedup, simhash_dedup, suffix_dedup
+from stratavox.llm import blocks, bwt, golay, line_dedup, simhash_dedup, suffix_dedup
+from stratavox.operators.graph import components
 
 SCHEMA = "doc_id long, text string, __id string, part int, key string"
 AWKWARD = [(None, "null id"), (900, None), (901, ""), (902, " \n\t\n"), (903, "x" * 70_000), (904, "ab " * 9000), (905, "𝒳é\r\nLine of words here\r\n\r\n")]
@@ -183,7 +184,7 @@ def test_links_lose_none(spark, block):
     fps = sorted(fps)
     signed = np.array(fps, np.uint64).view(np.int64).tolist()
     links = simhash_dedup.links(spark.createDataFrame([(s,) for s in signed], "fp long").repartition(4), block)
-    found = {r.node: r.root for r in components.components(links).collect()}
+    found = {r.node: r.root for r in components(links).collect()}
     mine = [found.get(s, s) for s in signed]
     theirs = brute_components(fps)
     assert len(set(zip(mine, theirs))) == len(set(mine)) == len(set(theirs))
