@@ -1,7 +1,12 @@
 """Corpus pipeline: language ID, line dedup, near-dedup, benchmark decontamination and mixing, one stage after the other.
 
 Each stage takes all documents that the one before kept and its decisions take effect: documents go, or lose lines, or get
-a number of copies. All but the last return the columns of ``documents``.
+a number of copies. All but the last return the columns of ``documents``, in their order; other columns are not carried on,
+whatever their names. A stage's table is written to the shared folder, and the one before it removed once it is.
+
+Nulls: a null text is empty, so the language stage drops it; a null source is a source of its own in the mix; a null doc_id
+orders first in line dedup and last in near-dedup; null lang and n_chars change nothing. Of repeated rows near-dedup keeps
+one; different texts that share an id are decided on each. Ties stand in the operators' modules. Empty tables pass through all stages; texts may be of any length.
 """
 
 from __future__ import annotations
@@ -12,8 +17,9 @@ from pyspark.sql import functions as F
 from stratavox.llm import common, decontam, language_id, line_dedup, mixing, simhash_dedup
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose language is less sure than this goes, as do those without letters.
-LEAST_SCORE = 0.1
+#: A document whose language scores less goes, as do those without letters. Half-known text scores 0.5 and over, letters
+#: drawn at random under 0.2.
+LEAST_SCORE = 0.25
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,11 +36,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate component; documents with a null id stay."""
-    docs = docs.select(COLUMNS)
-    groups = simhash_dedup.near_duplicates(docs)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    """Keeps one document of each near-duplicate component: that with the smallest id, null ids last."""
+    return simhash_dedup.keep_one(docs.select(COLUMNS))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,11 +63,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             path = common.shared_dir(spark, f"stage-{name}")
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+            if before:
+                common.remove(spark, before)
+            before = path
     return docs
