@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where spark.checkpoint.dir is not set, as in tests.
+#: Used only where spark.checkpoint.dir is not set and all runs on one machine, as in tests.
 LOCAL = "/tmp/stratavox-checkpoints"
 
 
@@ -14,7 +14,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, set as the checkpoint folder of the context."""
     jsc = spark.sparkContext._jsc.sc()
     here = jsc.getCheckpointDir()
-    base = spark.conf.get("spark.checkpoint.dir", None) or (here.get() if here.isDefined() else LOCAL)
+    base = spark.conf.get("spark.checkpoint.dir", None) or (here.get() if here.isDefined() else None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or LOCAL
     if not here.isDefined():
         spark.sparkContext.setCheckpointDir(base)
     return base
