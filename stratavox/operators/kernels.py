@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 
 
 def _line(f: np.ndarray) -> np.ndarray:
-    """Lower envelope along the last axis: min over q of f[q] + (p - q)^2, exactly."""
-    n = f.shape[-1]
-    at = np.arange(n)
-    return (f[..., None, :] + (at[:, None] - at[None, :]) ** 2).min(axis=-1)
+    """Along the last axis, min over q of f[q] + (p - q)^2, exactly.
+
+    Offsets are tried in order until their square alone is no less than the greatest value left: memory is that of the
+    array, and the number of steps that of the greatest distance in it.
+    """
+    out = f.copy()
+    for d in range(1, f.shape[-1]):
+        if d * d >= out.max(initial=0):
+            break
+        np.minimum(out[..., d:], f[..., :-d] + d * d, out=out[..., d:])
+        np.minimum(out[..., :-d], f[..., d:] + d * d, out=out[..., :-d])
+    return out
 
 
 def squared_distance(mask: np.ndarray) -> np.ndarray:
@@ -45,6 +53,43 @@ def distances(mask: DataFrame, size: int) -> DataFrame:
     return mask.select("t", "y", "x").groupBy("t").applyInPandas(run, "t long, y long, x long, d2 long")
 
 
+def slice_labels(mask: np.ndarray, reach: int = 1) -> np.ndarray:
+    """Label of each set pixel, the index of the first of its component; ``reach`` 1 counts diagonals, 0 doesn't."""
+    n, w = mask.size, mask.shape[1]
+    label = np.where(mask, np.arange(n).reshape(mask.shape), n)
+    steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if reach else [])
+    root = np.append(np.arange(n), n)
+    pairs = []
+    for dy, dx in steps:
+        a = label[: mask.shape[0] - dy, max(0, -dx) : w - max(0, dx)]
+        b = label[dy:, max(0, dx) : w - max(0, -dx)]
+        ok = (a < n) & (b < n)
+        pairs.append((a[ok], b[ok]))
+    a, b = (np.concatenate(x) for x in zip(*pairs))
+    while len(a):
+        ra, rb = root[a], root[b]
+        apart = ra != rb
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while (root[root] != root).any():
+            root = root[root]
+    return root[label]
+
+
+def thick_pixels(radius: float, size: int):
+    """Group function: pixels of a slice's components that reach ``radius`` pixels from the background somewhere."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = _slice(pdf, size)
+        d2, label = squared_distance(~m), slice_labels(m)
+        top = np.zeros(m.size + 1, np.int64)
+        np.maximum.at(top, label[m], d2[m])
+        y, x = np.nonzero(m & (top[label] >= radius * radius - 1e-9))
+        return pd.DataFrame({"t": np.full(len(y), pdf["t"].iloc[0], np.int64), "y": y, "x": x})
+
+    return run
+
+
 def bridge(mask: DataFrame, size: int, gap: int) -> DataFrame:
     """(t, y, x): masks between slices ``gap`` apart, by signed distances that are mixed by place; slices at multiples of it.
 

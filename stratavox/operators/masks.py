@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.operators import graph
+from stratavox.operators import graph, kernels
+from stratavox.session import checkpointed
 
 AT = ["t", "y", "x"]
 
@@ -72,13 +75,138 @@ def code(size: int, t: Column, y: Column, x: Column) -> Column:
     return (t * size + y) * size + x
 
 
+#: Slices labelled together by one task.
+SLAB = 16
+
+
+def _touching(connectivity: int) -> list[tuple[int, int, int]]:
+    """(dt, dy, reach) of the rows after a row in which its runs have neighbours; ``reach`` columns may lie between."""
+    ahead = {(dt, dy) for dt, dy, _ in offsets(connectivity) if (dt, dy) > (0, 0)}
+    return sorted((dt, dy, int((dt, dy, 1) in offsets(connectivity))) for dt, dy in ahead)
+
+
+def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least node that each of ``n`` nodes can reach over the edges (a, b)."""
+    root = np.arange(n)
+    while len(a):
+        ra, rb = root[a], root[b]
+        apart = ra != rb
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+    return root
+
+
+def _label_slab(connectivity: int, size: int):
+    """Adds root, the least code of the run's component within the slab, to the runs of a slab."""
+    rules = _touching(connectivity)
+
+    def run(table: pa.Table) -> pa.Table:
+        t, y, x0, x1 = (table.column(c).to_numpy() for c in ("t", "y", "x0", "x1"))
+        order = np.lexsort((x0, y, t))
+        t, y, x0, x1 = (v[order] for v in (t, y, x0, x1))
+        wide, high = size + 4, size + 2  # rows and slices never touch by their keys
+        row = (t - t[0]) * high + y
+        first, last = row * wide + x0, row * wide + x1
+        a, b = [], []
+        for dt, dy, reach in rules:
+            there = (row + dt * high + dy) * wide
+            lo = np.searchsorted(last, there + x0 - reach, "right")
+            hi = np.searchsorted(first, there + x1 + reach, "left")
+            n = np.maximum(hi - lo, 0)
+            a.append(np.repeat(np.arange(len(t)), n))
+            b.append(np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n))
+        code = (t * size + y) * size + x0
+        root = code[_merge(len(t), np.concatenate(a), np.concatenate(b))]
+        return pa.table([pa.array(v) for v in (t, y, x0, x1, root)], ["t", "y", "x0", "x1", "root"])
+
+    return run
+
+
+def label_runs(runs: DataFrame, connectivity: int, size: int, slab: int = SLAB) -> DataFrame:
+    """Runs (t, y, x0, x1) with root, the least voxel code of their component.
+
+    A task labels the runs of ``slab`` slices; only runs on both sides of a slab's border make edges, between the slabs'
+    components, and these go through the graph. Slices that are labelled on their own need no second step.
+    """
+    runs = runs.select(*(F.col(c).cast("bigint").alias(c) for c in ("t", "y", "x0", "x1")))
+    depth = 1 if connectivity in (4, 8) else slab
+    local = runs.groupBy(F.floor(F.col("t") / depth).alias("__slab")).applyInArrow(_label_slab(connectivity, size), "t long, y long, x0 long, x1 long, root long")
+    if depth == 1:
+        return local
+    local = checkpointed(local)
+    above = local.where(F.pmod("t", F.lit(depth)) == 0).select("t", "y", F.col("x0").alias("b0"), F.col("x1").alias("b1"), F.col("root").alias("b"))
+    rules = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(r).alias("r")) for dt, dy, r in _touching(connectivity) if dt))
+    below = local.where(F.pmod("t", F.lit(depth)) == depth - 1).withColumn("o", F.explode(rules))
+    below = below.select((F.col("t") + 1).alias("t"), (F.col("y") + F.col("o.dy")).alias("y"), "x0", "x1", F.col("o.r").alias("r"), F.col("root").alias("a"))
+    edges = below.join(above, ["t", "y"]).where((F.col("b1") > F.col("x0") - F.col("r")) & (F.col("b0") < F.col("x1") + F.col("r"))).select("a", "b").distinct()
+    found = graph.components(edges).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+    joined = local.join(found, F.col("root") == F.col("__node"), "left")
+    return joined.select("t", "y", "x0", "x1", F.coalesce("__root", "root").alias("root"))
+
+
+def _cells_of(runs: DataFrame) -> DataFrame:
+    return runs.select("t", "y", F.explode(F.sequence(F.col("x0"), F.col("x1") - 1)).alias("x"), *(c for c in runs.columns if c not in ("t", "y", "x0", "x1")))
+
+
 def components(mask: DataFrame, connectivity: int, size: int) -> DataFrame:
     """The mask with root, the least voxel code of the voxel's component."""
-    half = [o for o in offsets(connectivity) if o > (0, 0, 0)]
-    nodes = mask.select(*AT).distinct()
-    near = _shifted(nodes, half).join(nodes, AT, "left_semi")
-    edges = near.select(code(size, F.col("t0"), F.col("y0"), F.col("x0")).cast("bigint").alias("a"), code(size, *map(F.col, AT)).cast("bigint").alias("b"))
-    return graph.label(nodes.withColumn("node", code(size, *map(F.col, AT)).cast("bigint")), edges).drop("node")
+    return _cells_of(label_runs(row_runs(mask), connectivity, size))
+
+
+def component_totals(mask: DataFrame, connectivity: int, size: int) -> DataFrame:
+    """(root, voxels, t0, t1, y0, y1, x0, x1): size and half-open extent of each component, from its runs."""
+    runs = label_runs(row_runs(mask), connectivity, size)
+    ends = [f(c).alias(n) for c, n, f in (("t", "t0", F.min), ("y", "y0", F.min), ("x0", "x0", F.min), ("x1", "x1", F.max))]
+    return runs.groupBy("root").agg(F.sum(F.col("x1") - F.col("x0")).alias("voxels"), *ends, (F.max("t") + 1).alias("t1"), (F.max("y") + 1).alias("y1"))
+
+
+def _background_runs(mask: DataFrame, flat: bool) -> DataFrame:
+    """Runs of background in the box of each slice, or of the whole mask, with ``edge``: whether they lie at its border."""
+    runs = row_runs(mask).select(*(F.col(c).cast("bigint").alias(c) for c in ("t", "y", "x0", "x1")))
+    box = [F.min("y").alias("by0"), F.max("y").alias("by1"), F.min("x0").alias("bx0"), F.max("x1").alias("bx1")]
+    if flat:
+        boxes = runs.groupBy("t").agg(*box)
+        rows = boxes.withColumn("y", F.explode(F.sequence("by0", "by1")))
+        face = (F.col("y") == F.col("by0")) | (F.col("y") == F.col("by1"))
+    else:
+        boxes = runs.agg(F.min("t").alias("bt0"), F.max("t").alias("bt1"), *box).where("bt0 IS NOT NULL")
+        rows = boxes.withColumn("t", F.explode(F.sequence("bt0", "bt1"))).withColumn("y", F.explode(F.sequence("by0", "by1")))
+        face = F.col("t").isin(F.col("bt0"), F.col("bt1")) | (F.col("y") == F.col("by0")) | (F.col("y") == F.col("by1"))
+    rows = rows.withColumn("face", face).select("t", "y", "bx0", "bx1", "face")
+    # a row's runs between two empty ones at the ends of its box: what is between them is background
+    ends = rows.select("t", "y", F.explode(F.array(F.col("bx0"), F.col("bx1"))).alias("x0")).withColumn("x1", F.col("x0"))
+    order = Window.partitionBy("t", "y").orderBy("x0", "x1")
+    gaps = runs.unionByName(ends).withColumn("from", F.lag("x1").over(order)).where("from < x0").select("t", "y", F.col("from").alias("x0"), F.col("x0").alias("x1"))
+    out = gaps.join(rows, ["t", "y"])
+    return out.select("t", "y", "x0", "x1", (F.col("face") | (F.col("x0") == F.col("bx0")) | (F.col("x1") == F.col("bx1"))).alias("edge"))
+
+
+def _enclosed(mask: DataFrame, connectivity: int, size: int) -> DataFrame:
+    back = checkpointed(_background_runs(mask, connectivity in (4, 8)))
+    labelled = label_runs(back, connectivity, size).join(back, ["t", "y", "x0", "x1"])
+    open_ = labelled.where("edge").select("root").distinct()
+    return _cells_of(labelled.join(open_, "root", "left_anti").select("t", "y", "x0", "x1"))
+
+
+def voids(mask: DataFrame, connectivity: int, size: int) -> DataFrame:
+    """Background of the volume that no way through neighbours (6, 18 or 26) leads out of.
+
+    Outside the box of the mask all background is open, so only the rows of that box are labelled, as runs.
+    """
+    return _enclosed(mask, connectivity, size)
+
+
+def drop_thin(mask: DataFrame, radius: float, size: int) -> DataFrame:
+    """Voxels of the 8-connected slice components whose greatest distance to the background is ``radius`` or more.
+
+    The distance of a pixel is that to the nearest background of its slice; a slice without any keeps all.
+    """
+    return mask.select(*AT).distinct().groupBy("t").applyInPandas(kernels.thick_pixels(radius, size), "t long, y long, x long")
 
 
 def component_stats(labelled: DataFrame) -> DataFrame:
@@ -103,12 +231,24 @@ def drop_faint(labelled: DataFrame, value: str, least: float) -> DataFrame:
 
 
 def holes(mask: DataFrame, size: int) -> DataFrame:
-    """Background of square slices that no 4-connected way leads to the border."""
-    slices = mask.select("t").distinct()
-    grid = slices.select("t", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("y")).select("t", "y", F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("x"))
-    back = components(grid.select(*(F.col(c).cast("bigint").alias(c) for c in AT)).join(mask.select(*AT), AT, "left_anti"), 4, size)
-    edge = (F.col("y") == 0) | (F.col("x") == 0) | (F.col("y") == size - 1) | (F.col("x") == size - 1)
-    return back.join(back.where(edge).select("root").distinct(), "root", "left_anti").select(*AT)
+    """Background of slices that no 4-connected way leads to the border, found among the runs of each slice's box."""
+    return _enclosed(mask, 4, size)
+
+
+def clean_slices(rows: DataFrame, value: str, least: float, radius: float, size: int) -> DataFrame:
+    """Slice cleanup in its fixed order: faint components go, then thin ones, then holes are filled."""
+    strong = drop_faint(components(rows, 8, size).join(rows.select(*AT, value), AT), value, least)
+    thick = checkpointed(drop_thin(strong, radius, size))
+    return thick.unionByName(holes(thick, size))
+
+
+def keep_centre(mask: DataFrame, connectivity: int, size: int) -> DataFrame:
+    """Of each slice the component that holds its centre pixel, else the one nearest to it (ties to the lower root)."""
+    labelled = components(mask, connectivity, size)
+    c = size // 2
+    near = labelled.groupBy("t", "root").agg(F.min((F.col("y") - c) ** 2 + (F.col("x") - c) ** 2).alias("d2"))
+    best = near.groupBy("t").agg(F.min(F.struct("d2", "root")).alias("b")).select(F.col("b.root").alias("root"))
+    return labelled.join(best, "root", "left_semi")
 
 
 def gate(labelled: DataFrame, support: DataFrame, accepted: bool = True) -> DataFrame:

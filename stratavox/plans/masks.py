@@ -79,6 +79,26 @@ def fill_holes(spark, sf):
     return ops.holes(_cells(spark, sf, 0.0), SIZE)
 
 
+def void_fill_3d(spark, sf):
+    return ops.voids(_cells(spark, sf, -0.03), 6, SIZE)
+
+
+def radius_filter(spark, sf):
+    return ops.drop_thin(_cells(spark, sf, 0.0), 1.5, SIZE)
+
+
+def slice_cleanup(spark, sf):
+    return ops.clean_slices(_cells(spark, sf, 0.0), "v", 0.3, 1.4, SIZE)
+
+
+def component_totals(spark, sf):
+    return ops.component_totals(_cells(spark, sf, 0.2), 18, SIZE)
+
+
+def keep_centre(spark, sf):
+    return ops.keep_centre(_cells(spark, sf, 0.15), 8, SIZE).select("t", "y", "x")
+
+
 def gate_accepted(spark, sf):
     return ops.gate(ops.components(_cells(spark, sf, 0.1), 8, SIZE), _cells(spark, sf, 0.25)).select("t", "y", "x")
 
@@ -133,7 +153,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         mask_union, mask_intersect, mask_subtract, mask_compose, slice_boxes, mask_transpose, components_2d, components_3d, component_stats, keep_largest, confidence_filter,
-        fill_holes, gate_accepted, gate_rejected, mask_dilate, adjacency_pairs, endpoint_detect, projection_candidates, row_runs, run_adjacency, overlap_metrics, runner_up_margin, mask_metrics,
+        fill_holes, void_fill_3d, radius_filter, slice_cleanup, component_totals, keep_centre, gate_accepted, gate_rejected, mask_dilate, adjacency_pairs, endpoint_detect, projection_candidates, row_runs, run_adjacency, overlap_metrics, runner_up_margin, mask_metrics,
     )
 }
 
@@ -155,7 +175,10 @@ comp AS (SELECT t, y, x, min(root)::BIGINT AS root FROM reach GROUP BY t, y, x)"
 
 N8 = "n.t = r.t AND n.y BETWEEN r.y - 1 AND r.y + 1 AND n.x BETWEEN r.x - 1 AND r.x + 1"
 N4 = "n.t = r.t AND abs(n.y - r.y) + abs(n.x - r.x) = 1"
+N6 = "abs(n.t - r.t) + abs(n.y - r.y) + abs(n.x - r.x) = 1"
+N18 = "greatest(abs(n.t - r.t), abs(n.y - r.y), abs(n.x - r.x)) = 1 AND abs(n.t - r.t) + abs(n.y - r.y) + abs(n.x - r.x) <= 2 AND n.t BETWEEN r.t - 1 AND r.t + 1"
 N26 = "n.t BETWEEN r.t - 1 AND r.t + 1 AND n.y BETWEEN r.y - 1 AND r.y + 1 AND n.x BETWEEN r.x - 1 AND r.x + 1"
+ALL_BACK = "grid AS (SELECT t, y, x FROM (SELECT DISTINCT t FROM voxels), (SELECT unnest(range(8)) AS y), (SELECT unnest(range(8)) AS x)), back AS (SELECT g.* FROM grid g ANTI JOIN voxels USING (t, y, x))"
 BOX = "min(y)::BIGINT AS y0, max(y)::BIGINT + 1 AS y1, min(x)::BIGINT AS x0, max(x)::BIGINT + 1 AS x1, count(*) AS area"
 RUNS = "runs AS (SELECT t, y, min(x)::BIGINT AS x0, max(x)::BIGINT + 1 AS x1 FROM (SELECT t, y, x, x - row_number() OVER (PARTITION BY t, y ORDER BY x) AS g FROM voxels) GROUP BY t, y, g)"
 
@@ -192,6 +215,21 @@ SELECT s.root, area, y0, y1, x0, x1, round(cy, 6) AS cy, round(cx, 6) AS cx, a.y
 back AS (SELECT g.* FROM grid g ANTI JOIN voxels v USING (t, y, x)),
 out_ AS (SELECT t, y, x FROM back WHERE y IN (0, 7) OR x IN (0, 7) UNION SELECT n.t, n.y, n.x FROM out_ r JOIN back n ON {N4})
 SELECT b.t, b.y, b.x FROM back b ANTI JOIN out_ o USING (t, y, x)""",
+    "void_fill_3d": f"""{V(-0.03)}, span AS (SELECT min(t) AS a, max(t) AS b FROM voxels), grid AS (SELECT t, y, x FROM (SELECT unnest(range(a, b + 1)) AS t FROM span), (SELECT unnest(range(8)) AS y), (SELECT unnest(range(8)) AS x)),
+back AS (SELECT g.* FROM grid g ANTI JOIN voxels v USING (t, y, x)), steps AS (SELECT * FROM (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) AS s(dt, dy, dx)),
+out_ AS (SELECT t, y, x FROM back, span WHERE y IN (0, 7) OR x IN (0, 7) OR t IN (a, b) UNION SELECT n.t, n.y, n.x FROM (SELECT t + dt AS t, y + dy AS y, x + dx AS x FROM out_, steps) r JOIN back n ON n.t = r.t AND n.y = r.y AND n.x = r.x)
+SELECT b.t, b.y, b.x FROM back b ANTI JOIN out_ o USING (t, y, x)""",
+    "radius_filter": f"""{V(0.0)}, {COMP(N8)}, {ALL_BACK}, far AS (SELECT c.t, c.y, c.x, c.root, min(pow(c.y - b.y, 2) + pow(c.x - b.x, 2)) AS d2 FROM comp c LEFT JOIN back b ON b.t = c.t GROUP BY ALL)
+SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM comp WHERE root IN (SELECT root FROM far GROUP BY root HAVING coalesce(max(d2), 1e9) >= 2.25)""",
+    "slice_cleanup": f"""{V(0.0)}, {COMP(N8)}, strong AS (SELECT * FROM comp WHERE root IN (SELECT c.root FROM comp c JOIN voxels v USING (t, y, x) GROUP BY c.root HAVING max(v.v) >= 0.3)),
+grid AS (SELECT t, y, x FROM (SELECT DISTINCT t FROM voxels), (SELECT unnest(range(8)) AS y), (SELECT unnest(range(8)) AS x)), back AS (SELECT g.* FROM grid g ANTI JOIN strong USING (t, y, x)),
+far AS (SELECT c.t, c.y, c.x, c.root, min(pow(c.y - b.y, 2) + pow(c.x - b.x, 2)) AS d2 FROM strong c LEFT JOIN back b ON b.t = c.t GROUP BY ALL),
+thick AS (SELECT t, y, x FROM strong WHERE root IN (SELECT root FROM far GROUP BY root HAVING coalesce(max(d2), 1e9) >= 1.96)),
+empty_ AS (SELECT g.* FROM grid g ANTI JOIN thick USING (t, y, x)), out_ AS (SELECT t, y, x FROM empty_ WHERE y IN (0, 7) OR x IN (0, 7) UNION SELECT n.t, n.y, n.x FROM out_ r JOIN empty_ n ON {N4})
+SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM thick UNION ALL SELECT e.t, e.y, e.x FROM empty_ e ANTI JOIN out_ o USING (t, y, x)""",
+    "component_totals": f"{V(0.2)}, {COMP(N18)} SELECT root, count(*) AS voxels, min(t)::BIGINT AS t0, max(t)::BIGINT + 1 AS t1, min(y)::BIGINT AS y0, max(y)::BIGINT + 1 AS y1, min(x)::BIGINT AS x0, max(x)::BIGINT + 1 AS x1 FROM comp GROUP BY root",
+    "keep_centre": f"""{V(0.15)}, {COMP(N8)}, near AS (SELECT t, root, min(pow(y - 4, 2) + pow(x - 4, 2)) AS d2 FROM comp GROUP BY t, root), best AS (SELECT root, row_number() OVER (PARTITION BY t ORDER BY d2, root) AS nth FROM near)
+SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM comp WHERE root IN (SELECT root FROM best WHERE nth = 1)""",
     "gate_accepted": f"{V(0.1)}, {COMP(N8)} SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM comp WHERE root IN (SELECT c.root FROM comp c JOIN voxels v USING (t, y, x) WHERE v.v > 0.25)",
     "gate_rejected": f"{V(0.1)}, {COMP(N8)} SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM comp WHERE root NOT IN (SELECT c.root FROM comp c JOIN voxels v USING (t, y, x) WHERE v.v > 0.25)",
     "mask_dilate": f"""{V(0.2)}, d AS (SELECT unnest([-1, 0, 1]) AS d), m AS (SELECT DISTINCT t + a.d AS t, y + b.d AS y, x + c.d AS x FROM voxels, d a, d b, d c)
