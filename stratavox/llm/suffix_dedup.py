@@ -104,12 +104,13 @@ def cut_segments(offsets: np.ndarray, data: np.ndarray, gram: int = GRAM) -> tup
 
 
 def _pack(*columns: np.ndarray, delta: int = 0) -> bytes:
-    """Columns as one blob; the first ``delta`` of them as compressed differences."""
+    """Columns as one blob, compressed unless they are hashes (32-bit unsigned); the first ``delta`` of them as differences."""
     out = [struct.pack("<I", len(columns[0]))]
     for i, c in enumerate(columns):
         raw = np.diff(c, prepend=c.dtype.type(0)).tobytes() if i < delta else c.tobytes()
-        raw = zlib.compress(raw, 1) if i < delta else raw
-        out += [struct.pack("<cI", np.dtype(c.dtype).char.encode(), len(raw)), raw]
+        kind = np.dtype(c.dtype).char
+        raw = raw if kind == "I" else zlib.compress(raw, 1)
+        out += [struct.pack("<cI", kind.encode(), len(raw)), raw]
     return b"".join(out)
 
 
@@ -119,7 +120,7 @@ def _unpack(blob: bytes, delta: int = 0) -> list[np.ndarray]:
         kind, n = struct.unpack_from("<cI", blob, at)
         raw = blob[at + 5 : at + 5 + n]
         at += 5 + n
-        x = np.frombuffer(zlib.decompress(raw) if len(out) < delta else raw, np.dtype(kind.decode()))
+        x = np.frombuffer(raw if kind == b"I" else zlib.decompress(raw), np.dtype(kind.decode()))
         out.append(np.cumsum(x, dtype=x.dtype) if len(out) < delta else x)
     return out
 
@@ -270,7 +271,7 @@ def _fetch(n_parts: int):
         for a, b in zip(cuts, cuts[1:]):
             o = order[a:b]
             text = b"".join(texts.data[s : s + n + WIDTH - 1].tobytes() for s, n in zip(begin[o], windows[o]))
-            rows.append((int(home[o[0]]), _pack(np.frombuffer(text, np.uint8), doc[o], row[o], place[o], windows[o].astype(np.uint16), delta=1)))
+            rows.append((int(home[o[0]]), _pack(doc[o], row[o], place[o], windows[o].astype(np.uint16), np.frombuffer(text, np.uint8), delta=3)))
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=_ARROW)
 
     return run
@@ -281,26 +282,35 @@ def _compare(n_parts: int, shard_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), _ARROW)
-        homes = table.column("part").to_numpy()
+        homes, marks = table.column("part").to_numpy(), []
         for home in np.unique(homes):  # each part on its own: memory is bounded by a part
-            data, doc, row, place, windows = _unpack_all([table.column("blob")[int(i)].as_py() for i in np.flatnonzero(homes == home)], 1, "BqqqH")
-            length = windows.astype(np.int64) + WIDTH - 1
-            at = np.concatenate([[0], np.cumsum(length)])
+            doc, row, place, windows, data = _unpack_all([table.column("blob")[int(i)].as_py() for i in np.flatnonzero(homes == home)], 3, "qqqHB")
             order = np.lexsort((place, row, doc))
-            rank = np.empty(len(order), np.int64)
-            rank[order] = np.arange(len(order))
-            string, pos = bwt.repeated_windows(data[: at[-1]], length, rank * (RUN + 1), shard_bytes)
+            length = windows.astype(np.int64) + WIDTH - 1
+            at = (np.cumsum(length) - length)[order]
+            doc, row, place, windows, length = (x[order] for x in (doc, row, place, windows, length))
+            # strings of equal bytes are one string of the transforms: the windows of the later ones all stand earlier
+            _, first, which = np.unique(blocks.span_hash(blocks.prefix_hash(data), at, at + length), return_index=True, return_inverse=True)
+            lead = first[which]
+            again = np.flatnonzero((lead != np.arange(len(at))) & (length[lead] == length))
+            again = again[equal_spans(data, at[again], at[lead[again]], length[again])]
+            own = np.ones(len(at), bool)
+            own[again] = False
+            own = np.flatnonzero(own)
+            text = np.concatenate([data[a : a + n] for a, n in zip(at[own], length[own])])
+            string, pos = bwt.repeated_windows(text, length[own], own * (RUN + 1), shard_bytes)
             where = np.lexsort((pos, string))
-            string, pos = string[where], pos[where]
-            if not len(string):
-                continue
-            new = np.concatenate([[True], (string[1:] != string[:-1]) | (pos[1:] != pos[:-1] + 1)])
+            string, pos = own[string[where]], pos[where]
+            new = np.concatenate([[True], (string[1:] != string[:-1]) | (pos[1:] != pos[:-1] + 1)])[: len(string)]
             begin = np.flatnonzero(new)
             count = np.diff(np.append(begin, len(string)))
-            s = string[begin]
-            out = np.lexsort((place[s] + pos[begin], row[s], doc[s]))
-            cols = [doc[s][out], row[s][out], (place[s] + pos[begin])[out], count[out].astype(np.uint16), np.full(len(out), -2, np.int32)]
-            yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), cols, 3))
+            s, start, n = np.concatenate([string[begin], again]), np.concatenate([pos[begin], np.zeros(len(again), np.int64)]), np.concatenate([count, windows[again]])
+            marks.append((doc[s], row[s], place[s] + start, n.astype(np.uint16)))
+        if marks:
+            cols = [np.concatenate(x) for x in zip(*marks)]
+            order = np.lexsort((cols[2], cols[1], cols[0]))
+            cols = [x[order] for x in cols]
+            yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), [*cols, np.full(len(order), -2, np.int32)], 3))
 
     return run
 
