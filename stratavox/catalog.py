@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stratavox.plans import geometry, kernels, masks, planning, polygons, temporal, tracks
+from stratavox.plans import geometry, kernels, masks, planning, polygons, temporal, tracks, views
 
-_MODULES = (planning, temporal, masks, geometry, kernels, tracks, polygons)
+_MODULES = (planning, temporal, masks, geometry, kernels, tracks, polygons, views)
 
 QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES: dict = {k: v for m in _MODULES for k, v in m.ORACLES.items()}

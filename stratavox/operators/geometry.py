@@ -169,14 +169,19 @@ def gaussian_taps(sigma: float, truncate: float = 4.0) -> list[float]:
     return [v / math.fsum(w) for v in w]
 
 
-def smooth(mask: DataFrame, sigma: float, size: int, threshold: float = 0.5) -> DataFrame:
-    """A mask after a separable Gaussian with zero padding in (y, x) and a threshold; one pass of taps for each axis."""
+def smooth(mask: DataFrame, sigma: float, size: int, depth: int | None = None, threshold: float = 0.5) -> DataFrame:
+    """A mask after a separable Gaussian with zero padding and a threshold; one pass of taps for each axis.
+
+    With a ``depth`` the pass runs over t as well, the same in all three axes; without, slices are smoothed on their own.
+    """
     taps = gaussian_taps(sigma)
     r = len(taps) // 2
     table = F.explode(F.array(*(F.struct(F.lit(k - r).alias("d"), F.lit(w).alias("w")) for k, w in enumerate(taps))))
     rows = mask.select(*AT).distinct().withColumn("v", F.lit(1.0))
-    for axis in ("y", "x"):
-        rows = rows.withColumn("tap", table).withColumn(axis, F.col(axis) + F.col("tap.d")).where(F.col(axis).between(0, size - 1))
+    for axis, n in (("y", size), ("x", size), ("t", depth)):
+        if n is None:
+            continue
+        rows = rows.withColumn("tap", table).withColumn(axis, F.col(axis) + F.col("tap.d")).where(F.col(axis).between(0, n - 1))
         rows = rows.groupBy(*AT).agg(F.sum(F.col("v") * F.col("tap.w")).alias("v"))
     return rows.where(F.round("v", 9) >= threshold).select(*AT)
 

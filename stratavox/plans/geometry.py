@@ -69,6 +69,10 @@ def gaussian_binary(spark, sf):
     return ops.smooth(_cells(spark, sf, 0.0), 0.9, 8)
 
 
+def gaussian_3d(spark, sf):
+    return ops.smooth(_cells(spark, sf, -0.02), 0.7, 8, 500)
+
+
 def context_channels(spark, sf):
     rows = frames(spark, sf).select((F.floor(F.col("frame") / 10)).alias("frame")).distinct()
     return ops.context_stack(rows, numbers.channel_offsets(5, 3), 432)
@@ -112,7 +116,7 @@ def volume_discovery(spark, sf):
 
 QUERIES = {
     f.__name__: f
-    for f in (tile_grid, tile_neighbours, resize_nearest, restore_or, mask_downbin, affine_warp, azimuthal_map, radial_map, qsc_forward, gaussian_binary, context_channels, context_wrapped, scalar_grid, layer_colours, polygon_labels, volume_discovery)
+    for f in (tile_grid, tile_neighbours, resize_nearest, restore_or, mask_downbin, affine_warp, azimuthal_map, radial_map, qsc_forward, gaussian_binary, gaussian_3d, context_channels, context_wrapped, scalar_grid, layer_colours, polygon_labels, volume_discovery)
 }
 
 GRID = """canvases AS (SELECT DISTINCT p_size::BIGINT AS canvas, 700 + p_size::BIGINT * 61 AS width, 650 + p_size::BIGINT * 47 AS height FROM part),
@@ -121,6 +125,7 @@ ys AS (SELECT canvas, top_, row_number() OVER (PARTITION BY canvas ORDER BY top_
 tiles AS (SELECT canvas, row * (SELECT count(*) FROM xs b WHERE b.canvas = xs.canvas) + col AS tile, row, col, left_ AS "left", top_ AS "top" FROM xs JOIN ys USING (canvas))"""
 M = ops.invert(ops.affine(8, 8, 12, 30.0))
 TAPS = ops.gaussian_taps(0.9)
+TAPS3 = ops.gaussian_taps(0.7)
 FRAMES = "fr AS (SELECT DISTINCT frame // 10 AS frame FROM frames)"
 
 
@@ -167,6 +172,9 @@ SELECT DISTINCT shell, t AS row, floor(round(CASE WHEN atan2(dy, dx) < 0 THEN at
     "gaussian_binary": f"""{V(0.0)}, taps AS (SELECT unnest(range({len(TAPS)})) - {len(TAPS) // 2} AS d, unnest({TAPS!r})::DOUBLE AS w),
 a AS (SELECT t, y + d AS y, x, sum(w) AS v FROM voxels, taps WHERE y + d BETWEEN 0 AND 7 GROUP BY t, y + d, x), b AS (SELECT t, y, x + d AS x, sum(v * w) AS v FROM a, taps WHERE x + d BETWEEN 0 AND 7 GROUP BY t, y, x + d)
 SELECT t, y, x FROM b WHERE round(v, 9) >= 0.5""",
+    "gaussian_3d": f"""{V(-0.02)}, taps AS (SELECT unnest(range({len(TAPS3)})) - {len(TAPS3) // 2} AS d, unnest({TAPS3!r})::DOUBLE AS w),
+a AS (SELECT t, y + d AS y, x, sum(w) AS v FROM voxels, taps WHERE y + d BETWEEN 0 AND 7 GROUP BY t, y + d, x), b AS (SELECT t, y, x + d AS x, sum(v * w) AS v FROM a, taps WHERE x + d BETWEEN 0 AND 7 GROUP BY t, y, x + d),
+c AS (SELECT t + d AS t, y, x, sum(v * w) AS v FROM b, taps WHERE t + d BETWEEN 0 AND 499 GROUP BY t + d, y, x) SELECT t, y, x FROM c WHERE round(v, 9) >= 0.5""",
     "context_channels": _context_sql(numbers.channel_offsets(5, 3), "greatest(0, least(431, frame + o))", "false"),
     "context_wrapped": _context_sql(numbers.channel_offsets(3, 200), "((frame + o) % 432 + 432) % 432", "(frame + o < 0 OR frame + o >= 432)"),
     "scalar_grid": """WITH p AS (SELECT p_partkey, p_size::BIGINT AS s, (p_partkey % 101)::DOUBLE / 100.0::DOUBLE AS c FROM part)
