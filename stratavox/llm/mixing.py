@@ -88,7 +88,7 @@ def _end(rows: DataFrame, cell: str, base) -> DataFrame:
     below = Window.partitionBy("source").orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("source", cell).agg(F.sum("words").alias("words"), F.first("draw").alias("draw"), base.alias("base"))
     sums = sums.withColumn("before", F.col("base") + F.coalesce(F.sum("words").over(below), F.lit(0)))
-    ends = sums.where((F.col("before") < F.col("draw")) & (F.col("before") + F.col("words") > F.col("draw")))
+    ends = sums.where((F.col("before") < F.col("draw")) & (F.col("before") + F.col("words") >= F.col("draw")))
     return ends.select(F.col("source").alias("__source"), F.col(cell).alias(f"end_{cell}"), F.col("before").alias(f"before_{cell}"))
 
 

@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -58,12 +60,44 @@ def test_suffix_dedup(spark, shard):
 
 def test_suffix_dedup_repeated_rows_and_empty(spark):
     text = "one two three " * 30
-    got = suffix_dedup.remove_repeats(frame(spark, [(1, text), (1, text), (2, text)])).collect()
-    assert sorted((r.doc_id, len(r.kept)) for r in got) == [(1, 114), (1, 114), (2, 0)] or all(r.doc_id != 2 or not r.kept for r in got)
-    assert len({r.kept for r in got if r.doc_id == 1}) == 1
+    for parts in (1, 3):
+        got = suffix_dedup.remove_repeats(frame(spark, [(1, text), (1, text), (2, text)], parts)).collect()
+        kept = len(text.encode()) - brute_repeats([(1, text)])[1][1]
+        assert sorted((r.doc_id, len(r.kept)) for r in got) == [(1, kept), (1, kept), (2, 0)]
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    rng = random.Random(6)
+    own = ["".join(rng.choice("abcdefgh ") for _ in range(300)) for _ in range(3)]
+    rows = [(1, own[0]), (7, own[1]), (7, own[0] + own[2])]
+    kept = [bytes(r.kept).decode() for r in suffix_dedup.remove_repeats(frame(spark, rows)).collect()]
+    assert sorted(kept) == sorted(own)
+    rows = [(1, "a line that is shared"), (7, "another line, unique\na line that is shared"), (7, "KEEP this unique line\nand this one as well")]
+    got = sorted(r.text for r in line_dedup.drop_lines(frame(spark, rows)).collect())
+    assert got == sorted(["a line that is shared", "another line, unique", "KEEP this unique line\nand this one as well"])
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_suffix_stages_whatever_the_hashes(monkeypatch, weak):
+    """The stages in one process; with hashes of three bits nearly everything collides, and bytes decide."""
+    if weak:
+        monkeypatch.setattr(blocks, "mix", lambda h: (h ^ (h >> np.uint64(17))) & np.uint64(7))
+    monkeypatch.setattr(suffix_dedup, "HOT", 40)
+    rows = [(d, t) for d, t in corpus(11, 30) if d is not None and len(t or "") < 3000]
+    n = 3
+    table = pa.table({"id": [d for d, _ in rows], "row": [hash(t or "") for _, t in rows], "text": pa.array([t or "" for _, t in rows])})
+    parts = blocks.parts_of(table["id"].to_numpy(), n, table["row"].to_numpy())
+    of = lambda blobs, p: [pa.record_batch([b.column("part").filter(pc.equal(b.column("part"), p)), b.column("blob").filter(pc.equal(b.column("part"), p))], schema=suffix_dedup._ARROW) for b in blobs]
+    scanned = list(suffix_dedup._scan(n)(iter(table.slice(0, 20).combine_chunks().to_batches() + table.slice(20).combine_chunks().to_batches())))
+    segments = [b for p in range(n) for b in suffix_dedup._settle(n)(iter(of(scanned, p)))]
+    fetched = [b for p in range(n) for b in suffix_dedup._fetch(n)(table.filter(pa.array(parts == p)).combine_chunks(), pa.Table.from_batches(of(segments, p))).to_batches()]
+    merged = [b for p in range(n) for b in suffix_dedup._compare(n, 1 << 19)(iter(of(fetched, p)))]
+    out = pa.concat_tables(suffix_dedup._cut(table.filter(pa.array(parts == p)).combine_chunks(), pa.Table.from_batches(of(segments, p) + of(merged, p))) for p in range(n))
+    got = {r["id"]: (r["n_bytes"], sum(s["stop"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) for r in out.to_pylist()}
+    assert got == brute_repeats(rows)
+
+
 def test_bwt_merge_equals_sorting():
     rng = np.random.default_rng(5)
     lengths = np.array([130, 150, 260, 100, 400])
@@ -190,6 +224,29 @@ def test_links_lose_none(spark, block):
     assert len(set(zip(mine, theirs))) == len(set(mine)) == len(set(theirs))
 
 
+def test_keep_one_and_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(simhash_dedup, "LARGE", 2)  # on the driver: which groups are joined in place
+    rows = corpus(5, 40)
+    rows += [(300 + i, rows[3][1]) for i in range(12)] + [(None, rows[4][1]), (None, rows[4][1]), (rows[6][0], "quite another text under an id that is taken, with enough words")]
+    got = simhash_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    prints = [brute_fingerprint(t) for _, t in rows]
+    roots = brute_components(prints)
+    least = {}
+    for (d, _), r in zip(rows, roots):
+        if d is not None:
+            least[r] = min(least.get(r, d), d)
+    order = lambda x: tuple((v is None, v or 0) if not isinstance(v, str) else v for v in x)
+    assert sorted(((r.doc_id, r.fingerprint, r.component_id) for r in got), key=order) == sorted(((d, "%016x" % p, least.get(r)) for (d, _), p, r in zip(rows, prints, roots)), key=order)
+    kept = simhash_dedup.keep_one(frame(spark, rows))
+    assert set(frame(spark, rows).columns) == set(kept.columns)
+    firsts = {}
+    for (d, _), r in zip(rows, roots):
+        firsts[r] = min(firsts.get(r, (True, 0)), (d is None, d or 0))
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == sorted(firsts.values())
+    assert simhash_dedup.keep_one(frame(spark, [])).count() == 0 and simhash_dedup.near_duplicates(frame(spark, [])).count() == 0
+
+
 def test_golay_decodes_within_three():
     words = np.random.default_rng(1).integers(0, 1 << 23, 500)
     index = golay.decode(words)

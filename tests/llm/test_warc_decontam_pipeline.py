@@ -7,7 +7,7 @@ import zlib
 import pytest
 
 import corpus_pipeline
-from stratavox.llm import common, decontam, warc
+from stratavox.llm import common, decontam, simhash_dedup, warc
 
 
 class Bytes:
@@ -64,7 +64,7 @@ def test_myers_equals_dynamic_programming():
 def test_matches_equal_brute_force(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
-    items = [(i, " ".join(word() for _ in range(25))) for i in range(6)] + [(6, "tiny"), (7, None)]
+    items = [(i, " ".join(word() for _ in range(25))) for i in range(6)] + [(6, "zq zq"), (7, None), (8, "exactly fifteen"), (9, "nineteen characters"), (10, " \n ")]
     docs = []
     for d in range(60):
         text = " ".join(word() for _ in range(rng.randint(0, 60)))
@@ -75,21 +75,82 @@ def test_matches_equal_brute_force(spark):
                 chars[k : k + 1] = rng.choice([[], ["x"], [chars[k], "y"]])
             text += "  " + "".join(chars).upper().replace(" ", "\n", 1) + " " + word()
         docs.append((d, text))
-    docs += [(None, items[0][1]), (900, None), (901, ""), (902, "z" * 50_000)]
+    docs += [(None, items[0][1]), (900, None), (901, ""), (902, "z" * 50_000), (903, "so ZQ  zq so"), (904, "Exactly\nfifteen"), (905, "exactly fiften"), (906, "exactly ften"), (907, "ninteen characters"), (None, "clean, without an id"), (0, "clean, under an id that is taken")]
     a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     expected = set()
     for d, t in docs:
         for i, x in items:
             n = decontam.normal(x)
-            if len(n) >= decontam.MIN_ITEM and len(decontam.normal(t)) < 2000 and sub_distance(n, decontam.normal(t)) <= int(len(n) * decontam.ERROR_RATE):
+            if n and len(decontam.normal(t)) < 2000 and sub_distance(n, decontam.normal(t)) <= int(len(n) * decontam.ERROR_RATE):
                 expected.add((d, i))
     for chars in (1 << 20, 200):
         assert {(r.doc_id, r.item_id) for r in decontam.matches(a, b, block_chars=chars).collect()} == expected
-    left = {r.doc_id for r in decontam.clean(a, b).collect()}
-    assert left == {d for d, _ in docs} - {d for d, _ in expected}
+        left = sorted((r.text or "") for r in decontam.clean(a, b, block_chars=chars).collect())
+        bad = {t for d, t in docs for i, x in items if decontam.normal(x) and len(decontam.normal(t)) < 2000 and sub_distance(decontam.normal(x), decontam.normal(t)) <= int(len(decontam.normal(x)) * decontam.ERROR_RATE)}
+        assert left == sorted((t or "") for _, t in docs if t not in bad)
+    assert {(903, 6), (904, 8), (905, 8), (907, 9)} <= expected and not {(906, 8)} & expected
+    assert decontam.clean(a.limit(0), b).count() == 0 and decontam.clean(a, b.limit(0)).count() == len(docs)
     assert decontam.matches(a, b.limit(0)).count() == 0
 
 
+def test_other_writers_archives(spark, tmp_path):
+    raw = b"x" * 1500
+    good = hashlib.sha1(raw).hexdigest()
+
+    def member(head, block):
+        c = zlib.compressobj(6, zlib.DEFLATED, 31)
+        text = b"WARC/1.0\r\n" + b"".join(k + b": " + v + b"\r\n" for k, v in head) + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+        return c.compress(text) + c.flush()
+
+    http = b"HTTP/1.1 200 OK\r\n\r\n" + raw
+    data = member([(b"WARC-Type", b"warcinfo"), (b"WARC-Record-ID", b"<urn:uuid:1>")], b"software: other")
+    data += member([(b"WARC-Type", b"response"), (b"WARC-Record-ID", b"<urn:uuid:2>"), (b"WARC-Payload-Digest", b"sha1:" + good.encode())], http)
+    data += member([(b"WARC-Type", b"response"), (b"WARC-Payload-Digest", b"md5:abc")], http) + member([(b"WARC-Type", b"response")], http)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    archives = spark.createDataFrame([("a.warc.gz", len(data))], "name string, size long")
+    got = warc.read(spark, f"file://{tmp_path}", archives, split=300).collect()
+    assert sorted((r.record_type, r.record_id or "", r.page_id, r.payload_digest == good) for r in got) == [("response", "", None, True), ("response", "", None, True), ("response", "urn:uuid:2", None, True), ("warcinfo", "urn:uuid:1", None, False)]
+
+
+def test_each_stage_against_brute_force(spark):
+    """Small documents through every stage, each judged on its own input by plain Python."""
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6))) for _ in range(60)]
+    say = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    rows = [(i, say(60) + "\n" + say(30), "en", f"s{i % 3}", 0) for i in range(60)]
+    rows += [(100 + i, rows[i][1], "en", "s1", 0) for i in range(5)] + [(200, "9 8 7 !!", None, None, 0), (201, None, "en", None, 0), (202, "", None, None, 0)]
+    rows += [(203, " ".join("".join(rng.choice("qwxzkvyu") for _ in range(7)) for _ in range(80)), None, "s2", 0), (3, say(70), "en", "s0", 0), (None, say(80), "en", "s0", 0), (None, say(75), "en", "s0", 0)]
+    rows += [(300, rows[50][1], "en", "s0", 0), (300, rows[50][1], "en", "s0", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    key = lambda r: (r.doc_id if r.doc_id is not None else -1, r.text or "")
+    kept = corpus_pipeline.language_stage(spark, docs, None)
+    left = sorted(map(key, kept.collect()))
+    assert left == sorted((d if d is not None else -1, t) for d, t, *_ in rows if d not in (200, 201, 202, 203))
+    lines = corpus_pipeline.line_stage(spark, kept, None).collect()
+    first = {}
+    for d, t in left:
+        for line in t.split("\n"):
+            first[line.strip().lower()] = min(first.get(line.strip().lower(), d), d)
+    assert sorted(map(key, lines)) == sorted((d, "\n".join(x for x in t.split("\n") if len(x.strip()) < 10 or first[x.strip().lower()] == d)) for d, t in left)
+    assert all(r.n_chars == len(r.text) for r in lines)
+    prints = [simhash_dedup.fingerprint((t or "").encode()) for _, t in left]
+    group = list(range(len(left)))
+    for _ in left:
+        for i in range(len(left)):
+            for j in range(len(left)):
+                if bin(prints[i] ^ prints[j]).count("1") <= simhash_dedup.RADIUS:
+                    group[i] = min(group[i], group[j])
+    near = sorted(map(key, corpus_pipeline.near_duplicate_stage(spark, kept, None).collect()))
+    assert len(near) == len(set(group))
+    of = {}
+    for (d, t), g in zip(left, group):
+        of.setdefault(g, []).append((d < 0, d))
+    assert sorted(d for d, _ in near) == sorted(min(v)[1] for v in of.values())
+    mixed = corpus_pipeline.mixing_stage(spark, kept, None).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r["size"]) for r in mixed) == sorted((d, len(t.split())) for d, t in left)
+    assert abs(sum(r.taken for r in mixed) - sum(r["size"] for r in mixed)) <= 3 * 120
+
+
 def test_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
@@ -105,7 +166,7 @@ def test_pipeline(spark, sf):
         assert now <= ids and len(now) == kept.count()
         ids = now
     items = [decontam.normal(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    assert not any(i in decontam.normal(r.text) for r in kept.collect() for i in items if len(i) >= decontam.MIN_ITEM)
+    assert not any(i in decontam.normal(r.text) for r in kept.collect() for i in items)
     mixed = corpus_pipeline.run(spark, sf).collect()
     assert {r.doc_id for r in mixed} == ids
 
