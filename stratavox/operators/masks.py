@@ -136,7 +136,7 @@ def label_runs(runs: DataFrame, connectivity: int, size: int, slab: int = SLAB)
     runs = runs.select(*(F.col(c).cast("bigint").alias(c) for c in ("t", "y", "x0", "x1")))
     depth = 1 if connectivity in (4, 8) else slab
     local = runs.groupBy(F.floor(F.col("t") / depth).alias("__slab")).applyInArrow(_label_slab(connectivity, size), "t long, y long, x0 long, x1 long, root long")
-    if depth == 1:
+    if connectivity in (4, 8):
         return local
     local = checkpointed(local)
     above = local.where(F.pmod("t", F.lit(depth)) == 0).select("t", "y", F.col("x0").alias("b0"), F.col("x1").alias("b1"), F.col("root").alias("b"))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from stratavox.operators.geometry import FACES, cube_uv
 
-#: Largest certified squared sampling error, and the roundoff by which a direction may miss a closed face.
-BUDGET, TOLERANCE = 0.99, 8 * 2.0**-52
+#: Largest certified squared sampling error in a plane and on spheres, and the roundoff by which a direction
+#: may miss a closed face.
+BUDGET, SPHERE_BUDGET, TOLERANCE = 0.99, 281 / 324, 8 * 2.0**-52
 AXES = ("m00", "m01", "m02", "m10", "m11", "m12")
 
 
@@ -145,7 +146,7 @@ def spherical_plan(rows: DataFrame) -> DataFrame:
     """Adds the plan of fewest frames to (minimum, maximum, patch): intervals, patches, shells, frames, dense_frames, optimised.
 
     A face is covered by k x k patches, which hold an even number of intervals n; n fixes the angular error
-    2 (maximum / n)^2, the rest of BUDGET the gap of shells. All k up to the dense plan's are compared by (frames, k); one
+    2 (maximum / n)^2, the rest of SPHERE_BUDGET the gap of shells. All k up to the dense plan's are compared by (frames, k); one
     not better than the dense plan is not taken.
     """
     span = F.col("maximum") - F.col("minimum")
@@ -155,7 +156,7 @@ def spherical_plan(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("dense_frames", 6 * F.col("__k") * F.col("__k") * F.col("__shells"))
     tries = F.sequence(F.lit(1).cast("bigint"), F.col("__k"))
     n = lambda k: 2 * F.floor((k * F.col("patch") - 1) / 2)
-    left = lambda k: BUDGET - 2 * (F.col("maximum") / n(k)) * (F.col("maximum") / n(k))
+    left = lambda k: SPHERE_BUDGET - 2 * (F.col("maximum") / n(k)) * (F.col("maximum") / n(k))
     # the tiny factors round outwards
     count = lambda k: F.greatest(F.when(span > 0, 2).otherwise(1), F.ceil(span / (2 * F.sqrt(left(k)) * (1 - 1e-13))) + 1).cast("bigint")
     plans = F.transform(F.filter(tries, lambda k: (n(k) > 0) & (left(k) > 1e-12)), lambda k: F.struct((6 * k * k * count(k)).alias("frames"), k.alias("patches"), count(k).alias("shells"), n(k).alias("intervals")))

@@ -307,7 +307,7 @@ SELECT volume, round(360.0::DOUBLE / ({math.pi!r}::DOUBLE * n_w), 9) AS spacing,
  round(scale, 9) AS scale, round(CASE WHEN scale = 1 THEN 30.0::DOUBLE ELSE degrees(atan(tan(radians(30.0::DOUBLE)) * scale)) END, 9) AS cone FROM g""",
     "spherical_plan": f"""WITH {SHAPES}, r AS (SELECT volume, volume + 5.0::DOUBLE AS lo, volume * 11 + 40.0::DOUBLE AS hi, volume % 7 * 64 + 64 AS patch FROM shapes),
 d AS (SELECT *, (2 * greatest(1, ceil(1.5::DOUBLE * sqrt(hi) * sqrt(hi + 0.5::DOUBLE))))::BIGINT AS dn, greatest(1, ceil(hi - lo) + 1)::BIGINT AS ds FROM r), e AS (SELECT *, (dn + patch) // patch AS dk FROM d),
-k AS (SELECT volume, lo, hi, k, 2 * ((k * patch - 1) // 2) AS n FROM (SELECT *, unnest(range(1, dk + 1)) AS k FROM e)), l AS (SELECT *, {views.BUDGET!r}::DOUBLE - 2 * (hi / n) * (hi / n) AS spare FROM k WHERE n > 0),
+k AS (SELECT volume, lo, hi, k, 2 * ((k * patch - 1) // 2) AS n FROM (SELECT *, unnest(range(1, dk + 1)) AS k FROM e)), l AS (SELECT *, {views.SPHERE_BUDGET!r}::DOUBLE - 2 * (hi / n) * (hi / n) AS spare FROM k WHERE n > 0),
 c AS (SELECT *, greatest(CASE WHEN hi > lo THEN 2 ELSE 1 END, ceil((hi - lo) / (2 * sqrt(spare) * (1 - 1e-13::DOUBLE))) + 1)::BIGINT AS s FROM l WHERE spare > 1e-12),
 b AS (SELECT volume, min(6 * k * k * s) AS frames, arg_min(k, (6 * k * k * s, k)) AS k, arg_min(s, (6 * k * k * s, k)) AS s, arg_min(n, (6 * k * k * s, k)) AS n FROM c GROUP BY volume)
 SELECT e.volume, 6 * dk * dk * ds AS dense_frames, coalesce(b.frames < 6 * dk * dk * ds, false) AS optimised, CASE WHEN b.frames < 6 * dk * dk * ds THEN b.frames ELSE 6 * dk * dk * ds END AS frames, CASE WHEN b.frames < 6 * dk * dk * ds THEN b.k ELSE dk END AS patches,
