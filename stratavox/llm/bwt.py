@@ -37,10 +37,11 @@ class Rows:
         self.first = np.concatenate([[0], np.cumsum(lengths + 1)])
         text = np.concatenate([[0], np.cumsum(lengths)])
         n = int(self.first[-1])
-        self.string = np.repeat(np.arange(len(lengths)), lengths + 1)
-        self.pos = np.arange(n) - self.first[self.string]
-        self.at = self.pos + text[self.string]  # byte in data
-        self.left = lengths[self.string] - self.pos  # bytes from here to the string's end
+        # 32 bits each: the text of one task's part is far below 2 GB
+        self.string = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
+        self.pos = np.arange(n, dtype=np.int32) - self.first.astype(np.int32)[self.string]
+        self.at = self.pos + text.astype(np.int32)[self.string]  # byte in data
+        self.left = lengths.astype(np.int32)[self.string] - self.pos  # bytes from here to the string's end
         full = self.left >= STEP
         prefix = blocks.prefix_hash(data)
         at = self.at[full]
@@ -71,7 +72,7 @@ def build_shard(rows: Rows, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     order = _stable_order(np.where(left < STEP, 0, rank.astype(np.int64) + 1))
     pos = rows.pos[a:b][order]
     before = np.where(pos >= STEP, s1[order - np.minimum(STEP, pos)], 0).astype(np.uint32)
-    return order + a, before
+    return (order + a).astype(np.int32), before
 
 
 def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +82,8 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     small = np.uint16 if len(shards) < 65536 else np.uint32
     z = np.repeat(np.arange(len(shards), dtype=small), sizes)
     last = np.concatenate([t for _, t in shards])
-    cls = np.zeros(n, np.int64)
-    common = np.full(n, DEPTH, np.int16)
+    cls = np.zeros(n, np.int32)
+    common = np.full(n, DEPTH, np.int8)
     for done in range(DEPTH):
         c = np.empty(n, np.uint32)
         c[np.argsort(z, kind="stable")] = last
@@ -92,8 +93,8 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
         new[:1] = True
         new[1:] = (c[1:] != c[:-1]) | ((cls[1:] != cls[:-1]) & (c[1:] != 0))
         common[new & (common == DEPTH)] = done
-        cls = np.cumsum(new) - 1
-    sa = np.empty(n, np.int64)
+        cls = np.cumsum(new, dtype=np.int32)
+    sa = np.empty(n, np.int32)
     sa[np.argsort(z, kind="stable")] = np.concatenate([s for s, _ in shards])
     return sa, common
 
@@ -115,7 +116,7 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, order_key: np.ndarra
     if cuts[-1] != len(lengths):
         cuts.append(len(lengths))
     sa, common = merge([build_shard(rows, a, b) for a, b in zip(cuts, cuts[1:])])
-    interval = np.cumsum(common < DEPTH)  # rows that share all DEPTH symbols with the row before repeat its window
+    interval = np.cumsum(common < DEPTH, dtype=np.int32)  # rows that share all DEPTH symbols with the row before repeat its window
     whole = rows.left[sa] >= width
     sa, cls = sa[whole], interval[whole]
     if not len(sa):
@@ -130,7 +131,7 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, order_key: np.ndarra
     group = np.repeat(np.arange(len(starts)), size)
     by_key[group[is_lead]] = sa[is_lead]
     rep = np.flatnonzero(key != lead)
-    here, there = rows.at[sa[rep]], rows.at[by_key[group[rep]]]
+    here, there = rows.at[sa[rep]].astype(np.int64), rows.at[by_key[group[rep]]].astype(np.int64)
     same = np.ones(len(rep), bool)
     for d in range(0, width, 4):
         block = np.ones(len(rep), bool)

@@ -31,13 +31,13 @@ from stratavox.llm.subwords import pieces
 #: Distinct texts learned from for each language at most: those with the least hash of id and text.
 SAMPLE = 400
 #: Parts in which each language's hashes are ranked before they are ranked together.
-SALTS = 64
+SALTS = 16
 #: log2 of the hashed gram tables, smoothing, cost of a change of language, score of a language not admitted by the script.
 TABLE_BITS, SMOOTHING, SWITCH, OUTSIDE = 16, 0.1, 8.0, -60.0
 #: Share of a language's words in a script from which the script admits it.
 ADMIT = 0.01
 #: Characters scored together.
-GROUP = 4 << 20
+GROUP = 2 << 20
 
 #: First code point, last code point and name of script ranges (Unicode blocks).
 SCRIPT_RANGES = (

@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,8 @@ RUN = 256
 INNER = 1 << 15
 #: Segments of one gram beyond which they are dealt by a second gram, of this many bytes.
 HOT, SECOND = 4096, 20
-#: Bytes hashed together, and of a shard transform.
-CHUNK, SHARD = 1 << 20, 1 << 19
+#: Bytes hashed together, of texts scanned together, and of a shard transform.
+CHUNK, GROUP, SHARD = 1 << 20, 24 << 20, 1 << 19
 
 
 def _window_min(h: np.ndarray, span: int) -> np.ndarray:
@@ -161,7 +162,7 @@ def equal_spans(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarr
     i = 0
     while i < len(a):
         upto = np.cumsum(length[i : i + (1 << 14)])
-        j = i + max(1, int(np.searchsorted(upto, 1 << 21, "right")))
+        j = i + max(1, int(np.searchsorted(upto, 1 << 19, "right")))
         n = length[i:j]
         begin = np.cumsum(n) - n
         step = np.arange(int(n.sum())) - np.repeat(begin, n)
@@ -175,7 +176,7 @@ def _scan(n_parts: int):
         for batch in batches:
             ids, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "row"))
             offsets, data = blocks.column_bytes(batch.column("text"))
-            for i, j in blocks.doc_groups(offsets, 24 << 20):
+            for i, j in blocks.doc_groups(offsets, GROUP):
                 own = data[offsets[i] : offsets[j]]
                 text, place, windows, gram, content = cut_segments(offsets[i : j + 1] - offsets[i], own)
                 if not len(text):
@@ -290,7 +291,9 @@ def _compare(n_parts: int, shard_bytes: int):
             at = (np.cumsum(length) - length)[order]
             doc, row, place, windows, length = (x[order] for x in (doc, row, place, windows, length))
             # strings of equal bytes are one string of the transforms: the windows of the later ones all stand earlier
-            _, first, which = np.unique(blocks.span_hash(blocks.prefix_hash(data), at, at + length), return_index=True, return_inverse=True)
+            whole = memoryview(data)
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(at.tolist(), (at + length).tolist())), np.uint64, len(at))
+            _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
             lead = first[which]
             again = np.flatnonzero((lead != np.arange(len(at))) & (length[lead] == length))
             again = again[equal_spans(data, at[again], at[lead[again]], length[again])]
