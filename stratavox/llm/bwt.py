@@ -106,6 +106,8 @@ def repeated_windows(data: np.ndarray, lengths: np.ndarray, order_key: np.ndarra
     keys must be at least a string's length apart. Every repeat is compared byte by byte with the first of its class.
     """
     width = STEP * DEPTH
+    if not len(lengths):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     rows = Rows(data, lengths)
     cuts, size = [0], 0
     for i, n in enumerate(lengths):

@@ -222,9 +222,9 @@ def _settle(n_parts: int):
         _, which, count = np.unique((home.astype(np.uint64) << np.uint64(32)) | gram, return_inverse=True, return_counts=True)
         several = (count[which] > 1) | (windows >= INNER)
         home = np.where(several, np.where(count[which] > HOT, AGAIN, home), SETTLED).astype(np.int32)
-        windows = windows & np.uint16(INNER - 1)
+        gram = np.where(several, gram, np.uint32(0)).view(np.int32)
         order = np.lexsort((place, row, doc))
-        cols = [x[order] for x in (doc, row, place, windows, home)]
+        cols = [x[order] for x in (doc, row, place, windows, home, gram)]
         yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), cols, 3))
 
     return run
@@ -254,17 +254,17 @@ def _fetch(n_parts: int):
     def run(docs: pa.Table, segments: pa.Table) -> pa.Table:
         """The texts of the segments that are compared, to the part of their gram."""
         texts = _Docs(docs)
-        doc, row, place, windows, home = _unpack_all(segments.column("blob").to_pylist(), 3, "qqqHi")
+        doc, row, place, marked, home, gram = _unpack_all(segments.column("blob").to_pylist(), 3, "qqqHii")
         begin = texts.offsets[texts.of(doc, row)] + place if len(doc) else doc
-        windows = windows.astype(np.int64)
+        windows = (marked & np.uint16(INNER - 1)).astype(np.int64)
         hot = np.flatnonzero(home == AGAIN)
         if len(hot):
             data = np.concatenate([texts.data[s : s + n + WIDTH - 1] for s, n in zip(begin[hot], windows[hot])])
-            which, inside, count, gram, _ = cut_segments(np.concatenate([[0], np.cumsum(windows[hot] + WIDTH - 1)]), data, SECOND)
+            which, inside, count, second, _ = cut_segments(np.concatenate([[0], np.cumsum(windows[hot] + WIDTH - 1)]), data, SECOND)
             from_ = hot[which]
-            parts = ((gram >> np.uint64(32)) % np.uint64(n_parts)).astype(np.int32)
-            more = (doc[from_], row[from_], place[from_] + inside, (count & np.uint16(INNER - 1)).astype(np.int64), parts, begin[from_] + inside)
-            doc, row, place, windows, home, begin = (np.concatenate(x) for x in zip((doc, row, place, windows, home, begin), more))
+            parts = ((second >> np.uint64(32)) % np.uint64(n_parts)).astype(np.int32)
+            more = (doc[from_], row[from_], place[from_] + inside, count, (count & np.uint16(INNER - 1)).astype(np.int64), parts, second.astype(np.uint32).view(np.int32), begin[from_] + inside)
+            doc, row, place, marked, windows, home, gram, begin = (np.concatenate(x) for x in zip((doc, row, place, marked, windows, home, gram, begin), more))
         rows = []
         order = np.lexsort((place, row, doc, home))
         order = order[home[order] >= 0]
@@ -272,7 +272,7 @@ def _fetch(n_parts: int):
         for a, b in zip(cuts, cuts[1:]):
             o = order[a:b]
             text = b"".join(texts.data[s : s + n + WIDTH - 1].tobytes() for s, n in zip(begin[o], windows[o]))
-            rows.append((int(home[o[0]]), _pack(doc[o], row[o], place[o], windows[o].astype(np.uint16), np.frombuffer(text, np.uint8), delta=3)))
+            rows.append((int(home[o[0]]), _pack(doc[o], row[o], place[o], marked[o], gram[o], np.frombuffer(text, np.uint8), delta=3)))
         return pa.table([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], schema=_ARROW)
 
     return run
@@ -285,11 +285,12 @@ def _compare(n_parts: int, shard_bytes: int):
         table = pa.Table.from_batches(list(batches), _ARROW)
         homes, marks = table.column("part").to_numpy(), []
         for home in np.unique(homes):  # each part on its own: memory is bounded by a part
-            doc, row, place, windows, data = _unpack_all([table.column("blob")[int(i)].as_py() for i in np.flatnonzero(homes == home)], 3, "qqqHB")
+            doc, row, place, windows, gram, data = _unpack_all([table.column("blob")[int(i)].as_py() for i in np.flatnonzero(homes == home)], 3, "qqqHiB")
             order = np.lexsort((place, row, doc))
+            inner, windows = windows[order] >= INNER, windows & np.uint16(INNER - 1)
             length = windows.astype(np.int64) + WIDTH - 1
             at = (np.cumsum(length) - length)[order]
-            doc, row, place, windows, length = (x[order] for x in (doc, row, place, windows, length))
+            doc, row, place, windows, gram, length = (x[order] for x in (doc, row, place, windows, gram, length))
             # strings of equal bytes are one string of the transforms: the windows of the later ones all stand earlier
             whole = memoryview(data)
             hashes = np.fromiter((xxhash.xxh3_64_intdigest(whole[a:b]) for a, b in zip(at.tolist(), (at + length).tolist())), np.uint64, len(at))
@@ -300,7 +301,10 @@ def _compare(n_parts: int, shard_bytes: int):
             own = np.ones(len(at), bool)
             own[again] = False
             own = np.flatnonzero(own)
-            text = np.concatenate([data[a : a + n] for a, n in zip(at[own], length[own])])
+            # a gram that is now left with one string, which has it once, has no other windows to compare
+            _, which, count = np.unique(gram[own], return_inverse=True, return_counts=True)
+            own = own[(count[which] > 1) | inner[own]]
+            text = np.concatenate([data[:0], *(data[a : a + n] for a, n in zip(at[own], length[own]))])
             string, pos = bwt.repeated_windows(text, length[own], own * (RUN + 1), shard_bytes)
             where = np.lexsort((pos, string))
             string, pos = own[string[where]], pos[where]
@@ -313,7 +317,7 @@ def _compare(n_parts: int, shard_bytes: int):
             cols = [np.concatenate(x) for x in zip(*marks)]
             order = np.lexsort((cols[2], cols[1], cols[0]))
             cols = [x[order] for x in cols]
-            yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), [*cols, np.full(len(order), -2, np.int32)], 3))
+            yield from _batches(_by_part(blocks.parts_of(cols[0], n_parts, cols[1]), [*cols, np.full(len(order), -2, np.int32), np.zeros(len(order), np.int32)], 3))
 
     return run
 
@@ -328,9 +332,10 @@ def _cut(docs: pa.Table, marks: pa.Table) -> pa.Table:
         return _RESULT_ARROW.empty_table()
     texts = _Docs(docs)
     offsets, data = texts.offsets, texts.data
-    doc, row, place, windows, kind = _unpack_all(marks.column("blob").to_pylist(), 3, "qqqHi")
+    doc, row, place, windows, kind, _ = _unpack_all(marks.column("blob").to_pylist(), 3, "qqqHii")
+    windows = (windows & np.uint16(INNER - 1)).astype(np.int64)
     order = np.lexsort((place, row, doc))
-    doc, row, place, windows, kind = (x[order] for x in (doc, row, place, windows.astype(np.int64), kind))
+    doc, row, place, windows, kind = (x[order] for x in (doc, row, place, windows, kind))
     of = texts.of(doc, row)
     order = np.argsort(of, kind="stable")
     of, place, windows, kind = (x[order] for x in (of, place, windows, kind))
