@@ -374,7 +374,7 @@ def _cut(docs: pa.Table, marks: pa.Table) -> pa.Table:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, the removed spans (maximal, as [start, stop) in UTF-8 bytes) and the kept bytes."""
     spark = docs.sparkSession
-    n = 4 * common.partitions(spark)
+    n = 2 * common.partitions(spark)
     rows = docs.select(common.id_key(id_col).alias("id"), common.text_key(text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
     home = rows.withColumn("part", F.pmod(F.xxhash64("id", "row"), F.lit(n)).cast("int"))
     blobs = rows.mapInArrow(_scan(n), _BLOBS)
