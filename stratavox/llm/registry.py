@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name -> function of (spark, sf_dir)) and, where SQL can express one, ORACLES (name -> SQL).
-MODULES = ("suffix_dedup", "quality_classifier", "language_id", "toxicity", "warc", "line_dedup", "mixing", "quality_rules", "decontam", "simhash_dedup", "centroids", "turn_repair")
+MODULES = ("suffix_dedup", "quality_classifier", "language_id", "toxicity", "warc", "line_dedup", "mixing", "quality_rules", "decontam", "simhash_dedup", "centroids", "turn_repair", "personal_data")
 
 
 def _all(kind: str) -> dict:
