@@ -87,8 +87,9 @@ DOMAINS = f"""{ANCHORS}, domains AS (SELECT lineage, anchor,
   coalesce((lag(anchor) OVER w + anchor) // 2 + 1, 0) AS frame_start, coalesce((lead(anchor) OVER w + anchor) // 2 + 1, {N_FRAMES}) AS frame_stop
   FROM anchors WINDOW w AS (PARTITION BY lineage ORDER BY anchor))"""
 EDGES = "edges AS (SELECT lineage, forward, frame AS start, frame + score % 20 + 1 AS stop FROM frames)"
+# rows with the same ends belong to one island: the sum takes them together, in whatever order they stand
 ISLANDS = """marked AS (SELECT *, max(stop) OVER (PARTITION BY lineage, forward ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src}),
-numbered AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach + {gap} THEN 1 ELSE 0 END) OVER (PARTITION BY lineage, forward ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS island FROM marked),
+numbered AS (SELECT *, sum(CASE WHEN reach IS NULL OR start > reach + {gap} THEN 1 ELSE 0 END) OVER (PARTITION BY lineage, forward ORDER BY start, stop) AS island FROM marked),
 islands AS (SELECT lineage, forward, min(start) AS start, max(stop) AS stop, count(*) AS n FROM numbered GROUP BY lineage, forward, island)"""
 PIX = """px AS (SELECT lineage % 10 AS lineage, frame // 20 AS frame, forward, score % 4 AS px, event_id % 3 = 0 AS seed FROM frames)"""
 OFFERS = "offers AS (SELECT lineage, score % 3 AS tile, frame // 40 AS frame, forward, score, event_id % 5 AS generation, 1::BIGINT << (score % 4)::INT AS provenance, event_id % 64 AS px FROM frames)"
