@@ -68,6 +68,25 @@ def restore(mask: DataFrame, axis: str, n_in: int, n_out: int) -> DataFrame:
     return mask.withColumn(axis, F.explode(F.sequence(first, last))).distinct()
 
 
+#: Axes of a view's stack, rows and columns in the native volume.
+VIEW_AXES = {"transverse": ("t", "y", "x"), "coronal": ("y", "t", "x"), "sagittal": ("x", "t", "y")}
+
+
+def assemble_views(mask: DataFrame, grid: int, native: dict[str, int]) -> DataFrame:
+    """(volume, t, y, x): views (volume, view, stack, row, col) on cubes of ``grid`` places, united on the native axes.
+
+    A view's axes are renamed, then each is brought to the native length: OR over all covered places where it shrinks, the
+    nearest place where it grows.
+    """
+    named = lambda c, axis: F.element_at(F.create_map(*(F.lit(x) for view, axes in VIEW_AXES.items() for x in (view, "stack row col".split()[axes.index(axis)]))), F.col(c))
+    place = lambda axis: F.when(named("view", axis) == "stack", F.col("stack")).when(named("view", axis) == "row", F.col("row")).otherwise(F.col("col"))
+    out = mask.where(F.col("view").isin(*VIEW_AXES)).select("volume", *(place(axis).alias(axis) for axis in ("t", "y", "x"))).distinct()
+    for axis, n in native.items():
+        if n != grid:
+            out = restore(out, axis, grid, n)
+    return out.select("volume", "t", "y", "x")
+
+
 def downbin(mask: DataFrame, by: int) -> DataFrame:
     """OR over square blocks of a slice, with how much of each block was set."""
     block = lambda c: F.floor(F.col(c) / by).cast("bigint").alias(c)

@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratavox.operators import graph
+from stratavox.session import checkpointed
+
 
 def _line(f: np.ndarray) -> np.ndarray:
     """Along the last axis, min over q of f[q] + (p - q)^2, exactly.
@@ -142,16 +145,24 @@ def assign(weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def match_tracks(pairs: DataFrame, key: str, value: str, least: float) -> DataFrame:
-    """One-to-one pairs (key, obj_l, obj_r, value) of greatest total value within each key; pairs below ``least`` don't count."""
+def match_tracks(pairs: DataFrame, value: str, least: float) -> DataFrame:
+    """One-to-one pairs (obj_l, obj_r, value) of greatest total value; pairs below ``least`` don't count.
+
+    The pairs that count fall into connected blocks of tracks, and the best assignment of all is the best of each block, so
+    a group is a block.
+    """
+    good = checkpointed(pairs.where(F.col(value) >= least).select(F.col("obj_l").cast("bigint").alias("obj_l"), F.col("obj_r").cast("bigint").alias("obj_r"), F.col(value).cast("double").alias("value")))
+    left = F.col("obj_l") * 2  # even nodes are tracks of the left side
+    found = graph.components(good.select(left.alias("a"), (F.col("obj_r") * 2 + 1).alias("b")))
+    blocks = good.withColumn("node", left).join(found, "node").select(F.col("root").alias("block"), "obj_l", "obj_r", "value")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = np.unique(pdf["obj_l"]), np.unique(pdf["obj_r"])
         w = np.zeros((len(left), len(right) + len(left)))  # a track may stay alone
-        w[np.searchsorted(left, pdf["obj_l"]), np.searchsorted(right, pdf["obj_r"])] = np.where(pdf[value] >= least, pdf[value], -1e9)
+        w[:, : len(right)] = -1e9
+        w[np.searchsorted(left, pdf["obj_l"]), np.searchsorted(right, pdf["obj_r"])] = pdf["value"]
         j = assign(w)
         ok = np.flatnonzero(j < len(right))
-        ok = ok[w[ok, j[ok]] > -1]
-        return pd.DataFrame({key: np.full(len(ok), pdf[key].iloc[0]), "obj_l": left[ok], "obj_r": right[j[ok]], "value": w[ok, j[ok]]})
+        return pd.DataFrame({"obj_l": left[ok], "obj_r": right[j[ok]], "value": w[ok, j[ok]]})
 
-    return pairs.select(key, "obj_l", "obj_r", value).groupBy(key).applyInPandas(run, f"{key} long, obj_l long, obj_r long, value double")
+    return blocks.groupBy("block").applyInPandas(run, "obj_l long, obj_r long, value double")

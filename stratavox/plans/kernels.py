@@ -23,8 +23,7 @@ def bridge_slices(spark, sf):
 
 
 def track_matching(spark, sf):
-    pairs = masks.overlap(_tracks(spark, sf, 0.0, 0), _tracks(spark, sf, 0.05, 0)).withColumn("tile", F.lit(0).cast("long"))
-    return ops.match_tracks(pairs, "tile", "iou_3d", 0.1).withColumn("value", F.round("value", 9))
+    return ops.match_tracks(masks.overlap(_tracks(spark, sf, 0.0, 0), _tracks(spark, sf, 0.05, 0)), "iou_3d", 0.1).withColumn("value", F.round("value", 9))
 
 
 def nrrd_round_trip(spark, sf):
@@ -55,7 +54,7 @@ def stream_windows(spark, sf):
 
 def stream_ledger(spark, sf):
     relays = _offers(frontier.stream_of(spark, sf, "events")).select("lineage", "frame", "px")
-    return frontier.drain(frontier.relay_ledger(relays), "update", ["lineage", "frame"]).drop("revision")
+    return frontier.ledger_totals(frontier.drain(frontier.relay_ledger(relays), "update", ["lineage", "frame", "chunk"])).drop("revisions")
 
 
 QUERIES = {f.__name__: f for f in (edt_squared, bridge_slices, track_matching, nrrd_round_trip, stream_frontier, stream_windows, stream_ledger)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stratavox.operators import ledgers as ops
-from stratavox.operators import masks, planning, temporal
+from stratavox.operators import geometry, masks, planning, temporal
 from stratavox.plans.masks import COMP, N8, V, _cells
 from stratavox.plans.planning import AUG, BGA, C, CONTENT, SPLIT_SQL
 from stratavox.plans.temporal import EDGES, OFFERS, _edges, _offers, session_windows
@@ -106,9 +106,9 @@ def relay_ends(spark, sf):
 
 
 def proto_mask(spark, sf):
-    rows = table(spark, sf, "embeddings").where("vec_id < 120")
-    coefficients = rows.select(F.col("vec_id").alias("instance"), F.posexplode("embedding").alias("k", "v")).where("k < 16").select("instance", F.col("k").cast("bigint").alias("k"), F.rint(F.col("v").cast("double") * 64).alias("c"))
-    grid = spark.range(16 * 36).select(F.floor(F.col("id") / 36).alias("k"), F.floor(F.col("id") % 36 / 6).alias("y"), (F.col("id") % 6).alias("x"))
+    rows = table(spark, sf, "embeddings")
+    coefficients = rows.select(F.col("vec_id").alias("instance"), F.posexplode("embedding").alias("k", "v")).select("instance", F.col("k").cast("bigint").alias("k"), F.rint(F.col("v").cast("double") * 64).alias("c"))
+    grid = spark.range(64 * 36).select(F.floor(F.col("id") / 36).alias("k"), F.floor(F.col("id") % 36 / 6).alias("y"), (F.col("id") % 6).alias("x"))
     prototypes = grid.withColumn("p", ((F.col("k") * 7 + F.col("y") * 3 + F.col("x") * 5) % 11 - 5).cast("double"))
     return ops.proto_mask(rows.select(F.col("vec_id").alias("instance"), (F.col("vec_id") % 10).alias("image")), prototypes, coefficients)
 
@@ -166,11 +166,10 @@ def protected_foreground(spark, sf):
 
 
 def assembled_views(spark, sf):
-    """Three axis orders of a volume, brought to common axes and joined."""
-    rows = _masks(spark, sf, 0.2).where("volume = 3").drop("volume")
-    turned = [masks.transpose(rows.where(f"x % 3 = {k}"), order) for k, order in enumerate((("t", "y", "x"), ("y", "t", "x"), ("x", "t", "y")))]
-    back = [masks.transpose(m, order) for m, order in zip(turned, (("t", "y", "x"), ("y", "t", "x"), ("y", "x", "t")))]
-    return masks.union(*back)
+    """Three neighbouring volumes as three views of one, on a native grid of 6 by 8 by 11."""
+    view = F.element_at(F.array(*map(F.lit, geometry.VIEW_AXES)), (F.col("volume") % 3 + 1).cast("int"))
+    rows = _masks(spark, sf, 0.2).select(F.floor(F.col("volume") / 3).alias("volume"), view.alias("view"), F.col("t").alias("stack"), F.col("y").alias("row"), F.col("x").alias("col"))
+    return geometry.assemble_views(rows, 8, {"t": 6, "y": 8, "x": 11})
 
 
 QUERIES = {
@@ -217,8 +216,8 @@ SELECT doc_id, augmentation_index, split_subset, foreground OR split_subset <> '
     "aligned_labels": "SELECT o_orderpriority AS volume, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS frame, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || '_' || o_orderkey::VARCHAR || '.txt' END AS label_file FROM orders",
     "window_tasks": f"""SELECT lineage, anchor, branch, ordinal, CASE WHEN ordinal = 1 THEN 'center' WHEN ordinal > 1 THEN branch END AS parent_branch, CASE WHEN ordinal > 0 THEN ordinal - 1 END AS parent FROM ({TEMPORAL['session_windows']})""",
     "relay_ends": f"{sql('frames')}, {EDGES}, {MERGED} SELECT lineage, start AS frame, true AS forward FROM merged UNION SELECT lineage, stop - 1, false FROM merged",
-    "proto_mask": """WITH e AS (SELECT vec_id AS instance, unnest(range(16)) AS k, unnest(embedding[1:16])::DOUBLE AS v FROM embeddings WHERE vec_id < 120),
-p AS (SELECT k, y, x, ((k * 7 + y * 3 + x * 5) % 11 - 5)::DOUBLE AS p FROM (SELECT unnest(range(16)) AS k), (SELECT unnest(range(6)) AS y), (SELECT unnest(range(6)) AS x)),
+    "proto_mask": """WITH e AS (SELECT vec_id AS instance, unnest(range(64)) AS k, unnest(embedding)::DOUBLE AS v FROM embeddings),
+p AS (SELECT k, y, x, ((k * 7 + y * 3 + x * 5) % 11 - 5)::DOUBLE AS p FROM (SELECT unnest(range(64)) AS k), (SELECT unnest(range(6)) AS y), (SELECT unnest(range(6)) AS x)),
 l AS (SELECT instance, y, x, sum(round_even(v * 64, 0) * p) AS logit FROM e JOIN p USING (k) GROUP BY ALL) SELECT instance % 10 AS image, y, x, max(logit) AS logit FROM l GROUP BY instance % 10, y, x HAVING max(logit) > 0""",
     "tracker_scores": "SELECT p_partkey, round(1 / (1 + exp(-(p_partkey % 41 - 20) / 4.0::DOUBLE)), 9) AS prob FROM part WHERE p_partkey % 9 <> 0",
     "component_match": f"""{V(0.05)}, strong AS (SELECT * FROM voxels WHERE v > 0.15), {COMP(N8)}, reach2 AS (SELECT t, y, x, (t * 8 + y) * 8 + x AS root FROM strong UNION SELECT n.t, n.y, n.x, r.root FROM reach2 r JOIN strong n ON {N8}),
@@ -239,5 +238,7 @@ SELECT volume, t, CASE WHEN volume % 8 >= 4 THEN xx ELSE yy END AS y, CASE WHEN
     "foreground_delta": f"""{V(0.0)}, d AS (SELECT unnest([0, 1, -1, 0, 0, 0, 0]) AS dt, unnest([0, 0, 0, 1, -1, 0, 0]) AS dy, unnest([0, 0, 0, 0, 0, 1, -1]) AS dx), g AS (SELECT DISTINCT t + dt AS t, y + dy AS y, x + dx AS x FROM voxels, d WHERE v > 0.3)
 SELECT t, y, x FROM g WHERE t >= 0 AND y BETWEEN 0 AND 7 AND x BETWEEN 0 AND 7 EXCEPT SELECT t, y, x FROM voxels""",
     "protected_foreground": f"""{V(0.1)}, {COMP(N8)}, j AS (SELECT c.*, v.v FROM comp c JOIN voxels v USING (t, y, x)) SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM j WHERE x < 3 OR root IN (SELECT root FROM j GROUP BY root HAVING max(v) >= 0.25)""",
-    "assembled_views": f"{V(0.2)}, {MASK} SELECT t, y::BIGINT AS y, x::BIGINT AS x FROM masks WHERE volume = 3",
+    "assembled_views": f"""{V(0.2)}, {MASK}, n AS (SELECT volume // 3 AS volume, CASE volume % 3 WHEN 0 THEN t ELSE y END AS t, CASE volume % 3 WHEN 0 THEN y WHEN 1 THEN t ELSE x END AS y, CASE volume % 3 WHEN 2 THEN t ELSE x END AS x FROM masks),
+st AS (SELECT o AS ot FROM (SELECT unnest(range(6)) AS o)), sx AS (SELECT o AS ox, round_even(o * 7 / 10.0::DOUBLE, 0)::BIGINT AS src FROM (SELECT unnest(range(11)) AS o))
+SELECT DISTINCT volume, ot AS t, y::BIGINT AS y, ox AS x FROM n JOIN st ON n.t >= floor(ot * 8 / 6.0) AND n.t < ceil((ot + 1) * 8 / 6.0) JOIN sx ON sx.src = n.x""",
 }

@@ -122,7 +122,7 @@ def spherical_frames(spark, sf):
 
 
 def spherical_linear(spark, sf):
-    return views.linear_frames(_grays(spark, sf).where("volume < 4"), _spherical(spark), "face", "shell", "row", "col")
+    return views.linear_frames(_grays(spark, sf), _spherical(spark), "face", "shell", "row", "col")
 
 
 def spherical_projection(spark, sf):
@@ -260,9 +260,9 @@ def _nearest_sql(samples: str, keys: str) -> str:
     return f"{V(0.15)}, {MASK}, {samples}, frames AS (SELECT m.volume, {keys} FROM samples s JOIN masks m ON m.t = floor(s.t + 0.5) AND m.y = floor(s.y + 0.5) AND m.x = floor(s.x + 0.5))"
 
 
-def _linear_sql(samples: str, keys: str, where: str) -> str:
+def _linear_sql(samples: str, keys: str) -> str:
     return f"""WITH {GRAYS}, {samples}, w AS (SELECT volume, {keys}, sum(g.g * (1 - abs(g.t - s.t)) * (1 - abs(g.y - s.y)) * (1 - abs(g.x - s.x))) AS v FROM samples s JOIN grays g
- ON abs(g.t - s.t) < 1 AND abs(g.y - s.y) < 1 AND abs(g.x - s.x) < 1 WHERE {where} GROUP BY ALL) SELECT volume, {keys}, least(255, round_even(round(v, 6), 0))::BIGINT AS g FROM w"""
+ ON abs(g.t - s.t) < 1 AND abs(g.y - s.y) < 1 AND abs(g.x - s.x) < 1 GROUP BY ALL) SELECT volume, {keys}, least(255, round_even(round(v, 6), 0))::BIGINT AS g FROM w"""
 
 
 def _spherical_projection_sql() -> str:
@@ -318,10 +318,10 @@ SELECT e.volume, 6 * dk * dk * ds AS dense_frames, coalesce(b.frames < 6 * dk *
 s AS (SELECT *, CASE WHEN token LIKE '%.%' THEN token::DOUBLE ELSE greatest(4, floor(token::DOUBLE / 4 + 0.5) * 4) / greatest(n_t, n_h, n_w) END AS sc FROM q),
 o AS (SELECT volume, nth, token, {", ".join(f"greatest(4, floor(round(n_{c} * sc, 9) / 4 + 0.5) * 4)::BIGINT AS out_{c}" for c in "thw")} FROM s) SELECT volume, out_t, out_h, out_w, arg_min(token, nth) AS token FROM o GROUP BY volume, out_t, out_h, out_w""",
     "spherical_frames": f"{_nearest_sql(_samples_sql(), 'face, shell, row, col')} SELECT * FROM frames",
-    "spherical_linear": _linear_sql(_samples_sql(), "face, shell, row, col", "volume < 4"),
+    "spherical_linear": _linear_sql(_samples_sql(), "face, shell, row, col"),
     "spherical_projection": _spherical_projection_sql(),
     "radial_frames": f"{_nearest_sql(RADIAL, 'shell, height, arc')} SELECT * FROM frames",
-    "radial_linear": _linear_sql(RADIAL, "shell, height, arc", "true"),
+    "radial_linear": _linear_sql(RADIAL, "shell, height, arc"),
     "radial_projection": f"""{_nearest_sql(RADIAL, 'shell, height, arc')}, g AS (SELECT y, x, sqrt((y - 3.5::DOUBLE) * (y - 3.5) + (x - 3.5::DOUBLE) * (x - 3.5)) AS rad, atan2(y - 3.5::DOUBLE, x - 3.5::DOUBLE) AS a FROM (SELECT unnest(range(8)) AS y), (SELECT unnest(range(8)) AS x)),
 n AS (SELECT *, (SELECT arg_min(k, (round(abs(rad - rr), 9), k)) FROM (SELECT unnest(range({len(RADII)})) AS k, unnest({RADII!r})::DOUBLE AS rr)) AS sh FROM g WHERE rad BETWEEN {RADII[0] - 1e-9!r} AND {RADII[-1] + 1e-9!r}),
 o AS (SELECT y, x, sh, round_even(round((CASE WHEN a < 0 THEN a + {2 * math.pi!r}::DOUBLE ELSE a END + turn * {2 * math.pi!r}::DOUBLE) * {RADII!r}[sh + 1]::DOUBLE, 9), 0)::BIGINT AS ar FROM n, (SELECT unnest([-1, 0, 1]) AS turn))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,26 +16,34 @@ KEYS = ["lineage", "tile", "frame", "forward"]
 
 
 def stream_of(spark: SparkSession, sf_dir: str, name: str, files_at_once: int = 1) -> DataFrame:
-    """A driver table as a stream of its files."""
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A driver table as a stream of its files, whether the table is one file or a folder of parts."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once)
+    return stream.parquet(path) if folder else stream.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def drain(stream: DataFrame, mode: str, keys: list[str]) -> DataFrame:
-    """Runs a stream over what there is and returns the last row of each key.
+def drain(stream: DataFrame, mode: str, keys: list[str], out: str | None = None) -> DataFrame:
+    """Runs a stream over what there is and returns the last row of each key; no row if there was no batch.
 
-    Every micro-batch is written under its number, so a batch that is tried again replaces itself.
+    Every micro-batch is written under its number, so a batch that is tried again replaces itself. With the folder ``out`` of
+    an earlier run the stream goes on from there.
     """
     spark = stream.sparkSession
-    out = shared_path(spark, "stream")
+    out = out or shared_path(spark, "stream")
 
     def keep(batch: DataFrame, number: int) -> None:
-        batch.withColumn("__batch", F.lit(number)).write.mode("overwrite").parquet(f"{out}/rows/batch={number:08d}")
+        batch.withColumn("__batch", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{out}/rows/batch={number:08d}")
 
     query = stream.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start()
     query.awaitTermination()
-    rows = spark.read.parquet(f"{out}/rows")
-    values = [c for c in rows.columns if c not in (*keys, "batch", "__batch")]
+    schema = stream.withColumn("__batch", F.lit(0).cast("bigint")).schema
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/rows")
+    written = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    rows = spark.read.schema(schema).parquet(f"{out}/rows") if written else spark.createDataFrame([], schema)
+    values = [c for c in stream.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "__batch").alias("v")).select(*keys, "v.*")
 
 
@@ -48,19 +57,32 @@ def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "2 hour
     return events.withWatermark("ts", late).groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).select(F.col("w.start").alias("start"), "event_type", "n", "ids")
 
 
+#: Pixels that one state row keeps, as bits.
+CHUNK = 1024
+
+
 def _ledger(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    pixels, revision = state.get if state.exists else ("", 0)
-    have = set(map(int, pixels.split(","))) if pixels else set()
-    new = {int(p) for pdf in batches for p in pdf["px"]} - have
-    if new:
-        have |= new
+    bits, revision = state.get if state.exists else (bytes(CHUNK // 8), 0)
+    have = np.unpackbits(np.frombuffer(bits, np.uint8))
+    before = int(have.sum())
+    for pdf in batches:
+        have[pdf["px"].to_numpy() % CHUNK] = 1
+    n = int(have.sum())
+    if n > before:
         revision += 1
-        state.update((",".join(map(str, sorted(have))), revision))
-        yield pd.DataFrame({"lineage": [key[0]], "frame": [key[1]], "revision": [revision], "n_pixels": [len(have)]})
+        state.update((np.packbits(have).tobytes(), revision))
+        yield pd.DataFrame({"lineage": [key[0]], "frame": [key[1]], "chunk": [key[2]], "revision": [revision], "n_pixels": [n]})
 
 
 def relay_ledger(relays: DataFrame) -> DataFrame:
-    """(lineage, frame, revision, n_pixels) whenever relays (lineage, frame, px) bring pixels that were not there; others yield nothing."""
-    return relays.groupBy("lineage", "frame").applyInPandasWithState(_ledger, "lineage long, frame long, revision long, n_pixels long", "pixels string, revision long", "update", GroupStateTimeout.NoTimeout)
+    """(lineage, frame, chunk, revision, n_pixels) whenever relays (lineage, frame, px) bring pixels that were not there; others yield nothing.
+
+    A state row holds ``CHUNK`` pixels as a bitmap, so an update rewrites as much, however many pixels a frame has.
+    """
+    rows = relays.withColumn("chunk", F.floor(F.col("px") / CHUNK))
+    return rows.groupBy("lineage", "frame", "chunk").applyInPandasWithState(_ledger, "lineage long, frame long, chunk long, revision long, n_pixels long", "bits binary, revision long", "update", GroupStateTimeout.NoTimeout)
 
 
+def ledger_totals(chunks: DataFrame) -> DataFrame:
+    """(lineage, frame, revisions, n_pixels) of the last rows of all chunks."""
+    return chunks.groupBy("lineage", "frame").agg(F.sum("revision").alias("revisions"), F.sum("n_pixels").alias("n_pixels"))
