@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratavox.operators import relays
 from stratavox.operators import temporal as ops
 from stratavox.sources.tables import frames, sql, table
 
@@ -79,7 +80,28 @@ def monotonic_cut(spark, sf):
     return ops.monotonic_cut(rows)
 
 
-QUERIES = {f.__name__: f for f in (anchor_domains, session_windows, nearest_anchor, interval_merge, relay_episodes, coverage_handoff, prompt_support, frontier_mailboxes, frontier_wave, frontier_merge, monotonic_cut)}
+#: Frames of the relay view, tiles in a row of it, and columns of a tile; the last column of a tile is the first of the next.
+RELAY_FRAMES, RELAY_TILES, RELAY_COLUMNS = 216, 4, 4
+
+
+def _observations(spark, sf):
+    return frames(spark, sf).select(
+        (F.col("lineage") % 40).alias("lineage"), (F.col("score") % RELAY_TILES).alias("tile"), F.floor(F.col("frame") / 20).alias("frame"), "forward", (F.col("event_id") % (RELAY_COLUMNS * 4)).alias("px"), "event_id"
+    )
+
+
+def relay_frontier(spark, sf):
+    """Every eleventh observation is an offer; tracks go on in time and over to the tiles beside, until nothing is new."""
+    seen = _observations(spark, sf)
+    cells = spark.range(RELAY_TILES).withColumnRenamed("id", "tile").crossJoin(spark.range(RELAY_COLUMNS * 4).withColumnRenamed("id", "px"))  # the layout of one row of tiles
+    column = F.col("px") % RELAY_COLUMNS
+    right = cells.where((column == RELAY_COLUMNS - 1) & (F.col("tile") < RELAY_TILES - 1)).select("tile", "px", (F.col("tile") + 1).alias("to_tile"), (F.col("px") - RELAY_COLUMNS + 1).alias("to_px"))
+    left = right.select(F.col("to_tile").alias("tile"), F.col("to_px").alias("px"), F.col("tile").alias("to_tile"), F.col("px").alias("to_px"))
+    found = relays.drive(seen.where("event_id % 11 = 0"), seen, right.unionByName(left), RELAY_FRAMES, empty=12)
+    return found.select("lineage", "tile", "frame", "forward", "px")
+
+
+QUERIES = {f.__name__: f for f in (relay_frontier, anchor_domains, session_windows, nearest_anchor, interval_merge, relay_episodes, coverage_handoff, prompt_support, frontier_mailboxes, frontier_wave, frontier_merge, monotonic_cut)}
 
 V = sql("frames")
 ANCHORS = "anchors AS (SELECT DISTINCT f.lineage, f.frame AS anchor FROM frames f JOIN events e USING (event_id) WHERE e.event_type = 'purchase')"
@@ -99,6 +121,21 @@ SWEEP = f"""CASE WHEN forward THEN CASE WHEN frame = {N40 - 1} THEN ceil({N40 -
 BOXES = f"""boxes AS (SELECT lineage, tile, frame, forward, max(score) AS score, max(generation) AS generation, bit_or(provenance) AS provenance, count(DISTINCT px) AS n_pixels, count(*) AS n_offers FROM offers GROUP BY ALL),
 swept AS (SELECT *, {SWEEP} AS sweep FROM boxes)"""
 ORACLES = {
+    "relay_frontier": f"""WITH RECURSIVE {V[5:]}, seen AS (SELECT lineage % 40 AS lineage, score % {RELAY_TILES} AS tile, frame // 20 AS frame, forward, event_id % {RELAY_COLUMNS * 4} AS px, event_id FROM frames),
+marked AS (SELECT *, lag(frame) OVER w AS before FROM (SELECT DISTINCT lineage, tile, px, frame FROM seen) WINDOW w AS (PARTITION BY lineage, tile, px ORDER BY frame)),
+numbered AS (SELECT *, sum(CASE WHEN before IS NULL OR frame > before + 13 THEN 1 ELSE 0 END) OVER (PARTITION BY lineage, tile, px ORDER BY frame) AS island FROM marked),
+runs AS MATERIALIZED (SELECT lineage, tile, px, min(frame) AS start, max(frame) AS stop FROM numbered GROUP BY lineage, tile, px, island),
+mail AS (
+  SELECT DISTINCT lineage, tile, frame, forward, px FROM seen WHERE event_id % 11 = 0
+  UNION
+  SELECT lineage, CASE rule WHEN 0 THEN tile ELSE tile + side END, CASE rule WHEN 0 THEN bound WHEN 1 THEN least(frame, upto) ELSE greatest(frame, upto) END,
+         CASE rule WHEN 0 THEN forward ELSE rule = 1 END, CASE rule WHEN 0 THEN px ELSE px - side * {RELAY_COLUMNS - 1} END
+  FROM (SELECT *, CASE WHEN forward THEN least(stop, bound) ELSE greatest(start, bound) END AS upto,
+               CASE WHEN px % {RELAY_COLUMNS} = {RELAY_COLUMNS - 1} AND tile < {RELAY_TILES - 1} THEN 1 WHEN px % {RELAY_COLUMNS} = 0 AND tile > 0 THEN -1 ELSE 0 END AS side
+        FROM (SELECT m.*, r.start, r.stop, CASE WHEN m.forward THEN least({RELAY_FRAMES - 1}, (m.frame // 29 + 1) * 29) WHEN m.frame = 0 THEN 0 ELSE greatest(0, (m.frame - 1) // 29 * 29) END AS bound
+              FROM mail m JOIN runs r ON m.lineage = r.lineage AND m.tile = r.tile AND m.px = r.px AND m.frame BETWEEN r.start AND r.stop)), (SELECT unnest([0, 1, 2]) AS rule)
+  WHERE CASE rule WHEN 0 THEN upto = bound AND bound <> frame AND bound <> CASE WHEN forward THEN {RELAY_FRAMES - 1} ELSE 0 END ELSE side <> 0 END
+) SELECT lineage, tile, frame, forward, px FROM mail""",
     "anchor_domains": f"{V}, {DOMAINS} SELECT * FROM domains",
     "session_windows": f"""{V}, {DOMAINS}, c AS (SELECT *, frame_stop - frame_start AS size, greatest(frame_start, anchor - 14) AS l FROM domains),
 c2 AS (SELECT *, CASE WHEN size <= 30 THEN frame_stop ELSE least(frame_stop, l + 30) END AS c1 FROM c),
