@@ -11,26 +11,56 @@ from stratavox.operators import graph
 from stratavox.session import checkpointed
 
 
-def _line(f: np.ndarray) -> np.ndarray:
-    """Along the last axis, min over q of f[q] + (p - q)^2, exactly.
+#: Pixels of the slices that one group holds together.
+GROUP_PIXELS = 1 << 15
 
-    Offsets are tried in order until their square alone is no less than the greatest value left: memory is that of the
-    array, and the number of steps that of the greatest distance in it.
+
+def _along(f: np.ndarray) -> np.ndarray:
+    """min over q of f[q] + (p - q)^2 along the first axis of (n, lines), exactly: the lower envelope of parabolas.
+
+    A stack for each line keeps the places whose parabolas are lowest somewhere, with the place from which each is; every
+    place is put on once and taken off once at most, so time is linear in the array.
     """
-    out = f.copy()
-    for d in range(1, f.shape[-1]):
-        if d * d >= out.max(initial=0):
-            break
-        np.minimum(out[..., d:], f[..., :-d] + d * d, out=out[..., d:])
-        np.minimum(out[..., :-d], f[..., d:] + d * d, out=out[..., :-d])
+    n, m = f.shape
+    site, start = np.zeros((n, m), np.int64), np.zeros((n, m), np.int64)
+    top = np.zeros(m, np.int64)
+    lines = np.arange(m)
+    value = lambda p, q, line: (p - q) ** 2 + f[q, line]
+    for q in range(1, n):
+        left = lines
+        while len(left):
+            k = top[left]
+            at = start[k, left]
+            over = value(at, site[k, left], left) > value(at, q, left)
+            left = left[over]
+            top[left] -= 1
+            left = left[top[left] >= 0]
+        fresh = top < 0
+        u = site[np.maximum(top, 0), lines]
+        begin = np.where(fresh, 0, 1 + (q * q - u * u + f[q] - f[u, lines]) // np.maximum(2 * (q - u), 1))
+        put = lines[fresh | (begin < n)]
+        top[put] += 1
+        site[top[put], put], start[top[put], put] = q, begin[put]
+    out = np.empty_like(f)
+    for p in range(n - 1, -1, -1):
+        out[p] = value(p, site[top, lines], lines)
+        top -= start[top, lines] == p
+        np.maximum(top, 0, out=top)
     return out
 
 
 def squared_distance(mask: np.ndarray) -> np.ndarray:
-    """Squared distance of each pixel to the nearest set one; a large number where none is set."""
-    far = 4 * (mask.shape[0] + mask.shape[1]) ** 2
-    rows = _line(np.where(mask, 0, far).astype(np.int64))
-    return np.minimum(_line(rows.T).T, far)
+    """Squared distance of each pixel of a slice, or of each of several (k, rows, columns), to its nearest set one; a large number without any."""
+    m = mask if mask.ndim == 3 else mask[None]
+    k, h, w = m.shape
+    far = 4 * (h + w) ** 2
+    place = np.arange(w)
+    before = np.maximum.accumulate(np.where(m, place, -2 * w), axis=2)
+    after = np.minimum.accumulate(np.where(m, place, 3 * w)[..., ::-1], axis=2)[..., ::-1]
+    near = np.minimum(place - before, after - place)
+    rows = np.where(near < w, near * near, far)
+    out = _along(rows.transpose(1, 0, 2).reshape(h, k * w)).reshape(h, k, w).transpose(1, 0, 2)
+    return np.minimum(out, far).reshape(mask.shape)
 
 
 def signed_distance(mask: np.ndarray) -> np.ndarray:
@@ -38,22 +68,35 @@ def signed_distance(mask: np.ndarray) -> np.ndarray:
     return np.sqrt(squared_distance(~mask)) * mask - np.sqrt(squared_distance(mask)) * ~mask
 
 
-def _slice(pdf: pd.DataFrame, size: int) -> np.ndarray:
-    out = np.zeros((size, size), bool)
-    out[pdf["y"].to_numpy(), pdf["x"].to_numpy()] = True
-    return out
+def _stack(pdf: pd.DataFrame, size: int | None = None, canvas: int | None = None) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """(slice numbers, masks, y0, x0) of the slices of a group: whole, or in their common box with one place around it inside the canvas."""
+    t, at = np.unique(pdf["t"].to_numpy(), return_inverse=True)
+    y, x = pdf["y"].to_numpy(), pdf["x"].to_numpy()
+    if size is not None:
+        y0, x0, y1, x1 = 0, 0, size, size
+    else:
+        y0, x0 = max(int(y.min()) - 1, 0), max(int(x.min()) - 1, 0)
+        y1, x1 = min(int(y.max()) + 2, canvas), min(int(x.max()) + 2, canvas)
+    out = np.zeros((len(t), y1 - y0, x1 - x0), bool)
+    out[at, y - y0, x - x0] = True
+    return t, out, y0, x0
+
+
+def _batch(size: int):
+    """Number of the group of a slice, so that a group's slices have about ``GROUP_PIXELS`` pixels."""
+    return F.floor(F.col("t") / max(1, GROUP_PIXELS // (size * size)))
 
 
 def distances(mask: DataFrame, size: int) -> DataFrame:
     """(t, y, x, d2): squared distance of the background pixels of each non-empty slice to the mask."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = _slice(pdf, size)
+        t, m, _, _ = _stack(pdf, size)
         d = squared_distance(m)
-        y, x = np.nonzero(~m)
-        return pd.DataFrame({"t": np.full(len(y), pdf["t"].iloc[0], np.int64), "y": y, "x": x, "d2": d[y, x]})
+        k, y, x = np.nonzero(~m)
+        return pd.DataFrame({"t": t[k], "y": y, "x": x, "d2": d[k, y, x]})
 
-    return mask.select("t", "y", "x").groupBy("t").applyInPandas(run, "t long, y long, x long, d2 long")
+    return mask.select("t", "y", "x").groupBy(_batch(size).alias("g")).applyInPandas(run, "t long, y long, x long, d2 long")
 
 
 def slice_labels(mask: np.ndarray, reach: int = 1) -> np.ndarray:
@@ -79,35 +122,39 @@ def slice_labels(mask: np.ndarray, reach: int = 1) -> np.ndarray:
     return root[label]
 
 
-def thick_pixels(radius: float, size: int):
-    """Group function: pixels of a slice's components that reach ``radius`` pixels from the background somewhere."""
+def thick_pixels(mask: DataFrame, radius: float, size: int) -> DataFrame:
+    """(t, y, x): pixels of the slices' components that reach ``radius`` pixels from the background somewhere."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m = _slice(pdf, size)
-        d2, label = squared_distance(~m), slice_labels(m)
-        top = np.zeros(m.size + 1, np.int64)
+        t, m, y0, x0 = _stack(pdf, canvas=size)
+        d2 = squared_distance(~m)
+        apart = np.zeros((len(t), m.shape[1] + 1, m.shape[2]), bool)  # an empty row between slices keeps their components apart
+        apart[:, :-1] = m
+        label = slice_labels(apart.reshape(-1, m.shape[2])).reshape(apart.shape)[:, :-1]
+        top = np.zeros(apart.size + 1, np.int64)
         np.maximum.at(top, label[m], d2[m])
-        y, x = np.nonzero(m & (top[label] >= radius * radius - 1e-9))
-        return pd.DataFrame({"t": np.full(len(y), pdf["t"].iloc[0], np.int64), "y": y, "x": x})
+        k, y, x = np.nonzero(m & (top[label] >= radius * radius - 1e-9))
+        return pd.DataFrame({"t": t[k], "y": y + y0, "x": x + x0})
 
-    return run
+    return mask.select("t", "y", "x").distinct().groupBy(_batch(size).alias("g")).applyInPandas(run, "t long, y long, x long")
 
 
 def bridge(mask: DataFrame, size: int, gap: int) -> DataFrame:
     """(t, y, x): masks between slices ``gap`` apart, by signed distances that are mixed by place; slices at multiples of it.
 
-    Each slice is sent to the pair it opens and the pair it closes, so a group holds two slices.
+    Each slice is sent to the pair it opens and the pair it closes, so a group holds two slices, in their common box: outside
+    it both distances are negative.
     """
     ends = mask.where(F.col("t") % gap == 0).select("t", "y", "x", F.explode(F.array(F.col("t"), F.col("t") - gap)).alias("pair"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first, out = int(pdf["pair"].iloc[0]), []
-        a, b = (_slice(pdf[pdf["t"] == t], size) for t in (first, first + gap))
-        if a.any() and b.any():
-            da, db = signed_distance(a), signed_distance(b)
+        t, m, y0, x0 = _stack(pdf, canvas=size)
+        if len(t) == 2:
+            da, db = signed_distance(m[0]), signed_distance(m[1])
             for k in range(1, gap):
                 y, x = np.nonzero(da * (gap - k) + db * k >= 0)
-                out.append(pd.DataFrame({"t": np.full(len(y), first + k, np.int64), "y": y, "x": x}))
+                out.append(pd.DataFrame({"t": np.full(len(y), first + k, np.int64), "y": y + y0, "x": x + x0}))
         return pd.concat(out) if out else pd.DataFrame({c: np.zeros(0, np.int64) for c in ("t", "y", "x")})
 
     return ends.groupBy("pair").applyInPandas(run, "t long, y long, x long")

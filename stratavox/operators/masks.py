@@ -131,17 +131,16 @@ def label_runs(runs: DataFrame, connectivity: int, size: int, slab: int = SLAB)
     """Runs (t, y, x0, x1) with root, the least voxel code of their component.
 
     A task labels the runs of ``slab`` slices; only runs on both sides of a slab's border make edges, between the slabs'
-    components, and these go through the graph. Slices that are labelled on their own need no second step.
+    components, and these go through the graph. Components of slices end with them and need no second step.
     """
     runs = runs.select(*(F.col(c).cast("bigint").alias(c) for c in ("t", "y", "x0", "x1")))
-    depth = 1 if connectivity in (4, 8) else slab
-    local = runs.groupBy(F.floor(F.col("t") / depth).alias("__slab")).applyInArrow(_label_slab(connectivity, size), "t long, y long, x0 long, x1 long, root long")
+    local = runs.groupBy(F.floor(F.col("t") / slab).alias("__slab")).applyInArrow(_label_slab(connectivity, size), "t long, y long, x0 long, x1 long, root long")
     if connectivity in (4, 8):
         return local
     local = checkpointed(local)
-    above = local.where(F.pmod("t", F.lit(depth)) == 0).select("t", "y", F.col("x0").alias("b0"), F.col("x1").alias("b1"), F.col("root").alias("b"))
+    above = local.where(F.pmod("t", F.lit(slab)) == 0).select("t", "y", F.col("x0").alias("b0"), F.col("x1").alias("b1"), F.col("root").alias("b"))
     rules = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(r).alias("r")) for dt, dy, r in _touching(connectivity) if dt))
-    below = local.where(F.pmod("t", F.lit(depth)) == depth - 1).withColumn("o", F.explode(rules))
+    below = local.where(F.pmod("t", F.lit(slab)) == slab - 1).withColumn("o", F.explode(rules))
     below = below.select((F.col("t") + 1).alias("t"), (F.col("y") + F.col("o.dy")).alias("y"), "x0", "x1", F.col("o.r").alias("r"), F.col("root").alias("a"))
     edges = below.join(above, ["t", "y"]).where((F.col("b1") > F.col("x0") - F.col("r")) & (F.col("b0") < F.col("x1") + F.col("r"))).select("a", "b").distinct()
     found = graph.components(edges).select(F.col("node").alias("__node"), F.col("root").alias("__root"))
@@ -206,7 +205,7 @@ def drop_thin(mask: DataFrame, radius: float, size: int) -> DataFrame:
 
     The distance of a pixel is that to the nearest background of its slice; a slice without any keeps all.
     """
-    return mask.select(*AT).distinct().groupBy("t").applyInPandas(kernels.thick_pixels(radius, size), "t long, y long, x long")
+    return kernels.thick_pixels(mask, radius, size)
 
 
 def component_stats(labelled: DataFrame) -> DataFrame:

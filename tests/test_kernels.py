@@ -122,3 +122,25 @@ def test_clip_against_pixels():
     assert sorted(polygons.clip(square, 2, 3, 20, 5)) == [(2, 3), (2, 5), (10.0, 3), (10.0, 5)]
     assert polygons.clip(square, 11, 0, 12, 1) == []
     assert polygons.clip(square, -1, -1, 11, 11) == [(p["x"], p["y"]) for p in square]
+
+
+def test_distances_of_many_lines_and_batches(spark):
+    rng = np.random.default_rng(4)
+    for shape in [(1, 9), (9, 1), (40, 31)]:
+        m = rng.random((5, *shape)) < 0.03
+        m[0], m[1] = False, True
+        assert all(np.array_equal(kernels.squared_distance(m)[k], kernels.squared_distance(m[k])) for k in range(5))
+        y, x = np.nonzero(m[3])
+        yy, xx = np.mgrid[: shape[0], : shape[1]]
+        if len(y):
+            assert np.array_equal(kernels.squared_distance(m[3]), ((yy[..., None] - y) ** 2 + (xx[..., None] - x) ** 2).min(-1))
+    # slices of one group, with components at the border of the canvas, against each slice on its own
+    m = rng.random((30, 8, 8)) < 0.7
+    rows = [tuple(map(int, c)) for c in np.argwhere(m)]
+    got = {tuple(r) for r in masks.drop_thin(spark.createDataFrame(rows, "t long, y long, x long"), 1.5, 8).collect()}
+    want = set()
+    for t in range(30):
+        d2, label = kernels.squared_distance(~m[t]), kernels.slice_labels(m[t])
+        thick = {label[c] for c in np.ndindex(8, 8) if m[t][c] and d2[c] >= 2.25}
+        want |= {(t, y, x) for y, x in np.ndindex(8, 8) if m[t, y, x] and label[y, x] in thick}
+    assert got == want and 0 < len(want) < len(rows)
