@@ -4,10 +4,13 @@ DataFrame operations only. Word statistics are computed over whole texts. Docume
 are out. The other documents' ratios, as whole numbers of a fixed unit, are summarised per (lang, source) in a sketch: a
 histogram of logarithmic buckets, each split into equal parts, with a relative error of 1 / ``PARTS``. Sketches are merged
 by adding counts, so they are the same in any order of rows and in any rerun, and those of a language and of all documents
-come from those of the groups. A ratio is an outlier beyond a fence: the median plus a multiple of the spread (between
-quartiles, or from the median to the 90th percentile if wider), at least a least spread. A group's fence is shrunk towards
-that of its language, and that towards the one of all, each as if ``PRIOR`` more documents had said so: small groups hardly
-move it, large ones hardly notice, and there is no size at which the rule changes.
+come from those of the groups. A ratio is an outlier where the sketch breaks off: from the 90th percentile on (and, for the
+length of words, from the 10th down) values are passed as long as each lies near the one before, and the fence stands where
+the next would be too far to reach. Near is within ``REACH`` scales, or within a doubling of a ratio of counts; the scale is
+the spread between the quartiles or, if that is more, what a single count makes of a document of median size. So every fence
+is a value of the data and of its own scale, and a tail that thins out evenly is kept, a separate cluster is not. A group's
+fence is shrunk towards that of its language, and that towards the one of all, each as if ``PRIOR`` more documents had said
+so: small groups hardly move it, large ones hardly notice, and there is no size at which the rule changes.
 
 Nulls: a null text has no words and fails the base rules; null languages and sources are groups of their own. Repeated
 rows are judged each; ties are equal ratios with equal verdicts. A verdict never depends on an id. An empty table gives no
@@ -28,15 +31,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 #: Base rules: fewest words, and most words in repeated windows, of a hundred.
 MIN_WORDS, MOST_REPEATED = 50, 50
-#: Parts of a doubling in a sketch, documents that a prior weighs, and spreads up to the fence.
-PARTS, PRIOR, SPREADS = 64, 200, 8
-#: Ratios judged: (count, of, units of one, least spread in units). Word length has a lower fence too.
+#: Parts of a doubling in a sketch, documents that a prior weighs, and scales that a gap may have.
+PARTS, PRIOR, REACH = 64, 200, 6
+#: Ratios judged: (count, of, units of one). Word length, which is no share of a text, has a lower fence too.
 RATIOS = {
-    "symbol_ratio": ("n_symbols", "word_chars", 10_000, 200),
-    "dup_line_ratio": ("n_dup_lines", "n_lines", 10_000, 5_000),
-    "repeat_ratio": ("n_repeat_words", "n_words", 10_000, 3_000),
-    "word_length": ("word_chars", "n_words", 100, 150),
+    "symbol_ratio": ("n_symbols", "word_chars", 10_000),
+    "dup_line_ratio": ("n_dup_lines", "n_lines", 10_000),
+    "repeat_ratio": ("n_repeat_words", "n_words", 10_000),
+    "word_length": ("word_chars", "n_words", 100),
 }
+LENGTH = "word_length"
+#: Sizes of a document whose medians say what a single count makes.
+SIZES = {"symbol_ratio": "word_chars", "dup_line_ratio": "n_lines", "repeat_ratio": "n_words"}
 QUANTILES = (10, 25, 50, 75, 90)
 #: Repeated windows of a text beyond which they are found by sorting instead of by lookup.
 LOOKUP = 64
@@ -82,7 +88,7 @@ def base_failed() -> Column:
 
 def with_ratios(rows: DataFrame) -> DataFrame:
     """Adds each ratio in whole units, rounded down."""
-    return rows.withColumns({name: F.expr(f"({count} * {unit}) div greatest({of}, 1)") for name, (count, of, unit, _) in RATIOS.items()})
+    return rows.withColumns({name: F.expr(f"({count} * {unit}) div greatest({of}, 1)") for name, (count, of, unit) in RATIOS.items()})
 
 
 def bucket(value: str) -> Column:
@@ -92,37 +98,53 @@ def bucket(value: str) -> Column:
 
 
 def sketches(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, ratio, edge, n): one sketch for each group and ratio."""
-    values = F.explode(F.array(*(F.struct(F.lit(name).alias("ratio"), F.col(name).alias("value")) for name in RATIOS))).alias("v")
+    """(lang, source, ratio, edge, n): one sketch for each group and ratio, and for each group and size."""
+    values = F.explode(F.array(*(F.struct(F.lit(name).alias("ratio"), F.col(name).alias("value")) for name in (*RATIOS, *SIZES.values())))).alias("v")
     one = rows.select(F.col(lang).alias("lang"), F.col(source).alias("source"), values).select("lang", "source", "v.ratio", bucket("v.value").alias("edge"))
     return one.groupBy("lang", "source", "ratio", "edge").agg(F.count("*").alias("n"))
 
 
-def fences(sketch: DataFrame, *keys: str) -> DataFrame:
-    """(*keys, ratio, n, low, high) of sketches merged to ``keys``."""
-    merged = sketch.groupBy(*keys, "ratio", "edge").agg(F.sum("n").alias("n"))
-    whole = Window.partitionBy(*keys, "ratio")
-    merged = merged.withColumn("upto", F.sum("n").over(whole.orderBy("edge"))).withColumn("all", F.sum("n").over(whole))
-    at = [F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("edge"))).alias(f"q{p}") for p in QUANTILES]
-    out = merged.groupBy(*keys, "ratio").agg(F.sum("n").alias("n"), *at)
-    least = F.create_map(*(F.lit(x) for name, (_, _, _, slack) in RATIOS.items() for x in (name, slack)))[F.col("ratio")]
-    wide = lambda tail: F.greatest(least, SPREADS * F.greatest(F.col("q75") - F.col("q25"), tail))
-    high, low = F.col("q50") + wide(F.col("q90") - F.col("q50")), F.col("q50") - wide(F.col("q50") - F.col("q10"))
-    low = F.when(F.col("ratio") == "word_length", low).otherwise(F.lit(-1))
-    return out.select(*keys, "ratio", "n", low.cast("double").alias("low"), high.cast("double").alias("high"))
+#: Levels of the sketches: a group (language and source), its language, all documents.
+GROUP, LANG, ALL = 0, 1, 2
+
+
+def fences(sketch: DataFrame) -> DataFrame:
+    """(level, lang, source, ratio, n, low, high) of the sketches of all groups, languages and of all documents."""
+    none = F.lit(None).cast("string")
+    levels = F.explode(F.array(*(F.struct(F.lit(k).alias("level"), a.alias("lang"), b.alias("source")) for k, a, b in ((GROUP, F.col("lang"), F.col("source")), (LANG, F.col("lang"), none), (ALL, none, none))))).alias("l")
+    at = ["level", "lang", "source"]
+    merged = sketch.select(levels, "ratio", "edge", "n").groupBy("l.level", "l.lang", "l.source", "ratio", "edge").agg(F.sum("n").alias("n"))
+    one = Window.partitionBy(*at, "ratio")
+    along = one.orderBy("edge")
+    merged = merged.withColumns({"upto": F.sum("n").over(along), "all": F.sum("n").over(one), "next": F.lead("edge").over(along), "prev": F.lag("edge").over(along)})
+    merged = merged.withColumns({f"q{p}": F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("edge"))).over(one) for p in QUANTILES})
+    # the median sizes come to the ratios' rows as their own
+    medians = merged.where(F.col("ratio").isin(*SIZES.values())).groupBy(*at).agg(*(F.max(F.when(F.col("ratio") == c, F.col("q50"))).alias(f"m_{c}") for c in SIZES.values()))
+    medians = medians.select(*(F.col(c).alias(f"m_{c}") for c in at), *(f"m_{c}" for c in SIZES.values()))
+    rows = merged.where(F.col("ratio").isin(*RATIOS)).join(medians, functools.reduce(operator.and_, (F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in at)))
+    single = F.lit(1)
+    for name, of in SIZES.items():
+        single = F.when(F.col("ratio") == name, F.expr(f"{RATIOS[name][2]} div greatest(m_{of}, 1)")).otherwise(single)
+    scale = REACH * F.greatest(F.col("q75") - F.col("q25"), single, F.lit(1))
+    reach = F.when(F.col("ratio") == LENGTH, F.col("scale")).otherwise(F.greatest("scale", "edge"))
+    rows = rows.withColumn("scale", scale).withColumn("reach", reach)
+    top = (F.col("edge") >= F.col("q90")) & (F.col("next").isNull() | (F.col("next") - F.col("edge") > F.col("reach")))
+    bottom = (F.col("ratio") == LENGTH) & (F.col("edge") <= F.col("q10")) & (F.col("prev").isNull() | (F.col("edge") - F.col("prev") > F.col("scale")))
+    high, low = F.min(F.when(top, F.col("edge") + F.col("reach"))), F.max(F.when(bottom, F.col("edge") - F.col("scale")))
+    return rows.groupBy(*at, "ratio").agg(F.sum("n").alias("n"), F.coalesce(low, F.lit(-1)).cast("double").alias("low"), high.cast("double").alias("high"))
 
 
 def thresholds(rows: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """(lang, source, lo_<ratio>, hi_<ratio>) for every group in ``rows``, shrunk towards its language and all."""
-    own = sketches(rows, lang, source)
-    named = lambda df, tag: df.select(*(F.col(c).alias(f"{tag}_{c}") for c in df.columns))
-    of_lang, of_all = named(fences(own, "lang"), "l"), named(fences(own), "a")
-    joined = fences(own, "lang", "source").join(of_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("ratio") == F.col("l_ratio"))).join(F.broadcast(of_all), F.col("ratio") == F.col("a_ratio"))  # a row a ratio
+    found = common.checkpointed(fences(sketches(rows, lang, source)))  # a row a level, group and ratio
+    named = lambda level, tag: found.where(F.col("level") == level).select(*(F.col(c).alias(f"{tag}_{c}") for c in found.columns))
+    of_lang, of_all = named(LANG, "l"), named(ALL, "a")
+    joined = found.where(F.col("level") == GROUP).join(of_lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("ratio") == F.col("l_ratio"))).join(F.broadcast(of_all), F.col("ratio") == F.col("a_ratio"))  # a row a ratio
     shrunk = lambda n, x, prior: (n * x + PRIOR * prior) / (n + PRIOR)
     fence = lambda c: shrunk(F.col("n").cast("double"), F.col(c), shrunk(F.col("l_n").cast("double"), F.col(f"l_{c}"), F.col(f"a_{c}")))
-    found = joined.select("lang", "source", "ratio", fence("low").alias("low"), fence("high").alias("high"))
+    settled = joined.select("lang", "source", "ratio", fence("low").alias("low"), fence("high").alias("high"))
     pick = lambda name, c: F.max(F.when(F.col("ratio") == name, F.col(c)))
-    return found.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*(pick(r, c).alias(f"{t}_{r}") for r in RATIOS for c, t in (("low", "lo"), ("high", "hi"))))
+    return settled.groupBy(F.col("lang").alias("__lang"), F.col("source").alias("__source")).agg(*(pick(r, c).alias(f"{t}_{r}") for r in RATIOS for c, t in (("low", "lo"), ("high", "hi"))))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -144,16 +166,29 @@ def op8_quality_rules(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def _fences_sql(name: str, keys: str) -> str:
-    over, comma = (f"PARTITION BY {keys}, ratio", f"{keys}, ") if keys else ("PARTITION BY ratio", "")
-    least = " ".join(f"WHEN '{r}' THEN {slack}" for r, (_, _, _, slack) in RATIOS.items())
-    quantiles = ", ".join(f"min(edge) FILTER (WHERE upto * 100 >= total * {p}) AS q{p}" for p in QUANTILES)
-    return f"""{name} AS (
-  SELECT {comma}ratio, n::DOUBLE AS n, (q50 + greatest(least, {SPREADS} * greatest(q75 - q25, q90 - q50)))::DOUBLE AS high,
-         CASE WHEN ratio = 'word_length' THEN q50 - greatest(least, {SPREADS} * greatest(q75 - q25, q50 - q10)) ELSE -1 END::DOUBLE AS low
-  FROM (SELECT {comma}ratio, sum(n)::BIGINT AS n, CASE ratio {least} END AS least, {quantiles}
-        FROM (SELECT {comma}ratio, edge, n, sum(n) OVER ({over} ORDER BY edge) AS upto, sum(n) OVER ({over}) AS total
-              FROM (SELECT {comma}ratio, edge, count(*) AS n FROM sketch GROUP BY {comma}ratio, edge)) GROUP BY {comma}ratio))"""
+def _single_sql() -> str:
+    return "CASE ratio " + " ".join(f"WHEN '{name}' THEN {RATIOS[name][2]} // greatest(m_{of}, 1)" for name, of in SIZES.items()) + " ELSE 1 END"
+
+
+FENCES_SQL = f"""leveled AS (
+  SELECT level, CASE WHEN level < 2 THEN lang END AS lang, CASE WHEN level < 1 THEN source END AS source, ratio, edge, count(*) AS n FROM sketch, (SELECT unnest([0, 1, 2]) AS level) GROUP BY ALL
+), summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY level, lang, source, ratio) AS total FROM leveled
+), ranked AS (
+  SELECT level, lang, source, ratio, {", ".join(f"min(edge) FILTER (WHERE upto * 100 >= total * {p}) AS q{p}" for p in QUANTILES)}, list(edge ORDER BY edge) AS edges, sum(n)::DOUBLE AS n FROM summed GROUP BY ALL
+), medians AS (
+  SELECT level, lang, source, {", ".join(f"max(q50) FILTER (WHERE ratio = '{c}') AS m_{c}" for c in SIZES.values())} FROM ranked GROUP BY ALL
+), scaled AS (
+  SELECT r.*, {REACH} * greatest(q75 - q25, {_single_sql()}, 1) AS scale
+  FROM ranked r JOIN medians m ON r.level = m.level AND r.lang IS NOT DISTINCT FROM m.lang AND r.source IS NOT DISTINCT FROM m.source WHERE ratio IN ({", ".join(f"'{r}'" for r in RATIOS)})
+), stepped AS (
+  SELECT *, unnest(edges) AS e, unnest(list_append(edges[2:], NULL)) AS after, unnest(list_prepend(NULL, edges[:-2])) AS before FROM scaled
+), fenced AS (
+  SELECT level, lang, source, ratio, n,
+         min(e + CASE WHEN ratio = '{LENGTH}' THEN scale ELSE greatest(scale, e) END) FILTER (WHERE e >= q90 AND (after IS NULL OR after - e > CASE WHEN ratio = '{LENGTH}' THEN scale ELSE greatest(scale, e) END))::DOUBLE AS high,
+         coalesce(max(e - scale) FILTER (WHERE ratio = '{LENGTH}' AND e <= q10 AND (before IS NULL OR e - before > scale)), -1)::DOUBLE AS low
+  FROM stepped GROUP BY ALL
+)"""
 
 
 OP8_SQL = rf"""
@@ -176,14 +211,14 @@ WITH base AS (
   FROM split s LEFT JOIN chars c ON s.r = c.r LEFT JOIN covered v ON s.r = v.r
 ), judged AS (
   SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
-         {", ".join(f"({c} * {u}) // greatest({of}, 1) AS {r}" for r, (c, of, u, _) in RATIOS.items())}
+         {", ".join(f"({c} * {u}) // greatest({of}, 1) AS {r}" for r, (c, of, u) in RATIOS.items())}
   FROM counted
 ), sketch AS (
   SELECT lang, source, ratio, CASE WHEN v < {2 * PARTS} THEN v ELSE (v >> (length(bin(v)) - {(2 * PARTS).bit_length() - 1})) << (length(bin(v)) - {(2 * PARTS).bit_length() - 1}) END AS edge
-  FROM (SELECT lang, source, unnest([{", ".join(f"'{r}'" for r in RATIOS)}]) AS ratio, unnest([{", ".join(RATIOS)}]) AS v FROM judged WHERE NOT base_failed)
-), {_fences_sql("own", "lang, source")}, {_fences_sql("of_lang", "lang")}, {_fences_sql("of_all", "")}, shrunk AS (
+  FROM (SELECT lang, source, unnest([{", ".join(f"'{r}'" for r in (*RATIOS, *SIZES.values()))}]) AS ratio, unnest([{", ".join((*RATIOS, *SIZES.values()))}]) AS v FROM judged WHERE NOT base_failed)
+), {FENCES_SQL}, shrunk AS (
   SELECT o.lang, o.source, o.ratio, {", ".join(f"(o.n * o.{c} + {PRIOR}::DOUBLE * ((l.n * l.{c} + {PRIOR}::DOUBLE * a.{c}) / (l.n + {PRIOR}::DOUBLE))) / (o.n + {PRIOR}::DOUBLE) AS {c}" for c in ("low", "high"))}
-  FROM own o JOIN of_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio JOIN of_all a ON o.ratio = a.ratio
+  FROM fenced o JOIN fenced l ON l.level = 1 AND o.lang IS NOT DISTINCT FROM l.lang AND o.ratio = l.ratio JOIN fenced a ON a.level = 2 AND o.ratio = a.ratio WHERE o.level = 0
 ), wide AS (
   SELECT lang, source, {", ".join(f"max(low) FILTER (WHERE ratio = '{r}') AS lo_{r}, max(high) FILTER (WHERE ratio = '{r}') AS hi_{r}" for r in RATIOS)} FROM shrunk GROUP BY lang, source
 )

@@ -322,10 +322,15 @@ def test_quality_verdict_against_plain(spark):
 
     def fence(ids, ratio):
         values = sorted(edge(got[d][ratio]) for d in ids)
-        q = {p: values[-(-len(values) * p // 100) - 1] for p in quality_rules.QUANTILES}
-        least, many = quality_rules.RATIOS[ratio][3], quality_rules.SPREADS
-        high = q[50] + max(least, many * max(q[75] - q[25], q[90] - q[50]))
-        return len(values), (q[50] - max(least, many * max(q[75] - q[25], q[50] - q[10])) if ratio == "word_length" else -1), high
+        rank = lambda v, p: sorted(v)[-(-len(v) * p // 100) - 1]
+        q = {p: rank(values, p) for p in quality_rules.QUANTILES}
+        size = quality_rules.SIZES.get(ratio)
+        single = 10_000 // max(1, rank([edge(got[d][size]) for d in ids], 50)) if size else 1
+        scale = quality_rules.REACH * max(q[75] - q[25], single, 1)
+        reach = lambda v: max(scale, v) if size else scale
+        high = next(v for v in values if v >= q[90] and not any(v < w <= v + reach(v) for w in values))
+        low = next(v for v in reversed(values) if v <= q[10] and not any(v - scale <= w < v for w in values))
+        return len(values), -1 if size else low - scale, high + reach(high)
 
     fine = {d: r for d, r in got.items() if not r.base_failed}
     where = {d: (lang, source) for d, _, lang, source in rows}
