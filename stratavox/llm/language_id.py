@@ -2,7 +2,8 @@
 
 Every word gets one score a language, the log-likelihood of its letters' bigrams and trigrams under hashed models that are
 learned from a bounded sample of labelled texts. A word's script, looked up by code-point ranges, admits only languages
-that are written in it in the sample. A Viterbi pass over the words, where changing the language costs a fixed penalty,
+that are written in it in the sample; the others are not scored and cannot be chosen (all are, for a script that no language
+is written in). A gram that a language's sample lacks costs the same in every language, however small its sample. A Viterbi pass over the words, where changing the language costs a fixed penalty,
 gives the best labelling; runs of equal labels are the spans. The pass runs over all texts of a batch at once, word by word.
 
 A text's language is the one with most letters. Its score is the product of three shares: of the letters that have this
@@ -32,10 +33,12 @@ from stratavox.llm.subwords import pieces
 SAMPLE = 400
 #: Parts in which each language's hashes are ranked before they are ranked together.
 SALTS = 16
-#: log2 of the hashed gram tables, smoothing, cost of a change of language, score of a language not admitted by the script.
-TABLE_BITS, SMOOTHING, SWITCH, OUTSIDE = 16, 0.1, 8.0, -60.0
+#: log2 of the hashed gram tables, share of unseen grams, cost of a change of language.
+TABLE_BITS, UNSEEN, SWITCH = 16, 0.01, 8.0
+#: What stands for the score of a language that the script excludes: no sum of scores within a text outweighs it.
+EXCLUDED = -1e9
 #: Share of a language's words in a script from which the script admits it.
-ADMIT = 0.01
+ADMIT = 0.1
 #: Characters scored together.
 GROUP = 2 << 20
 
@@ -143,9 +146,8 @@ class Model:
         def logs(counts):
             out = np.empty((size, len(counts)), np.float32)
             for k, (at, n) in enumerate(counts):
-                total = float(n.sum()) + SMOOTHING * size
-                out[:, k] = np.log(SMOOTHING / total)
-                out[at, k] = np.log((n + SMOOTHING) / total)
+                out[:, k] = np.log(UNSEEN / size)
+                out[at, k] = np.log((1 - UNSEEN) * n / max(1.0, float(n.sum())) + UNSEEN / size)
             return out
 
         self.three, self.two = (logs(c) for c in self.counts)
@@ -155,7 +157,7 @@ class Model:
         share = self.scripts / np.maximum(1, self.scripts.sum(axis=1, keepdims=True))
         admitted = (share >= ADMIT).T
         admitted[~admitted.any(axis=1)] = True
-        self.outside = np.where(admitted, 0.0, OUTSIDE).astype(np.float32)
+        self.admitted = admitted
         self.ready = True
 
     def known(self, w: Words, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,20 +176,26 @@ class Model:
         return out, w.stop - w.start
 
     def scores(self, w: Words) -> np.ndarray:
-        """(words, languages)."""
-        out = np.zeros((len(w.start), len(self.langs)), np.float32)
+        """(words, languages): only those that the word's script admits are scored."""
+        out = np.full((len(w.start), len(self.langs)), EXCLUDED, np.float32)
         i, step = 0, max(1 << 14, (1 << 20) // max(1, len(self.langs)))
         while i < len(w.start):
             a = int(w.start[i])
             j = max(i + 1, int(np.searchsorted(w.stop, a + step, "right")))
             b = int(w.stop[j - 1])
             three, two = w.grams(a, b)
-            value = self.three[three]
-            value += self.two[two]
             bounds = np.stack([w.start[i:j] - a, w.stop[i:j] - a], 1).ravel()
-            out[i:j] = np.add.reduceat(np.concatenate([value, np.zeros((1, value.shape[1]), np.float32)]), bounds, axis=0)[::2]
+            # scripts that admit the same languages are scored together
+            sets, which = np.unique(self.admitted[w.script[i:j]], axis=0, return_inverse=True)
+            for k, admitted in enumerate(sets):
+                langs, mine = np.flatnonzero(admitted), np.flatnonzero(which.reshape(-1) == k)
+                whole = len(langs) == len(self.langs)
+                value = self.three[three] if whole else self.three[np.ix_(three, langs)]
+                value += self.two[two] if whole else self.two[np.ix_(two, langs)]
+                sums = np.add.reduceat(np.concatenate([value, np.zeros((1, value.shape[1]), np.float32)]), bounds, axis=0)[::2]
+                out[np.ix_(i + mine, langs)] = sums[mine]
             i = j
-        return out + self.outside[w.script]
+        return out
 
 
 def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float = SWITCH) -> np.ndarray:
@@ -208,7 +216,8 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float = SW
         top = prev.max(axis=1, keepdims=True) - np.float32(switch)
         stay = prev >= top
         from_[at] = np.where(stay, own, prev.argmax(axis=1).astype(kind)[:, None])
-        best[:k] = np.maximum(prev, top) + scores[at]
+        now = np.maximum(prev, top) + scores[at]
+        best[:k] = now - now.max(axis=1, keepdims=True)  # only differences matter, and they stay exact in long texts
     label = np.empty(len(scores), kind)
     now = best.argmax(axis=1).astype(kind)
     for t in range(len(active) - 1, -1, -1):

@@ -15,7 +15,8 @@ missing ones are not; record ids that aren't page numbers give a null page_id, a
 Nulls: null html is an empty payload, a null url or id is written without that header and read back as null. Rows that
 repeat a page_id are records of their own. Only rows of a known id can be referred to; rows with a null id stay responses.
 Ties: of equal payloads the largest page_id is the response, with each of its rows. Payloads may be of any length (a record
-is decoded as a whole). An empty table gives no archives. Columns besides page_id, url and html are not written.
+is decoded as a whole). An empty table gives no archives. Columns besides page_id, url and html are not written. A record that
+begins in an archive and is cut off or does not decode is an error, or, if asked for, a row that says so.
 """
 
 from __future__ import annotations
@@ -103,15 +104,20 @@ def write(pages: DataFrame, folder: str, level: int = 6) -> DataFrame:
     return common.checkpointed(rows.mapInArrow(_write(folder, level), "name string, size long"))
 
 
+def head_of(raw: bytes) -> dict[str, str]:
+    """Header fields of a decoded member, of as many lines as are whole."""
+    head, end, _ = raw.partition(b"\r\n\r\n")
+    lines = head.decode("utf-8", "replace").split("\r\n")
+    pairs = (line.partition(":") for line in (lines[1:] if end else lines[1:-1]))
+    return {k.strip().lower(): v.strip() for k, _, v in pairs}
+
+
 def parse(raw: bytes) -> dict | None:
-    """Header fields and block of a decoded member; None if it is no WARC record."""
+    """Header fields and block of a decoded member; None if it is no whole WARC record."""
     if not raw.startswith(b"WARC/"):
         return None
-    head, _, rest = raw.partition(b"\r\n\r\n")
-    fields = {}
-    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-        k, _, v = line.partition(":")
-        fields[k.strip().lower()] = v.strip()
+    _, _, rest = raw.partition(b"\r\n\r\n")
+    fields = head_of(raw)
     n = fields.get("content-length", "0")
     n = int(n) if n.isdigit() else 0
     return {"fields": fields, "block": rest[:n]} if len(rest) >= n else None
@@ -138,25 +144,57 @@ class _Window:
         return self.data[:n]
 
 
-def _member(window: _Window, place: int) -> tuple[bytes, int] | None:
-    """(decoded bytes, place after it) of the gzip member at ``place``; None if none is there."""
-    d, out, at = zlib.decompressobj(31), [], place
-    while not d.eof:
+#: First bytes of a decoded record by which a member is known to be one.
+KNOWN = VERSION[:5]
+
+
+def _salvaged(data: bytes) -> bytes:
+    """What decodes of a damaged member, up to its first ``READ`` bytes, in steps so small that an error costs little."""
+    d, out = zlib.decompressobj(31), b""
+    try:
+        while data and not d.eof and len(out) < READ:
+            out += d.decompress(data, 64)
+            data = d.unconsumed_tail
+    except zlib.error:
+        pass
+    return out
+
+
+def _member(window: _Window, place: int) -> tuple[bytes, int, str | None] | None:
+    """(decoded bytes, place after it, damage) of the gzip member at ``place``; None if no record begins there.
+
+    What decodes to the first bytes of a record is one: if the rest does not decode or is not there, that is said in damage,
+    with what could be decoded of its beginning.
+    """
+    d, parts, at, damage = zlib.decompressobj(31), [], place, None
+    head = b""
+    while not d.eof and damage is None:
         chunk = window.source.read_at(READ, at) if not window.base <= at < window.base + len(window.data) else window.data[at - window.base :]
-        if not chunk:
-            return None
+        left = chunk
         try:
-            out.append(d.decompress(chunk))
-        except zlib.error:
-            return None
-        if len(out) == 1 and out[0] and not out[0].startswith(VERSION[: min(5, len(out[0]))]):
-            return None
+            while left and not d.eof:
+                # the head comes by itself, so that an error behind it does not hide it
+                parts.append(d.decompress(left, READ if len(head) == len(KNOWN) else len(KNOWN) - len(head)))
+                head = head if len(head) == len(KNOWN) else head + parts[-1]
+                if not KNOWN.startswith(head):
+                    return None
+                left = d.unconsumed_tail
+        except zlib.error as e:
+            damage = str(e)
+        if not chunk:
+            damage = "the archive ends before the member does"
         at += len(chunk)
-    return b"".join(out), at - len(d.unused_data)
+    if damage is not None:
+        return (_salvaged(window.source.read_at(READ, place)), place + 1, damage) if head == KNOWN else None
+    return (b"".join(parts), at - len(d.unused_data), None) if head == KNOWN else None
 
 
 def read_range(source, size: int, start: int, stop: int) -> Iterator[tuple[int, dict]]:
-    """(place, record) of the records whose member starts in [start, stop)."""
+    """(place, record) of the records whose member starts in [start, stop).
+
+    A member that begins as a record and does not decode to a whole one gives a record all the same, with its damage and no
+    trustworthy block; reading goes on behind its first byte, so what follows it is found.
+    """
     window, place = _Window(source, size), start
     while place < stop:
         ahead = window.at(place, READ)
@@ -169,12 +207,16 @@ def read_range(source, size: int, start: int, stop: int) -> Iterator[tuple[int,
             return
         window.at(place, READ)
         found = _member(window, place)
-        got = parse(found[0]) if found else None
-        if got is None:
+        if found is None:
             place += 1
             continue
-        yield place, got
-        place = found[1]
+        raw, after, damage = found
+        got = parse(raw) if damage is None else None
+        if got is None:
+            yield place, {"fields": head_of(raw), "block": b"", "damage": damage or "record is shorter than its length"}
+        else:
+            yield place, got | {"damage": None}
+        place = after
 
 
 def _number(urn: str | None) -> int | None:
@@ -194,23 +236,29 @@ def sha1_of(header: str | None) -> str | None:
     return _B32["dec"](value.upper()) if re.fullmatch("[A-Za-z2-7]{32}", value) else None
 
 
-_READ = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, record_id string"
+_READ = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, record_id string, damage string"
 
 
-def _read(folder: str, with_payload: bool):
+def _read(folder: str, with_payload: bool, damaged: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
-        cols: list[list] = [[] for _ in range(8)]
+        cols: list[list] = [[] for _ in range(9)]
         held = 0
 
         def batch_of():
-            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()))], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload", "record_id"])
+            return pa.record_batch([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string()))], ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload", "record_id", "damage"])
 
         for batch in batches:
             for name, size, start, stop in zip(*(batch.column(c).to_pylist() for c in ("name", "size", "start", "stop"))):
                 with fs.open_input_file(f"{root}/{name}") as source:
-                    for _, rec in read_range(source, size, start, stop):
+                    for place, rec in read_range(source, size, start, stop):
                         f, block = rec["fields"], rec["block"]
+                        if rec["damage"] is not None:
+                            if not damaged:
+                                raise ValueError(f"{name}: the record that begins at byte {place} is damaged: {rec['damage']}")
+                            for c, v in zip(cols, (_number(f.get("warc-record-id")), f.get("warc-target-uri"), f.get("warc-type"), _number(f.get("warc-refers-to")), None, None, None, (f.get("warc-record-id") or "").strip("<>") or None, rec["damage"])):
+                                c.append(v)
+                            continue
                         http, _, payload = block.partition(b"\r\n\r\n") if block.startswith(b"HTTP/") else (b"", b"", block)
                         revisit = f.get("warc-type") == "revisit"
                         length = next((int(v) for k, _, v in (x.partition(b":") for x in http.split(b"\r\n")) if k.strip().lower() == b"content-length" and v.strip().isdigit()), len(payload))
@@ -218,13 +266,13 @@ def _read(folder: str, with_payload: bool):
                         digest = said if revisit else hashlib.sha1(payload).hexdigest()
                         if not revisit and f.get("warc-type") == "response" and b"transfer-encoding" not in http.lower() and said not in (None, digest):
                             raise ValueError(f"{name}: payload of {f.get('warc-record-id')} does not match its digest")
-                        row = (_number(f.get("warc-record-id")), f.get("warc-target-uri"), f.get("warc-type"), _number(f.get("warc-refers-to")), length if revisit else len(payload), digest, payload if with_payload and not revisit else None, (f.get("warc-record-id") or "").strip("<>") or None)
+                        row = (_number(f.get("warc-record-id")), f.get("warc-target-uri"), f.get("warc-type"), _number(f.get("warc-refers-to")), length if revisit else len(payload), digest, payload if with_payload and not revisit else None, (f.get("warc-record-id") or "").strip("<>") or None, None)
                         for c, v in zip(cols, row):
                             c.append(v)
                         held += len(payload) if with_payload else 100
                         if held > 8 << 20 or len(cols[0]) >= 10_000:
                             yield batch_of()
-                            cols[:] = [[] for _ in range(8)]
+                            cols[:] = [[] for _ in range(9)]
                             held = 0
         if cols[0]:
             yield batch_of()
@@ -232,11 +280,15 @@ def _read(folder: str, with_payload: bool):
     return run
 
 
-def read(spark: SparkSession, folder: str, archives: DataFrame, split: int = SPLIT, with_payload: bool = False) -> DataFrame:
-    """Records of the archives (name, size) below ``folder``, read in ranges of ``split`` bytes."""
+def read(spark: SparkSession, folder: str, archives: DataFrame, split: int = SPLIT, with_payload: bool = False, damaged: bool = False) -> DataFrame:
+    """Records of the archives (name, size) below ``folder``, read in ranges of ``split`` bytes.
+
+    A record that begins and does not decode whole, or is cut off, is an error; with ``damaged`` it is a row that says so, with
+    null payload, length and digest, and with those fields of its header that could be read.
+    """
     start = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split).cast("long")))
     ranges = archives.select("name", "size", start.alias("start")).withColumn("stop", F.least(F.col("start") + split, F.col("size")))
-    return ranges.repartition(common.partitions(spark), "name", "start").mapInArrow(_read(folder, with_payload), _READ)
+    return ranges.repartition(common.partitions(spark), "name", "start").mapInArrow(_read(folder, with_payload, damaged), _READ)
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:

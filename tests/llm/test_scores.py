@@ -219,6 +219,26 @@ def test_quality_rules(spark):
     assert quality_rules.judge(rows.limit(0)).count() == 0
 
 
+def test_scripts_exclude_and_small_samples_win_nothing(spark):
+    """Latin letter pairs that no sample has are not given to the language with the smallest sample, which is Cyrillic."""
+    rng = random.Random(4)
+    make = lambda a, n: " ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 7))) for _ in range(n))
+    rows = [(i, make("abcdefgh", 5000), "en") for i in range(40)] + [(900, make("абвгдежз", 30) + " abc", "ru")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    new = [make("qrstuvwxyz", 40), make("zyxwvq", 200), "abc " + make("qrstuv", 30), make("jklmnop", 3)]
+    assert language_id.label(new, model)[0] == ["en"] * 4
+    assert language_id.label([make("абвг", 20), make("абвг", 20) + " abcd efgh"], model)[0] == ["ru", "ru"]
+    rows[-1] = (900, make("абвгдежз", 30), "ru")
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    w = language_id.Words(["abc абв עברית"])
+    model.tables()
+    scores = model.scores(w)
+    assert (scores[0] > -1e6).tolist() == [True, False] and (scores[1] > -1e6).tolist() == [False, True] and (scores[2] > -1e6).all()
+    # a long text of one script stays in it however much the other's words would weigh
+    langs, _, spans = language_id.label([make("qrstuvwxyz", 60_000) + " " + make("абвг", 40)], model)
+    assert langs == ["en"] and [x["lang"] for x in spans[0].as_py()] == ["en", "ru"]
+
+
 def test_mixing(spark):
     rng = random.Random(1)
     sizes = {"a": 300, "b": 20, "c": 100, None: 5}

@@ -1,5 +1,6 @@
 """WARC round trips at any split, edit matching against brute force, and the pipeline against its parts."""
 
+import gzip
 import hashlib
 import random
 import zlib
@@ -177,3 +178,34 @@ def test_stages_take_awkward_rows(spark, sf):
     for frame in (docs, docs.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, frame, sf).count() <= len(rows)
+
+
+@pytest.mark.parametrize("split", [120, 1 << 20])
+@pytest.mark.parametrize("harm", ["cut", "flip", "length"])
+def test_damaged_archives_are_not_silent(spark, tmp_path, harm, split):
+    rng = random.Random(5)
+    members = [warc.record(i, f"http://h/{i}", bytes(rng.getrandbits(8) for _ in range(400)), None) for i in range(4)]
+    bad = 3 if harm == "cut" else 1
+    if harm == "cut":
+        members[3] = members[3][:-30]
+    elif harm == "flip":
+        members[1] = members[1][:250] + bytes([members[1][250] ^ 0x41]) + members[1][251:]
+    else:
+        members[1] = gzip.compress(gzip.decompress(members[1])[:-200])
+    data = b"".join(members)
+    (tmp_path / "a.warc.gz").write_bytes(data)
+    archives = spark.createDataFrame([("a.warc.gz", len(data))], "name string, size long")
+    with pytest.raises(Exception, match=f"begins at byte {sum(map(len, members[:bad]))} is damaged"):
+        warc.read(spark, f"file://{tmp_path}", archives, split=split).collect()
+    got = {r.page_id: r for r in warc.read(spark, f"file://{tmp_path}", archives, split=split, damaged=True).collect()}
+    assert sorted(got) == [0, 1, 2, 3] and [i for i in got if got[i].damage] == [bad]
+    assert got[bad].payload_bytes is None and got[bad].payload_digest is None and got[bad].url == f"http://h/{bad}"
+    assert all(got[i].payload_bytes == 400 for i in range(4) if i != bad)
+
+
+def test_pages_with_clashing_columns(spark, tmp_path):
+    schema = "page_id long, url string, html string, name string, size long, refers_to long, payload binary"
+    pages = spark.createDataFrame([(1, "u", "x" * 1200, "n", 5, 9, b"p"), (2, None, "x" * 1200, None, None, None, None), (None, "v", None, "m", 1, 1, None)], schema)
+    folder = f"file://{tmp_path}/w"
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes, r.url) for r in warc.read(spark, folder, warc.write(pages, folder)).collect()}
+    assert got == {1: ("revisit", 2, 1200, "u"), 2: ("response", None, 1200, None), None: ("response", None, 0, "v")}
