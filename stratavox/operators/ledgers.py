@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.functions import numbers
+from stratavox.functions import numbers, ranks
 from stratavox.operators.planning import background_rank, identity
 
 
@@ -95,8 +95,8 @@ def withhold_overage(versions: DataFrame, flips: DataFrame, share: float) -> Dat
     rows = rows.withColumns({"__rank": background_rank(F.col("augmentation_index")), "__id": identity(), "__bg": F.col("keep") & ~F.col("foreground")})
     within = Window.partitionBy("split_subset", "__id", "__copy", "__bg").orderBy("__rank", "source_order", "augmentation_index")
     rows = rows.withColumn("__depth", F.when(F.col("__copy"), F.row_number().over(within)).otherwise(0))
-    order = Window.partitionBy("split_subset", "__bg").orderBy("__copy", "__depth", "__rank", "source_order", "augmentation_index")
-    rows = rows.withColumn("__nth", F.row_number().over(order)).join(count, "split_subset")
+    order = [F.col(c) for c in ("__copy", "__depth", "__rank", "source_order", "augmentation_index")]
+    rows = ranks.positions(rows, ["split_subset", "__bg"], [*order[:2], ranks.bucket(F.col("__rank"))], order).join(count, "split_subset")
     over = F.col("__bg") & (F.coalesce("flips", F.lit(0)) > 0) & F.coalesce(F.col("__nth") > numbers.background_limit(F.col("__fg"), F.lit(share)), F.lit(False))
     return rows.withColumn("keep", F.col("keep") & ~over).drop("flips", "__copy", "__fg", "__rank", "__id", "__bg", "__depth", "__nth")
 

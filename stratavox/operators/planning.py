@@ -1,7 +1,7 @@
 """Dataset planning: deterministic splits, background caps and augmented copies, ranked by digests of identities.
 
-No choice depends on row order or partitioning: every rank is a digest with explicit tie-breaks. Ranks within a volume are
-windows over that volume's candidates; quotas are aggregated first and joined back.
+No choice depends on row order or partitioning: every rank is a digest with explicit tie-breaks. Positions within a volume
+come from counts by prefix of the digest, so no volume is sorted in one task; quotas are aggregated first and joined back.
 """
 
 from __future__ import annotations
@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.functions import hashing, numbers
+from stratavox.functions import hashing, numbers, ranks
 
 #: Domains of the ranks, and the alphabet of tags.
 SPLIT_DOMAIN = "PTA-v4.0.2-split-unit"
 BACKGROUND_DOMAIN = "PTA-v4.0.2-background-retention"
 AUGMENT_DOMAIN = "PTA-v4"
+#: Frames of a view that are put in order together.
+FRAMES = 1024
 UNIT = ("volume_name", "physical_view_id", "frame_idx")
 
 
@@ -33,9 +35,8 @@ def split(candidates: DataFrame, train: float = 0.8, method: str = "slice") -> D
     units = candidates.select(*unit).distinct()
     scope = [] if method == "volume" else ["volume_name"]
     rank = hashing.json_digest(SPLIT_DOMAIN, *(F.col(c) for c in unit))
-    order = Window.partitionBy(*scope).orderBy(rank, *(F.col(c).cast("string") for c in unit))
     size = units.groupBy(*scope).agg(F.count("*").alias("__n"))
-    ranked = units.withColumn("__nth", F.row_number().over(order))
+    ranked = ranks.positions(units.withColumn("__rank", rank), scope, [ranks.bucket(F.col("__rank"))], [F.col("__rank"), *(F.col(c).cast("string") for c in unit)])
     ranked = ranked.join(size, scope) if scope else ranked.crossJoin(F.broadcast(size))  # one row
     subset = F.when((F.col("__nth") <= numbers.round_half_up(train * F.col("__n"))) | F.lit(train >= 1.0), "train").otherwise("val")
     return candidates.join(ranked.select(*unit, subset.alias("split_subset")), list(unit))
@@ -48,10 +49,10 @@ def background_rank(copy: Column | None = None) -> Column:
 def cap_background(candidates: DataFrame, share: float, by: tuple[str, ...] = ("volume_name", "split_subset")) -> DataFrame:
     """Adds keep: all foreground, and of the background of each group so many that it makes up ``share`` at most."""
     count = candidates.groupBy(*by).agg(F.count_if("foreground").alias("__fg"))
-    order = Window.partitionBy(*by, "foreground").orderBy(background_rank(), "source_order")
-    ranked = candidates.withColumn("__nth", F.row_number().over(order)).join(count, list(by))
+    rows = candidates.withColumn("__rank", background_rank())
+    ranked = ranks.positions(rows, [*by, "foreground"], [ranks.bucket(F.col("__rank"))], [F.col("__rank"), F.col("source_order")]).join(count, list(by))
     limit = numbers.background_limit(F.col("__fg"), F.lit(share))
-    return ranked.withColumn("keep", F.col("foreground") | limit.isNull() | (F.col("__nth") <= limit)).drop("__nth", "__fg")
+    return ranked.withColumn("keep", F.col("foreground") | limit.isNull() | (F.col("__nth") <= limit)).drop("__rank", "__nth", "__fg")
 
 
 def augment(candidates: DataFrame, ratio: float, content: str, eligible: Column, by: tuple[str, ...] = ("volume_name",)) -> DataFrame:
@@ -64,14 +65,14 @@ def augment(candidates: DataFrame, ratio: float, content: str, eligible: Column,
     count = rows.groupBy(*by).agg(F.count_if("__ok").alias("__n"))
     total = F.greatest(F.lit(0), numbers.round_half_up(ratio * F.col("__n")) - F.col("__n"))
     rank = hashing.joined_digest(F.lit(AUGMENT_DOMAIN), F.lit("fractional-ratio-rank"), F.lit(content), F.col("__id"), F.lit(0), F.lit(0))
-    order = Window.partitionBy(*by, "__ok").orderBy(F.col("foreground").desc(), rank, "__id")
-    rows = rows.withColumn("__nth", F.row_number().over(order)).join(count, list(by))
+    later = F.when(F.col("foreground"), 0).otherwise(1)
+    rows = ranks.positions(rows.withColumn("__rank", rank), [*by, "__ok"], [later, ranks.bucket(F.col("__rank"))], [later, F.col("__rank"), F.col("__id")]).join(count, list(by))
     each = F.floor(total / F.greatest(F.col("__n"), F.lit(1)))
     copies = F.when(F.col("__ok"), each + F.when(F.col("__nth") <= total - each * F.col("__n"), 1).otherwise(0)).otherwise(0).cast("int")
     rows = rows.withColumn("augmentation_index", F.explode(F.sequence(F.lit(0), copies)))
     digest = hashing.joined_digest(F.lit(AUGMENT_DOMAIN), F.lit("seed"), F.lit(content), F.col("__id"), F.col("augmentation_index"), F.lit(0))
     seed = F.when(F.col("augmentation_index") > 0, hashing.leading_u32(digest))
-    return rows.withColumn("augmentation_seed", seed).drop("__ok", "__id", "__n", "__nth")
+    return rows.withColumn("augmentation_seed", seed).drop("__ok", "__id", "__n", "__nth", "__rank")
 
 
 def cap_augmented(versions: DataFrame, share: float, by: tuple[str, ...] = ("volume_name", "split_subset")) -> DataFrame:
@@ -81,8 +82,8 @@ def cap_augmented(versions: DataFrame, share: float, by: tuple[str, ...] = ("vol
     rows = versions.withColumn("__rank", rank).withColumn("__id", identity()).withColumn("__copy", F.col("augmentation_index") > 0)
     within = Window.partitionBy("__id", "__copy", "foreground").orderBy("__rank", "source_order", "augmentation_index")
     rows = rows.withColumn("__depth", F.when(F.col("__copy"), F.row_number().over(within)).otherwise(0))
-    order = Window.partitionBy(*by, "foreground").orderBy("__copy", "__depth", "__rank", "source_order", "augmentation_index")
-    rows = rows.withColumn("__nth", F.row_number().over(order)).join(count, list(by))
+    order = [F.col(c) for c in ("__copy", "__depth", "__rank", "source_order", "augmentation_index")]
+    rows = ranks.positions(rows, [*by, "foreground"], [*order[:2], ranks.bucket(F.col("__rank"))], order).join(count, list(by))
     limit = numbers.background_limit(F.col("__fg"), F.lit(share))
     return rows.withColumn("keep", F.col("foreground") | limit.isNull() | (F.col("__nth") <= limit)).drop("__rank", "__id", "__copy", "__depth", "__nth", "__fg")
 
@@ -107,5 +108,6 @@ def annotation_states(candidates: DataFrame) -> DataFrame:
 
 def canonical_order(candidates: DataFrame) -> DataFrame:
     """Adds the position of each candidate in its volume: by view, then frame."""
-    order = Window.partitionBy("volume_name").orderBy("physical_view_id", "frame_idx", "source_order")
-    return candidates.withColumn("order", (F.row_number().over(order) - 1).cast("bigint"))
+    order = [F.col(c) for c in ("physical_view_id", "frame_idx", "source_order")]
+    rows = ranks.positions(candidates, ["volume_name"], [order[0], F.floor(F.col("frame_idx") / FRAMES)], order)
+    return rows.withColumn("order", (F.col("__nth") - 1).cast("bigint")).drop("__nth")

@@ -49,3 +49,22 @@ def test_affine_inverse():
     x, y = 2.5, 1.25
     u, v = m[0] * x + m[1] * y + m[2], m[3] * x + m[4] * y + m[5]
     assert abs(a * u + b * v + c - x) < 1e-9 and abs(d * u + e * v + f - y) < 1e-9
+
+
+def test_positions_equal_one_sort(spark):
+    import random
+
+    from stratavox.functions import ranks
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([0, 1, None]), f"{rng.randrange(1 << 20):08x}", k) for k in range(3000)]
+    rows += [("c", 0, "00000000", k) for k in range(50)]
+    frame = spark.createDataFrame(rows, "key string, part int, digest string, n long").repartition(6)
+    order = [F.col(c) for c in ("part", "digest", "n")]
+    got = {r.n if r.key != "c" else (r.n, "c"): r["__nth"] for r in ranks.positions(frame, ["key"], [order[0], ranks.bucket(order[1])], order).collect()}
+    want = {}
+    for key in ("a", "b", "c", None):
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+        want |= {(r[3] if key != "c" else (r[3], "c")): k for k, r in enumerate(mine, 1)}
+    assert got == want
+    assert ranks.positions(frame, [], [ranks.bucket(order[1])], order[1:]).selectExpr("count(distinct __nth) = count(*) AND max(__nth) = count(*) AS ok").first().ok
