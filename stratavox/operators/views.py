@@ -11,6 +11,8 @@ import functools
 import math
 import operator
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,8 +170,13 @@ def spherical_plan(rows: DataFrame) -> DataFrame:
 
 def face_members(rows: DataFrame, x: str, y: str, z: str) -> DataFrame:
     """One row for each closed face that holds a direction, with its u and v: edges have two, corners three."""
+    return on_face(rows.withColumn("face", F.explode(F.array(*(F.lit(f) for f in range(6))))), x, y, z)
+
+
+def on_face(rows: DataFrame, x: str, y: str, z: str) -> DataFrame:
+    """The rows whose closed ``face`` holds their direction, with its u and v."""
     largest = F.greatest(F.abs(F.col(x)), F.abs(F.col(y)), F.abs(F.col(z)))
-    rows = rows.where(largest > 0).withColumn("face", F.explode(F.array(*(F.lit(f) for f in range(6)))))
+    rows = rows.where(largest > 0)
     along = lambda axis: F.element_at(F.array(*(f[axis][0] * F.col(x) + f[axis][1] * F.col(y) + f[axis][2] * F.col(z) for f in FACES)), (F.col("face") + 1).cast("int")) / largest
     inside = (along(0) > 0) & (along(0) + TOLERANCE >= F.greatest(F.abs(along(1)), F.abs(along(2))))
     return cube_uv(_settled(rows.where(inside)), x, y, z, "face")
@@ -255,20 +262,84 @@ def linear_frames(grays: DataFrame, samples: DataFrame, *frame: str) -> DataFram
     return out.withColumn("g", F.least(F.lit(255), F.rint("g")).cast("bigint"))
 
 
+#: How far a direction moves at most for a step of one in (u, v): the mapping's greatest is 0.90.
+STRETCH = 1.25
+
+
+def face_bounds(rotation, face: int, low: float, high: float) -> list[tuple[float, float]]:
+    """[(least, greatest)] offset from the centre along x, y and z of any point of a turned closed face with radius in [low, high].
+
+    A coordinate on the face's part of the unit sphere is extreme in its inside (at the axis), on an edge (at the axis'
+    projection onto the edge's plane), or at a corner (where two planes meet); candidates that the face doesn't hold are left
+    out, with a margin, so the bounds may only be too wide.
+    """
+    turn = np.asarray(rotation, float)
+    normal, right, up = (turn @ np.asarray(axis, float) for axis in FACES[face])
+    planes = np.array([normal - right, normal + right, normal - up, normal + up]) / math.sqrt(2)
+    tries = [sign * axis - (0 if p is None else (sign * axis) @ p * p) for axis in np.eye(3) for sign in (1, -1) for p in (None, *planes)]
+    tries += [sign * np.cross(p, q) for k, p in enumerate(planes) for q in planes[k + 1 :] for sign in (1, -1)]
+    found = [v / np.linalg.norm(v) for v in tries if np.linalg.norm(v) > 1e-9]
+    found = np.array([v for v in found if (planes @ v >= -1e-9).all()])
+    least, most = np.clip(found.min(0) - 1e-9, -1, 1), np.clip(found.max(0) + 1e-9, -1, 1)
+    return [(min(low * a, high * a), max(low * b, high * b)) for a, b in zip(least, most)]
+
+
+def output_bounds(frames: DataFrame, size: tuple[int, int, int], radii: list[float], rotation) -> DataFrame:
+    """(face, t0, t1, y0, y1, x0, x1): half-open boxes of the voxels that the set pixels of each face can reach.
+
+    Only the first and last shell in use of a face are looked at, so blocks outside a box need not be visited at all.
+    """
+    half = lambda k, d: abs(radii[k] - radii[k + d]) / 2 if 0 <= k + d < len(radii) else 0.0
+    used = frames.groupBy("face").agg(F.min("shell").alias("a"), F.max("shell").alias("b")).collect()  # six rows
+    rows = []
+    for r in used:
+        bounds = face_bounds(rotation, r.face, radii[r.a] - half(r.a, -1) - 1e-6, radii[r.b] + half(r.b, 1) + 1e-6)
+        at = [(max(0, math.ceil(lo + (n - 1) / 2 - 1e-6)), min(n, math.floor(hi + (n - 1) / 2 + 1e-6) + 1)) for (lo, hi), n in zip(bounds, (size[2], size[1], size[0]))]
+        rows.append((r.face, *at[2], *at[1], *at[0]))
+    return frames.sparkSession.createDataFrame(rows, "face long, t0 long, t1 long, y0 long, y1 long, x0 long, x1 long")
+
+
+def _beside(radii: list[float]) -> tuple[Column, Column, Column]:
+    """The radius of a row's shell, and those of the shells inside and outside of it (null at the ends)."""
+    table = F.array(*map(F.lit, radii))
+    shell = F.col("shell").cast("int")
+    return F.get(table, shell), F.when(shell > 0, F.get(table, shell - 1)), F.get(table, shell + 1)
+
+
+def _own_shell(r: Column, own: Column, inner: Column, outer: Column) -> Column:
+    """Whether no other shell is nearer to a radius; half-way between two it is the inner one's."""
+    far = lambda other: F.round(F.abs(r - other), 9)
+    return F.coalesce(far(own) < far(inner), F.lit(True)) & F.coalesce(far(own) <= far(outer), F.lit(True))
+
+
 def spherical_project(frames: DataFrame, size: tuple[int, int, int], radii: list[float], intervals: int, rotation) -> DataFrame:
     """(volume, t, y, x): voxels whose nearest shell and pixel, on any closed face that holds them, is set in ``frames``.
 
-    ``frames`` are (volume, face, shell, row, col). A radius half-way between shells belongs to the inner one.
+    ``frames`` are (volume, face, shell, row, col). A radius half-way between shells belongs to the inner one. Work follows the
+    set pixels: each gives the few voxels of a box that surely holds all of its own, cut to the bounds of its face, and these
+    are tested exactly.
     """
-    grid = _pixels(frames.sparkSession, t=size[0], y=size[1], x=size[2])
+    pixels = frames.select("face", "shell", "row", "col").distinct()
+    own, inner, outer = _beside(radii)
+    gap = F.greatest(F.coalesce(own - inner, F.lit(0.0)), F.coalesce(outer - own, F.lit(0.0))) / 2
+    rows = pixels.withColumns({"u": 2.0 * F.col("col") / intervals - 1, "v": 1 - 2.0 * F.col("row") / intervals, "__own": own, "__inner": inner, "__outer": outer, "__gap": gap})
+    rows = _settled(cube_direction(rows, "face", "u", "v"))
+    reach = F.col("__gap") + (F.col("__own") + F.col("__gap")) * (STRETCH * math.sqrt(2) / intervals) + 1e-6
+    box = output_bounds(frames, size, radii, rotation)  # six rows
+    rows = rows.withColumn("__reach", reach).join(F.broadcast(box), "face")
+    for k, (c, n) in enumerate(zip("xyt", (size[2], size[1], size[0]))):
+        middle = (n - 1) / 2 + F.col("__own") * sum(rotation[k][j] * F.col(f"d{d}") for j, d in enumerate("xyz"))
+        rows = rows.withColumns({f"__a{c}": F.greatest(F.col(f"{c}0"), F.ceil(middle - F.col("__reach"))), f"__b{c}": F.least(F.col(f"{c}1") - 1, F.floor(middle + F.col("__reach")))})
+    rows = rows.select("face", "shell", "row", "col", "__own", "__inner", "__outer", *(f"__{e}{c}" for c in "xyt" for e in "ab"))
+    for c in "tyx":
+        rows = rows.where(F.col(f"__a{c}") <= F.col(f"__b{c}")).withColumn(c, F.explode(F.sequence(F.col(f"__a{c}"), F.col(f"__b{c}"))))
     off = {c: F.col(c) - (n - 1) / 2 for c, n in zip("tyx", size)}
     world = (off["x"], off["y"], off["t"])
-    rows = grid.withColumn("r", F.sqrt(sum(w * w for w in world))).where(F.col("r").between(radii[0] - 1e-9, radii[-1] + 1e-9))
+    rows = rows.withColumn("r", F.sqrt(sum(w * w for w in world))).where(F.col("r").between(radii[0] - 1e-9, radii[-1] + 1e-9) & _own_shell(F.col("r"), F.col("__own"), F.col("__inner"), F.col("__outer")))
     rows = rows.withColumns({f"__{c}": F.round(sum(rotation[k][j] * world[k] for k in range(3)), 12) for j, c in enumerate("xyz")})
-    rows = _settled(face_members(_settled(rows), "__x", "__y", "__z"))
-    far = F.array(*(F.struct(F.round(F.abs(F.col("r") - v), 9).alias("d"), F.lit(k).alias("k")) for k, v in enumerate(radii)))
+    rows = _settled(on_face(_settled(rows.select("face", "shell", "row", "col", *"tyx", "__x", "__y", "__z")), "__x", "__y", "__z"))
     place = lambda c: F.rint(F.round((c + 1) * intervals / 2, 9)).cast("bigint")
-    rows = rows.select("t", "y", "x", F.col("face").cast("bigint").alias("face"), F.array_min(far)["k"].cast("bigint").alias("shell"), place(-F.col("v")).alias("row"), place(F.col("u")).alias("col"))
+    rows = rows.where((place(-F.col("v")) == F.col("row")) & (place(F.col("u")) == F.col("col"))).select("face", "shell", "row", "col", *(F.col(c).cast("bigint").alias(c) for c in "tyx"))
     return frames.join(rows, ["face", "shell", "row", "col"]).select("volume", "t", "y", "x").distinct()
 
 
@@ -288,16 +359,22 @@ def radial_samples(spark: SparkSession, size: tuple[int, int, int], radii: list[
 def radial_project(frames: DataFrame, size: tuple[int, int, int], radii: list[float]) -> DataFrame:
     """(volume, t, y, x): voxels whose nearest shell shows them set, at the arc nearest to their angle or to a whole turn more.
 
-    ``frames`` are (volume, shell, height, arc).
+    ``frames`` are (volume, shell, height, arc). Work follows the set arcs, each of which gives the few pixels around its place.
     """
-    grid = _pixels(frames.sparkSession, y=size[1], x=size[2])
+    own, inner, outer = _beside(radii)
+    gap = F.greatest(F.coalesce(own - inner, F.lit(0.0)), F.coalesce(outer - own, F.lit(0.0))) / 2
+    rows = frames.select("shell", "arc").distinct().withColumns({"__own": own, "__inner": inner, "__outer": outer, "__gap": gap})
+    # an arc's pixel is a unit long on its shell; the voxels that it owns lie in this square about it
+    rows = rows.withColumn("__reach", F.col("__gap") + (F.col("__own") + F.col("__gap")) / F.col("__own") * 0.5 + 1e-6)
+    for c, n, way in (("y", size[1], F.sin), ("x", size[2], F.cos)):
+        middle = (n - 1) / 2 + F.col("__own") * way(F.col("arc") / F.col("__own"))
+        rows = rows.withColumns({f"__a{c}": F.greatest(F.lit(0), F.ceil(middle - F.col("__reach"))), f"__b{c}": F.least(F.lit(n - 1), F.floor(middle + F.col("__reach")))})
+        rows = rows.where(F.col(f"__a{c}") <= F.col(f"__b{c}")).withColumn(c, F.explode(F.sequence(f"__a{c}", f"__b{c}")))
     dy, dx = F.col("y") - (size[1] - 1) / 2, F.col("x") - (size[2] - 1) / 2
-    rows = grid.withColumns({"r": F.sqrt(dy * dy + dx * dx), "a": F.atan2(dy, dx)}).where(F.col("r").between(radii[0] - 1e-9, radii[-1] + 1e-9))
-    far = F.array(*(F.struct(F.round(F.abs(F.col("r") - v), 9).alias("d"), F.lit(k).alias("k")) for k, v in enumerate(radii)))
-    rows = rows.withColumn("shell", F.array_min(far)["k"].cast("bigint"))
-    own = F.element_at(F.array(*map(F.lit, radii)), (F.col("shell") + 1).cast("int"))
-    rows = rows.withColumn("turn", F.explode(F.array(F.lit(0), F.lit(1), F.lit(-1))))
-    rows = rows.select("shell", "y", "x", F.rint(F.round((F.pmod(F.col("a"), F.lit(2 * math.pi)) + F.col("turn") * (2 * math.pi)) * own, 9)).cast("bigint").alias("arc"))
+    rows = rows.withColumns({"r": F.sqrt(dy * dy + dx * dx), "a": F.pmod(F.atan2(dy, dx), F.lit(2 * math.pi))})
+    rows = rows.where(F.col("r").between(radii[0] - 1e-9, radii[-1] + 1e-9) & _own_shell(F.col("r"), F.col("__own"), F.col("__inner"), F.col("__outer")))
+    shown = functools.reduce(operator.or_, (F.rint(F.round((F.col("a") + turn * (2 * math.pi)) * F.col("__own"), 9)).cast("bigint") == F.col("arc") for turn in (0, 1, -1)))
+    rows = rows.where(shown).select("shell", "arc", F.col("y").cast("bigint").alias("y"), F.col("x").cast("bigint").alias("x"))
     return frames.join(rows, ["shell", "arc"]).select("volume", F.col("height").alias("t"), "y", "x").distinct()
 
 

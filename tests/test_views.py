@@ -114,3 +114,63 @@ def test_dihedral_gives_eight_views(spark):
     got = ledgers.dihedral(spark.createDataFrame(rows, "k long, y long, x long"), 3, F.col("k")).collect()
     assert len({frozenset((r.y, r.x) for r in got if r.k == k) for k in range(8)}) == 8
     assert all(0 <= r.y < 3 and 0 <= r.x < 3 for r in got) and {(r.y, r.x) for r in got if r.k == 0} == {(0, 1), (2, 2), (0, 0)}
+
+
+def dense_sphere(frames, size, radii, intervals, rotation):
+    """Every voxel of the volume, each on all faces that hold it."""
+    grid = views._pixels(frames.sparkSession, t=size[0], y=size[1], x=size[2])
+    off = {c: F.col(c) - (n - 1) / 2 for c, n in zip("tyx", size)}
+    world = (off["x"], off["y"], off["t"])
+    rows = grid.withColumn("r", F.sqrt(sum(w * w for w in world))).where(F.col("r").between(radii[0] - 1e-9, radii[-1] + 1e-9))
+    rows = rows.withColumns({f"__{c}": F.round(sum(rotation[k][j] * world[k] for k in range(3)), 12) for j, c in enumerate("xyz")})
+    rows = views._settled(views.face_members(views._settled(rows), "__x", "__y", "__z"))
+    far = F.array(*(F.struct(F.round(F.abs(F.col("r") - v), 9).alias("d"), F.lit(k).alias("k")) for k, v in enumerate(radii)))
+    place = lambda c: F.rint(F.round((c + 1) * intervals / 2, 9)).cast("bigint")
+    rows = rows.select("t", "y", "x", F.col("face").cast("bigint").alias("face"), F.array_min(far)["k"].cast("bigint").alias("shell"), place(-F.col("v")).alias("row"), place(F.col("u")).alias("col"))
+    return frames.join(rows, ["face", "shell", "row", "col"]).select("volume", "t", "y", "x").distinct()
+
+
+def test_spherical_projection_follows_set_pixels(spark):
+    rng = np.random.default_rng(3)
+    size = (14, 17, 15)
+    for k in range(4):
+        q, _ = np.linalg.qr(rng.normal(size=(3, 3)))
+        rotation = (q * np.sign(np.linalg.det(q))).tolist() if k else np.eye(3).tolist()
+        radii = sorted(rng.uniform(0.8, 8.5, 5).tolist()) if k % 2 else [1.0, 2.0, 3.0, 4.0, 5.0, 6.0]
+        n = int(rng.choice([6, 10, 24]))
+        share = 1.0 if k == 0 else 0.2
+        rows = [(int(rng.integers(2)), f, s, r, c) for f in range(6) for s in range(len(radii)) for r in range(n + 1) for c in range(n + 1) if rng.random() < share]
+        frames = spark.createDataFrame(rows, "volume long, face long, shell long, row long, col long")
+        got = {tuple(r) for r in views.spherical_project(frames, size, radii, n, rotation).collect()}
+        want = {tuple(r) for r in dense_sphere(frames, size, radii, n, rotation).collect()}
+        assert got == want and want
+        # no voxel that a face shows lies outside its box, and the boxes are no larger than the volume asks for
+        box = {r.face: r for r in views.output_bounds(frames, size, radii, rotation).collect()}
+        for face in range(6):
+            b = box[face]
+            own = dense_sphere(frames.where(F.col("face") == face), size, radii, n, rotation).collect()
+            assert all(b.t0 <= r.t < b.t1 and b.y0 <= r.y < b.y1 and b.x0 <= r.x < b.x1 for r in own)
+            assert (b.t1 - b.t0) * (b.y1 - b.y0) * (b.x1 - b.x0) < 0.9 * math.prod(size)
+    assert views.spherical_project(frames.limit(0), size, radii, n, rotation).collect() == []
+
+
+def test_radial_projection_follows_set_arcs(spark):
+    rng = np.random.default_rng(5)
+    size = (5, 21, 19)
+    for radii in ([1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0], [0.7, 2.9, 3.1, 6.5, 9.2]):
+        rows = [(int(rng.integers(2)), s, int(rng.integers(5)), a) for s, r in enumerate(radii) for a in range(math.ceil(2 * math.pi * r)) for _ in range(2) if rng.random() < 0.5]
+        frames = spark.createDataFrame(rows, "volume long, shell long, height long, arc long")
+        got = {tuple(r) for r in views.radial_project(frames, size, radii).collect()}
+        have, want = {}, set()
+        for v, s, h, a in rows:
+            have.setdefault((s, a), set()).add((v, h))
+        for y in range(size[1]):
+            for x in range(size[2]):
+                dy, dx = y - 10.0, x - 9.0
+                r = math.hypot(dy, dx)
+                if radii[0] - 1e-9 <= r <= radii[-1] + 1e-9:
+                    s = min(range(len(radii)), key=lambda k: (round(abs(r - radii[k]), 9), k))
+                    for turn in (0, 1, -1):
+                        a = round(round((math.atan2(dy, dx) % (2 * math.pi) + turn * 2 * math.pi) * radii[s], 9))
+                        want |= {(v, h, y, x) for v, h in have.get((s, a), ())}
+        assert got == want and want
