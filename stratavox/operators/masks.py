@@ -7,6 +7,7 @@ coordinates, never comparisons of pairs.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -279,11 +280,16 @@ def projections(tips: DataFrame, targets: DataFrame, distance: int, slope: float
     """(root, step, d2, target): for each tip (root, t, y, x) the nearest voxels of other components ahead of it.
 
     A voxel counts up to ``distance`` slices ahead within a cone that widens by ``slope`` a slice; each target counts by its
-    nearest step, and ``most`` targets are kept by (step, d2, target). Slices ahead are exploded, so the join is an equi-join.
+    nearest step, and ``most`` targets are kept by (step, d2, target). Slices ahead and the cells around the cone, as wide as it
+    gets, are exploded: the join is an equi-join on slice and cell.
     """
+    wide = max(1, math.ceil(slope * distance))
+    cell = lambda c: F.floor(F.col(c) / wide)
+    side = F.array(F.lit(-1), F.lit(0), F.lit(1))
     ahead = tips.select("root", F.col("y").alias("y0"), F.col("x").alias("x0"), "t", F.explode(F.sequence(F.lit(1), F.lit(distance))).alias("step"))
     ahead = ahead.withColumn("t", F.col("t") + F.col("step"))
-    pairs = ahead.join(targets.select("t", "y", "x", F.col("root").alias("target")), "t")
+    ahead = ahead.withColumn("i", F.explode(side)).withColumn("j", F.explode(side)).withColumns({"cy": cell("y0") + F.col("i"), "cx": cell("x0") + F.col("j")})
+    pairs = ahead.join(targets.select("t", "y", "x", F.col("root").alias("target"), cell("y").alias("cy"), cell("x").alias("cx")), ["t", "cy", "cx"])
     d2 = (F.col("y") - F.col("y0")) ** 2 + (F.col("x") - F.col("x0")) ** 2
     pairs = pairs.withColumn("d2", d2.cast("bigint")).where((F.col("d2") <= (slope * F.col("step")) ** 2) & (F.col("target") != F.col("root")))
     best = pairs.groupBy("root", "target").agg(F.min(F.struct("step", "d2")).alias("b")).select("root", "target", "b.step", "b.d2")
@@ -304,16 +310,18 @@ def run_adjacency(runs: DataFrame, reach: int = 1) -> DataFrame:
     return runs.join(below, ["t", "y"]).where((F.col("x0") < F.col("b1") + reach) & (F.col("b0") < F.col("x1") + reach))
 
 
-def overlap(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Overlap of all pairs of tracks (obj, frame, y, x) over their shared frames.
+def overlap(left: DataFrame, right: DataFrame, apart: bool = False) -> DataFrame:
+    """Overlap of the pairs of tracks (obj, frame, y, x) that meet somewhere, over their shared frames.
 
     Areas are counted by frame first and intersections by an equi-join on the pixel; only frames that both tracks have are
-    compared. Percentiles are exact and interpolated.
+    compared. Percentiles are exact and interpolated. With ``apart`` pairs that share frames but no pixel are listed too.
     """
     area = lambda df, s: df.groupBy(F.col("obj").alias(f"obj_{s}"), "frame").agg(F.count("*").alias(f"area_{s}"))
     both = left.select(F.col("obj").alias("obj_l"), "frame", "y", "x").join(right.select(F.col("obj").alias("obj_r"), "frame", "y", "x"), ["frame", "y", "x"])
     inter = both.groupBy("obj_l", "obj_r", "frame").agg(F.count("*").alias("inter"))
-    rows = area(left, "l").join(area(right, "r"), "frame").join(inter, ["obj_l", "obj_r", "frame"], "left")
+    areas = [area(left, "l"), area(right, "r")]
+    met = areas[0].join(areas[1], "frame") if apart else inter.select("obj_l", "obj_r").distinct().join(areas[0], "obj_l").join(areas[1], ["obj_r", "frame"])
+    rows = met.join(inter, ["obj_l", "obj_r", "frame"], "left")
     rows = rows.withColumn("inter", F.coalesce("inter", F.lit(0))).withColumn("union", F.col("area_l") + F.col("area_r") - F.col("inter"))
     rows = rows.withColumn("iou", F.col("inter") / F.col("union")).withColumn("drift", F.abs(F.log(F.col("area_l") / F.col("area_r"))))
     out = rows.groupBy("obj_l", "obj_r").agg(

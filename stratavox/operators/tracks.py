@@ -13,9 +13,13 @@ SESSION_OBJECTS, EXCLUSIVE = 128, 0.95
 def tile_owners(boxes: DataFrame, tiles: DataFrame, size: int) -> DataFrame:
     """(canvas, obj, tile): the tile that holds an object whole with the widest margin, else every tile that it touches.
 
-    ``boxes`` (canvas, obj, x0, y0, x1, y1) and ``tiles`` (canvas, tile, left, top) meet by canvas; ties go to the lower tile.
+    ``boxes`` (canvas, obj, x0, y0, x1, y1) and ``tiles`` (canvas, tile, left, top) meet in cells of the canvas as large as a
+    tile, of which a tile touches four at most; ties go to the lower tile.
     """
-    pairs = boxes.join(tiles, "canvas").where((F.col("x0") < F.col("left") + size) & (F.col("x1") > F.col("left")) & (F.col("y0") < F.col("top") + size) & (F.col("y1") > F.col("top")))
+    cells = lambda lo, hi: F.explode(F.sequence(F.floor(lo / size), F.floor((hi - 1) / size)))
+    boxes = boxes.where((F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))).withColumn("cx", cells(F.col("x0"), F.col("x1"))).withColumn("cy", cells(F.col("y0"), F.col("y1")))
+    tiles = tiles.withColumn("cx", cells(F.col("left"), F.col("left") + size)).withColumn("cy", cells(F.col("top"), F.col("top") + size))
+    pairs = boxes.join(tiles, ["canvas", "cx", "cy"]).drop("cx", "cy").distinct().where((F.col("x0") < F.col("left") + size) & (F.col("x1") > F.col("left")) & (F.col("y0") < F.col("top") + size) & (F.col("y1") > F.col("top")))
     margin = F.least(F.col("x0") - F.col("left"), F.col("y0") - F.col("top"), F.col("left") + size - F.col("x1"), F.col("top") + size - F.col("y1"))
     key = Window.partitionBy("canvas", "obj")
     pairs = pairs.withColumn("margin", margin).withColumn("whole", F.max("margin").over(key) >= 0)
