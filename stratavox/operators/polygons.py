@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 POINTS = ArrayType(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
 
@@ -66,3 +68,75 @@ def label_line(class_id: Column, points: Column, width: float, height: float, di
     """``class x1 y1 x2 y2 ...`` with coordinates as shares of the canvas."""
     pair = lambda p: F.concat_ws(" ", F.format_string(f"%.{digits}f", p["x"] / width), F.format_string(f"%.{digits}f", p["y"] / height))
     return F.concat_ws(" ", class_id.cast("string"), F.concat_ws(" ", F.transform(points, pair)))
+
+
+#: Steps (dy, dx) to the eight neighbours, clockwise from the left one.
+AROUND = ((0, -1), (-1, -1), (-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1))
+
+
+def border(pixels: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The outer border of an 8-connected set of pixels (y, x), clockwise from its first one; thin parts are passed twice."""
+    start = min(pixels)
+    at, back, out, first = start, 0, [start], None
+    while True:
+        for k in range(1, 9):
+            turn = (back + k) % 8
+            to = (at[0] + AROUND[turn][0], at[1] + AROUND[turn][1])
+            if to in pixels:
+                break
+        else:
+            return out
+        if at == start:
+            if first == turn:
+                return out[:-1]
+            first = turn if first is None else first
+        # seen from the new pixel, the neighbour looked at just before is where the search goes on
+        seen = (back + k - 1) % 8
+        gap = (at[0] + AROUND[seen][0] - to[0], at[1] + AROUND[seen][1] - to[1])
+        at, back = to, AROUND.index(gap)
+        out.append(at)
+
+
+def _far(points: list, a: int, b: int) -> tuple[float, int]:
+    """(greatest distance of the points strictly between a and b from the segment, its place)."""
+    (y0, x0), (y1, x1) = points[a], points[b]
+    dy, dx = y1 - y0, x1 - x0
+    best = (-1.0, a)
+    for k in range(a + 1, b):
+        y, x = points[k][0] - y0, points[k][1] - x0
+        along = (y * dy + x * dx) / (dy * dy + dx * dx) if dy or dx else 0.0
+        along = min(1.0, max(0.0, along))
+        d = math.hypot(y - along * dy, x - along * dx)
+        if d > best[0]:
+            best = (d, k)
+    return best
+
+
+def simplified(ring: list[tuple[int, int]], epsilon: float) -> list[tuple[int, int]]:
+    """A closed ring with points left out that lie within ``epsilon`` of what stays; it is split at the point farthest from its first."""
+    if len(ring) < 3:
+        return ring
+    far = max(range(len(ring)), key=lambda k: (math.dist(ring[0], ring[k]), -k))
+    points = [*ring, ring[0]]
+    keep, todo = {0, far}, [(0, far), (far, len(ring))]
+    while todo:
+        a, b = todo.pop()
+        d, k = _far(points, a, b)
+        if d > epsilon:
+            keep.add(k)
+            todo += [(a, k), (k, b)]
+    return [ring[k] for k in sorted(keep)]
+
+
+def outlines(labelled: DataFrame, epsilon: float = 1.0) -> DataFrame:
+    """(t, root, points): the outer outline of every component (t, y, x, root) that has three points at least; a group is a component.
+
+    Points are pixel centres, clockwise from the first pixel; holes are not told.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ring = simplified(border(set(zip(pdf["y"].tolist(), pdf["x"].tolist()))), epsilon)
+        rows = [[{"x": float(x), "y": float(y)} for y, x in ring]] if len(ring) >= 3 else []
+        return pd.DataFrame({"t": pdf["t"].iloc[: len(rows)].to_numpy(), "root": pdf["root"].iloc[: len(rows)].to_numpy(), "points": pd.Series(rows, dtype=object)})
+
+    return labelled.select("t", "y", "x", "root").groupBy("root").applyInPandas(run, StructType([StructField("t", LongType()), StructField("root", LongType()), StructField("points", POINTS)]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stratavox.operators import masks
 from stratavox.operators import polygons as ops
 from stratavox.operators.geometry import polygon_area
 from stratavox.plans.masks import V, _cells
@@ -34,6 +35,12 @@ def clip_polygons(spark, sf):
     return rows.select("obj", F.size("points").alias("n"), F.when(F.size("points") >= 3, F.round(polygon_area(F.col("points")), 6)).otherwise(0.0).alias("area"))
 
 
+def mask_polygons(spark, sf):
+    """The outlines of all slice components, simplified by a pixel, as label text of unit coordinates."""
+    rows = ops.outlines(masks.components(_cells(spark, sf, 0.0), 8, 8))
+    return rows.select("t", "root", ops.label_line(F.lit(0), F.col("points"), 8.0, 8.0).alias("line"))
+
+
 def label_lines(spark, sf):
     return _triangles(spark, sf).select("obj", ops.label_line(F.col("obj") % 4, F.col("points"), 30.0, 60.0).alias("line"))
 
@@ -46,7 +53,7 @@ def packed_slices(spark, sf):
     return packed.unpack(stored.select(*(c.split()[0] for c in packed.SCHEMA.split(", "))))
 
 
-QUERIES = {f.__name__: f for f in (rasterize_polygons, polygon_boxes, clip_polygons, label_lines, packed_slices)}
+QUERIES = {f.__name__: f for f in (rasterize_polygons, polygon_boxes, clip_polygons, label_lines, mask_polygons, packed_slices)}
 
 P = """p AS (SELECT c_custkey AS obj, (c_custkey * 3 % 17 + 0.25)::DOUBLE AS x1, (c_custkey * 5 % 17 + 0.25)::DOUBLE AS y1, (c_custkey * 7 % 17 + 0.25)::DOUBLE AS x2, (c_custkey * 2 % 17 + 0.25)::DOUBLE AS y2,
   (c_custkey * 11 % 17 + 0.25)::DOUBLE AS x3, (c_custkey * 13 % 17 + 0.25)::DOUBLE AS y3 FROM customer)"""
