@@ -157,7 +157,8 @@ class Model:
         share = self.scripts / np.maximum(1, self.scripts.sum(axis=1, keepdims=True))
         admitted = (share >= ADMIT).T
         admitted[~admitted.any(axis=1)] = True
-        self.admitted = admitted
+        self.sets, of = np.unique(admitted, axis=0, return_inverse=True)
+        self.set_of = of.reshape(-1)  # scripts that admit the same languages are scored together
         self.ready = True
 
     def known(self, w: Words, tag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,15 +186,18 @@ class Model:
             b = int(w.stop[j - 1])
             three, two = w.grams(a, b)
             bounds = np.stack([w.start[i:j] - a, w.stop[i:j] - a], 1).ravel()
-            # scripts that admit the same languages are scored together
-            sets, which = np.unique(self.admitted[w.script[i:j]], axis=0, return_inverse=True)
-            for k, admitted in enumerate(sets):
-                langs, mine = np.flatnonzero(admitted), np.flatnonzero(which.reshape(-1) == k)
+            which = self.set_of[w.script[i:j]]
+            for k in np.flatnonzero(np.bincount(which)):
+                langs = np.flatnonzero(self.sets[k])
                 whole = len(langs) == len(self.langs)
                 value = self.three[three] if whole else self.three[np.ix_(three, langs)]
                 value += self.two[two] if whole else self.two[np.ix_(two, langs)]
                 sums = np.add.reduceat(np.concatenate([value, np.zeros((1, value.shape[1]), np.float32)]), bounds, axis=0)[::2]
-                out[np.ix_(i + mine, langs)] = sums[mine]
+                mine = np.flatnonzero(which == k)
+                if whole and len(mine) == j - i:
+                    out[i:j] = sums
+                else:
+                    out[np.ix_(i + mine, langs)] = sums[mine]
             i = j
         return out
 
@@ -216,8 +220,9 @@ def viterbi(scores: np.ndarray, doc: np.ndarray, n_docs: int, switch: float = SW
         top = prev.max(axis=1, keepdims=True) - np.float32(switch)
         stay = prev >= top
         from_[at] = np.where(stay, own, prev.argmax(axis=1).astype(kind)[:, None])
-        now = np.maximum(prev, top) + scores[at]
-        best[:k] = now - now.max(axis=1, keepdims=True)  # only differences matter, and they stay exact in long texts
+        best[:k] = np.maximum(prev, top) + scores[at]
+        if t % 64 == 63:  # only differences matter, and so they stay exact in long texts
+            best[:k] -= best[:k].max(axis=1, keepdims=True)
     label = np.empty(len(scores), kind)
     now = best.argmax(axis=1).astype(kind)
     for t in range(len(active) - 1, -1, -1):
