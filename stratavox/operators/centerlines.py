@@ -453,8 +453,8 @@ def protected_seeds(samples: DataFrame, mask: DataFrame) -> DataFrame:
 # --- watershed
 
 
-#: Side of the tiles that a flood is settled in at once.
-TILE = 128
+#: Side of the tiles that a flood is settled in at once, and neighbouring slices of which a tile's are settled together.
+TILE, SLICES = 128, 8
 
 
 def _flood(level: dict, values: dict, better) -> dict:
@@ -467,7 +467,7 @@ def _flood(level: dict, values: dict, better) -> dict:
             continue
         for dy in (-1, 0, 1):
             for dx in (-1, 0, 1):
-                q = (p[0] + dy, p[1] + dx)
+                q = (p[0], p[1] + dy, p[2] + dx)
                 if q != p and q in level:
                     w = better(v, p, q)
                     if w is not None and w < values.get(q, (math.inf,)):
@@ -489,11 +489,11 @@ def _settle(pixels: DataFrame, start: DataFrame, spread, value: str, most_rounds
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf[~pdf["halo"]]
-        places = list(zip(pdf["y"].tolist(), pdf["x"].tolist()))
+        places = list(zip(pdf["slice"].tolist(), pdf["y"].tolist(), pdf["x"].tolist()))
         level = dict(zip(places, zip(pdf["level"].tolist(), *(pdf[c].tolist() for c in extra))))
         before = {p: tuple(v) for p, v in zip(places, pdf[value]) if v is not None}
         after = _flood(level, dict(before), lambda v, p, q: spread(v, level[p], level[q]))
-        keys = list(zip(own["y"].tolist(), own["x"].tolist()))
+        keys = list(zip(own["slice"].tolist(), own["y"].tolist(), own["x"].tolist()))
         out = own.drop(columns=["halo"]).copy()
         out[value] = pd.Series([list(after[k]) if k in after else None for k in keys], index=out.index, dtype=object)
         out["changed"] = [after.get(k) != before.get(k) for k in keys]
@@ -507,7 +507,7 @@ def _settle(pixels: DataFrame, start: DataFrame, spread, value: str, most_rounds
         # tiles that nothing new reaches stay as they are
         awake = now.where("changed").select("slice", "ty", "tx").unionByName(ghost.where("changed").select("slice", "ty", "tx")).distinct()
         both = now.withColumn("halo", F.lit(False)).unionByName(ghost.withColumn("halo", F.lit(True)))
-        moved = both.join(awake, ["slice", "ty", "tx"], "left_semi").select(*now.columns, "halo").groupBy("slice", "ty", "tx").applyInPandas(run, now.schema)
+        moved = both.join(awake, ["slice", "ty", "tx"], "left_semi").select(*now.columns, "halo").groupBy(F.floor(F.col("slice") / SLICES).alias("g"), "ty", "tx").applyInPandas(run, now.schema)
         now = checkpointed(moved.unionByName(now.join(awake, ["slice", "ty", "tx"], "left_anti").withColumn("changed", F.lit(False))))
         if now.where("changed").isEmpty():
             return now.drop("changed", "ty", "tx")

@@ -81,8 +81,15 @@ def basins(spark, sf):
     return ops.basins(rows, marks.select("slice", "m.*"))
 
 
+def anomaly_runs(spark, sf):
+    """Runs of flagged samples along twenty branches of orders, with unknown samples among them."""
+    state = F.when(F.col("o_orderkey") % 17 == 0, "unknown").when(F.floor(F.col("o_totalprice") / 700) % 3 == 0, "anomaly").otherwise("clean")
+    rows = table(spark, sf, "orders").select(F.lit(0).cast("bigint").alias("volume"), (F.col("o_orderkey") % 20).alias("branch"), F.floor(F.col("o_orderkey") / 20).alias("arc"), state.alias("state"))
+    return ops.anomaly_events(rows)
+
+
 FACTOR = 2.0
-QUERIES = {f.__name__: f for f in (mask_radii, medial_ridges, ridge_tracks, center_lines, normal_sections, section_events, filtered_center_lines, basins)}
+QUERIES = {f.__name__: f for f in (mask_radii, medial_ridges, ridge_tracks, center_lines, normal_sections, section_events, filtered_center_lines, anomaly_runs, basins)}
 
 SOLID = f"""{V(-0.08)}, solid AS (SELECT t // {DEPTH} AS volume, t % {DEPTH} AS t, y::BIGINT AS y, x::BIGINT AS x FROM voxels),
 grid AS (SELECT volume, t, y, x FROM (SELECT DISTINCT volume FROM solid), (SELECT unnest(range({DEPTH})) AS t), (SELECT unnest(range(8)) AS y), (SELECT unnest(range(8)) AS x)),
@@ -95,4 +102,30 @@ ORACLES = {
   AND (a.t = b.t OR a.y = b.y OR a.x = b.x) GROUP BY ALL), r AS (SELECT volume, t, y, x, greatest(0.5::DOUBLE, sqrt(d2) - 0.5) AS r FROM m WHERE d2 >= top),
 k AS (SELECT *, count(*) FILTER (WHERE r >= 1.25) OVER (PARTITION BY volume) AS n FROM r)
 SELECT volume, t, y, x, round(r, 6) AS r FROM k WHERE r >= CASE WHEN n >= 3 THEN 1.25 ELSE 0.5 END""",
+    "anomaly_runs": """WITH s AS (SELECT o_orderkey % 20 AS branch, o_orderkey // 20 AS arc, CASE WHEN o_orderkey % 17 = 0 THEN 'unknown' WHEN floor(o_totalprice / 700)::BIGINT % 3 = 0 THEN 'anomaly' ELSE 'clean' END AS state FROM orders),
+p AS (SELECT *, row_number() OVER w AS pos, count(*) FILTER (WHERE state = 'unknown') OVER w AS unknown, count(*) FILTER (WHERE state = 'clean') OVER (PARTITION BY branch ORDER BY arc ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 3 AS before,
+  count(*) FILTER (WHERE state = 'clean') OVER (PARTITION BY branch ORDER BY arc ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING) = 3 AS after FROM s WINDOW w AS (PARTITION BY branch ORDER BY arc)),
+b AS (SELECT *, CASE WHEN pos - lag(pos) OVER w <= 3 AND unknown = lag(unknown) OVER w THEN 0 ELSE 1 END AS fresh FROM p WHERE state = 'anomaly' WINDOW w AS (PARTITION BY branch ORDER BY arc)),
+e AS (SELECT *, sum(fresh) OVER (PARTITION BY branch ORDER BY arc) AS event FROM b)
+SELECT 0::BIGINT AS volume, branch, event::BIGINT AS event, min(arc) AS arc0, max(arc) AS arc1, count(*) AS n, arg_min(before, arc) AS clean_left, arg_max(after, arc) AS clean_right FROM e GROUP BY branch, event HAVING count(*) >= 3""",
+    "basins": """WITH RECURSIVE cells AS MATERIALIZED (
+  SELECT vec_id AS slice, pos // 8 AS y, pos % 8 AS x, floor(v::DOUBLE * 20)::BIGINT AS level FROM (SELECT vec_id, unnest(range(0, len(embedding)::BIGINT)) AS pos, unnest(embedding) AS v FROM embeddings)
+), marks AS MATERIALIZED (
+  SELECT slice, y, x, 1 AS label FROM (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY level, y, x) AS k FROM cells) WHERE k = 1
+  UNION ALL SELECT slice, y, x, 2 FROM (SELECT *, row_number() OVER (PARTITION BY slice ORDER BY level DESC, y DESC, x DESC) AS k FROM cells) WHERE k = 1
+), rise(slice, y, x, flat) USING KEY (slice, y, x) AS (
+  SELECT slice, y, x, min(level) FROM cells JOIN marks USING (slice, y, x) GROUP BY ALL
+  UNION
+  SELECT c.slice, c.y, c.x, min(greatest(r.flat, c.level)) AS f
+  FROM rise r JOIN cells c ON c.slice = r.slice AND abs(c.y - r.y) <= 1 AND abs(c.x - r.x) <= 1 LEFT JOIN recurring.rise o ON o.slice = c.slice AND o.y = c.y AND o.x = c.x
+  GROUP BY c.slice, c.y, c.x, o.flat HAVING o.flat IS NULL OR min(greatest(r.flat, c.level)) < o.flat
+), pixels AS MATERIALIZED (SELECT slice, y, x, level, flat FROM cells JOIN rise USING (slice, y, x)
+), way(slice, y, x, hops, label) USING KEY (slice, y, x) AS (
+  SELECT slice, y, x, 0, min(label) FROM marks GROUP BY slice, y, x
+  UNION
+  SELECT q.slice, q.y, q.x, min(w.hops) + 1, min(w.label)
+  FROM way w JOIN pixels p ON p.slice = w.slice AND p.y = w.y AND p.x = w.x JOIN pixels q ON q.slice = w.slice AND abs(q.y - w.y) <= 1 AND abs(q.x - w.x) <= 1 AND q.flat = greatest(p.flat, q.level)
+       LEFT JOIN recurring.way o ON o.slice = q.slice AND o.y = q.y AND o.x = q.x
+  WHERE o.slice IS NULL GROUP BY q.slice, q.y, q.x
+) SELECT slice, y, x, level, flat, label::BIGINT AS label FROM pixels JOIN way USING (slice, y, x)""",
 }
