@@ -99,6 +99,11 @@ def _start(state: str) -> Column:
     return F.struct(*((here if s == state else F.lit(None).cast(PATH)).alias(s) for s in STATES))
 
 
+def _closed() -> Column:
+    """No path to any state."""
+    return F.struct(*(F.lit(None).cast(PATH).alias(s) for s in STATES))
+
+
 #: What a block says besides its paths, in the order of the struct's fields.
 COUNTS = ("n", "blank", "duplicate", "truncated", "illegal", "turns")
 
@@ -125,7 +130,10 @@ def blocks(rows: DataFrame) -> DataFrame:
         F.max("turn").alias("most_turn"),
         F.sort_array(F.collect_list(F.struct("place", "initial", "fault"))).alias("seen"),
     )
-    paths = found.withColumns({f"p_{s}": F.aggregate("seen", _start(s), _step) for s in STATES})
+    # a conversation that begins within a run begins with nothing; only where a run begins may it go on from another state
+    goes_on = F.col("place") % (1 << BITS) == 0
+    fold = {s: F.aggregate("seen", _start(s), _step) for s in STATES}
+    paths = found.withColumns({f"p_{s}": f if s == "e" else F.when(goes_on, f).otherwise(_closed()) for s, f in fold.items()})
     ends = [F.get("seen", 0)["initial"].alias("first"), F.element_at("seen", -1)["initial"].alias("last")]
     pieces = F.array(F.struct("place", "n"))
     block = F.struct("place", *COUNTS, "least_turn", "most_turn", *ends, pieces.alias("pieces"), F.struct(*(F.col(f"p_{s}").alias(s) for s in STATES)).alias("paths"))
