@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from stratavox.plans import centerlines, finalization, geometry, images, interpolation, kernels, ledgers, masks, planning, polygons, temporal, tracks, views
+from stratavox.plans import centerlines, elastic, finalization, geometry, images, interpolation, kernels, ledgers, masks, planning, polygons, temporal, tracks, views
 
-_MODULES = (planning, temporal, masks, geometry, kernels, tracks, polygons, views, ledgers, centerlines, interpolation, finalization, images)
+_MODULES = (planning, temporal, masks, geometry, kernels, tracks, polygons, views, ledgers, centerlines, interpolation, finalization, images, elastic)
 
 QUERIES: dict = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES: dict = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
