@@ -37,7 +37,8 @@ class Rows:
         self.first = np.concatenate([[0], np.cumsum(lengths + 1)])
         text = np.concatenate([[0], np.cumsum(lengths)])
         n = int(self.first[-1])
-        # 32 bits each: the text of one task's part is far below 2 GB
+        if n >= 1 << 31:
+            raise ValueError(f"{n} suffixes in one part, whose places have 31 bits: use more partitions")
         self.string = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths + 1)
         self.pos = np.arange(n, dtype=np.int32) - self.first.astype(np.int32)[self.string]
         self.at = self.pos + text.astype(np.int32)[self.string]  # byte in data

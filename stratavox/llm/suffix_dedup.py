@@ -43,8 +43,10 @@ RUN = 256
 INNER = 1 << 15
 #: Segments of one gram beyond which they are dealt by a second gram, of this many bytes.
 HOT, SECOND = 4096, 20
-#: Bytes hashed together, of texts scanned together, and of a shard transform.
+#: Bytes hashed together, of texts scanned together, and of a shard transform at most.
 CHUNK, GROUP, SHARD = 1 << 20, 24 << 20, 1 << 19
+#: Shards that a part is merged from at least, and bytes that one has at least.
+SHARDS, LEAST_SHARD = 8, 1 << 12
 
 
 def _window_min(h: np.ndarray, span: int) -> np.ndarray:
@@ -305,7 +307,8 @@ def _compare(n_parts: int, shard_bytes: int):
             _, which, count = np.unique(gram[own], return_inverse=True, return_counts=True)
             own = own[(count[which] > 1) | inner[own]]
             text = np.concatenate([data[:0], *(data[a : a + n] for a, n in zip(at[own], length[own]))])
-            string, pos = bwt.repeated_windows(text, length[own], own * (RUN + 1), shard_bytes)
+            # shards follow the part, so that what a part holds is merged from several transforms
+            string, pos = bwt.repeated_windows(text, length[own], own * (RUN + 1), min(shard_bytes, max(len(text) // SHARDS, LEAST_SHARD)))
             where = np.lexsort((pos, string))
             string, pos = own[string[where]], pos[where]
             new = np.concatenate([[True], (string[1:] != string[:-1]) | (pos[1:] != pos[:-1] + 1)])[: len(string)]

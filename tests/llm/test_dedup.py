@@ -258,3 +258,27 @@ def test_golay_decodes_within_three():
     for i in range(50):  # words at most two bits apart share an index
         other = golay.neighbour_indices(np.array([words[i] ^ 0b101]), 23)
         assert set(flipped[i]) & set(other[0])
+
+
+def test_a_part_is_merged_from_several_transforms(monkeypatch, spark):
+    """Texts of a driver table as one part: at least eight shards are interleaved, and the repeats are those of a plain scan."""
+    texts = [(r.text or "").encode() for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(160).collect()]
+    texts = [t[:20_000] for t in texts if len(t) >= 100]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    lengths = np.array([len(t) for t in texts])
+    seen, real = [], bwt.merge
+    monkeypatch.setattr(bwt, "merge", lambda shards: seen.append(len(shards)) or real(shards))
+    string, pos = bwt.repeated_windows(data, lengths, np.arange(len(texts)) * 1_000_000, min(suffix_dedup.SHARD, max(len(data) // suffix_dedup.SHARDS, suffix_dedup.LEAST_SHARD)))
+    known, want = set(), set()
+    for i, t in enumerate(texts):
+        for p in range(len(t) - 99):
+            w = t[p : p + 100]
+            if w in known:
+                want.add((i, p))
+            known.add(w)
+    assert seen[0] >= 7 and set(zip(string.tolist(), pos.tolist())) == want and len(want) > 1000
+
+
+def test_positions_beyond_31_bits_are_refused():
+    with pytest.raises(ValueError, match="31 bits"):
+        bwt.Rows(np.zeros(0, np.uint8), np.array([1 << 31]))
