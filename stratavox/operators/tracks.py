@@ -65,6 +65,44 @@ def union_hypotheses(left: DataFrame, right: DataFrame, shortlist: int = 4) -> D
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy("obj_l").orderBy(F.col("gain").desc(), "a", "b"))).where("nth = 1").select("obj_l", "a", "b", "gain")
 
 
+def _unions(one: DataFrame, many: DataFrame, shortlist: int, members: int) -> DataFrame:
+    """(obj, members, iou, gain): of each track of ``one`` the union of 2 to ``members`` tracks of ``many`` that overlaps it best.
+
+    A track's ``shortlist`` best partners get a bit each. Every pixel of the track or its partners has the bits of those that hold
+    it, and the pixels are counted by bits once; the overlap with any union follows from these few counts.
+    """
+    px = ["frame", "y", "x"]
+    one, many = (df.select(F.col("obj").cast("bigint").alias("obj"), *px).distinct() for df in (one, many))
+    size = lambda df, name: df.groupBy("obj").agg(F.count("*").alias(name))
+    hits = one.join(many.withColumnRenamed("obj", "other"), px).groupBy("obj", "other").agg(F.count("*").alias("inter"))
+    pairs = hits.join(size(one, "n"), "obj").join(size(many, "m").withColumnRenamed("obj", "other"), "other").withColumn("iou", F.col("inter") / (F.col("n") + F.col("m") - F.col("inter")))
+    rank = F.row_number().over(Window.partitionBy("obj").orderBy(F.col("iou").desc(), "other")) - 1
+    best = pairs.withColumn("bit", rank).where(F.col("bit") < shortlist).select("obj", "other", "bit", "iou", "n")
+    theirs = best.join(many.withColumnRenamed("obj", "other"), "other").select("obj", *px, F.expr("shiftleft(2, bit)").alias("bits"))
+    pixels = one.withColumn("bits", F.lit(1)).unionByName(theirs).groupBy("obj", *px).agg(F.bit_or("bits").alias("bits"))
+    counts = pixels.groupBy("obj", "bits").agg(F.count("*").alias("k"))
+    sets = [m for m in range(1 << shortlist) if 2 <= m.bit_count() <= members]
+    tries = counts.withColumn("set", F.explode(F.array(*map(F.lit, sets))))
+    in_set, own = F.expr("((bits div 2) & set) <> 0"), F.expr("(bits & 1) = 1")
+    sums = tries.groupBy("obj", "set").agg(F.sum(F.when(in_set & own, F.col("k")).otherwise(0)).alias("inter"), F.sum(F.when(in_set | own, F.col("k")).otherwise(0)).alias("union"))
+    listed = best.groupBy("obj").agg(F.sort_array(F.collect_list(F.struct("bit", "other", "iou"))).alias("all"))
+    rows = sums.join(listed, "obj").withColumn("in", F.filter("all", lambda p: F.col("set").bitwiseAND(F.pow(F.lit(2), p["bit"]).cast("int")) != 0))
+    rows = rows.where(F.size("in") == F.bit_count("set"))  # every member is there
+    rows = rows.withColumns({"iou": F.col("inter") / F.col("union"), "single": F.array_max(F.transform("in", lambda p: p["iou"]))})
+    top = F.max_by(F.struct(F.sort_array(F.transform("in", lambda p: p["other"])).alias("members"), "iou", (F.col("iou") - F.col("single")).alias("gain")), F.struct(F.round("iou", 12), -F.size("in"), -F.col("set"))).alias("b")
+    return rows.groupBy("obj").agg(top).select("obj", "b.*")
+
+
+def residual_hypotheses(left: DataFrame, right: DataFrame, shortlist: int = 4, members: int = 3, least: float = 0.0, gain: float = 0.0) -> DataFrame:
+    """(kind, obj, members, iou, gain): left tracks that are split over right ones, and right tracks that are merged from left ones.
+
+    Of a track the best union counts (by overlap, then fewer members, then better ones); it is told if its overlap reaches
+    ``least`` and it gains more than ``gain`` on its best member.
+    """
+    both = _unions(left, right, shortlist, members).withColumn("kind", F.lit("split")).unionByName(_unions(right, left, shortlist, members).withColumn("kind", F.lit("merge")))
+    return both.where((F.col("iou") >= least) & (F.col("gain") > gain)).select("kind", "obj", "members", "iou", "gain")
+
+
 def flagged_runs(samples: DataFrame, least: int = 3, gap: int = 2, flank: int = 3) -> DataFrame:
     """(branch, start, stop, n): runs of flagged samples (branch, arc, bad), gaps of ``gap`` closed, with clean flanks.
 

@@ -52,6 +52,14 @@ def union_hypotheses(spark, sf):
     return ops.union_hypotheses(_tracks(spark, sf, 0.05, 0), _tracks(spark, sf, 0.1, 0))
 
 
+def residual_hypotheses(spark, sf):
+    """Splits and merges of twelve tracks on one side and twenty on the other."""
+    rows = _cells(spark, sf, 0.05)
+    side = lambda n, shift: rows.select((F.col("t") % n).alias("obj"), F.floor(F.col("t") / 60).alias("frame"), "y", ((F.col("x") + shift) % 8).alias("x")).distinct()
+    found = ops.residual_hypotheses(side(12, 0), side(20, 1))
+    return found.select("kind", "obj", F.array_join("members", ",").alias("members"), F.round("iou", 9).alias("iou"), F.round("gain", 9).alias("gain"))
+
+
 def centerline_events(spark, sf):
     rows = table(spark, sf, "orders").select((F.col("o_orderkey") % 20).alias("branch"), F.floor(F.col("o_orderkey") / 20).alias("arc"), (F.floor(F.col("o_totalprice") / 700) % 4 == 0).alias("bad"))
     return ops.flagged_runs(rows, least=3, gap=2, flank=3)
@@ -72,7 +80,7 @@ def packet_ledger(spark, sf):
     return ops.new_packets(rows, done)
 
 
-QUERIES = {f.__name__: f for f in (parse_parameters, augmentation_tags, tile_owners, geometry_gates, union_hypotheses, centerline_events, ridge_peaks, session_packing, packet_ledger)}
+QUERIES = {f.__name__: f for f in (parse_parameters, augmentation_tags, tile_owners, geometry_gates, union_hypotheses, residual_hypotheses, centerline_events, ridge_peaks, session_packing, packet_ledger)}
 
 ORACLES = {
     "parse_parameters": """WITH p AS (SELECT p_partkey, p_size::INT AS s, p_name FROM part)
@@ -104,6 +112,18 @@ n AS (SELECT *, sum(new) OVER (PARTITION BY branch ORDER BY arc ROWS UNBOUNDED P
 r AS (SELECT branch, run, min(arc) AS start, max(arc) AS stop, count(*) AS n FROM n GROUP BY branch, run)
 SELECT branch, start, stop, n FROM r WHERE stop - start + 1 >= 3 AND start - 3 >= (SELECT min(arc) FROM s WHERE s.branch = r.branch) AND stop + 3 <= (SELECT max(arc) FROM s WHERE s.branch = r.branch)
   AND NOT EXISTS (SELECT 1 FROM s WHERE s.branch = r.branch AND bad AND (arc BETWEEN r.start - 3 AND r.start - 1 OR arc BETWEEN r.stop + 1 AND r.stop + 3))""",
+    "residual_hypotheses": f"""{V(0.05)}, sides AS (SELECT 'split' AS kind, 'one' AS part, t % 12 AS obj, t // 60 AS frame, y, x FROM voxels UNION SELECT 'split', 'many', t % 20, t // 60, y, (x + 1) % 8 FROM voxels
+  UNION SELECT 'merge', 'many', t % 12, t // 60, y, x FROM voxels UNION SELECT 'merge', 'one', t % 20, t // 60, y, (x + 1) % 8 FROM voxels),
+sizes AS (SELECT kind, part, obj, count(*) AS n FROM sides GROUP BY ALL),
+i AS (SELECT a.kind, a.obj, b.obj AS other, count(*) AS inter FROM sides a JOIN sides b ON a.kind = b.kind AND a.part = 'one' AND b.part = 'many' AND a.frame = b.frame AND a.y = b.y AND a.x = b.x GROUP BY ALL),
+r AS (SELECT i.kind, i.obj, other, inter / (s.n + m.n - inter) AS iou, s.n, row_number() OVER (PARTITION BY i.kind, i.obj ORDER BY inter / (s.n + m.n - inter) DESC, other) - 1 AS bit
+  FROM i JOIN sizes s ON s.kind = i.kind AND s.part = 'one' AND s.obj = i.obj JOIN sizes m ON m.kind = i.kind AND m.part = 'many' AND m.obj = other),
+s AS (SELECT kind, obj, other, iou, n, bit, m AS pick FROM r, (SELECT unnest(range(16)) AS m) WHERE bit < 4 AND bit_count(m::INT) BETWEEN 2 AND 3 AND m & (1 << bit) <> 0),
+k AS (SELECT kind, obj, pick, any_value(n) AS n, count(*) AS size, max(iou) AS single, string_agg(other::VARCHAR, ',' ORDER BY other) AS members FROM s GROUP BY ALL HAVING count(*) = bit_count(pick::INT)),
+u AS (SELECT DISTINCT s.kind, s.obj, s.pick, b.frame, b.y, b.x FROM s JOIN sides b ON b.kind = s.kind AND b.part = 'many' AND b.obj = s.other),
+c AS (SELECT u.kind, u.obj, u.pick, count(*) AS whole, count(a.obj) AS inter FROM u LEFT JOIN sides a ON a.kind = u.kind AND a.part = 'one' AND a.obj = u.obj AND a.frame = u.frame AND a.y = u.y AND a.x = u.x GROUP BY ALL),
+b AS (SELECT k.*, c.inter / (k.n + whole - c.inter) AS iou, row_number() OVER (PARTITION BY k.kind, k.obj ORDER BY round(c.inter / (k.n + whole - c.inter), 12) DESC, size, k.pick) AS nth FROM k JOIN c ON c.kind = k.kind AND c.obj = k.obj AND c.pick = k.pick)
+SELECT kind, obj, members, round(iou, 9) AS iou, round(iou - single, 9) AS gain FROM b WHERE nth = 1 AND iou > single""",
     "packet_ledger": """WITH p AS (SELECT l_orderkey AS work_id, sha256(l_partkey::VARCHAR || ':' || l_linenumber::VARCHAR) AS sha256 FROM lineitem)
 SELECT work_id, min(sha256) AS sha256 FROM p WHERE work_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY work_id""",
 }
