@@ -35,7 +35,7 @@ def rasterize(polygons: DataFrame, size: int) -> DataFrame:
 
 
 def clip(points: list, x0: float, y0: float, x1: float, y1: float) -> list[tuple[float, float]]:
-    """A polygon cut to a rectangle, side by side."""
+    """What ``clipped`` does, for one polygon on the driver."""
     out = [(p["x"], p["y"]) for p in points]
     for axis, bound, keep in ((0, x0, 1), (0, x1, -1), (1, y0, 1), (1, y1, -1)):
         ring, out = out, []
@@ -52,11 +52,23 @@ def clip(points: list, x0: float, y0: float, x1: float, y1: float) -> list[tuple
 
 
 def clipped(points: Column, x0: float, y0: float, x1: float, y1: float) -> Column:
-    @F.pandas_udf(POINTS)
-    def run(column: pd.Series) -> pd.Series:
-        return column.map(lambda ps: [{"x": float(x), "y": float(y)} for x, y in clip(list(ps), x0, y0, x1, y1)], na_action="ignore")
+    """A polygon cut to a rectangle, side by side: every edge gives its first point if that is inside, and where it crosses."""
+    sides = F.array(*(F.struct(F.lit(axis).alias("axis"), F.lit(float(bound)).alias("bound"), F.lit(keep).alias("keep")) for axis, bound, keep in (("x", x0, 1), ("x", x1, -1), ("y", y0, 1), ("y", y1, -1))))
+    none = F.array().cast(POINTS)
 
-    return run(points)
+    def cut(ring: Column, side: Column) -> Column:
+        at = lambda p: F.when(side["axis"] == "x", p["x"]).otherwise(p["y"])
+        inside = lambda p: side["keep"] * (at(p) - side["bound"]) >= 0
+
+        def edge(a: Column, b: Column) -> Column:
+            t = (side["bound"] - at(a)) / (at(b) - at(a))
+            place = lambda c: F.when(side["axis"] == c, side["bound"]).otherwise(a[c] + t * (b[c] - a[c])).alias(c)
+            return F.concat(F.when(inside(a), F.array(F.struct(a["x"].alias("x"), a["y"].alias("y")))).otherwise(none), F.when(inside(a) != inside(b), F.array(F.struct(place("x"), place("y")))).otherwise(none))
+
+        turned = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+        return F.flatten(F.zip_with(ring, turned, edge))
+
+    return F.aggregate(sides, points.cast(POINTS), cut)
 
 
 def box(points: Column) -> Column:

@@ -58,7 +58,22 @@ QUERIES = {f.__name__: f for f in (rasterize_polygons, polygon_boxes, clip_polyg
 P = """p AS (SELECT c_custkey AS obj, (c_custkey * 3 % 17 + 0.25)::DOUBLE AS x1, (c_custkey * 5 % 17 + 0.25)::DOUBLE AS y1, (c_custkey * 7 % 17 + 0.25)::DOUBLE AS x2, (c_custkey * 2 % 17 + 0.25)::DOUBLE AS y2,
   (c_custkey * 11 % 17 + 0.25)::DOUBLE AS x3, (c_custkey * 13 % 17 + 0.25)::DOUBLE AS y3 FROM customer)"""
 HIT = "((a{i} > cy) <> (b{i} > cy) AND cx < px{i} + (cy - a{i}) * (qx{i} - px{i}) / (b{i} - a{i}))::INT"
+
+
+def _clip_sql() -> str:
+    """The four sides of the square from 4 to 12, one after the other."""
+    steps = ["s0 AS (SELECT obj, [{'x': x1, 'y': y1}, {'x': x2, 'y': y2}, {'x': x3, 'y': y3}] AS p FROM p)"]
+    for k, (axis, bound, keep) in enumerate((("x", 4.0, 1), ("x", 12.0, -1), ("y", 4.0, 1), ("y", 12.0, -1))):
+        inside = lambda p: f"{keep} * ({p}.{axis} - {bound}::DOUBLE) >= 0"  # noqa: E731, B023
+        a, b = "p[i]", "p[i % len(p) + 1]"
+        place = lambda c: f"{bound}::DOUBLE" if c == axis else f"{a}.{c} + ({bound}::DOUBLE - {a}.{axis}) / ({b}.{axis} - {a}.{axis}) * ({b}.{c} - {a}.{c})"  # noqa: E731, B023
+        steps.append(f"s{k + 1} AS (SELECT obj, flatten(list_transform(range(1, len(p) + 1), lambda i: list_concat(CASE WHEN {inside(a)} THEN [{a}] ELSE [] END, CASE WHEN ({inside(a)}) <> ({inside(b)}) THEN [{{'x': {place('x')}, 'y': {place('y')}}}] ELSE [] END))) AS p FROM s{k})")
+    return ", ".join(steps)
+
+
 ORACLES = {
+    "clip_polygons": f"""WITH {P}, {_clip_sql()}
+SELECT obj, len(p) AS n, CASE WHEN len(p) >= 3 THEN round(abs(list_sum(list_transform(range(1, len(p) + 1), lambda i: p[i].x * p[i % len(p) + 1].y - p[i].y * p[i % len(p) + 1].x))) / 2, 6) ELSE 0.0::DOUBLE END AS area FROM s4""",
     "rasterize_polygons": f"""WITH {P}, e AS (SELECT obj, x1 AS px1, y1 AS a1, x2 AS qx1, y2 AS b1, x2 AS px2, y2 AS a2, x3 AS qx2, y3 AS b2, x3 AS px3, y3 AS a3, x1 AS qx3, y1 AS b3 FROM p),
 g AS (SELECT *, y + 0.5::DOUBLE AS cy, x + 0.5::DOUBLE AS cx FROM e, (SELECT unnest(range(16)) AS y), (SELECT unnest(range(16)) AS x)),
 h AS (SELECT obj, y, x, {" + ".join(HIT.format(i=i) for i in (1, 2, 3))} AS n FROM g)

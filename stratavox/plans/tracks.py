@@ -112,6 +112,20 @@ n AS (SELECT *, sum(new) OVER (PARTITION BY branch ORDER BY arc ROWS UNBOUNDED P
 r AS (SELECT branch, run, min(arc) AS start, max(arc) AS stop, count(*) AS n FROM n GROUP BY branch, run)
 SELECT branch, start, stop, n FROM r WHERE stop - start + 1 >= 3 AND start - 3 >= (SELECT min(arc) FROM s WHERE s.branch = r.branch) AND stop + 3 <= (SELECT max(arc) FROM s WHERE s.branch = r.branch)
   AND NOT EXISTS (SELECT 1 FROM s WHERE s.branch = r.branch AND bad AND (arc BETWEEN r.start - 3 AND r.start - 1 OR arc BETWEEN r.stop + 1 AND r.stop + 3))""",
+    "augmentation_tags": f"""WITH d AS (SELECT p_partkey, sha256(concat_ws(chr(0), 'PTA-v4', 'tag', 'cafe', p_partkey::VARCHAR, '1', '0')) AS digest FROM part),
+v AS (SELECT *, list_reduce(list_concat([0::HUGEINT], list_transform(string_split(digest, ''), lambda c: (strpos('0123456789abcdef', c) - 1)::HUGEINT)), lambda a, d: (a * 16 + d) % {len(parsing.TAG_ALPHABET) ** parsing.TAG_LENGTH}::HUGEINT) AS value FROM d)
+SELECT p_partkey, digest, {" || ".join(f"substr('{parsing.TAG_ALPHABET}', (value // {len(parsing.TAG_ALPHABET) ** k}::HUGEINT % {len(parsing.TAG_ALPHABET)})::INT + 1, 1)" for k in reversed(range(parsing.TAG_LENGTH)))} AS tag FROM v""",
+    "ridge_peaks": f"""{V(0.1)}, p AS (SELECT t, y, x, row_number() OVER (PARTITION BY t ORDER BY v DESC, y, x) AS k FROM voxels),
+walk AS (SELECT DISTINCT t, 0::BIGINT AS k, []::STRUCT(y INT, x INT)[] AS kept FROM p
+  UNION ALL SELECT w.t, p.k, CASE WHEN len(list_filter(w.kept, lambda q: (q.y - p.y) * (q.y - p.y) + (q.x - p.x) * (q.x - p.x) <= 4)) = 0 THEN list_append(w.kept, {{'y': p.y, 'x': p.x}}) ELSE w.kept END FROM walk w JOIN p ON p.t = w.t AND p.k = w.k + 1),
+last AS (SELECT t, unnest(arg_max(kept, k)) AS q FROM walk GROUP BY t)
+SELECT t, q.y::BIGINT AS y, q.x::BIGINT AS x FROM last""",
+    "session_packing": """WITH RECURSIVE o AS (SELECT l_orderkey % 200 AS key, l_linenumber::BIGINT AS obj, list_distinct(list(l_partkey % 64)) AS px FROM lineitem GROUP BY ALL),
+p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY obj) AS k FROM o),
+walk AS (SELECT DISTINCT key, 0::BIGINT AS k, NULL::BIGINT AS obj, NULL::BIGINT AS session, []::STRUCT(px BIGINT[], n INT)[] AS all_ FROM p
+  UNION ALL SELECT key, k, obj, coalesce(slot, len(all_) + 1) - 1, CASE WHEN slot IS NULL THEN list_append(all_, {'px': px, 'n': 1}) ELSE list_transform(all_, lambda s, i: CASE WHEN i = slot THEN {'px': list_distinct(list_concat(s.px, px)), 'n': s.n + 1} ELSE s END) END
+  FROM (SELECT w.key, p.k, p.obj, p.px, w.all_, nullif(coalesce(list_position(list_transform(w.all_, lambda s: s.n < 3 AND len(list_filter(p.px, lambda v: NOT list_contains(s.px, v))) >= 0.5 * len(p.px)), true), 0), 0) AS slot FROM walk w JOIN p ON p.key = w.key AND p.k = w.k + 1))
+SELECT key, obj, session::BIGINT AS session FROM walk WHERE k > 0""",
     "residual_hypotheses": f"""{V(0.05)}, sides AS (SELECT 'split' AS kind, 'one' AS part, t % 12 AS obj, t // 60 AS frame, y, x FROM voxels UNION SELECT 'split', 'many', t % 20, t // 60, y, (x + 1) % 8 FROM voxels
   UNION SELECT 'merge', 'many', t % 12, t // 60, y, x FROM voxels UNION SELECT 'merge', 'one', t % 20, t // 60, y, (x + 1) % 8 FROM voxels),
 sizes AS (SELECT kind, part, obj, count(*) AS n FROM sides GROUP BY ALL),
