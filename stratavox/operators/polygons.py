@@ -140,15 +140,24 @@ def simplified(ring: list[tuple[int, int]], epsilon: float) -> list[tuple[int, i
     return [ring[k] for k in sorted(keep)]
 
 
+#: Slices whose components are outlined by one task.
+SLICES = 8
+
+
 def outlines(labelled: DataFrame, epsilon: float = 1.0) -> DataFrame:
-    """(t, root, points): the outer outline of every component (t, y, x, root) that has three points at least; a group is a component.
+    """(t, root, points): the outer outline of every component (t, y, x, root) that has three points at least; a group is a few slices.
 
     Points are pixel centres, clockwise from the first pixel; holes are not told.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        ring = simplified(border(set(zip(pdf["y"].tolist(), pdf["x"].tolist()))), epsilon)
-        rows = [[{"x": float(x), "y": float(y)} for y, x in ring]] if len(ring) >= 3 else []
-        return pd.DataFrame({"t": pdf["t"].iloc[: len(rows)].to_numpy(), "root": pdf["root"].iloc[: len(rows)].to_numpy(), "points": pd.Series(rows, dtype=object)})
-
-    return labelled.select("t", "y", "x", "root").groupBy("root").applyInPandas(run, StructType([StructField("t", LongType()), StructField("root", LongType()), StructField("points", POINTS)]))
+        rows = []
+        for (t, root), own in pdf.groupby(["t", "root"]):
+            ring = simplified(border(set(zip(own["y"].tolist(), own["x"].tolist()))), epsilon)
+            if len(ring) >= 3:
+                rows.append((t, root, [{"x": float(x), "y": float(y)} for y, x in ring]))
+        t, root, points = zip(*rows) if rows else ((), (), ())
+        return pd.DataFrame({"t": pd.Series(t, dtype="int64"), "root": pd.Series(root, dtype="int64"), "points": pd.Series(list(points), dtype=object)})
+
+    schema = StructType([StructField("t", LongType()), StructField("root", LongType()), StructField("points", POINTS)])
+    return labelled.select("t", "y", "x", "root").groupBy(F.floor(F.col("t") / SLICES).alias("g")).applyInPandas(run, schema)
