@@ -7,6 +7,7 @@ a block of lines, a plane's ridge, a connected set of links, a section, or a com
 
 from __future__ import annotations
 
+import functools
 import heapq
 import math
 
@@ -15,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.operators import graph, kernels, masks
+from stratavox.operators import graph, groups, kernels, masks
 from stratavox.session import checkpointed
 
 AXES = ("t", "y", "x")
@@ -23,6 +24,8 @@ AT = ["volume", "t", "y", "x"]
 #: Least radius of a ridge (and where a volume has fewer than three such voxels), planes that a track may leave
 #: out, what a step may be in places and in radii, largest ratio of radii, and least points of a track.
 RIDGE, RELAXED, GAP, STEP, RADII, RATIO, LEAST = 1.25, 0.5, 2, 2.5, 0.85, 5.0, 3
+#: Voxels of the lines along t that one group holds together.
+LINES = 1 << 17
 
 
 # --- radii and ridges
@@ -32,8 +35,10 @@ def radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     """The mask with d2, the squared distance of each voxel to the nearest background inside the box.
 
     Slices first, then lines along t: a line's background voxels count as 0, so only the part that the mask spans is built.
+    A group is a square of lines with about ``LINES`` voxels.
     """
     flat = slice_radii(mask, shape)
+    side = max(8, math.isqrt(LINES // shape[0]))
 
     def lines(pdf: pd.DataFrame) -> pd.DataFrame:
         t, y, x = (pdf[c].to_numpy() for c in AXES)
@@ -44,7 +49,8 @@ def radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
         f[t - first, at] = pdf["f"]
         return pd.DataFrame({"volume": pdf["volume"].iloc[0], "t": t, "y": y, "x": x, "d2": kernels._along(f)[t - first, at]})
 
-    return flat.groupBy("volume", F.floor(F.col("y") / 8).alias("gy"), F.floor(F.col("x") / 8).alias("gx")).applyInPandas(lines, "volume long, t long, y long, x long, d2 long")
+    flat = flat.withColumn("gy", F.floor(F.col("y") / side)).withColumn("gx", F.floor(F.col("x") / side))
+    return groups.spread(flat, "volume", "gy", "gx").groupBy("volume", "gy", "gx").applyInPandas(lines, "volume long, t long, y long, x long, d2 long")
 
 
 def slice_radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
@@ -58,8 +64,8 @@ def slice_radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
         m[k, y, x] = True
         return pd.DataFrame({"volume": pdf["volume"].iloc[0], "t": key, "y": y, "x": x, "f": kernels.squared_distance(~m)[k, y, x]})
 
-    rows = mask.select(*(F.col(c).cast("bigint").alias(c) for c in AT)).distinct()
-    return rows.groupBy("volume", F.floor(F.col("t") / max(1, kernels.GROUP_PIXELS // (size * size))).alias("g")).applyInPandas(slices, "volume long, t long, y long, x long, f long")
+    rows = mask.select(*(F.col(c).cast("bigint").alias(c) for c in AT)).distinct().withColumn("g", F.floor(F.col("t") / max(1, kernels.GROUP_PIXELS // (size * size))))
+    return groups.spread(rows, "volume", "g").groupBy("volume", "g").applyInPandas(slices, "volume long, t long, y long, x long, f long")
 
 
 def ridges(solid: DataFrame) -> DataFrame:
@@ -88,19 +94,23 @@ def plane_peaks(ridge: DataFrame) -> DataFrame:
     views = F.explode(F.array(*(F.struct(F.lit(a).alias("axis"), F.col(c).alias("plane"), *(F.col(o).alias(n) for o, n in zip([d for d in AXES if d != c], ("row", "col")))) for a, c in enumerate(AXES)))).alias("v")
     rows = ridge.select("volume", "r", views).select("volume", "v.*", "r")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["r", "row", "col"], ascending=[False, True, True])
+    def run(plane: dict[str, list]) -> list[tuple]:
         taken: set[tuple[int, int]] = set()
         keep = []
-        for row, col, r in zip(pdf["row"].tolist(), pdf["col"].tolist(), pdf["r"].tolist()):
-            keep.append((row, col) not in taken)
-            if keep[-1]:
-                reach = max(0.75, 0.4 * r)
-                n = math.ceil(reach)
-                taken |= {(row + i, col + j) for i in range(-n, n + 1) for j in range(-n, n + 1) if i * i + j * j <= reach * reach}
-        return pdf[keep]
+        for volume, axis, at, row, col, r in zip(*(plane[c] for c in ("volume", "axis", "plane", "row", "col", "r"))):
+            if (row, col) not in taken:
+                keep.append((volume, axis, at, row, col, r))
+                taken.update((row + i, col + j) for i, j in _within(max(0.75, 0.4 * r)))
+        return keep
+
+    return groups.streamed(rows, ["volume", "axis", "plane"], [F.col("r").desc(), F.col("row"), F.col("col")], run, "volume long, axis int, plane long, row long, col long, r double")
 
-    return rows.groupBy("volume", "axis", "plane").applyInPandas(run, "volume long, axis int, plane long, row long, col long, r double")
+
+@functools.lru_cache(1024)
+def _within(reach: float) -> list[tuple[int, int]]:
+    """Steps (rows, columns) no longer than ``reach``."""
+    n = math.ceil(reach)
+    return [(i, j) for i in range(-n, n + 1) for j in range(-n, n + 1) if i * i + j * j <= reach * reach]
 
 
 # --- tracks
@@ -151,12 +161,13 @@ def tracks(good: DataFrame) -> DataFrame:
     good = checkpointed(good.withColumn("a", node("p")).withColumn("b", node("n")))
     found = graph.components(good.select("a", "b")).select(F.col("node").alias("a"), F.col("root").alias("set"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols = ["p_plane", "p_row", "p_col", "p_r", "n_plane", "n_row", "n_col", "n_r", "score"]
+    cols = ["p_plane", "p_row", "p_col", "p_r", "n_plane", "n_row", "n_col", "n_r", "score"]
+
+    def run(pairs: dict[str, list]) -> list[tuple]:
         order = lambda p: (p[0], -p[3], p[1], p[2])
         into: dict[tuple, list] = {}
         every = set()
-        for row in zip(*(pdf[c].tolist() for c in cols)):
+        for row in zip(*(pairs[c] for c in cols)):
             old, new = row[:4], row[4:8]
             every |= {old, new}
             into.setdefault(new, []).append((row[8], old))
@@ -174,13 +185,11 @@ def tracks(good: DataFrame) -> DataFrame:
         n: dict[tuple, int] = {}
         for p in every:
             n[track[p]] = n.get(track[p], 0) + 1
-        rows = [(*track[p][:3], arc[p], *p) for p in every if n[track[p]] >= LEAST]
-        out = pd.DataFrame(rows, columns=["plane0", "row0", "col0", "arc", "plane", "row", "col", "r"])
-        out.insert(0, "axis", pdf["axis"].iloc[0])
-        out.insert(0, "volume", pdf["volume"].iloc[0])
-        return out
+        volume, axis = pairs["volume"][0], pairs["axis"][0]
+        return [(volume, axis, *track[p][:3], arc[p], *p) for p in every if n[track[p]] >= LEAST]
 
-    return good.join(found, "a").groupBy("set").applyInPandas(run, "volume long, axis int, plane0 long, row0 long, col0 long, arc long, plane long, row long, col long, r double")
+    rows = good.join(found, "a").select("set", "volume", "axis", *cols)
+    return groups.streamed(rows, ["set"], [], run, "volume long, axis int, plane0 long, row0 long, col0 long, arc long, plane long, row long, col long, r double")
 
 
 def branches(found: DataFrame) -> DataFrame:
@@ -209,22 +218,22 @@ def branches(found: DataFrame) -> DataFrame:
     ranks = rows.groupBy("branch").agg(F.first("rank").alias("rank"))
     todo = close.groupBy("branch", "voxel").agg(F.collect_set("by").alias("by")).join(count, "branch").join(sets, "branch").join(ranks, "branch").select("set", "branch", "by", "n", F.struct("rank.*").alias("rank"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(near: dict[str, list]) -> list[tuple]:
         kept, out = set(), []
-        order = {b: tuple(r.values()) for b, r in zip(pdf["branch"], pdf["rank"])}
+        order = {b: tuple(r.values()) for b, r in zip(near["branch"], near["rank"])}
         voxels: dict[int, list] = {}
-        for b, by in zip(pdf["branch"], pdf["by"]):
-            voxels.setdefault(b, []).append(set(by))
-        n = dict(zip(pdf["branch"], pdf["n"]))
+        for b, by in zip(near["branch"], near["by"]):
+            voxels.setdefault(b, []).append(by)
+        n = dict(zip(near["branch"], near["n"]))
         for b in sorted(order, key=order.get):
-            covered = sum(1 for by in voxels[b] if by & kept)
+            covered = sum(1 for by in voxels[b] if not kept.isdisjoint(by))
             if n[b] - covered >= 0.5 * n[b]:
                 kept.add(b)
             else:
-                out.append(b)
-        return pd.DataFrame({"branch": pd.Series(out, dtype="int64")})
+                out.append((b,))
+        return out
 
-    gone = todo.groupBy("set").applyInPandas(run, "branch long")
+    gone = groups.streamed(todo, ["set"], [], run, "branch long")
     rows = rows.join(gone, "branch", "left_anti")
     tangent = [(F.coalesce(F.lead(c).over(along), F.col(c)) - F.coalesce(F.lag(c).over(along), F.col(c))).alias(f"d{c}") for c in AXES]
     return rows.select("volume", "branch", "arc", *AXES, "r", *tangent)
