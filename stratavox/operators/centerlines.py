@@ -8,16 +8,16 @@ a block of lines, a plane's ridge, a connected set of links, a section, or a com
 from __future__ import annotations
 
 import functools
-import heapq
 import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavox.operators import graph, groups, kernels, masks
-from stratavox.session import checkpointed
+from stratavox.session import checkpointed, shuffle_partitions
 
 AXES = ("t", "y", "x")
 AT = ["volume", "t", "y", "x"]
@@ -462,64 +462,97 @@ def protected_seeds(samples: DataFrame, mask: DataFrame) -> DataFrame:
 # --- watershed
 
 
-#: Side of the tiles that a flood is settled in at once, and neighbouring slices of which a tile's are settled together.
-TILE, SLICES = 128, 8
+#: Side of the tiles that a flood is settled in at once, and pixels of neighbouring slices' tiles that are settled together.
+TILE, TOGETHER = 128, 1 << 17
 
 
-def _flood(level: dict, values: dict, better) -> dict:
-    """Values of all places of ``level`` after spreading ``values`` by ``better`` (the value that a neighbour would get, or None)."""
-    heap = [(v, p) for p, v in values.items()]
-    heapq.heapify(heap)
-    while heap:
-        v, p = heapq.heappop(heap)
-        if values.get(p) != v:
-            continue
-        for dy in (-1, 0, 1):
-            for dx in (-1, 0, 1):
-                q = (p[0], p[1] + dy, p[2] + dx)
-                if q != p and q in level:
-                    w = better(v, p, q)
-                    if w is not None and w < values.get(q, (math.inf,)):
-                        values[q] = w
-                        heapq.heappush(heap, (w, q))
-    return values
+def _flood(value: np.ndarray, beside: np.ndarray, spread) -> np.ndarray:
+    """Values (columns compared in order, ``FAR`` for none) after spreading to neighbours: ``beside`` (8, n) has their numbers, n for none.
 
-
-def _settle(pixels: DataFrame, start: DataFrame, spread, value: str, most_rounds: int) -> DataFrame:
-    """The least ``value`` (array of numbers) of every pixel (slice, y, x, level), spread from ``start`` (slice, y, x, value).
+    ``spread`` gives the values that places would get from others; a round moves only what the round before changed.
+    """
+    value = np.vstack([value, np.full((1, value.shape[1]), FAR)])  # the place that is beside those at the edge
+    moved = np.flatnonzero(value[:-1, 0] < FAR)
+    while len(moved):
+        p = np.tile(moved, len(beside))
+        q = beside[:, moved].ravel()
+        p, q = p[q < len(value) - 1], q[q < len(value) - 1]
+        new = spread(value[p], p, q)
+        less = _less(new, value[q])
+        q, new = q[less], new[less]
+        first = np.lexsort((*new.T[::-1], q))  # of several, the least
+        q, new = q[first], new[first]
+        one = np.append(True, q[1:] != q[:-1]) if len(q) else np.zeros(0, bool)
+        moved = q[one]
+        value[moved] = new[one]
+    return value[:-1]
+
+
+#: Above all levels and steps.
+FAR = np.iinfo(np.int64).max
+
+
+def _less(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = a[:, -1] < b[:, -1]
+    for c in range(a.shape[1] - 2, -1, -1):
+        out = (a[:, c] < b[:, c]) | (a[:, c] == b[:, c]) & out
+    return out
+
+
+def _beside(key: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """(8, n): numbers of the places next to each of n places of slices numbered by ``key``; n for none."""
+    n = len(key)
+    high, wide = int(y.max() - y.min()) + 3, int(x.max() - x.min()) + 3  # an empty row and column keep slices apart
+    code = (key * high + (y - y.min() + 1)) * wide + (x - x.min() + 1)
+    order = np.argsort(code)
+    rank = code[order]
+    out = []
+    for step in (-wide - 1, -wide, -wide + 1, -1, 1, wide - 1, wide, wide + 1):
+        at = np.minimum(np.searchsorted(rank, code + step), n - 1)
+        out.append(np.where(rank[at] == code + step, order[at], n))
+    return np.array(out)
+
+
+def _settle(pixels: DataFrame, start: DataFrame, spread, values: list[str], most_rounds: int) -> DataFrame:
+    """The least ``values`` (compared in order) of every pixel (slice, y, x, level), spread from ``start`` (slice, y, x, values).
 
     A tile settles its own pixels from what it has and what its neighbours' border pixels had the round before; the rounds
-    end when no tile changed anything, so their number is that of the tiles that a basin winds through.
+    end when no tile gets anything new from another, so their number is that of the tiles that a basin winds through. The
+    driver reads the number of all pixels, by which tiles at the same place of different slices are put together.
     """
-    tiled = pixels.select("slice", "y", "x", "level", *(c for c in pixels.columns if c in ("flat",)), F.floor(F.col("y") / TILE).alias("ty"), F.floor(F.col("x") / TILE).alias("tx"))
-    extra = [c for c in tiled.columns if c == "flat"]
-    now = tiled.join(start.select("slice", "y", "x", value), ["slice", "y", "x"], "left").withColumn("changed", F.col(value).isNotNull())
-    now = checkpointed(now)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf[~pdf["halo"]]
-        places = list(zip(pdf["slice"].tolist(), pdf["y"].tolist(), pdf["x"].tolist()))
-        level = dict(zip(places, zip(pdf["level"].tolist(), *(pdf[c].tolist() for c in extra))))
-        before = {p: tuple(v) for p, v in zip(places, pdf[value]) if v is not None}
-        after = _flood(level, dict(before), lambda v, p, q: spread(v, level[p], level[q]))
-        keys = list(zip(own["slice"].tolist(), own["y"].tolist(), own["x"].tolist()))
-        out = own.drop(columns=["halo"]).copy()
-        out[value] = pd.Series([list(after[k]) if k in after else None for k in keys], index=out.index, dtype=object)
-        out["changed"] = [after.get(k) != before.get(k) for k in keys]
-        return out
+    extra = [c for c in pixels.columns if c == "flat"]
+    tiled = pixels.select("slice", "y", "x", "level", *extra, F.floor(F.col("y") / TILE).alias("ty"), F.floor(F.col("x") / TILE).alias("tx"))
+    now = checkpointed(tiled.join(start.select("slice", "y", "x", *values), ["slice", "y", "x"], "left").withColumn("changed", F.col(values[0]).isNotNull()))
+    tiles = now.select("slice", "ty", "tx").distinct()
+    many = max(2 * shuffle_partitions(now.sparkSession), 2 * now.count() // TOGETHER)
+
+    def run(table: pa.Table) -> pa.Table:
+        own = ~table["halo"].to_numpy()
+        numbers = lambda cols, none: np.stack([table[c].cast(pa.int64()).fill_null(none).to_numpy() for c in cols], 1)
+        _, key = np.unique(table["slice"].to_numpy(), return_inverse=True)
+        before, level = numbers(values, FAR), numbers(["level", *extra], -FAR)
+        after = _flood(before, _beside(key, table["y"].to_numpy(), table["x"].to_numpy()), lambda v, p, q: spread(v, level[p], level[q]))
+        out = table.filter(pa.array(own)).drop_columns(["halo"])
+        new = {c: pa.array(v, mask=v == FAR) for c, v in zip(values, after[own].T)} | {"changed": pa.array((after != before)[own].any(1))}
+        return pa.table([new.get(c, out[c]) for c in out.column_names], out.column_names)
 
     side = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("o")
+    awake = now.where("changed").select("slice", "ty", "tx")
     for _ in range(most_rounds):
-        ghost = now.where((F.col("y") % TILE).isin(0, TILE - 1) | (F.col("x") % TILE).isin(0, TILE - 1)).select("*", side)
+        ghost = now.where(F.pmod("y", F.lit(TILE)).isin(0, TILE - 1) | F.pmod("x", F.lit(TILE)).isin(0, TILE - 1)).select("*", side)
         ghost = ghost.withColumn("gy", F.floor((F.col("y") + F.col("o.i")) / TILE)).withColumn("gx", F.floor((F.col("x") + F.col("o.j")) / TILE)).where("gy <> ty OR gx <> tx")
-        ghost = ghost.select("slice", "y", "x", "level", *extra, F.col("gy").alias("ty"), F.col("gx").alias("tx"), value, "changed").distinct()
-        # tiles that nothing new reaches stay as they are
-        awake = now.where("changed").select("slice", "ty", "tx").unionByName(ghost.where("changed").select("slice", "ty", "tx")).distinct()
+        ghost = ghost.select("slice", "y", "x", "level", *extra, F.col("gy").alias("ty"), F.col("gx").alias("tx"), *values, "changed").distinct()
+        ghost = checkpointed(ghost.join(tiles, ["slice", "ty", "tx"], "left_semi"))
+        # a tile that has run is settled for itself: only what is new beside it wakes it
+        news = ghost.where("changed").select("slice", "ty", "tx")
+        awake = (news if awake is None else awake.unionByName(news)).distinct()
+        if awake.isEmpty():
+            return now.drop("changed", "ty", "tx")
         both = now.withColumn("halo", F.lit(False)).unionByName(ghost.withColumn("halo", F.lit(True)))
-        moved = both.join(awake, ["slice", "ty", "tx"], "left_semi").select(*now.columns, "halo").groupBy(F.floor(F.col("slice") / SLICES).alias("g"), "ty", "tx").applyInPandas(run, now.schema)
+        both = both.join(awake, ["slice", "ty", "tx"], "left_semi").select(*now.columns, "halo").withColumn("g", F.pmod(F.xxhash64("slice"), F.lit(many)))
+        moved = groups.spread(both, "g", "ty", "tx").groupBy("g", "ty", "tx").applyInArrow(run, both.drop("halo").schema).drop("g")
         now = checkpointed(moved.unionByName(now.join(awake, ["slice", "ty", "tx"], "left_anti").withColumn("changed", F.lit(False))))
-        if now.where("changed").isEmpty():
-            return now.drop("changed", "ty", "tx")
+        awake = None
     raise RuntimeError(f"a flood did not settle in {most_rounds} rounds")
 
 
@@ -531,14 +564,14 @@ def basins(pixels: DataFrame, markers: DataFrame, most_rounds: int = 200) -> Dat
     label. Pixels that no marker reaches have no label.
     """
     start = pixels.join(markers, ["slice", "y", "x"]).groupBy("slice", "y", "x").agg(F.min("label").alias("label"), F.first("level").alias("level"))
-    first = start.select("slice", "y", "x", F.array(F.col("level").cast("long")).alias("rise"))
-    risen = _settle(pixels, first, lambda v, p, q: (max(v[0], q[0]),), "rise", most_rounds)
-    flat = risen.select("slice", "y", "x", "level", F.get("rise", F.lit(0)).alias("flat"))
-    origin = start.select("slice", "y", "x", F.array(F.lit(0).cast("long"), F.col("label").cast("long")).alias("way"))
-    step = lambda v, p, q: (v[0] + 1, v[1]) if p[1] is not None and q[1] == max(p[1], q[0]) else None
-    out = _settle(flat.where("flat IS NOT NULL"), origin, step, "way", most_rounds)
+    first = start.select("slice", "y", "x", F.col("level").cast("long").alias("rise"))
+    risen = _settle(pixels, first, lambda v, p, q: np.maximum(v, q[:, :1]), ["rise"], most_rounds)
+    flat = risen.withColumnRenamed("rise", "flat")
+    origin = start.select("slice", "y", "x", F.lit(0).cast("long").alias("steps"), F.col("label").cast("long").alias("label"))
+    step = lambda v, p, q: np.where((q[:, 1] == np.maximum(p[:, 1], q[:, 0]))[:, None], v + (1, 0), FAR)
+    out = _settle(flat.where("flat IS NOT NULL"), origin, step, ["steps", "label"], most_rounds)
     none = flat.where("flat IS NULL").withColumn("label", F.lit(None).cast("long"))
-    return out.select("slice", "y", "x", "level", "flat", F.get("way", F.lit(1)).alias("label")).unionByName(none)
+    return out.drop("steps").unionByName(none)
 
 
 # --- the filter

@@ -38,3 +38,13 @@ def test_peaks_tracks_and_radii_are_dealt_over_tasks(spark):
     peaks = centerlines.plane_peaks(centerlines.ridges(radii))
     found = centerlines.tracks(centerlines.links(peaks, mask))
     assert min(map(tasks_of, (radii, peaks, found))) > 1
+
+
+def test_floods_of_small_slices_settle_in_one_round(spark, monkeypatch):
+    # all slices have one tile, so nothing comes from beside it, and slices share groups
+    rng = np.random.default_rng(3)
+    rows = [(s, y, x, int(rng.integers(0, 5))) for s in range(0, 4000, 40) for y in range(8) for x in range(8)]
+    pixels = spark.createDataFrame(rows, "slice long, y long, x long, level long")
+    marks = spark.createDataFrame([(s, y, y, k + 1) for s in range(0, 4000, 40) for k, y in enumerate((0, 7))], "slice long, y long, x long, label int")
+    got = centerlines.basins(pixels, marks, most_rounds=2)  # the second finds nothing awake
+    assert got.where("flat IS NOT NULL AND label IS NOT NULL").count() == len(rows) and tasks_of(got) > 1
