@@ -1,14 +1,9 @@
-"""Frontiers and relays as streams: incremental merges of offers, windowed counts, and a stateful ledger of new pixels."""
+"""Frontiers and relays as streams: incremental merges of offers, windowed counts, and a ledger of the pixels that relays bring."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stratavox.session import shared_path
 
@@ -29,7 +24,8 @@ def drain(stream: DataFrame, mode: str, keys: list[str], out: str | None = None)
     """Runs a stream over what there is and returns the last row of each key; no row if there was no batch.
 
     Every micro-batch is written under its number, so a batch that is tried again replaces itself. With the folder ``out`` of
-    an earlier run the stream goes on from there.
+    an earlier run the stream goes on from there. If the stream has a column ``revision``, it is how many different rows the
+    key has had.
     """
     spark = stream.sparkSession
     out = out or shared_path(spark, "stream")
@@ -43,8 +39,11 @@ def drain(stream: DataFrame, mode: str, keys: list[str], out: str | None = None)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/rows")
     written = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
     rows = spark.read.schema(schema).parquet(f"{out}/rows") if written else spark.createDataFrame([], schema)
-    values = [c for c in stream.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "__batch").alias("v")).select(*keys, "v.*")
+    values = [c for c in stream.columns if c not in (*keys, "revision")]
+    last = F.max_by(F.struct(*values), "__batch").alias("v")
+    if "revision" not in stream.columns:
+        return rows.groupBy(*keys).agg(last).select(*keys, "v.*")
+    return rows.groupBy(*keys).agg(last, F.size(F.collect_set(F.struct(*values))).cast("bigint").alias("revision")).select(*keys, "v.*", "revision")
 
 
 def merge_offers(offers: DataFrame) -> DataFrame:
@@ -57,30 +56,19 @@ def windowed_counts(events: DataFrame, size: str = "1 hour", late: str = "2 hour
     return events.withWatermark("ts", late).groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids")).select(F.col("w.start").alias("start"), "event_type", "n", "ids")
 
 
-#: Pixels that one state row keeps, as bits.
-CHUNK = 1024
-
-
-def _ledger(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    bits, revision = state.get if state.exists else (bytes(CHUNK // 8), 0)
-    have = np.unpackbits(np.frombuffer(bits, np.uint8))
-    before = int(have.sum())
-    for pdf in batches:
-        have[pdf["px"].to_numpy() % CHUNK] = 1
-    n = int(have.sum())
-    if n > before:
-        revision += 1
-        state.update((np.packbits(have).tobytes(), revision))
-        yield pd.DataFrame({"lineage": [key[0]], "frame": [key[1]], "chunk": [key[2]], "revision": [revision], "n_pixels": [n]})
+#: Pixels that one state row keeps, as the bits of one number.
+CHUNK = 64
 
 
 def relay_ledger(relays: DataFrame) -> DataFrame:
-    """(lineage, frame, chunk, revision, n_pixels) whenever relays (lineage, frame, px) bring pixels that were not there; others yield nothing.
+    """(lineage, frame, chunk, revision, n_pixels) of every chunk that relays (lineage, frame, px) reach, with the pixels it has by now.
 
-    A state row holds ``CHUNK`` pixels as a bitmap, so an update rewrites as much, however many pixels a frame has.
+    A state row is one number of ``CHUNK`` bits, so an update rewrites as much, however many pixels a frame has. Relays of
+    known pixels repeat the chunk's row, which ``drain`` does not count as a revision.
     """
-    rows = relays.withColumn("chunk", F.floor(F.col("px") / CHUNK))
-    return rows.groupBy("lineage", "frame", "chunk").applyInPandasWithState(_ledger, "lineage long, frame long, chunk long, revision long, n_pixels long", "bits binary, revision long", "update", GroupStateTimeout.NoTimeout)
+    rows = relays.select("lineage", "frame", F.shiftright("px", 6).alias("chunk"), F.expr(f"shiftleft(1L, cast(pmod(px, {CHUNK}) AS int))").alias("bit"))
+    now = rows.groupBy("lineage", "frame", "chunk").agg(F.bit_or("bit").alias("bits"))
+    return now.select("lineage", "frame", "chunk", F.lit(0).cast("bigint").alias("revision"), F.coalesce(F.bit_count("bits"), F.lit(0)).cast("bigint").alias("n_pixels"))
 
 
 def ledger_totals(chunks: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratavox.operators import centerlines, groups
+from stratavox.streaming import frontier
 
 
 def tasks_of(df):
@@ -48,3 +49,18 @@ def test_floods_of_small_slices_settle_in_one_round(spark, monkeypatch):
     marks = spark.createDataFrame([(s, y, y, k + 1) for s in range(0, 4000, 40) for k, y in enumerate((0, 7))], "slice long, y long, x long, label int")
     got = centerlines.basins(pixels, marks, most_rounds=2)  # the second finds nothing awake
     assert got.where("flat IS NOT NULL AND label IS NOT NULL").count() == len(rows) and tasks_of(got) > 1
+
+
+def test_ledger_of_very_many_frames_needs_no_python(spark, tmp_path):
+    rows = [(k % 7, k // 7, p) for k in range(3000) for p in (k % 5 - 2, 63 + k % 2, 4096)] + [(0, 0, None), (9, 9, None)]
+    schema = "lineage long, frame long, px long"
+    for part in (rows[: len(rows) // 2], rows[len(rows) // 3 :]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/relays.parquet")
+    ledger = frontier.relay_ledger(frontier.stream_of(spark, str(tmp_path), "relays"))
+    assert "Python" not in ledger._jdf.queryExecution().analyzed().toString() and "InPandas" not in ledger._jdf.queryExecution().analyzed().toString()
+    got = {(r.lineage, r.frame): (r.n_pixels, r.revisions) for r in frontier.ledger_totals(frontier.drain(ledger, "update", ["lineage", "frame", "chunk"])).collect()}
+    want = {}
+    for lineage, frame, p in rows:
+        want.setdefault((lineage, frame), set()).update(() if p is None else (p,))
+    assert {k: n for k, (n, _) in got.items()} == {k: len(v) for k, v in want.items()}
+    assert sum(r for _, r in got.values()) <= 4 * 3000 + 2  # rows that came twice count once
