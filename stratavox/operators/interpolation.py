@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.operators import kernels, masks
+from stratavox.operators import groups, kernels, masks
 from stratavox.session import checkpointed
 
 AT = ["volume", "t", "y", "x"]
@@ -85,7 +85,7 @@ def candidates(rows: DataFrame, starts: DataFrame, shape: tuple[int, int, int],
         out = [(piece, int(pdf["direction"].iloc[0]), k + 1, step, label, ts, y, x) for k, (step, _, label, ts, y, x) in enumerate(ranked)]
         return pd.DataFrame(out, columns=["piece", "direction", "nth", "step", "target", "ts", "ty", "tx"])
 
-    return met.groupBy("piece", "direction").applyInPandas(run, "piece long, direction long, nth int, step long, target long, ts long, ty long, tx long")
+    return groups.spread(met, "piece", "direction").groupBy("piece", "direction").applyInPandas(run, "piece long, direction long, nth int, step long, target long, ts long, ty long, tx long")
 
 
 def walk_back(rows: DataFrame, found: DataFrame, starts: DataFrame, steps: int) -> DataFrame:
@@ -198,7 +198,7 @@ def bridges(rows: DataFrame, plans: DataFrame, shape: tuple[int, int, int], thre
             painted += [{"s": int(row.s) + sign * k, "y": y, "x": x} for y, x in at.tolist()]
         return pd.DataFrame({**{c: [row[c]] for c in key}, "accepted": [ok], "radius": [radius], "pixels": [painted]})
 
-    return both.groupBy(*key).applyInPandas(run, "piece long, direction long, nth int, back int, accepted boolean, radius double, pixels array<struct<s:long,y:long,x:long>>")
+    return groups.spread(both, *key).groupBy(*key).applyInPandas(run, "piece long, direction long, nth int, back int, accepted boolean, radius double, pixels array<struct<s:long,y:long,x:long>>")
 
 
 def planned(rows: DataFrame, found: DataFrame, starts: DataFrame, shape: tuple[int, int, int], distance: int, angle: float, most: int, back: int) -> DataFrame:

@@ -13,15 +13,20 @@ from stratavox.session import checkpointed
 
 #: Pixels of the slices that one group holds together.
 GROUP_PIXELS = 1 << 15
+#: Pairs of places of all lines that are compared at once.
+SMALL = 1 << 17
 
 
 def _along(f: np.ndarray) -> np.ndarray:
     """min over q of f[q] + (p - q)^2 along the first axis of (n, lines), exactly: the lower envelope of parabolas.
 
     A stack for each line keeps the places whose parabolas are lowest somewhere, with the place from which each is; every
-    place is put on once and taken off once at most, so time is linear in the array.
+    place is put on once and taken off once at most, so time is linear in the array. Small arrays compare all pairs at once.
     """
     n, m = f.shape
+    if 0 < n * n * m <= SMALL:
+        place = np.arange(n)
+        return (((place[:, None] - place) ** 2)[:, :, None] + f).min(1)
     site, start = np.zeros((n, m), np.int64), np.zeros((n, m), np.int64)
     top = np.zeros(m, np.int64)
     lines = np.arange(m)

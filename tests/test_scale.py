@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratavox.operators import centerlines, groups
+from stratavox.operators import centerlines, groups, interpolation, kernels
 from stratavox.streaming import frontier
 
 
@@ -64,3 +64,21 @@ def test_ledger_of_very_many_frames_needs_no_python(spark, tmp_path):
         want.setdefault((lineage, frame), set()).update(() if p is None else (p,))
     assert {k: n for k, (n, _) in got.items()} == {k: len(v) for k, v in want.items()}
     assert sum(r for _, r in got.values()) <= 4 * 3000 + 2  # rows that came twice count once
+
+
+def test_cones_and_bridges_are_dealt_over_tasks(spark):
+    mask = spark.createDataFrame([(v, t, y, x) for v in range(16) for t in (0, 1, 4, 5) for y in range(4, 8) for x in range(4, 8)], "volume long, t long, y long, x long")
+    rows = interpolation.pieces(mask, (6, 12, 12))
+    found = interpolation.anchors(rows)
+    starts = interpolation.seeds(rows, found)
+    plans = interpolation.planned(rows, found, starts, (6, 12, 12), 4, 10.0, 1, 0)
+    assert tasks_of(interpolation.candidates(rows, starts, (6, 12, 12), 4, 10.0, 1)) > 1
+    assert tasks_of(interpolation.bridges(rows, plans, (6, 12, 12), 0.0)) > 1
+
+
+def test_small_distances_equal_the_envelope(monkeypatch):
+    rng = np.random.default_rng(6)
+    f = [rng.integers(0, 400, (n, m)) for n, m in ((1, 1), (2, 5), (9, 30), (31, 7))]
+    small = [kernels._along(v) for v in f]
+    monkeypatch.setattr(kernels, "SMALL", 0)
+    assert all((a == kernels._along(v)).all() for a, v in zip(small, f))
