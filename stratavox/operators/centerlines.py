@@ -250,8 +250,8 @@ def center_lines(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
 
 #: Straight ways tried from the centre, step along them, widest half side of a section, voxels told of one.
 WAYS, WAY_STEP, HALF, EVIDENCE = 24, 0.75, 256, 2048
-#: Side of the cells by which voxels are fetched.
-CELL = 16
+#: Side of the cells by which voxels are fetched, and samples of a line that fetch together.
+CELL, BLOCK = 16, 16
 
 
 def bounded(voxels: np.ndarray, most: int) -> np.ndarray:
@@ -352,38 +352,45 @@ def section(place: np.ndarray, tangent: np.ndarray, r: float, factor: float, nea
 
 
 def cells_of(mask: DataFrame) -> DataFrame:
-    """(volume, ct, cy, cx, voxels): the mask's voxels gathered by cell, at most CELL^3 in one."""
-    return mask.groupBy("volume", *(F.floor(F.col(c) / CELL).alias(f"c{c}") for c in AXES)).agg(F.collect_list(F.struct(*AXES)).alias("voxels"))
+    """(volume, ct, cy, cx, voxels): the mask's voxels gathered by cell, at most CELL^3 in one, as their numbers within it."""
+    t, y, x = (F.pmod(c, F.lit(CELL)) for c in AXES)
+    return mask.groupBy("volume", *(F.floor(F.col(c) / CELL).alias(f"c{c}") for c in AXES)).agg(F.collect_list(((t * CELL + y) * CELL + x).cast("int")).alias("voxels"))
+
+
+def _of_cell(cell: tuple[int, int, int], numbers: np.ndarray) -> np.ndarray:
+    """Places (n, 3) of a cell's voxels."""
+    return np.stack([numbers // (CELL * CELL), numbers // CELL % CELL, numbers % CELL], 1).astype(np.int64) + np.array(cell, np.int64) * CELL
 
 
 def sections(samples: DataFrame, mask: DataFrame, shape: tuple[int, int, int], factor: float, most: int = EVIDENCE, half_cap: int = HALF) -> DataFrame:
     """(volume, branch, arc, state, evidence array<struct<t,y,x>>) of every sample of centre lines.
 
-    A sample fetches the cells that its plane can reach; a group is one sample.
+    A sample fetches the cells that its plane can reach; a group is ``BLOCK`` neighbouring samples of a line, which share cells.
     """
     reach = F.least(F.lit(16), F.ceil(F.greatest(F.lit(0.5), F.col("r")) + 1))
     far = F.ceil((F.least(F.lit(half_cap), F.ceil(factor * F.col("r") + 1.5)) + 1) * math.sqrt(2)) + reach + 1
-    rows = samples.select("volume", "branch", "arc", *AXES, "r", "dt", "dy", "dx").withColumn("far", far)
+    rows = samples.select("volume", "branch", "arc", *AXES, "r", "dt", "dy", "dx").withColumn("block", F.floor(F.col("arc") / BLOCK)).withColumn("far", far)
     wanted = rows
     for c in AXES:
         wanted = wanted.withColumn(f"c{c}", F.explode(F.sequence(F.floor((F.col(c) - F.col("far")) / CELL), F.floor((F.col(c) + F.col("far")) / CELL))))
     norm = F.sqrt(F.col("dt") ** 2 + F.col("dy") ** 2 + F.col("dx") ** 2)
     off = F.abs(sum(((F.col(f"c{c}") + 0.5) * CELL - F.col(c)) * F.col(f"d{c}") for c in AXES))
     wanted = wanted.where(off <= norm * (CELL * math.sqrt(3) / 2 + reach + 2))
-    near = wanted.select("volume", "branch", "arc", "ct", "cy", "cx").join(cells_of(mask), ["volume", "ct", "cy", "cx"]).select("volume", "branch", "arc", "voxels")
-    both = rows.drop("far").withColumn("voxels", F.lit(None).cast("array<struct<t:bigint,y:bigint,x:bigint>>")).unionByName(near, allowMissingColumns=True)
+    key = ["volume", "branch", "block"]
+    near = wanted.select(*key, "ct", "cy", "cx").distinct().join(cells_of(mask), ["volume", "ct", "cy", "cx"]).select(*key, "ct", "cy", "cx", "voxels")
+    both = rows.drop("far").unionByName(near, allowMissingColumns=True)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf[pdf["r"].notna()]
-        parts = [np.array([(v["t"], v["y"], v["x"]) for v in cell], np.int64) for cell in pdf["voxels"] if cell is not None]
+        parts = [_of_cell(cell, np.asarray(voxels)) for *cell, voxels in zip(pdf["ct"], pdf["cy"], pdf["cx"], pdf["voxels"]) if voxels is not None]
         around = Near(np.concatenate(parts) if parts else np.zeros((0, 3), np.int64), shape)
         out = []
         for s in own.itertuples():
             state, voxels = section(np.array([s.t, s.y, s.x], float), np.array([s.dt, s.dy, s.dx], float), float(s.r), factor, around, half_cap)
-            out.append((s.volume, s.branch, s.arc, state, [dict(zip(AXES, v)) for v in bounded(voxels, most).tolist()]))
+            out.append((int(s.volume), int(s.branch), int(s.arc), state, [dict(zip(AXES, v)) for v in bounded(voxels, most).tolist()]))
         return pd.DataFrame(out, columns=["volume", "branch", "arc", "state", "evidence"])
 
-    return both.groupBy("volume", "branch", "arc").applyInPandas(run, "volume long, branch long, arc long, state string, evidence array<struct<t:long,y:long,x:long>>")
+    return groups.spread(both, *key).groupBy(*key).applyInPandas(run, "volume long, branch long, arc long, state string, evidence array<struct<t:long,y:long,x:long>>")
 
 
 def anomaly_events(found: DataFrame, least: int = 3, gap: int = 2, flank: int = 3) -> DataFrame:

@@ -82,3 +82,10 @@ def test_small_distances_equal_the_envelope(monkeypatch):
     small = [kernels._along(v) for v in f]
     monkeypatch.setattr(kernels, "SMALL", 0)
     assert all((a == kernels._along(v)).all() for a, v in zip(small, f))
+
+
+def test_sections_are_dealt_over_tasks_and_fetch_numbers(spark):
+    mask = spark.createDataFrame([(v, t, y, x) for v in range(12) for t in range(20) for y in range(4, 9) for x in range(14, 19)], "volume long, t long, y long, x long")
+    assert dict(centerlines.cells_of(mask).dtypes)["voxels"] == "array<int>"
+    samples = spark.createDataFrame([(v, 1, t, t, 6, 16, 2.0, 1, 0, 0) for v in range(12) for t in range(20)], "volume long, branch long, arc long, t long, y long, x long, r double, dt long, dy long, dx long")
+    assert tasks_of(centerlines.sections(samples, mask, (20, 32, 32), 2.0)) > 1
