@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -26,46 +27,68 @@ AT = ["volume", "t", "y", "x"]
 RIDGE, RELAXED, GAP, STEP, RADII, RATIO, LEAST = 1.25, 0.5, 2, 2.5, 0.85, 5.0, 3
 #: Voxels of the lines along t that one group holds together.
 LINES = 1 << 17
+#: Voxels of a row of the mask that are packed together for lookups.
+WORD = 64
+#: Planes whose links one task joins into sets before the graph.
+SLAB = 64
 
 
 # --- radii and ridges
 
 
-def radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
-    """The mask with d2, the squared distance of each voxel to the nearest background inside the box.
+def _of_lines(flat: DataFrame, shape: tuple[int, int, int], around: int, run: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], dict]) -> DataFrame:
+    """(volume, t, y, x, d2) of what ``run`` chooses in every square of lines along t, about ``LINES`` voxels of slices (volume, t, y, x, f).
 
-    Slices first, then lines along t: a line's background voxels count as 0, so only the part that the mask spans is built.
-    A group is a square of lines with about ``LINES`` voxels.
+    It gets the places, d2 and whether a line is the square's own: the lines of ``around`` places beside it come with it.
     """
-    flat = slice_radii(mask, shape)
     side = max(8, math.isqrt(LINES // shape[0]))
+    for c, size in zip(("y", "x"), shape[1:]):
+        last = (size - 1) // side
+        cells = F.floor(F.col(c) / side) if not around or not last else F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col(c) - around) / side)), F.least(F.lit(last), F.floor((F.col(c) + around) / side))))
+        flat = flat.withColumn(f"g{c}", cells)
 
-    def lines(pdf: pd.DataFrame) -> pd.DataFrame:
-        t, y, x = (pdf[c].to_numpy() for c in AXES)
+    def lines(table: pa.Table) -> pa.Table:
+        t, y, x, f = (table[c].to_numpy() for c in ("t", "y", "x", "f"))
         first, last = max(int(t.min()) - 1, 0), min(int(t.max()) + 2, shape[0])
-        line, at = np.unique(np.stack([y, x]), axis=1, return_inverse=True)
-        at = at.reshape(-1)
-        f = np.zeros((last - first, line.shape[1]), np.int64)
-        f[t - first, at] = pdf["f"]
-        return pd.DataFrame({"volume": pdf["volume"].iloc[0], "t": t, "y": y, "x": x, "d2": kernels._along(f)[t - first, at]})
+        y0, x0 = int(y.min()), int(x.min())
+        line, at = np.unique((y - y0) * (int(x.max()) - x0 + 1) + x - x0, return_inverse=True)
+        background = np.zeros((last - first, len(line)), np.int64)
+        background[t - first, at] = f
+        d2 = kernels._along(background)[t - first, at]
+        own = (y // side == table["gy"][0].as_py()) & (x // side == table["gx"][0].as_py())
+        out = {"t": t, "y": y, "x": x, "d2": d2}
+        chosen = run(t, y, x, d2, own)
+        return pa.table({"volume": table["volume"].take(pa.array(chosen)), **{c: pa.array(v[chosen], pa.int64()) for c, v in out.items()}})
 
-    flat = flat.withColumn("gy", F.floor(F.col("y") / side)).withColumn("gx", F.floor(F.col("x") / side))
-    return groups.spread(flat, "volume", "gy", "gx").groupBy("volume", "gy", "gx").applyInPandas(lines, "volume long, t long, y long, x long, d2 long")
+    return groups.spread(flat, "volume", "gy", "gx").groupBy("volume", "gy", "gx").applyInArrow(lines, "volume long, t long, y long, x long, d2 long")
+
+
+def radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+    """The mask with d2, the squared distance of each voxel to the nearest background inside the box.
+
+    Slices first, then lines along t: a line's background voxels count as 0, so only the part that the mask spans is built.
+    """
+    return _of_lines(slice_radii(mask, shape), shape, 0, lambda t, y, x, d2, own: np.arange(len(t)))
 
 
 def slice_radii(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
-    """The mask with f, the squared distance of each voxel to the nearest background of its slice; a large number without any."""
+    """The mask with f, the squared distance of each voxel to the nearest background of its slice; a large number without any.
+
+    A group of slices has about ``LINES`` pixels; voxels that come twice leave it once.
+    """
     size = max(shape[1:])
 
-    def slices(pdf: pd.DataFrame) -> pd.DataFrame:
-        y, x, key = pdf["y"].to_numpy(), pdf["x"].to_numpy(), pdf["t"].to_numpy()
-        t, k = np.unique(key, return_inverse=True)
+    def slices(table: pa.Table) -> pa.Table:
+        y, x = table["y"].to_numpy(), table["x"].to_numpy()
+        t, k = np.unique(table["t"].to_numpy(), return_inverse=True)
         m = np.zeros((len(t), *shape[1:]), bool)
         m[k, y, x] = True
-        return pd.DataFrame({"volume": pdf["volume"].iloc[0], "t": key, "y": y, "x": x, "f": kernels.squared_distance(~m)[k, y, x]})
+        at = np.nonzero(m)
+        volume = np.full(len(at[0]), table["volume"][0].as_py(), np.int64)
+        return pa.table({"volume": volume, "t": t[at[0]], "y": at[1], "x": at[2], "f": kernels.squared_distance(~m)[at]})
 
-    rows = mask.select(*(F.col(c).cast("bigint").alias(c) for c in AT)).distinct().withColumn("g", F.floor(F.col("t") / max(1, kernels.GROUP_PIXELS // (size * size))))
-    return groups.spread(rows, "volume", "g").groupBy("volume", "g").applyInPandas(slices, "volume long, t long, y long, x long, f long")
+    rows = mask.select(*(F.col(c).cast("bigint").alias(c) for c in AT)).withColumn("g", F.floor(F.col("t") / max(1, LINES // (size * size))))
+    return groups.spread(rows, "volume", "g").groupBy("volume", "g").applyInArrow(slices, "volume long, t long, y long, x long, f long")
 
 
 def ridges(solid: DataFrame) -> DataFrame:
@@ -80,12 +103,35 @@ def ridges(solid: DataFrame) -> DataFrame:
 
     rows = solid.withColumn("mx", around("d2", "x")).withColumn("mt", around("d2", "t"))
     rows = rows.withColumn("yx", around("mx", "y")).withColumn("ty", around("mt", "y")).withColumn("tx", around("mx", "t"))
-    best = rows.where(F.col("d2") >= F.greatest("yx", "ty", "tx"))
+    return _thick(rows.where(F.col("d2") >= F.greatest("yx", "ty", "tx")))
+
+
+def _thick(best: DataFrame) -> DataFrame:
     r = F.greatest(F.lit(0.5), F.sqrt("d2") - 0.5)
     best = best.select(*AT, r.alias("r")).withColumn("thick", F.count_if(F.col("r") >= RIDGE).over(Window.partitionBy("volume")))
     return best.where(F.col("r") >= F.when(F.col("thick") >= LEAST, RIDGE).otherwise(RELAXED)).drop("thick")
 
 
+def medial(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
+    """``ridges`` of the mask's ``radii``: a square of lines comes with the lines beside it, so that only maxima leave its task."""
+    def maxima(t: np.ndarray, y: np.ndarray, x: np.ndarray, d2: np.ndarray, own: np.ndarray) -> np.ndarray:
+        at = tuple(v - v.min() + 1 for v in (t, y, x))
+        box = np.zeros([int(v.max()) + 2 for v in at], np.int64)  # an empty place around it all
+        box[at] = d2
+
+        def wide(a: np.ndarray, axis: int) -> np.ndarray:
+            a, out = np.moveaxis(a, axis, 0), np.zeros_like(a)
+            to = np.moveaxis(out, axis, 0)
+            to[1:-1] = np.maximum(np.maximum(a[:-2], a[1:-1]), a[2:])
+            return out
+
+        mx, my = wide(box, 2), wide(box, 1)
+        top = np.maximum(np.maximum(wide(mx, 1), wide(my, 0)), wide(mx, 0))
+        return np.flatnonzero(own & (d2 >= top[at]))
+
+    return _thick(_of_lines(slice_radii(mask, shape), shape, 1, maxima))
+
+
 def plane_peaks(ridge: DataFrame) -> DataFrame:
     """(volume, axis, plane, row, col, r): ridge voxels of every plane across each axis, thinned in order of falling radius.
 
@@ -116,6 +162,15 @@ def _within(reach: float) -> list[tuple[int, int]]:
 # --- tracks
 
 
+def words(mask: DataFrame) -> DataFrame:
+    """(volume, t, y, word, bits): the mask, ``WORD`` voxels of a row in one number."""
+    return mask.select("volume", "t", "y", "x").groupBy("volume", "t", "y", F.floor(F.col("x") / WORD).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("x", F.lit(WORD)).cast("int"))).alias("bits"))
+
+
+def _bit(bits: str, x: str) -> Column:
+    return F.call_function("getbit", F.col(bits), F.pmod(x, F.lit(WORD)).cast("int"))
+
+
 def links(peaks: DataFrame, mask: DataFrame) -> DataFrame:
     """Pairs of peaks that may follow each other: (volume, axis, p_*, n_*, score), the step over the largest allowed.
 
@@ -141,12 +196,12 @@ def links(peaks: DataFrame, mask: DataFrame) -> DataFrame:
     # the voxels on the way, ends included
     delta = [F.col("n_plane") - F.col("p_plane"), F.col("n_row") - F.col("p_row"), F.col("n_col") - F.col("p_col")]
     steps = F.greatest(F.lit(2), F.ceil(F.sqrt(sum(d * d for d in delta)) / 0.5).cast("int") + 1)
-    way = pairs.withColumn("steps", steps).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("steps") - 1)))
+    way = pairs.select("link", "volume", "axis", *(f"{e}_{c}" for e in "pn" for c in ("plane", "row", "col")), steps.alias("steps")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("steps") - 1)))
     place = [F.rint(F.col(f"p_{c}") + F.col("i") / (F.col("steps") - 1) * d).cast("bigint") for c, d in zip(("plane", "row", "col"), delta)]
     pick = lambda k: F.element_at(F.array(*place), F.element_at(F.array(*(F.lit(n) for n in k)), F.col("axis") + 1))
     # plane, row and col of axis 0 are t, y, x; of axis 1 y, t, x; of axis 2 x, t, y
-    voxels = way.select("link", "volume", pick((1, 2, 2)).alias("t"), pick((2, 1, 3)).alias("y"), pick((3, 3, 1)).alias("x")).distinct()
-    outside = voxels.join(mask.select(*AT).distinct(), AT, "left_anti").select("link").distinct()
+    voxels = way.select("link", "volume", pick((1, 2, 2)).alias("t"), pick((2, 1, 3)).alias("y"), pick((3, 3, 1)).alias("x"))
+    outside = voxels.withColumn("word", F.floor(F.col("x") / WORD)).join(words(mask), ["volume", "t", "y", "word"], "left").where(~F.coalesce(_bit("bits", "x") == 1, F.lit(False))).select("link").distinct()
     return pairs.join(outside, "link", "left_anti").drop("link")
 
 
@@ -158,8 +213,8 @@ def tracks(good: DataFrame) -> DataFrame:
     is tracked on its own.
     """
     node = lambda p: F.xxhash64("volume", "axis", f"{p}_plane", f"{p}_row", f"{p}_col")
-    good = checkpointed(good.withColumn("a", node("p")).withColumn("b", node("n")))
-    found = graph.components(good.select("a", "b")).select(F.col("node").alias("a"), F.col("root").alias("set"))
+    slab = F.floor(F.col("p_plane") / SLAB)
+    sets = graph.grouped(good.withColumn("a", node("p")).withColumn("b", node("n")).withColumn("slab", slab), "volume", "axis", "slab").withColumnRenamed("root", "set")
 
     cols = ["p_plane", "p_row", "p_col", "p_r", "n_plane", "n_row", "n_col", "n_r", "score"]
 
@@ -188,7 +243,7 @@ def tracks(good: DataFrame) -> DataFrame:
         volume, axis = pairs["volume"][0], pairs["axis"][0]
         return [(volume, axis, *track[p][:3], arc[p], *p) for p in every if n[track[p]] >= LEAST]
 
-    rows = good.join(found, "a").select("set", "volume", "axis", *cols)
+    rows = sets.select("set", "volume", "axis", *cols)
     return groups.streamed(rows, ["set"], [], run, "volume long, axis int, plane0 long, row0 long, col0 long, arc long, plane long, row long, col long, r double")
 
 
@@ -241,8 +296,8 @@ def branches(found: DataFrame) -> DataFrame:
 
 def center_lines(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
     """Centre lines of a mask: ``branches`` of the ``tracks`` over its medial ridges, along all three axes."""
-    mask = mask.select(*(F.col(c).cast("bigint").alias(c) for c in AT)).distinct()
-    peaks = checkpointed(plane_peaks(ridges(radii(mask, shape))))
+    mask = mask.select(*(F.col(c).cast("bigint").alias(c) for c in AT))
+    peaks = checkpointed(plane_peaks(medial(mask, shape)))
     return branches(tracks(links(peaks, mask)))
 
 
@@ -251,7 +306,9 @@ def center_lines(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
 #: Straight ways tried from the centre, step along them, widest half side of a section, voxels told of one.
 WAYS, WAY_STEP, HALF, EVIDENCE = 24, 0.75, 256, 2048
 #: Side of the cells by which voxels are fetched, and samples of a line that fetch together.
-CELL, BLOCK = 16, 16
+CELL, BLOCK = 16, 32
+#: Places of the box around a section up to which it is held as an array.
+DENSE = 1 << 22
 
 
 def bounded(voxels: np.ndarray, most: int) -> np.ndarray:
@@ -263,8 +320,14 @@ class Near:
     """The voxels around a section, looked up by rounded place."""
 
     def __init__(self, voxels: np.ndarray, shape: tuple[int, int, int]):
-        self.shape, self.voxels = shape, voxels
-        self.codes = np.sort(self._code(voxels))
+        self.shape, self.voxels, self.box = shape, voxels, None
+        if len(voxels):
+            self.low = voxels.min(0)
+            size = voxels.max(0) - self.low + 1
+            if math.prod(size.tolist()) <= DENSE:
+                self.box = np.zeros(size, bool)
+                self.box[tuple((voxels - self.low).T)] = True
+        self.codes = np.sort(self._code(voxels)) if self.box is None else None
 
     def _code(self, v: np.ndarray) -> np.ndarray:
         return (v[..., 0] * self.shape[1] + v[..., 1]) * self.shape[2] + v[..., 2]
@@ -273,6 +336,12 @@ class Near:
         """(rounded, inside the box, set) of places (..., 3)."""
         at = np.rint(places).astype(np.int64)
         inside = ((at >= 0) & (at < np.array(self.shape))).all(-1)
+        if self.box is not None:
+            from_low = at - self.low
+            known = inside & ((from_low >= 0) & (from_low < self.box.shape)).all(-1)
+            hit = np.zeros(inside.shape, bool)
+            hit[known] = self.box[tuple(from_low[known].T)]
+            return at, inside, hit
         code = np.where(inside, self._code(at), -1)
         if not len(self.codes):
             return at, inside, np.zeros(inside.shape, bool)
@@ -292,6 +361,26 @@ class Near:
         return min(close[d == d.min()].tolist())
 
 
+def _axes(tangent: np.ndarray, r: float, wide: float) -> tuple[np.ndarray, np.ndarray] | None:
+    """Two unit vectors that span the plane across a tangent; None where there is no section."""
+    length = math.sqrt(tangent.dot(tangent))
+    if not (math.isfinite(r) and r >= 0.5 and math.isfinite(length) and length > 1e-8 and math.isfinite(wide) and wide > r):
+        return None
+    cross = lambda a, b: np.array([a[1] * b[2] - a[2] * b[1], a[2] * b[0] - a[0] * b[2], a[0] * b[1] - a[1] * b[0]])
+    normal = tangent / length
+    unit = [0.0, 0.0, 0.0]
+    unit[int(np.abs(normal).argmin())] = 1.0
+    first = cross(normal.tolist(), unit)
+    first /= math.sqrt(first.dot(first))
+    return first, cross(normal.tolist(), first.tolist())
+
+
+@functools.lru_cache(1024)
+def _circle(n: int) -> tuple[np.ndarray, np.ndarray]:
+    angles = np.linspace(0, 2 * math.pi, n, endpoint=False)
+    return np.cos(angles)[:, None], np.sin(angles)[:, None]
+
+
 def section(place: np.ndarray, tangent: np.ndarray, r: float, factor: float, near: Near, half_cap: int = HALF) -> tuple[str, np.ndarray]:
     """(clean, anomaly or unknown; voxels that show the anomaly) of the plane across a centre line.
 
@@ -299,31 +388,50 @@ def section(place: np.ndarray, tangent: np.ndarray, r: float, factor: float, nea
     straight way, or through the centre's 8-connected component. It is clean only if all that was asked for lies in the box;
     a centre without mask, a tangent of no length or a section too wide is unknown, which is no evidence of anything.
     """
+    return block_of_sections(place[None], tangent[None], np.array([r], np.float64), factor, near, half_cap)[0]
+
+
+def block_of_sections(places: np.ndarray, tangents: np.ndarray, radii: np.ndarray, factor: float, near: Near, half_cap: int = HALF) -> list[tuple[str, np.ndarray]]:
+    """The ``section`` of each of several samples: their circles are looked up together, and only those that meet the mask go on."""
+    none = np.zeros((0, 3), np.int64)
+    out: list[tuple[str, np.ndarray]] = [("unknown", none)] * len(places)
+    at, _, hit = near.sample(np.where(np.isfinite(places), places, -1))
+    circles: dict[int, list[tuple]] = {}
+    for k, r in enumerate(radii.tolist()):
+        wide = factor * r
+        axes = _axes(tangents[k], r, wide)
+        centre = None if axes is None else at[k] if hit[k] else near.snapped(places[k], r)
+        if centre is not None:
+            circles.setdefault(max(32, min(2048, math.ceil(2 * math.pi * wide))), []).append((k, wide, np.asarray(centre, np.float64), *axes))
+    for n, group in circles.items():
+        cos, sin = _circle(n)
+        # as many circles at once as have some 2^16 places
+        for begin in range(0, len(group), max(1, (1 << 16) // n)):
+            part = group[begin : begin + max(1, (1 << 16) // n)]
+            wide, centre, first, second = (np.array([g[c] for g in part]) for c in range(1, 5))
+            rings = centre[:, None] + wide[:, None, None] * (cos * first[:, None] + sin * second[:, None])
+            _, inside, met = near.sample(rings)
+            for j, k in enumerate(g[0] for g in part):
+                if met[j].any():
+                    out[k] = _led_out(centre[j], first[j], second[j], float(radii[k]), float(wide[j]), rings[j][met[j]], near, half_cap)
+                else:
+                    out[k] = ("clean" if inside[j].all() else "unknown", none)
+    return out
+
+
+def _led_out(centre: np.ndarray, first: np.ndarray, second: np.ndarray, r: float, wide: float, ends: np.ndarray, near: Near, half_cap: int) -> tuple[str, np.ndarray]:
+    """The section of a centre whose circle meets the mask at ``ends``."""
     none = np.zeros((0, 3), np.int64)
-    length, wide = float(np.linalg.norm(tangent)), factor * r
-    if not (math.isfinite(r) and r >= 0.5 and math.isfinite(length) and length > 1e-8 and math.isfinite(wide) and wide > r):
-        return "unknown", none
-    normal = tangent / length
-    first = np.cross(normal, np.eye(3)[np.abs(normal).argmin()])
-    first /= np.linalg.norm(first)
-    second = np.cross(normal, first)
-    centre = near.snapped(place, r)
-    if centre is None:
-        return "unknown", none
-    centre = np.asarray(centre, np.float64)
     outer = max(r + 0.75, 1.1 * r)
 
     def told(places: np.ndarray) -> np.ndarray:
         at, _, hit = near.sample(places)
-        return np.unique(at[hit], axis=0)
+        code = np.unique(near._code(at[hit]))
+        rest, x = np.divmod(code, near.shape[2])
+        return np.stack([rest // near.shape[1], rest % near.shape[1], x], 1)
 
-    angles = np.linspace(0, 2 * math.pi, max(32, min(2048, math.ceil(2 * math.pi * wide))), endpoint=False)
-    ring = centre + wide * (np.cos(angles)[:, None] * first + np.sin(angles)[:, None] * second)
-    _, inside, hit = near.sample(ring)
-    if not hit.any():
-        return "clean" if inside.all() else "unknown", none
     alpha = np.linspace(0, 1, max(2, math.ceil(wide / WAY_STEP) + 1))
-    ways = centre + alpha[:, None] * (bounded(ring[hit], WAYS)[:, None] - centre)
+    ways = centre + alpha[:, None] * (bounded(ends, WAYS)[:, None] - centre)
     through = near.sample(ways)[2].all(1)
     if through.any() and (alpha * wide >= outer).any():
         voxels = told(ways[through][:, alpha * wide >= outer].reshape(-1, 3))
@@ -357,11 +465,6 @@ def cells_of(mask: DataFrame) -> DataFrame:
     return mask.groupBy("volume", *(F.floor(F.col(c) / CELL).alias(f"c{c}") for c in AXES)).agg(F.collect_list(((t * CELL + y) * CELL + x).cast("int")).alias("voxels"))
 
 
-def _of_cell(cell: tuple[int, int, int], numbers: np.ndarray) -> np.ndarray:
-    """Places (n, 3) of a cell's voxels."""
-    return np.stack([numbers // (CELL * CELL), numbers // CELL % CELL, numbers % CELL], 1).astype(np.int64) + np.array(cell, np.int64) * CELL
-
-
 def sections(samples: DataFrame, mask: DataFrame, shape: tuple[int, int, int], factor: float, most: int = EVIDENCE, half_cap: int = HALF) -> DataFrame:
     """(volume, branch, arc, state, evidence array<struct<t,y,x>>) of every sample of centre lines.
 
@@ -380,17 +483,23 @@ def sections(samples: DataFrame, mask: DataFrame, shape: tuple[int, int, int], f
     near = wanted.select(*key, "ct", "cy", "cx").distinct().join(cells_of(mask), ["volume", "ct", "cy", "cx"]).select(*key, "ct", "cy", "cx", "voxels")
     both = rows.drop("far").unionByName(near, allowMissingColumns=True)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = pdf[pdf["r"].notna()]
-        parts = [_of_cell(cell, np.asarray(voxels)) for *cell, voxels in zip(pdf["ct"], pdf["cy"], pdf["cx"], pdf["voxels"]) if voxels is not None]
-        around = Near(np.concatenate(parts) if parts else np.zeros((0, 3), np.int64), shape)
-        out = []
-        for s in own.itertuples():
-            state, voxels = section(np.array([s.t, s.y, s.x], float), np.array([s.dt, s.dy, s.dx], float), float(s.r), factor, around, half_cap)
-            out.append((int(s.volume), int(s.branch), int(s.arc), state, [dict(zip(AXES, v)) for v in bounded(voxels, most).tolist()]))
-        return pd.DataFrame(out, columns=["volume", "branch", "arc", "state", "evidence"])
-
-    return groups.spread(both, *key).groupBy(*key).applyInPandas(run, "volume long, branch long, arc long, state string, evidence array<struct<t:long,y:long,x:long>>")
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        own = table.filter(table["r"].is_valid())
+        cells = table.filter(table["voxels"].is_valid()).combine_chunks()
+        voxels = cells["voxels"].combine_chunks()
+        numbers = voxels.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        cell = np.stack([cells[f"c{c}"].to_numpy() for c in AXES], 1).astype(np.int64)
+        places = np.stack([numbers // (CELL * CELL), numbers // CELL % CELL, numbers % CELL], 1) + np.repeat(cell * CELL, voxels.value_lengths().to_numpy(zero_copy_only=False), axis=0)
+        column = lambda *names: np.stack([own[c].cast(pa.float64()).to_numpy() for c in names], 1)
+        found = block_of_sections(column(*AXES), column("dt", "dy", "dx"), column("r")[:, 0], factor, Near(places, shape), half_cap)
+        told = [bounded(v, most) for _, v in found]
+        ends = np.cumsum([0, *map(len, told)])
+        every = np.concatenate(told).astype(np.int64)
+        evidence = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(every[:, k]) for k in range(3)], list(AXES)))
+        return pa.table({**{c: own[c] for c in ("volume", "branch", "arc")}, "state": pa.array([state for state, _ in found], pa.string()), "evidence": evidence})
+
+    return groups.spread(both, *key).groupBy(*key).applyInArrow(run, "volume long, branch long, arc long, state string, evidence array<struct<t:long,y:long,x:long>>")
 
 
 def anomaly_events(found: DataFrame, least: int = 3, gap: int = 2, flank: int = 3) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,20 +15,31 @@ from stratavox.session import checkpointed
 
 #: Pixels of the slices that one group holds together.
 GROUP_PIXELS = 1 << 15
-#: Pairs of places of all lines that are compared at once.
-SMALL = 1 << 17
+#: Pairs of places of all lines that are compared at once, and places to either side that are compared one after the other.
+SMALL, BESIDE = 1 << 17, 32
 
 
 def _along(f: np.ndarray) -> np.ndarray:
     """min over q of f[q] + (p - q)^2 along the first axis of (n, lines), exactly: the lower envelope of parabolas.
 
     A stack for each line keeps the places whose parabolas are lowest somewhere, with the place from which each is; every
-    place is put on once and taken off once at most, so time is linear in the array. Small arrays compare all pairs at once.
+    place is put on once and taken off once at most, so time is linear in the array. Small arrays compare all pairs at once;
+    where no value is over ``BESIDE`` squared, none from farther away than that can be less than a place's own.
     """
     n, m = f.shape
     if 0 < n * n * m <= SMALL:
         place = np.arange(n)
         return (((place[:, None] - place) ** 2)[:, :, None] + f).min(1)
+    top = int(f.max(initial=0))
+    if top <= BESIDE * BESIDE:
+        out = f.copy()
+        for k in range(1, min(math.isqrt(top), n - 1) + 1):
+            if k * k >= top:
+                break
+            np.minimum(out[k:], f[:-k] + k * k, out=out[k:])
+            np.minimum(out[:-k], f[k:] + k * k, out=out[:-k])
+            top = int(out.max())
+        return out
     site, start = np.zeros((n, m), np.int64), np.zeros((n, m), np.int64)
     top = np.zeros(m, np.int64)
     lines = np.arange(m)

@@ -86,22 +86,6 @@ def _touching(connectivity: int) -> list[tuple[int, int, int]]:
     return sorted((dt, dy, int((dt, dy, 1) in offsets(connectivity))) for dt, dy in ahead)
 
 
-def _merge(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least node that each of ``n`` nodes can reach over the edges (a, b)."""
-    root = np.arange(n)
-    while len(a):
-        ra, rb = root[a], root[b]
-        apart = ra != rb
-        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
-        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
-        while True:
-            up = root[root]
-            if (up == root).all():
-                break
-            root = up
-    return root
-
-
 def _label_slab(connectivity: int, size: int):
     """Adds root, the least code of the run's component within the slab, to the runs of a slab."""
     rules = _touching(connectivity)
@@ -122,7 +106,7 @@ def _label_slab(connectivity: int, size: int):
             a.append(np.repeat(np.arange(len(t)), n))
             b.append(np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n))
         code = (t * size + y) * size + x0
-        root = code[_merge(len(t), np.concatenate(a), np.concatenate(b))]
+        root = code[graph.merged(len(t), np.concatenate(a), np.concatenate(b))]
         return pa.table([pa.array(v) for v in (t, y, x0, x1, root)], ["t", "y", "x0", "x1", "root"])
 
     return run

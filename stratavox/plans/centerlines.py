@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stratavox.operators import centerlines as ops
+from stratavox.operators import groups
 from stratavox.plans.masks import V, _cells
 from stratavox.sources.tables import table
 
@@ -22,7 +23,7 @@ def mask_radii(spark, sf):
 
 
 def medial_ridges(spark, sf):
-    return ops.ridges(ops.radii(_solid(spark, sf), SHAPE)).withColumn("r", F.round("r", 6))
+    return ops.medial(_solid(spark, sf), SHAPE).withColumn("r", F.round("r", 6))
 
 
 def _tubes(spark, sf):
@@ -31,13 +32,15 @@ def _tubes(spark, sf):
     The arm's length follows from the vector's first component.
     """
     rows = table(spark, sf, "embeddings").select(F.floor(F.col("vec_id") / DEPTH).alias("volume"), (F.col("vec_id") % DEPTH).alias("t"), F.floor(F.abs(F.get("embedding", F.lit(0)).cast("double")) * 6).alias("more"))
+    # of a slice's vectors the farthest arm holds the others; the parts are kept apart, so that no voxel comes twice
+    rows = groups.spread(rows, "volume", "t").groupBy("volume", "t").agg(F.max("more").alias("more"))
     rows = rows.withColumn("cy", 10 + F.floor(F.least(F.col("t") % 60, 60 - F.col("t") % 60) * 2 / 5)).withColumn("cx", 9 + F.col("volume") % 3)
     reach = lambda lo, hi: F.explode(F.sequence(F.lit(lo), hi if isinstance(hi, Column) else F.lit(hi)))
     disk = rows.withColumn("i", reach(-4, 4)).withColumn("j", reach(-4, 4)).where("i * i + j * j <= 16")
-    arm = rows.where("t % 50 BETWEEN 22 AND 25").withColumn("i", reach(-2, 2)).withColumn("j", reach(4, F.col("more") + 15))
-    bit = rows.where("t % 50 BETWEEN 19 AND 28").withColumn("i", reach(-3, 3)).withColumn("j", reach(10, 16))
+    arm = rows.where("t % 50 BETWEEN 22 AND 25").withColumn("i", reach(-2, 2)).withColumn("j", reach(4, F.col("more") + 15)).where("i * i + j * j > 16")
+    bit = rows.where("t % 50 BETWEEN 19 AND 28").withColumn("i", reach(-3, 3)).withColumn("j", reach(10, 16)).where("NOT (t % 50 BETWEEN 22 AND 25 AND abs(i) <= 2 AND coalesce(j <= more + 15, false))")
     parts = [p.select("volume", "t", (F.col("cy") + F.col("i")).alias("y"), (F.col("cx") + F.col("j")).alias("x")) for p in (disk, arm, bit)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("y BETWEEN 0 AND 31 AND x BETWEEN 0 AND 31").distinct()
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).where("y BETWEEN 0 AND 31 AND x BETWEEN 0 AND 31")
 
 
 TUBE = (DEPTH, 32, 32)
@@ -45,13 +48,13 @@ TUBE = (DEPTH, 32, 32)
 
 def ridge_tracks(spark, sf):
     """Tracks over the ridges of all tubes along three axes."""
-    mask = _tubes(spark, sf)
-    peaks = ops.checkpointed(ops.plane_peaks(ops.ridges(ops.radii(mask, TUBE))))
+    mask = ops.checkpointed(_tubes(spark, sf))
+    peaks = ops.checkpointed(ops.plane_peaks(ops.medial(mask, TUBE)))
     return ops.tracks(ops.links(peaks, mask)).withColumn("r", F.round("r", 6))
 
 
 def center_lines(spark, sf):
-    return ops.center_lines(_tubes(spark, sf), TUBE).drop("branch").withColumn("r", F.round("r", 6))
+    return ops.center_lines(ops.checkpointed(_tubes(spark, sf)), TUBE).drop("branch").withColumn("r", F.round("r", 6))
 
 
 def normal_sections(spark, sf):

@@ -360,3 +360,26 @@ def test_empty_masks(spark):
     full = spark.createDataFrame(rows_of([np.ones((3, 4, 5), bool)]), MASK)
     assert ops.center_lines(full, (3, 4, 5)).count() >= 0  # no background at all: every radius is the same large number
     assert kernels.squared_distance(np.zeros((2, 2), bool)).min() > 8
+
+
+def test_medial_equals_ridges_over_squares_of_lines(case, monkeypatch):
+    masks, frame = case
+    monkeypatch.setattr(ops, "LINES", 100)  # squares of eight lines, slices in groups of one
+    got = {tuple(r) for r in ops.medial(frame, masks[0].shape).collect()}
+    assert {(v, t, y, x, round(r, 9)) for v, t, y, x, r in got} == {(v, *c, round(r, 9)) for v, m in enumerate(masks) for c, r in plain_ridge(m).items()}
+    assert ops.medial(frame.limit(0), masks[0].shape).count() == 0
+
+
+def test_links_of_a_slab_need_no_graph(spark, monkeypatch):
+    from stratavox.operators import graph
+
+    given = []
+    whole = graph.components
+    monkeypatch.setattr(graph, "components", lambda edges, *a: (given.append(edges.count()), whole(edges, *a))[1])
+    deep = 150
+    mask = spark.createDataFrame([(0, t, 5, x) for t in range(deep) for x in (5, 6, 130)], MASK)
+    peaks = spark.createDataFrame([(0, 0, t, 5, x, 1.0) for t in range(deep) for x in (5, 130) if (t, x) != (70, 130)], "volume long, axis int, plane long, row long, col long, r double")
+    found = ops.tracks(ops.links(peaks, mask))
+    assert {(r.plane0, r.col0): r.n for r in found.groupBy("plane0", "col0").agg(F.count("*").alias("n")).collect()} == {(0, 5): deep, (0, 130): deep - 1}
+    # two lines, each over three slabs of planes
+    assert sum(given) <= 2 * 2 * 6

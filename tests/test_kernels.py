@@ -144,3 +144,20 @@ def test_distances_of_many_lines_and_batches(spark):
         thick = {label[c] for c in np.ndindex(8, 8) if m[t][c] and d2[c] >= 2.25}
         want |= {(t, y, x) for y, x in np.ndindex(8, 8) if m[t, y, x] and label[y, x] in thick}
     assert got == want and 0 < len(want) < len(rows)
+
+
+def test_distances_along_lines_with_near_background(monkeypatch):
+    def slow(*_):
+        raise AssertionError("the envelope was built")
+
+    rng = np.random.default_rng(3)
+    f = rng.integers(0, 40, (90, 70))
+    f[20:60, 5] = 1000
+    place = np.arange(len(f))
+    want = (((place[:, None] - place) ** 2)[:, :, None] + f).min(1)
+    assert (kernels._along(f) == want).all()
+    far = f.copy()
+    far[3, 4] = 1 << 20
+    assert (kernels._along(far) == (((place[:, None] - place) ** 2)[:, :, None] + far).min(1)).all()
+    monkeypatch.setattr(np, "empty_like", slow)
+    kernels._along(f)
