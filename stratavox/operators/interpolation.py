@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +20,8 @@ from stratavox.session import checkpointed
 AT = ["volume", "t", "y", "x"]
 #: Side of the cells by which a cone fetches pixels, and empty places around the shapes of a bridge.
 CELL, PAD = 32, 4
+#: Slices that one task compares with each other.
+SLAB = 32
 
 
 def pieces(mask: DataFrame, shape: tuple[int, int, int]) -> DataFrame:
@@ -40,11 +42,47 @@ def anchors(rows: DataFrame) -> DataFrame:
     return best.select("s", "label", "piece", "area", "a.y", "a.x")
 
 
-def seeds(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(piece, direction, s, label, y, x): pieces that no voxel of the next slice in that direction (1 or -1) touches."""
-    flat = rows.select(F.col("s").alias("t"), "y", "x", F.col("piece").alias("root"))
-    ends = [masks.endpoints(flat, step).select(F.col("root").alias("piece"), F.lit(step).cast("bigint").alias("direction")) for step in (1, -1)]
-    return ends[0].unionByName(ends[1]).join(found.drop("area"), "piece")
+def touching(rows: DataFrame) -> DataFrame:
+    """(a, b, step, overlap): pieces of an object in slices next to each other (b's is a's + step) that touch, and b's pixels that do.
+
+    A task compares the slices of a slab, and one to either side of it, with each other.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        s, y, x, label, piece = (table[c].to_numpy() for c in ("s", "y", "x", "label", "piece"))
+        high, wide = int(y.max() - y.min()) + 3, int(x.max() - x.min()) + 3  # an empty row and column around it all
+        code = ((s - s.min()) * high + (y - y.min() + 1)) * wide + (x - x.min() + 1)
+        order = np.argsort(code)
+        rank = code[order]
+        names, number = np.unique(piece, return_inverse=True)
+        own = np.flatnonzero(s // SLAB == table["g"][0].as_py())
+        out = []
+        for step in (1, -1):
+            met = []
+            for move in (i * wide + j for i in (-1, 0, 1) for j in (-1, 0, 1)):
+                there = code[own] - step * high * wide + move
+                at = np.minimum(np.searchsorted(rank, there), len(rank) - 1)
+                other = order[at]
+                hit = (rank[at] == there) & (label[other] == label[own])
+                met.append(own[hit] * len(names) + number[other[hit]])
+            pixel, a = np.divmod(np.unique(np.concatenate(met)), len(names))
+            pairs, n = np.unique(a * len(names) + number[pixel], return_counts=True)
+            out.append((names[pairs // len(names)], names[pairs % len(names)], np.full(len(pairs), step), n))
+        return pa.table([pa.array(np.concatenate(v), pa.int64()) for v in zip(*out)], ["a", "b", "step", "overlap"])
+
+    slabs = F.explode(F.sequence(F.floor((F.col("s") - 1) / SLAB), F.floor((F.col("s") + 1) / SLAB)))
+    rows = rows.select("s", "y", "x", "label", "piece", slabs.alias("g"))
+    return groups.spread(rows, "g").groupBy("g").applyInArrow(run, "a long, b long, step long, overlap long")
+
+
+def seeds(rows: DataFrame, found: DataFrame, met: DataFrame | None = None) -> DataFrame:
+    """(piece, direction, s, label, y, x): pieces that no voxel of the next slice in that direction (1 or -1) touches.
+
+    ``met`` is what ``touching`` found; voxels that touch are of one object.
+    """
+    met = touching(rows) if met is None else met
+    ends = found.withColumn("direction", F.explode(F.array(F.lit(1).cast("bigint"), F.lit(-1).cast("bigint"))))
+    going = met.select(F.col("a").alias("piece"), F.col("step").alias("direction")).distinct()
+    return ends.join(going, ["piece", "direction"], "left_anti").select("piece", "direction", "s", "label", "y", "x")
 
 
 def candidates(rows: DataFrame, starts: DataFrame, shape: tuple[int, int, int], distance: int, angle: float, most: int) -> DataFrame:
@@ -66,39 +104,47 @@ def candidates(rows: DataFrame, starts: DataFrame, shape: tuple[int, int, int],
     cells = rows.groupBy(F.col("s").alias("ts"), F.floor(F.col("y") / CELL).alias("cy"), F.floor(F.col("x") / CELL).alias("cx")).agg(F.collect_list(F.struct("y", "x", "label", "piece")).alias("pixels"))
     met = ahead.select("piece", "direction", "step", "ts", "cy", "cx", F.col("label").alias("own"), F.col("y").alias("ay"), F.col("x").alias("ax")).join(cells, ["ts", "cy", "cx"])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        piece, own, ay, ax = (int(pdf[c].iloc[0]) for c in ("piece", "own", "ay", "ax"))
-        every = np.array([(step, ts, p["y"], p["x"], p["label"], p["piece"]) for step, ts, cell in zip(pdf["step"], pdf["ts"], pdf["pixels"]) for p in cell], np.int64)
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        piece, own, ay, ax = (table[c][0].as_py() for c in ("piece", "own", "ay", "ax"))
+        pixels = table["pixels"].combine_chunks()
+        many = pixels.value_lengths().to_numpy(zero_copy_only=False)
+        every = np.stack([*(np.repeat(table[c].to_numpy(), many) for c in ("step", "ts")), *_fields(pixels, "y", "x", "label", "piece")], 1).astype(np.int64)
         source = every[(every[:, 0] == 0) & (every[:, 5] == piece)]
         there = every[(every[:, 0] > 0) & (every[:, 4] != own)]
         y0, x0 = source[:, 2].min() - wide - 1, source[:, 3].min() - wide - 1
         mask = np.zeros((source[:, 2].max() + wide + 2 - y0, source[:, 3].max() + wide + 2 - x0), bool)
         mask[source[:, 2] - y0, source[:, 3] - x0] = True
         there = there[((there[:, 2:4] >= (y0, x0)) & (there[:, 2:4] < np.add((y0, x0), mask.shape))).all(1)]
-        sdf = kernels.signed_distance(mask)[there[:, 2] - y0, there[:, 3] - x0]
-        there = there[sdf >= -slope * there[:, 0] - 1e-9]
-        d2 = (there[:, 2] - ay) ** 2 + (there[:, 3] - ax) ** 2
-        best: dict[int, tuple] = {}
-        for step, ts, y, x, label, d in zip(*there[:, :5].T.tolist(), d2.tolist()):
-            best[label] = min(best.get(label, (math.inf,)), (step, d, y, x, ts))
-        ranked = sorted((step, d, label, ts, y, x) for label, (step, d, y, x, ts) in best.items())[:most]
-        out = [(piece, int(pdf["direction"].iloc[0]), k + 1, step, label, ts, y, x) for k, (step, _, label, ts, y, x) in enumerate(ranked)]
-        return pd.DataFrame(out, columns=["piece", "direction", "nth", "step", "target", "ts", "ty", "tx"])
+        if len(there):
+            sdf = kernels.signed_distance(mask)[there[:, 2] - y0, there[:, 3] - x0]
+            there = there[sdf >= -slope * there[:, 0] - 1e-9]
+        step, ts, y, x, label, _ = there.T
+        d2 = (y - ay) ** 2 + (x - ax) ** 2
+        best = there[np.lexsort((ts, x, y, d2, step, label))]  # of an object's pixels, the first
+        best = best[np.append(True, best[1:, 4] != best[:-1, 4])[: len(best)]]
+        step, ts, y, x, label, _ = best.T
+        ranked = np.lexsort((label, (y - ay) ** 2 + (x - ax) ** 2, step))[:most]
+        same = lambda v: pa.array(np.full(len(ranked), v, np.int64))
+        nth = pa.array(np.arange(1, len(ranked) + 1), pa.int32())
+        return pa.table([same(piece), same(table["direction"][0].as_py()), nth, *(pa.array(v[ranked]) for v in (step, label, ts, y, x))], ["piece", "direction", "nth", "step", "target", "ts", "ty", "tx"])
+
+    return groups.spread(met, "piece", "direction").groupBy("piece", "direction").applyInArrow(run, "piece long, direction long, nth int, step long, target long, ts long, ty long, tx long")
+
 
-    return groups.spread(met, "piece", "direction").groupBy("piece", "direction").applyInPandas(run, "piece long, direction long, nth int, step long, target long, ts long, ty long, tx long")
+def _fields(pixels: pa.ListArray, *names: str) -> list[np.ndarray]:
+    """Columns of all structs of a list column, in order."""
+    flat = pixels.flatten()
+    return [flat.field(n).to_numpy(zero_copy_only=False) for n in names]
 
 
-def walk_back(rows: DataFrame, found: DataFrame, starts: DataFrame, steps: int) -> DataFrame:
+def walk_back(rows: DataFrame, found: DataFrame, starts: DataFrame, steps: int, met: DataFrame | None = None) -> DataFrame:
     """(piece, direction, back, from_piece, s, y, x): a seed and up to ``steps`` places behind it, one a slice, along its object.
 
     Of the object's pieces in the slice behind, the one that overlaps the last piece (widened by a pixel) most is followed,
     then the one nearest to the last place, then the largest, then the first; the place is its pixel nearest to the last one.
     """
-    near = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))).alias("o")
-    moved = rows.select("s", "piece", "label", "y", "x", near).select("s", F.col("piece").alias("a"), "label", (F.col("y") + F.col("o.i")).alias("y"), (F.col("x") + F.col("o.j")).alias("x"))
-    other = rows.select("s", "label", "y", "x", F.col("piece").alias("b"))
-    both = [moved.withColumn("s", F.col("s") + k).join(other, ["s", "label", "y", "x"]) for k in (1, -1)]
-    overlap = checkpointed(both[0].unionByName(both[1]).select("a", "b", "y", "x").distinct().groupBy("a", "b").agg(F.count("*").alias("overlap")))
+    overlap = checkpointed((touching(rows) if met is None else met).select("a", "b", "overlap"))
     area = found.select("piece", "area")
     now = starts.select("piece", "direction", F.lit(0).alias("back"), F.col("piece").alias("from_piece"), "label", "s", "y", "x")
     out = now
@@ -183,28 +229,34 @@ def bridges(rows: DataFrame, plans: DataFrame, shape: tuple[int, int, int], thre
     shapes = rows.groupBy("piece").agg(F.collect_list(F.struct("y", "x")).alias("pixels")).withColumnRenamed("piece", "p")
     both = ends.select(*key, "s", "y", "x", "ts", "ty", "tx", "e.end", F.col("e.p").alias("p")).join(shapes, "p").drop("p")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        row = pdf.iloc[0]
-        ends = {int(e): np.array([(p["y"], p["x"]) for p in px], np.int64) for e, px in zip(pdf["end"], pdf["pixels"])}
-        steps, sign = abs(int(row.ts) - int(row.s)), 1 if row.ts > row.s else -1
-        a, b = (int(row.y), int(row.x)), (int(row.ty), int(row.tx))
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        s, y, x, ts, ty, tx = (table[c][0].as_py() for c in ("s", "y", "x", "ts", "ty", "tx"))
+        pixels = table["pixels"].combine_chunks()
+        cuts = np.cumsum(pixels.value_lengths().to_numpy(zero_copy_only=False))[:-1]
+        ends = dict(zip(table["end"].to_pylist(), np.split(np.stack(_fields(pixels, "y", "x"), 1), cuts)))
+        steps, sign = abs(ts - s), 1 if ts > s else -1
+        a, b = (y, x), (ty, tx)
         d0, d1 = bridge_shapes(ends[0], a, ends[1], b)
         radius, shapes = least_radius(d0, d1, steps, threshold)
         ok = threshold <= 0 or radius > threshold
-        painted = []
+        painted = [np.zeros((0, 3), np.int64)]
         for k, m in enumerate((shapes if shapes is not None else sections_of(d0, d1, steps)) if ok else [], 1):
             at = np.argwhere(m) - np.array(m.shape) // 2 + [round(p + k / steps * (q - p)) for p, q in zip(a, b)]
             at = at[((at >= 0) & (at < shape[1:])).all(1)]
-            painted += [{"s": int(row.s) + sign * k, "y": y, "x": x} for y, x in at.tolist()]
-        return pd.DataFrame({**{c: [row[c]] for c in key}, "accepted": [ok], "radius": [radius], "pixels": [painted]})
+            painted.append(np.column_stack([np.full(len(at), s + sign * k), at]))
+        every = np.concatenate(painted).astype(np.int64)
+        voxels = pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), pa.StructArray.from_arrays([pa.array(every[:, c]) for c in range(3)], ["s", "y", "x"]))
+        one = table.slice(0, 1)
+        return pa.table([*(one[c] for c in key), pa.array([bool(ok)]), pa.array([float(radius)]), voxels], [*key, "accepted", "radius", "pixels"])
 
-    return groups.spread(both, *key).groupBy(*key).applyInPandas(run, "piece long, direction long, nth int, back int, accepted boolean, radius double, pixels array<struct<s:long,y:long,x:long>>")
+    return groups.spread(both, *key).groupBy(*key).applyInArrow(run, "piece long, direction long, nth int, back int, accepted boolean, radius double, pixels array<struct<s:long,y:long,x:long>>")
 
 
-def planned(rows: DataFrame, found: DataFrame, starts: DataFrame, shape: tuple[int, int, int], distance: int, angle: float, most: int, back: int) -> DataFrame:
+def planned(rows: DataFrame, found: DataFrame, starts: DataFrame, shape: tuple[int, int, int], distance: int, angle: float, most: int, back: int, met: DataFrame | None = None) -> DataFrame:
     """All bridges to try: each seed and place behind it, to each of the seed's candidates (ranked ``nth``)."""
     ahead = candidates(rows, starts, shape, distance, angle, most)
-    behind = walk_back(rows, found, starts, back)
+    behind = walk_back(rows, found, starts, back, met)
     target = rows.select(F.col("s").alias("ts"), F.col("y").alias("ty"), F.col("x").alias("tx"), F.col("piece").alias("to_piece"))
     return behind.join(ahead, ["piece", "direction"]).join(target, ["ts", "ty", "tx"])
 
@@ -218,8 +270,9 @@ def interpolate(mask: DataFrame, shape: tuple[int, int, int], distance: int = 8,
     """One pass: (delta, bridges). delta is (volume, t, y, x, walk_back, candidate), the voxels that each layer of bridges adds to the mask."""
     rows = checkpointed(pieces(mask, shape))
     found = checkpointed(anchors(rows))
-    starts = checkpointed(seeds(rows, found))
-    plans = checkpointed(planned(rows, found, starts, shape, distance, angle, most, back))
+    met = checkpointed(touching(rows))
+    starts = checkpointed(seeds(rows, found, met))
+    plans = checkpointed(planned(rows, found, starts, shape, distance, angle, most, back, met))
     made = checkpointed(layers(bridges(rows, plans, shape, threshold), back))
     deep = shape[0] + 2
     new = made.where("accepted").select("walk_back", "candidate", F.explode("pixels").alias("v")).select(F.floor(F.col("v.s") / deep).alias("volume"), F.pmod("v.s", F.lit(deep)).alias("t"), "v.y", "v.x", "walk_back", "candidate").distinct()

@@ -170,3 +170,22 @@ def test_passes_end_and_empty(spark):
     assert by[1] == first and len(set().union(*by.values())) == sum(map(len, by.values()))
     assert ops.interpolate(frame.limit(0), SHAPE, **HOW)[0].collect() == []
     assert kernels.signed_distance(np.ones((1, 1), bool)).shape == (1, 1)
+
+
+def test_touching_pieces_equal_plain_comparison(spark, monkeypatch):
+    # slabs of three slices, so that pieces touch across their borders; seeds take the same pairs
+    monkeypatch.setattr(ops, "SLAB", 3)
+    rng = np.random.default_rng(8)
+    m = rng.random((10, 9, 9)) < 0.25
+    rows = ops.checkpointed(ops.pieces(spark.createDataFrame([(v, *map(int, c)) for v in range(2) for c in np.argwhere(m)], MASK), m.shape))
+    cells = {(r.s, r.y, r.x): r.piece for r in rows.collect()}
+    want = {}
+    for (s, y, x), b in cells.items():
+        for step in (1, -1):
+            for a in {cells[p] for p in ((s - step, y + i, x + j) for i in (-1, 0, 1) for j in (-1, 0, 1)) if p in cells}:
+                want[a, b, step] = want.get((a, b, step), 0) + 1
+    assert {(r.a, r.b, r.step): r.overlap for r in ops.touching(rows).collect()} == want
+    found = ops.anchors(rows)
+    got = {(r.piece, r.direction) for r in ops.seeds(rows, found).collect()}
+    assert got == {(p, d) for p in cells.values() for d in (1, -1)} - {(a, step) for a, _, step in want}
+    assert ops.touching(rows.limit(0)).count() == 0
